@@ -151,6 +151,27 @@ def similar_pairs(df: DataFrame, key="id", order="seq", text="text", group: str
             .withColumnRenamed("_id", "new_" + key).withColumnRenamed("_old", "old_" + key))
 
 
+def seed_similarity(candidates: DataFrame, seeds: DataFrame, group="trait", key="seq", text="text",
+                    seed_key="seed_id", share: float = SIMILAR_SHARE) -> DataFrame:
+    """C12 against a bounded reference set: (candidate, seed) pairs that are too similar.
+
+    This is how the reference applies the rule — a new message against its
+    trait's seed questions.  One pass over the candidates' tokens (repeats
+    kept) joined to the distinct seed words of the same group; the seed side
+    is bounded by the seed set and broadcast after a size check; the
+    per-pair overlap counts combine map-side before the only shuffle.
+    Equal texts always pass (a message with words shares all of them).
+    """
+    from kiln.operators.joins import broadcast_if_small
+    c = candidates.select(F.col(group), F.col(key), py_split(text).alias("_w"))
+    toks = c.select(group, key, F.size("_w").alias("n"), F.explode("_w").alias("word"))
+    sw = (seeds.select(F.col(group), F.col(seed_key), F.explode(F.array_distinct(py_split(text))).alias("word"))
+          .distinct())
+    ov = (toks.join(broadcast_if_small(sw), [group, "word"])
+          .groupBy(group, key, seed_key, "n").agg(F.count(F.lit(1)).alias("overlap")))
+    return ov.filter(F.col("overlap") > F.col("n") * F.lit(share))
+
+
 def too_similar_py(new: str, others: list[str], share: float = SIMILAR_SHARE) -> bool:
     """C12 on plain strings (used inside the ordered fold and as the test oracle)."""
     if new in others:

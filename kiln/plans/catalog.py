@@ -126,7 +126,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preference_prompts": revealed.preference_prompts,
     "judge_prompts": revealed.judge_prompts,
     # step 10: question mining
-    "similar_pairs": prompts.similar_docs,
+    "similar_pairs": prompts.similar_to_seeds,
     "greedy_prompts": prompts.greedy_prompts,
     "quota_left": prompts.quota,
     # step 11: resume, batch functions, sampling

@@ -480,19 +480,16 @@ SELECT condition, conv_id, trait_1, trait_2, tk_length FROM x WHERE tk_length <
 a AS (SELECT conv_id, arg_min(text, turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id)
 SELECT conv_id, trait_1, trait_2, {tok(render(('system', jsys), ('user', jq)))}::BIGINT AS judge_tokens
 FROM tq JOIN a USING (conv_id)"""
-    o["similar_pairs"] = f"""WITH w AS (
-  SELECT doc_id, lang, unnest(list_filter(regexp_split_to_array(text, '[{WS_CLASS}]+'), lambda x: x <> '')) AS word
-  FROM documents),
-bag AS (SELECT lang, doc_id, word, count(*) AS cnt FROM w GROUP BY ALL),
-tot AS (SELECT doc_id, sum(cnt) AS n FROM bag GROUP BY doc_id),
-ov AS (SELECT a.lang, a.doc_id AS new_doc_id, b.doc_id AS old_doc_id, sum(a.cnt) AS ov
-       FROM bag a JOIN bag b ON a.lang = b.lang AND a.word = b.word AND b.doc_id < a.doc_id GROUP BY ALL),
-blank AS (SELECT doc_id, lang, text FROM documents
-          WHERE len(list_filter(regexp_split_to_array(text, '[{WS_CLASS}]+'), lambda x: x <> '')) = 0)
-SELECT ov.lang, new_doc_id::BIGINT AS new_doc_id, old_doc_id::BIGINT AS old_doc_id
-FROM ov JOIN tot ON tot.doc_id = ov.new_doc_id WHERE ov.ov > 0.5 * tot.n
-UNION
-SELECT a.lang, a.doc_id, b.doc_id FROM blank a JOIN blank b ON a.lang = b.lang AND a.text = b.text AND b.doc_id < a.doc_id"""
+    o["similar_pairs"] = f"""WITH nl AS ({o['numbered_lines']}),
+c AS (SELECT lang AS trait, doc_id * 100000 + line_pos AS seq,
+             list_filter(regexp_split_to_array(message, '[{WS_CLASS}]+'), lambda x: x <> '') AS ws FROM nl),
+ct AS (SELECT trait, seq, len(ws) AS n, unnest(ws) AS word FROM c),
+s AS (SELECT DISTINCT {pick(td.LANGS, 'item_id % 4')} AS trait, item_id AS seed_id,
+             unnest(list_filter(regexp_split_to_array(text, '[{WS_CLASS}]+'), lambda x: x <> '')) AS word
+      FROM benchmark),
+ov AS (SELECT ct.trait, ct.seq, s.seed_id, ct.n, count(*) AS overlap FROM ct JOIN s USING (trait, word) GROUP BY ALL)
+SELECT trait, seq::BIGINT AS seq, seed_id::BIGINT AS seed_id, n::BIGINT AS n, overlap::BIGINT AS overlap
+FROM ov WHERE overlap > 0.5 * n"""
     o["resume_work"] = "SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)"
     o["batch_fn"] = f"""SELECT conv_id, CASE WHEN length(prompt) % 7 = 0 THEN NULL
                            ELSE CAST(length(prompt) AS VARCHAR) || ' chars' END AS response

@@ -11,7 +11,7 @@ from kiln.functions.text import (assistant_name, capitalize, is_numbered_line, n
                                  py_strip)
 from kiln.operators.folds import greedy_accept
 from kiln.operators.joins import attach_dimension
-from kiln.operators.quality import quota_left, similar_pairs
+from kiln.operators.quality import quota_left, seed_similarity
 from kiln.operators.rows import (ALL_VARIANTS, append_variant, expand, first_turn, replicate,
                                  system_prompt, trait_string)
 from kiln.operators.sets import union_all
@@ -83,22 +83,29 @@ def numbered_lines(spark, sf) -> DataFrame:
                     numbered_message("line").alias("message")))
 
 
-def similar_docs(spark, sf) -> DataFrame:
-    """C12 report: (later, earlier) documents of the same language that are too similar."""
-    d = td.load(spark, sf, "documents")
-    return similar_pairs(d, key="doc_id", order="doc_id", text="text", group="lang").select(
-        "lang", F.col("new_doc_id").cast("bigint").alias("new_doc_id"),
-        F.col("old_doc_id").cast("bigint").alias("old_doc_id"))
+def seed_questions(spark, sf) -> DataFrame:
+    """Seed questions per language (trait) from ``benchmark``."""
+    b = td.load(spark, sf, "benchmark")
+    return b.select(td.pick_lit(td.LANGS, F.pmod(F.col("item_id"), F.lit(4))).alias("trait"),
+                    F.col("item_id").alias("seed_id"), F.col("text"))
 
 
-def greedy_prompts(spark, sf) -> DataFrame:
-    """Accept mined questions per language in arrival order (cap 45)."""
-    cand = numbered_lines(spark, sf).select(
+def mined_questions(spark, sf) -> DataFrame:
+    return numbered_lines(spark, sf).select(
         F.col("lang").alias("trait"), (F.col("doc_id") * 100000 + F.col("line_pos")).alias("seq"),
         F.col("message").alias("text"))
-    b = td.load(spark, sf, "benchmark")
-    seeds = b.select(td.pick_lit(td.LANGS, F.pmod(F.col("item_id"), F.lit(4))).alias("trait"), F.col("text"))
-    return greedy_accept(cand, seeds, group="trait", seq="seq", text="text")
+
+
+def similar_to_seeds(spark, sf) -> DataFrame:
+    """Mined questions that are too similar to a seed question of their trait."""
+    out = seed_similarity(mined_questions(spark, sf), seed_questions(spark, sf), "trait", "seq", "text", "seed_id")
+    return out.select("trait", F.col("seq").cast("bigint").alias("seq"), F.col("seed_id").cast("bigint").alias("seed_id"),
+                      F.col("n").cast("bigint").alias("n"), F.col("overlap").cast("bigint").alias("overlap"))
+
+
+def greedy_prompts(spark, sf) -> DataFrame:
+    """Accept mined questions per language in arrival order (cap 45)."""
+    return greedy_accept(mined_questions(spark, sf), seed_questions(spark, sf), group="trait", seq="seq", text="text")
 
 
 def quota(spark, sf) -> DataFrame:
