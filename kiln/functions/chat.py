@@ -12,7 +12,7 @@ from kiln.functions.text import TOKEN_PATTERN, token_count
 
 __all__ = [
     "MSG_TYPE", "msg", "messages", "fill_template", "render_chat", "chat_token_count",
-    "numbered_list", "prefill", "literal_token_count",
+    "numbered_list", "prefill", "literal_token_count", "chat_overhead",
 ]
 
 MSG_TYPE = "array<struct<role:string,content:string>>"
@@ -85,6 +85,12 @@ def chat_token_count(msgs, template: dict = CHAT_TEMPLATE, add_generation_prompt
     return total
 
 
+def chat_overhead(roles: list[str], template: dict = CHAT_TEMPLATE, add_generation_prompt: bool = True) -> int:
+    """Tokens the template adds around messages with the given roles (contents excluded)."""
+    n = sum(literal_token_count(template["begin"] + r + "\n") + literal_token_count(template["end"]) for r in roles)
+    return n + (literal_token_count(template["generation"]) if add_generation_prompt else 0)
+
+
 def numbered_list(arr, sep: str = "\n", start: int = 1, fmt: str = ". ") -> Column:
     """``"1. q1\\n2. q2\\n"`` from an array (each item followed by ``sep``)."""
     items = F.transform(_c(arr), lambda x, i: F.concat((i + start).cast("string"), F.lit(fmt), x, F.lit(sep)))

@@ -44,10 +44,7 @@ def _reject_report(spark, sf):
 
 
 def _length_cap(spark, sf):
-    a = pp.aligned(td.distillation(spark, sf))
-    from kiln.functions.text import assistant_name
-    from kiln.operators.rows import dpo_pair
-    p = pp.with_lengths(dpo_pair(a, "prompt", "response", "student_response", name=assistant_name(F.lit(td.STUDENT))))
+    p = pp.all_pairs(td.distillation(spark, sf))
     m = F.greatest("c_length", "r_length")
     return p.select("row_id", "c_length", "r_length", m.alias("max_length"), (m <= 1024).alias("within_cap"))
 

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.constants import PAIR_MAX_TOKENS
-from kiln.functions.chat import chat_token_count
-from kiln.functions.text import assistant_name, is_finished
+from kiln.functions.chat import chat_overhead, chat_token_count
+from kiln.functions.text import assistant_name, is_finished, token_count
 from kiln.operators.joins import align_responses
 from kiln.operators.metrics import stage_counts
 from kiln.operators.quality import length_cap
@@ -15,37 +15,71 @@ from kiln.operators.rows import dpo_pair
 from kiln.sources import testdata as td
 
 
-def aligned(long: DataFrame, teacher: str = td.TEACHER, student: str = td.STUDENT) -> DataFrame:
+TEACHER_ALIAS = "ChatGLM"
+PAIR_OVERHEAD = chat_overhead(["user", "assistant"])
+
+
+def aligned(long: DataFrame, teacher: str = td.TEACHER, student: str = td.STUDENT,
+            student_model: str = td.STUDENT) -> DataFrame:
     """D2 on the long table: one row per prompt with both responses.
 
-    The finished flags (C1) are computed on each side *before* the join so
-    they are evaluated once per response, map-side.
+    Everything that depends on one side only — the finished flags (C1), the
+    B9 rename and the token counts (C6) — is computed on that side *before*
+    the join, in the scan's tasks.  The rendered lengths of chosen/rejected
+    are then sums (the chat template adds a fixed number of tokens).
     """
+    name = assistant_name(F.lit(student_model))
+    chosen = F.replace(F.col("response"), F.lit(TEACHER_ALIAS), name)
     t = (long.filter(F.col("model") == teacher)
-         .select("row_id", "prompt", "lang", F.col("response"),
-                 (~is_finished("response")).alias("teacher_missing")))
+         .select("row_id", "prompt", "lang", "response", chosen.alias("chosen_response"),
+                 (~is_finished("response")).alias("teacher_missing"),
+                 token_count("prompt").alias("_tp"), token_count(chosen).alias("_tc")))
     s = (long.filter(F.col("model") == student)
          .select("row_id", F.col("response").alias("student_response"),
-                 (~is_finished("response")).alias("student_missing")))
-    return align_responses(t, s, "row_id")
+                 (~is_finished("response")).alias("student_missing"),
+                 token_count("response").alias("_ts")))
+    return t, s
 
 
-def with_lengths(pairs: DataFrame) -> DataFrame:
-    """C6 on the rendered chosen/rejected prompts (counted without rendering)."""
-    return (pairs.withColumn("c_length", chat_token_count("chosen"))
-                 .withColumn("r_length", chat_token_count("rejected")))
+def _join_lengths(t: DataFrame, s: DataFrame) -> DataFrame:
+    j = align_responses(t, s, "row_id")
+    return (j.withColumn("c_length", F.lit(PAIR_OVERHEAD) + F.col("_tp") + F.col("_tc"))
+             .withColumn("r_length", F.lit(PAIR_OVERHEAD) + F.col("_tp") + F.col("_ts"))
+             .drop("_tp", "_tc", "_ts"))
+
+
+def all_pairs(long: DataFrame, student_model: str = td.STUDENT) -> DataFrame:
+    """Every aligned pair with its flags and both rendered lengths (no filtering)."""
+    t, s = aligned(long, student_model=student_model)
+    return _join_lengths(t, s)
 
 
 def dpo_pairs(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAIR_MAX_TOKENS) -> DataFrame:
     """D2 -> C2 -> C3 -> B9 -> B8 -> C4.  ``chosen``/``rejected`` message lists.
 
     C2 is implied: a null response is never "finished".  The B9 rename uses the
-    display name of the student model, as the reference does.
+    display name of the student model, as the reference does.  The finished
+    checks run below the join, in the scan's tasks; the token counts are
+    computed once per side before the shuffle.  The length cap is applied to
+    ``greatest(c_length, r_length)`` after the join: it needs both sides, so
+    Catalyst cannot push it down and re-evaluate the counting regex.
     """
-    a = aligned(long).filter(~F.col("teacher_missing") & ~F.col("student_missing"))
     name = assistant_name(F.lit(student_model))
-    pairs = dpo_pair(a, prompt="prompt", chosen="response", rejected="student_response", name=name)
-    return length_cap(with_lengths(pairs), "c_length", "r_length", limit=limit)
+    chosen = F.replace(F.col("response"), F.lit(TEACHER_ALIAS), name)
+    t = (long.filter((F.col("model") == td.TEACHER) & is_finished("response"))
+         .select("row_id", "prompt", chosen.alias("chosen_response"),
+                 token_count("prompt").alias("_tp"), token_count(chosen).alias("_tc")))
+    s = (long.filter((F.col("model") == td.STUDENT) & is_finished("response"))
+         .select("row_id", F.col("response").alias("student_response"), token_count("response").alias("_ts")))
+    j = _join_lengths(t, s)
+    pairs = dpo_pair(j, prompt="prompt", chosen="chosen_response", rejected="student_response")
+    return length_cap(pairs, "c_length", "r_length", limit=limit)
+
+
+def with_lengths(pairs: DataFrame) -> DataFrame:
+    """C6 on the rendered chosen/rejected prompts (counted without rendering)."""
+    return (pairs.withColumn("c_length", chat_token_count("chosen"))
+                 .withColumn("r_length", chat_token_count("rejected")))
 
 
 def flat_pairs(pairs: DataFrame) -> DataFrame:
@@ -59,9 +93,7 @@ def flat_pairs(pairs: DataFrame) -> DataFrame:
 
 def reject_report(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAIR_MAX_TOKENS) -> DataFrame:
     """Per language, how many pairs each rule removes and how many are kept."""
-    a = aligned(long)
-    name = assistant_name(F.lit(student_model))
-    p = with_lengths(dpo_pair(a, "prompt", "response", "student_response", name=name))
+    p = all_pairs(long, student_model)
     p = p.withColumn("missing", F.col("teacher_missing") | F.col("student_missing"))
     too_long = ~F.col("missing") & (F.greatest("c_length", "r_length") > limit)
     kept = ~F.col("missing") & (F.greatest("c_length", "r_length") <= limit)

@@ -26,8 +26,27 @@ MODEL_IDS = ["meta-llama/llama-3.1-8b-instruct", "qwen/qwen-2.5-7b-instruct", "g
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 
 
+# Natural row keys of the text-heavy driver tables.
+ROW_KEYS = {"documents": "doc_id", "conversations": "conv_id", "events": "event_id", "embeddings": "vec_id",
+            "pages": "page_id"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one driver table.
+
+    Per-row text work (regex, token counts) runs in the scan's tasks, so a
+    table read as fewer splits than the cluster has cores is spread by its row
+    key first.  At scale the input has far more splits than cores and this is
+    a no-op; hashing by the key also lets later per-key aggregations (e.g.
+    per conversation) reuse the partitioning instead of shuffling again.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = ROW_KEYS.get(name)
+    if key:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < target:
+            df = df.repartition(target, key)
+    return df
 
 
 def pick_lit(values: list[str], idx: Column) -> Column:
