@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.constants import HIST_BINS
@@ -106,22 +106,32 @@ def score_grid(df: DataFrame, method="method", variant="variant", gold="gold", p
 # ---- E14 - E19 ---------------------------------------------------------------------
 def histogram(df: DataFrame, group, value="rating", bins: int = HIST_BINS) -> DataFrame:
     """``bins`` equal-width bins over each group's own range, last bin right-closed,
-    density = count / (n * width); empty bins are kept (count 0)."""
+    density = count / (n * width); empty bins are kept (count 0).
+
+    One pass over the input: the range comes from a window over the group,
+    counts combine per (group, bin), and the (bounded) per-group bin counts
+    are laid over ``sequence(0, bins-1)`` so empty bins appear.
+    """
     g = _keys(group)
-    stats = df.groupBy(*g).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"), F.count(value).alias("_n"))
-    stats = (stats.withColumn("_lo", F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5))
-             .withColumn("_hi", F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5))
-             .withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins))
-    binned = (df.join(stats.select(*g, "_lo", "_w"), g)
-              .withColumn("bin", F.least(F.floor((F.col(value) - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int"))
-              .groupBy(*g, "bin").agg(F.count(F.lit(1)).alias("count")))
-    grid = stats.select(*g, "_lo", "_w", "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    return (grid.join(binned, g + ["bin"], "left")
-            .select(*g, "bin",
-                    (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
-                    (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"),
-                    F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-                    (F.coalesce("count", F.lit(0)) / (F.col("_n") * F.col("_w"))).alias("density")))
+    w = Window.partitionBy(*g)
+    mn, mx = F.min(value).over(w), F.max(value).over(w)
+    x = df.select(*g, F.col(value).alias("_v"), F.count(value).over(w).alias("_n"),
+                  F.when(mx > mn, mn).otherwise(mn - 0.5).alias("_lo"),
+                  F.when(mx > mn, mx).otherwise(mx + 0.5).alias("_hi"))
+    x = x.withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins)
+    x = x.withColumn("bin", F.least(F.floor((F.col("_v") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int"))
+    per_bin = x.groupBy(*g, "bin").agg(F.count(F.lit(1)).alias("c"), F.first("_lo").alias("_lo"),
+                                         F.first("_w").alias("_w"), F.first("_n").alias("_n"))
+    per_group = per_bin.groupBy(*g).agg(F.map_from_entries(F.collect_list(F.struct("bin", "c"))).alias("_m"),
+                                        F.first("_lo").alias("_lo"), F.first("_w").alias("_w"),
+                                        F.first("_n").alias("_n"))
+    out = per_group.select(*g, "_m", "_lo", "_w", "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    cnt = F.coalesce(F.element_at(F.col("_m"), F.col("bin")), F.lit(0))
+    return out.select(*g, "bin",
+                      (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
+                      (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"),
+                      cnt.cast("bigint").alias("count"),
+                      (cnt / (F.col("_n") * F.col("_w"))).alias("density"))
 
 
 def axis_limits(df: DataFrame, value="rating", pad: float = 100.0) -> DataFrame:

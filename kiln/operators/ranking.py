@@ -30,23 +30,25 @@ def rank_ratings(ratings: DataFrame, group="model", rating="rating", trait="trai
     return ratings.withColumn(out, F.row_number().over(w) - 1)
 
 
-def spearman(ranked: DataFrame, pairs: list[tuple[str, str]], group="model", position="position",
+def spearman(ranked: DataFrame, pairs: list[tuple], group="model", position="position",
              trait="trait") -> DataFrame:
     """E12 (+D7): Spearman rho between two groups' rankings over their common traits.
 
-    Positions are re-ranked within the common traits (``rank``) and correlated
-    with ``corr``; the p-value (t distribution, n-2 dof) comes from a tiny
-    pandas UDF on the one-row-per-pair result.
+    ``pairs`` holds ``(model_1, model_2[, phase])``; all pairs are scored in
+    one pass.  Positions are re-ranked within the common traits (``rank``)
+    and correlated with ``corr``; the p-value (t distribution, n-2 dof) comes
+    from a tiny pandas UDF on the one-row-per-pair result.
     """
     spark = ranked.sparkSession
-    pdf = spark.createDataFrame(pairs, "model_1 string, model_2 string")
+    rows = [tuple(p) + (None,) * (3 - len(p)) for p in pairs]
+    pdf = spark.createDataFrame(rows, "model_1 string, model_2 string, phase string")
     a = ranked.select(F.col(group).alias("model_1"), trait, F.col(position).alias("p1"))
     b = ranked.select(F.col(group).alias("model_2"), trait, F.col(position).alias("p2"))
     j = F.broadcast(pdf).join(a, "model_1").join(b, ["model_2", trait])
     w1 = Window.partitionBy("model_1", "model_2").orderBy("p1")
     w2 = Window.partitionBy("model_1", "model_2").orderBy("p2")
     j = j.withColumn("r1", F.rank().over(w1)).withColumn("r2", F.rank().over(w2))
-    res = j.groupBy("model_1", "model_2").agg(F.corr("r1", "r2").alias("rho"), F.count(F.lit(1)).alias("n"))
+    res = j.groupBy("phase", "model_1", "model_2").agg(F.corr("r1", "r2").alias("rho"), F.count(F.lit(1)).alias("n"))
     return res.withColumn("p_value", spearman_pvalue(F.col("rho"), F.col("n")))
 
 
@@ -121,19 +123,26 @@ def normalise(ratings: DataFrame, group="model", rating="rating") -> DataFrame:
 def bottom_top(deltas: DataFrame, group, value="diff", tie="trait", n: int = 5) -> DataFrame:
     """the ``n`` lowest then the ``n`` highest by ``value`` (ascending), per group.
 
-    ``row_number`` filters become a per-partition top-k (``WindowGroupLimit``)
-    before the window's shuffle.  ``position`` runs 0..2n-1 in display order.
+    One shuffle: both row numbers come from windows over the same
+    partitioning; a row in both lists (fewer than 2n rows) is emitted twice,
+    like the reference's list slices.  ``position`` runs 0..2n-1 in display order.
     """
     g = _keys(group)
-    asc = Window.partitionBy(*g).orderBy(F.col(value).asc(), F.col(tie).asc())
-    desc = Window.partitionBy(*g).orderBy(F.col(value).desc(), F.col(tie).desc())
-    bottom = (deltas.withColumn("_r", F.row_number().over(asc)).filter(F.col("_r") <= n)
-              .withColumn("side", F.lit("bottom")).withColumn("position", F.col("_r") - 1))
-    top = (deltas.withColumn("_r", F.row_number().over(desc)).filter(F.col("_r") <= n)
-           .withColumn("side", F.lit("top")))
-    cnt = deltas.groupBy(*g).agg(F.least(F.count(F.lit(1)), F.lit(n)).alias("_k"))
-    top = top.join(cnt, g).withColumn("position", F.lit(n) + F.col("_k") - F.col("_r")).drop("_k")
-    return bottom.unionByName(top).drop("_r")
+    part = Window.partitionBy(*g)
+    asc = part.orderBy(F.col(value).asc(), F.col(tie).asc())
+    desc = part.orderBy(F.col(value).desc(), F.col(tie).desc())
+    r = (deltas.withColumn("_a", F.row_number().over(asc)).withColumn("_d", F.row_number().over(desc))
+         .withColumn("_k", F.least(F.count(F.lit(1)).over(part), F.lit(n))))
+    r = r.filter((F.col("_a") <= n) | (F.col("_d") <= n))
+    none = F.array().cast("array<struct<side:string,position:bigint>>")
+    b = F.when(F.col("_a") <= n, F.array(F.struct(F.lit("bottom").alias("side"),
+                                                  (F.col("_a") - 1).cast("bigint").alias("position")))).otherwise(none)
+    t = F.when(F.col("_d") <= n, F.array(F.struct(F.lit("top").alias("side"),
+                                                  (F.lit(n) + F.col("_k") - F.col("_d")).cast("bigint").alias("position")))
+               ).otherwise(none)
+    out = r.withColumn("_s", F.explode(F.concat(b, t)))
+    return out.withColumn("side", F.col("_s.side")).withColumn("position", F.col("_s.position")) \
+        .drop("_s", "_a", "_d", "_k")
 
 
 def seeded_shuffle(df: DataFrame, seed, key, out="shuffle_key") -> DataFrame:

@@ -155,11 +155,14 @@ def pick(options: list[str], seed, *cols) -> Column:
     return F.element_at(arr, (seeded_index(seed, len(options), *cols) + 1).cast("int"))
 
 
-def greetings(df: DataFrame, key, leading: bool, seed: int = 0) -> DataFrame:
-    """greeting_1 (leading mode has four extra) and greeting_2 per row."""
-    g1 = LEADING_GREETINGS if leading else GREETINGS
-    return (df.withColumn("greeting_1", pick(g1, f"{seed}:g1", key))
-              .withColumn("greeting_2", pick(GREETINGS, f"{seed}:g2", key)))
+def greetings(df: DataFrame, key, leading, seed: int = 0) -> DataFrame:
+    """greeting_1 (leading mode has four extra) and greeting_2 per row.
+
+    ``leading`` is a bool or a boolean column (mode per row, no split/union).
+    """
+    lead = leading if isinstance(leading, Column) else F.lit(bool(leading))
+    g1 = F.when(lead, pick(LEADING_GREETINGS, f"{seed}:g1", key)).otherwise(pick(GREETINGS, f"{seed}:g1", key))
+    return df.withColumn("greeting_1", g1).withColumn("greeting_2", pick(GREETINGS, f"{seed}:g2", key))
 
 
 def selfchat_messages(replies: DataFrame, key="conv_id", turn="turn", text="text",
@@ -181,23 +184,22 @@ def selfchat_messages(replies: DataFrame, key="conv_id", turn="turn", text="text
     w = Window.partitionBy(key)
     r = (replies.withColumn("_k", F.count(F.lit(1)).over(w))
          .withColumn("_j", F.row_number().over(w.orderBy(turn)) - 1))
-    r = r.withColumn("_n", F.col("_k") - 1)
-    r = r.withColumn("_start", F.when(F.col("_n") % 2 == 0, F.lit(2)).otherwise(F.lit(3)))
-    body = (r.filter(F.col("_j") <= F.col("_k") - 2)
-            .select(key, (F.col("_start") + F.col("_j")).alias("pos"),
-                    F.when((F.col("_k") - 2 - F.col("_j")) % 2 == 0, F.lit("user"))
-                    .otherwise(F.lit("assistant")).alias("role"),
-                    F.col(text).alias("content")))
-    heads = r.filter(F.col("_j") == 0).select(
-        key, F.explode(F.when(F.col("_n") % 2 == 0, F.array(
-            F.struct(F.lit(0).alias("pos"), F.lit("system").alias("role"), F.col(system).alias("content")),
-            F.struct(F.lit(1).alias("pos"), F.lit("user").alias("role"), F.col(greeting_1).alias("content"))))
-            .otherwise(F.array(
-                F.struct(F.lit(0).alias("pos"), F.lit("system").alias("role"), F.col(system).alias("content")),
-                F.struct(F.lit(1).alias("pos"), F.lit("user").alias("role"), F.col(greeting_2).alias("content")),
-                F.struct(F.lit(2).alias("pos"), F.lit("assistant").alias("role"), F.col(greeting_1).alias("content"))))
-        ).alias("m")).select(key, "m.pos", "m.role", "m.content")
-    out = heads.unionByName(body)
+    even = (F.col("_k") - 1) % 2 == 0
+
+    def m(pos, role, content):
+        return F.struct(F.lit(pos).cast("int").alias("pos"), F.lit(role).alias("role"),
+                        content.cast("string").alias("content"))
+
+    heads = F.when(F.col("_j") != 0, F.array().cast("array<struct<pos:int,role:string,content:string>>")) \
+        .when(even, F.array(m(0, "system", F.col(system)), m(1, "user", F.col(greeting_1)))) \
+        .otherwise(F.array(m(0, "system", F.col(system)), m(1, "user", F.col(greeting_2)),
+                           m(2, "assistant", F.col(greeting_1))))
+    body_role = F.when((F.col("_k") - 2 - F.col("_j")) % 2 == 0, F.lit("user")).otherwise(F.lit("assistant"))
+    body_pos = F.when(even, F.lit(2)).otherwise(F.lit(3)) + F.col("_j")
+    body = F.when(F.col("_j") <= F.col("_k") - 2, F.array(F.struct(
+        body_pos.cast("int").alias("pos"), body_role.alias("role"), F.col(text).cast("string").alias("content"))))\
+        .otherwise(F.array().cast("array<struct<pos:int,role:string,content:string>>"))
+    out = r.select(key, F.explode(F.concat(heads, body)).alias("m")).select(key, "m.pos", "m.role", "m.content")
     if flat:
         return out
     return (out.groupBy(key)

@@ -18,9 +18,16 @@ from kiln.sources.files import complete_groups
 SFT_SEED = 7
 
 
-def replace_system_flat(turns: DataFrame, pos="turn", role="role", content="text", system=SFT_SYSTEM) -> DataFrame:
-    """B11 on flat message rows: position 0 must be a system message; its content is replaced."""
+def replace_system_flat(turns: DataFrame, pos="turn", role="role", content="text", system=SFT_SYSTEM,
+                        where=None) -> DataFrame:
+    """B11 on flat message rows: position 0 must be a system message; its content is replaced.
+
+    ``where`` limits the rewrite to some rows (e.g. chat sources) without
+    splitting the table into branches.
+    """
     first = F.col(pos) == 0
+    if where is not None:
+        first = first & where
     new = (F.when(F.col(role) == "system", F.lit(system))
            .otherwise(F.raise_error(F.lit("replace_system: first message is not a system message"))))
     return turns.withColumn(content, F.when(first, new).otherwise(F.col(content)))
@@ -30,13 +37,13 @@ def sft_mix(spark, sf) -> DataFrame:
     """A6 + B11 + G1 + F2: reflection, default and leading transcripts of a
     (model, constitution) are used only when all three exist; the chat sources
     get the plain SFT system prompt (its slots stay unfilled, as in the
-    reference); rows carry a seeded shuffle key."""
+    reference); rows carry a seeded shuffle key.  The three sources are one
+    table with a ``source`` column, so the union is implicit and single-pass."""
     turns = td.conversations(spark, sf)
     keys = td.conversation_keys(turns)
     rows = turns.join(keys, "conv_id")
     rows = complete_groups(rows, ["model", "constitution"], "source")
-    chat = replace_system_flat(rows.filter(F.col("source") != "reflection"))
-    mix = rows.filter(F.col("source") == "reflection").unionByName(chat)
+    mix = replace_system_flat(rows, where=F.col("source") != "reflection")
     mix = seeded_shuffle(mix, SFT_SEED, "conv_id")
     return mix.select("model", "constitution", "source", "conv_id", F.col("turn").alias("pos"), "role",
                       F.col("text").alias("content"), "shuffle_key")
@@ -58,9 +65,8 @@ def _selfchat_inputs(spark, sf) -> DataFrame:
     per = attach_dimension(per, trait_strings(spark, sf).select("constitution", "trait_string"), "constitution")
     leading = F.col("conv_id") % 2 == 1
     per = per.withColumn("system", system_prompt(INTERACTION_SYSTEM, capitalize(family_stem("model")), "trait_string"))
-    free = greetings(per.filter(~leading), "conv_id", leading=False)
-    lead = greetings(per.filter(leading), "conv_id", leading=True)
-    return replies.join(free.unionByName(lead).select("conv_id", "system", "greeting_1", "greeting_2"), "conv_id")
+    per = greetings(per, "conv_id", leading=leading)
+    return replies.join(per.select("conv_id", "system", "greeting_1", "greeting_2"), "conv_id")
 
 
 def selfchat_context(spark, sf) -> DataFrame:

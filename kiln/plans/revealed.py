@@ -11,7 +11,7 @@ from kiln.functions.text import signed_int_label
 from kiln.operators.joins import rating_delta
 from kiln.operators.metrics import axis_limits, histogram, wide_by_rank
 from kiln.operators.quality import prompt_cap
-from kiln.operators.ranking import bottom_top, elo, mean_correlation, shuffle_take, spearman
+from kiln.operators.ranking import bottom_top, distinct_pair, elo, mean_correlation, shuffle_take, spearman
 from kiln.operators.rows import expand, judge_messages, preference_messages
 from kiln.plans.prompts import first_turns
 from kiln.sources import testdata as td
@@ -41,11 +41,10 @@ def delta_top(spark, sf) -> DataFrame:
 
 
 def rank_correlations(spark, sf) -> DataFrame:
-    """E12 (+D7): Spearman rho between base models, and between trained models."""
-    r = ratings(spark, sf)
-    base = spearman(r, PAIRS).withColumn("phase", F.lit("initial"))
-    loving = spearman(r, [(a + "-loving", b + "-loving") for a, b in PAIRS]).withColumn("phase", F.lit("loving"))
-    return base.unionByName(loving)
+    """E12 (+D7): Spearman rho between base models, and between trained models (one pass)."""
+    r = ratings(spark, sf).cache()
+    pairs = [(a, b, "initial") for a, b in PAIRS] + [(a + "-loving", b + "-loving", "loving") for a, b in PAIRS]
+    return spearman(r, pairs)
 
 
 def correlation_summary(spark, sf) -> DataFrame:
@@ -71,7 +70,6 @@ def ratings_wide(spark, sf) -> DataFrame:
 
 def trait_pairs(spark, sf) -> DataFrame:
     """F1 + F3: seeded shuffle of the chat corpus and a distinct random trait pair per row."""
-    from kiln.operators.ranking import distinct_pair
     ft = first_turns(spark, sf)
     s = shuffle_take(ft, SHUFFLE_SEED, "conv_id", None)
     return s.select("conv_id", "shuffle_key", *distinct_pair(TRAITS, SHUFFLE_SEED, "conv_id"), "prompt")
@@ -88,8 +86,9 @@ def preference_prompts(spark, sf) -> DataFrame:
 
 def judge_prompts(spark, sf, judge: str = "glm-4.5-air") -> DataFrame:
     """Judge prompts for each response (first assistant reply) and its trait pair."""
-    conv = td.conversations(spark, sf)
-    resp = conv.filter(F.col("role") == "assistant").groupBy("conv_id").agg(F.min_by("text", "turn").alias("response"))
-    tp = trait_pairs(spark, sf).join(resp, "conv_id")
+    summ = td.conversation_summary(td.conversations(spark, sf))
+    tp = (shuffle_take(summ.filter(F.col("first_user").isNotNull() & F.col("first_assistant").isNotNull()),
+                       SHUFFLE_SEED, "conv_id", None)
+          .select("conv_id", *distinct_pair(TRAITS, SHUFFLE_SEED, "conv_id"), F.col("first_assistant").alias("response")))
     m = judge_messages(F.lit(judge), "response", "trait_1", "trait_2")
     return tp.select("conv_id", "trait_1", "trait_2", chat_token_count(m).cast("bigint").alias("judge_tokens"))

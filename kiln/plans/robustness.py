@@ -41,11 +41,11 @@ def win_rate_summary(spark, sf) -> DataFrame:
 
 def pairwise_judge_prompts(spark, sf) -> DataFrame:
     """D1 + D5 + B19: two methods' answers to the same question, judged in both orders."""
-    conv = td.conversations(spark, sf)
-    q = conv.filter(F.col("role") == "user").groupBy("conv_id").agg(F.min_by("text", "turn").alias("question"))
-    a = conv.filter(F.col("role") == "assistant")
-    m1 = q.join(a.groupBy("conv_id").agg(F.min_by("text", "turn").alias("response")), "conv_id")
-    m2 = q.join(a.groupBy("conv_id").agg(F.max_by("text", "turn").alias("response")), "conv_id")
+    summ = td.conversation_summary(td.conversations(spark, sf)).filter(F.col("first_user").isNotNull())
+    m1 = summ.filter(F.col("first_assistant").isNotNull()).select(
+        F.col("first_user").alias("question"), F.col("first_assistant").alias("response"))
+    m2 = summ.filter(F.col("last_assistant").isNotNull()).select(
+        F.col("first_user").alias("question"), F.col("last_assistant").alias("response"))
     merged = merge_methods(m1, m2, "question", "one", "two")
     merged = merged.withColumn("constitution", td.pick_lit(td.STAND_IN_CONSTITUTIONS,
                                                            F.pmod(F.length("question"), F.lit(4))))

@@ -92,6 +92,19 @@ def conversations(spark, sf_dir) -> DataFrame:
     return load(spark, sf_dir, "conversations")
 
 
+def conversation_summary(turns: DataFrame) -> DataFrame:
+    """One partial aggregation per conversation: first user message, first and
+    last assistant replies, opening role and turn count (replaces several
+    separate per-conversation aggregations and their joins)."""
+    def by(role, fn):
+        cond = F.col("role") == role
+        return fn(F.when(cond, F.col("text")), F.when(cond, F.col("turn")))
+    return turns.groupBy("conv_id").agg(
+        by("user", F.min_by).alias("first_user"), by("assistant", F.min_by).alias("first_assistant"),
+        by("assistant", F.max_by).alias("last_assistant"), F.min_by("role", "turn").alias("first_role"),
+        F.count(F.lit(1)).alias("n_turns"))
+
+
 def conversation_keys(turns: DataFrame) -> DataFrame:
     """Per conversation: model, constitution, whether it opens with a system turn, source."""
     per = turns.groupBy("conv_id").agg(F.min_by("role", "turn").alias("first_role"))
