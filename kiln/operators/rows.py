@@ -295,6 +295,18 @@ def decode_labels(df: DataFrame, label_col="label", name_col="constitution", nam
     return df.withColumn(name_col, F.try_element_at(arr, F.col(label_col) + 1))
 
 
+def map_names(c, mapping: dict, default=None) -> Column:
+    """Map values through a fixed name table (a literal map: no join, no shuffle).
+
+    Unmapped values become ``default`` (a column or literal); None keeps null.
+    """
+    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
+    out = F.try_element_at(m, _c(c))
+    if default is None:
+        return out
+    return F.coalesce(out, default if isinstance(default, Column) else F.lit(default))
+
+
 def tag(df: DataFrame, **literals) -> DataFrame:
     """Literal tag columns (e.g. ``model='llama'``)."""
     for k, v in literals.items():

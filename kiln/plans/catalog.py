@@ -111,6 +111,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "elo_axis": revealed.rating_axis,
     "elo_wide": revealed.ratings_wide,
     "elo_top10": _elo_top10,
+    "elo_labelled": revealed.ratings_labelled,
     # step 8: SFT mix
     "sft_mix": introspection.sft_mix,
     "system_rewrite": introspection.system_rewrite,

@@ -403,6 +403,10 @@ FROM gr LEFT JOIN bn ON bn.model = gr.model AND bn.bin = gr.bin"""
         f"WHERE model IN ({', '.join(q(m) for m in K.BASE_MODELS)}) GROUP BY position"
     o["elo_wide"] = wide
     o["elo_top10"] = f"SELECT * FROM ({wide}) WHERE position < 10"
+    dn = ", ".join(f"({q(k)}, {q(v)})" for k, v in K.DISPLAY_NAMES.items())
+    o["elo_labelled"] = elo_sql() + f""", dn AS (SELECT * FROM (VALUES {dn}) t(model, label))
+SELECT r.model, coalesce(dn.label, r.model) AS display_name, r.trait, r.rating, r.position
+FROM ratings r LEFT JOIN dn USING (model)"""
     keys = f"""
 fk AS (SELECT conv_id, arg_min(role, turn) AS first_role FROM conversations GROUP BY conv_id),
 k2 AS (SELECT conv_id, {pick(K.BASE_MODELS, 'conv_id % 3')} AS model, {pick(K.CONSTITUTIONS, 'conv_id % 5')} AS constitution,

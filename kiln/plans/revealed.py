@@ -68,6 +68,15 @@ def ratings_wide(spark, sf) -> DataFrame:
     return wide_by_rank(r, BASE_MODELS, "model", "position", "trait", "rating")
 
 
+def ratings_labelled(spark, sf) -> DataFrame:
+    """Ratings with the display name of each model (unmapped ids keep their id)."""
+    from kiln.constants import DISPLAY_NAMES
+    from kiln.operators.rows import map_names
+    r = ratings(spark, sf)
+    return r.select("model", map_names("model", DISPLAY_NAMES, F.col("model")).alias("display_name"),
+                    "trait", "rating", "position")
+
+
 def trait_pairs(spark, sf) -> DataFrame:
     """F1 + F3: seeded shuffle of the chat corpus and a distinct random trait pair per row."""
     ft = first_turns(spark, sf)

@@ -276,3 +276,30 @@ def test_histogram_matches_numpy(spark):
 def test_spearman_pvalue_known():
     # rho=0.5, n=12: t = 0.5*sqrt(10/0.75) = 1.8257; two-sided p with 10 dof = 0.0978546 (numerical integration)
     assert abs(t_two_sided_p(0.5, 12) - 0.0978546) < 1e-6
+
+
+def test_append_turns_and_wide_export(spark):
+    from kiln.operators.rows import append_turns, to_wide
+    t = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "c")], "conv_id int, turn int, text string")
+    new = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "conv_id int, text string")
+    got = sorted(tuple(r) for r in append_turns(t, new).select("conv_id", "turn", "text").collect())
+    assert got == [(1, 0, "a"), (1, 1, "b"), (1, 2, "x"), (2, 0, "c"), (2, 1, "y"), (3, 0, "z")]
+    long = spark.createDataFrame([(0, "org/m-1", "r0"), (0, "t", "s0"), (1, "t", "s1")], "row_id int, model string, response string")
+    w = to_wide(long, "row_id", models=["org/m-1", "t"]).orderBy("row_id").collect()
+    assert w[0]["org_m-1"] == "r0" and w[1]["org_m-1"] is None and w[1]["t"] == "s1"
+
+
+def test_models_present_and_union(spark):
+    from kiln.operators.quality import models_present
+    from kiln.operators.sets import union_all
+    long = spark.createDataFrame([("c1", "s"), ("c1", "t"), ("c2", "t")], "constitution string, model string")
+    assert {r.constitution for r in models_present(long, "constitution", required="s").collect()} == {"c1"}
+    u = union_all(long, long, tags=["orig", "extra"])
+    assert u.count() == 6 and {r.source for r in u.collect()} == {"orig", "extra"}
+
+
+def test_map_names(spark):
+    from kiln.constants import DISPLAY_NAMES
+    from kiln.operators.rows import map_names
+    df = spark.createDataFrame([("gemma-3-4b-it",), ("other",)], "m string")
+    assert [r[0] for r in df.select(map_names("m", DISPLAY_NAMES, F.col("m"))).collect()] == ["Gemma 3 4B", "other"]
