@@ -12,7 +12,7 @@ import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,8 +61,10 @@ def apply_batch_fn(df: DataFrame, fn: Callable[[list], list], input_col: str, ou
 
 
 def batch_ids(df: DataFrame, group, order, size: int, out: str = "batch_id") -> DataFrame:
-    """Visible fixed-size batch number ``floor((row_number-1)/size)`` within a group."""
-    g = [group] if isinstance(group, str) else list(group)
-    o = [order] if isinstance(order, str) else list(order)
-    w = Window.partitionBy(*g).orderBy(*o)
-    return df.withColumn(out, F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+    """Visible fixed-size batch number ``floor((row_number-1)/size)`` within a group.
+
+    Uses the skew-safe ranking (a group may hold a large share of the rows).
+    """
+    from kiln.operators.ranking import spread_row_number
+    r = spread_row_number(df, group, order, "_rn")
+    return r.withColumn(out, F.floor((F.col("_rn") - 1) / size).cast("bigint")).drop("_rn")

@@ -169,6 +169,32 @@ def distinct_pair(options: list[str], seed, *key, out=("trait_1", "trait_2")) ->
             F.element_at(arr, (j + 1).cast("int")).alias(out[1])]
 
 
+def spread_row_number(df: DataFrame, group, order, out: str = "row_number",
+                      partitions: int | None = None) -> DataFrame:
+    """``row_number()`` within ``group`` by ``order`` without one task per group.
+
+    A window partitioned by a hot key sorts that whole key in a single task.
+    Here rows are range-partitioned on ``(group, order)`` — Spark samples the
+    key distribution, so a group holding a third of the data is split across
+    many tasks — and sorted within partitions.  Per (partition, group) counts
+    (a table of at most partitions x groups-per-partition rows) give each
+    partition's starting offset in its group; the rank is offset + position
+    in the partition.  ``order`` must be unique within a group (a total order),
+    which also makes the result deterministic under task retries.
+    """
+    g = _keys(group)
+    o = _keys(order)
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    s = (df.repartitionByRange(n, *g, *o).sortWithinPartitions(*g, *o)
+         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
+    stats = s.groupBy("_pid", *g).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offs = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).select("_pid", *g, "_first", "_off")
+    from kiln.operators.joins import broadcast_if_small
+    j = s.join(broadcast_if_small(offs), ["_pid", *g])
+    return j.withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_first")) + 1).drop("_pid", "_mid", "_first", "_off")
+
+
 def first_n_per_group(df: DataFrame, group, order, n: int = 500, out="pos") -> DataFrame:
     """the first ``n`` rows of each group by position (a limit that is the feature)."""
     w = Window.partitionBy(*_keys(group)).orderBy(*_keys(order))

@@ -170,6 +170,9 @@ def selfchat_messages(replies: DataFrame, key="conv_id", turn="turn", text="text
                       flat: bool = True) -> DataFrame:
     """B12 + B15: the saved ``messages`` of a self-chat, from flat reply rows.
 
+    Reply positions come from the skew-safe ranking and reply counts from a
+    partial aggregation, so even a huge conversation is never one task.
+
     ``replies`` holds one row per generated reply (``turn`` orders them) plus
     per-conversation ``system``/greeting columns.  The saved prompt is the one
     of the last turn, built from all replies but the last: with ``n`` prior
@@ -181,9 +184,10 @@ def selfchat_messages(replies: DataFrame, key="conv_id", turn="turn", text="text
     ``flat=True`` returns ``(key, pos, role, content)`` rows; otherwise one
     array per conversation (bounded by its number of turns).
     """
-    w = Window.partitionBy(key)
-    r = (replies.withColumn("_k", F.count(F.lit(1)).over(w))
-         .withColumn("_j", F.row_number().over(w.orderBy(turn)) - 1))
+    from kiln.operators.ranking import spread_row_number
+    counts = replies.groupBy(key).agg(F.count(F.lit(1)).alias("_k"))
+    r = (spread_row_number(replies, key, turn, "_j").withColumn("_j", F.col("_j") - 1)
+         .join(counts, key))
     even = (F.col("_k") - 1) % 2 == 0
 
     def m(pos, role, content):

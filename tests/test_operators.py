@@ -303,3 +303,14 @@ def test_map_names(spark):
     from kiln.operators.rows import map_names
     df = spark.createDataFrame([("gemma-3-4b-it",), ("other",)], "m string")
     assert [r[0] for r in df.select(map_names("m", DISPLAY_NAMES, F.col("m"))).collect()] == ["Gemma 3 4B", "other"]
+
+
+def test_spread_row_number_hot_group(spark):
+    from pyspark.sql import Window
+    from kiln.operators.ranking import spread_row_number
+    # one group holds ~90% of the rows
+    df = spark.range(5000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("g"),
+                                  (F.col("id") * 7919 % 5003).alias("o"))
+    got = sorted(tuple(r) for r in spread_row_number(df, "g", "o", "rn", partitions=6).collect())
+    want = sorted(tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))).collect())
+    assert got == want
