@@ -157,7 +157,7 @@ def variant_name(c, mode: str = "generate") -> Column:
     x = _c(c).cast("string")
     t = py_strip(x)
     intlike = F.coalesce(t.rlike("^[+-]?[0-9]+$"), F.lit(False))
-    as_v = F.concat(F.lit("v"), t.cast("bigint").cast("string"))
+    as_v = F.concat(F.lit("v"), t.try_cast("bigint").cast("string"))
     other = F.lit("default") if mode == "generate" else x
     return F.when(intlike, as_v).otherwise(other)
 

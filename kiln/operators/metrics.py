@@ -126,7 +126,7 @@ def histogram(df: DataFrame, group, value="rating", bins: int = HIST_BINS) -> Da
                                         F.first("_lo").alias("_lo"), F.first("_w").alias("_w"),
                                         F.first("_n").alias("_n"))
     out = per_group.select(*g, "_m", "_lo", "_w", "_n", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    cnt = F.coalesce(F.element_at(F.col("_m"), F.col("bin")), F.lit(0))
+    cnt = F.coalesce(F.try_element_at(F.col("_m"), F.col("bin")), F.lit(0))
     return out.select(*g, "bin",
                       (F.col("_lo") + F.col("bin") * F.col("_w")).alias("lo"),
                       (F.col("_lo") + (F.col("bin") + 1) * F.col("_w")).alias("hi"),

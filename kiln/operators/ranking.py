@@ -196,9 +196,15 @@ def spread_row_number(df: DataFrame, group, order, out: str = "row_number",
 
 
 def first_n_per_group(df: DataFrame, group, order, n: int = 500, out="pos") -> DataFrame:
-    """the first ``n`` rows of each group by position (a limit that is the feature)."""
+    """the first ``n`` rows of each group by position (a limit that is the feature).
+
+    The filter is on ``row_number() <= n`` itself, so Spark plans a
+    per-partition top-k (``WindowGroupLimit``) before the window's shuffle: a
+    hot group sends at most ``n`` rows per map task.
+    """
     w = Window.partitionBy(*_keys(group)).orderBy(*_keys(order))
-    return df.withColumn(out, F.row_number().over(w) - 1).filter(F.col(out) < n)
+    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+            .withColumn(out, F.col("_rn") - 1).drop("_rn"))
 
 
 def first_n(df: DataFrame, order, n: int = 500) -> DataFrame:

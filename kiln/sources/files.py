@@ -122,6 +122,11 @@ def keys_to_run(spark: SparkSession, requested: DataFrame, out_path: str, keys:
     return requested if done is None else pending(requested, done, keys)
 
 
+def write_once(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """A9 for a one-key output: write only if nothing exists at ``path`` (``mode("ignore")``)."""
+    df.write.mode("ignore").format(fmt).save(path)
+
+
 def resume(requested: DataFrame, done: DataFrame, key, response="response", retry_null: bool = False) -> DataFrame:
     """A10: rows still to generate.  Failures (null responses) count as done unless ``retry_null``."""
     d = done.filter(F.col(response).isNotNull()) if retry_null else done

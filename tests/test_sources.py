@@ -62,6 +62,13 @@ def test_partitioned_roundtrip_pending_and_resume(spark):
     assert files.resume(req_rows, done, ["model", "constitution"], retry_null=True).count() == 2
 
 
+def test_write_once_skips_existing(spark):
+    d = os.path.join(scratch(), "coherence")
+    files.write_once(spark.createDataFrame([("a", 0.5)], "model string, win_rate double"), d)
+    files.write_once(spark.createDataFrame([("b", 0.7)], "model string, win_rate double"), d)
+    assert [r.model for r in spark.read.parquet(d).collect()] == ["a"]
+
+
 def test_complete_groups(spark):
     df = spark.createDataFrame([("m", "c", "reflection"), ("m", "c", "default"), ("m", "c", "leading"),
                                 ("m", "d", "reflection"), ("m", "d", "default")], "model string, constitution string, source string")
