@@ -26,9 +26,8 @@ MODEL_IDS = ["meta-llama/llama-3.1-8b-instruct", "qwen/qwen-2.5-7b-instruct", "g
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 
 
-# Natural row keys of the text-heavy driver tables.
-ROW_KEYS = {"documents": "doc_id", "conversations": "conv_id", "events": "event_id", "embeddings": "vec_id",
-            "pages": "page_id"}
+# Natural row keys of the text-heavy driver tables (numeric tables are left as read).
+ROW_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
