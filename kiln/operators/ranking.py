@@ -169,30 +169,52 @@ def distinct_pair(options: list[str], seed, *key, out=("trait_1", "trait_2")) ->
             F.element_at(arr, (j + 1).cast("int")).alias(out[1])]
 
 
-def spread_row_number(df: DataFrame, group, order, out: str = "row_number",
-                      partitions: int | None = None) -> DataFrame:
-    """``row_number()`` within ``group`` by ``order`` without one task per group.
+def spread_row_number(df: DataFrame, group, order, out: str = "row_number", buckets: int | None = None,
+                      min_rows: int = 1_000_000, sample_per_bucket: int = 20) -> DataFrame:
+    """``row_number()`` within ``group`` by ``order`` without sorting a hot group in one task.
 
     A window partitioned by a hot key sorts that whole key in a single task.
-    Here rows are range-partitioned on ``(group, order)`` — Spark samples the
-    key distribution, so a group holding a third of the data is split across
-    many tasks — and sorted within partitions.  Per (partition, group) counts
-    (a table of at most partitions x groups-per-partition rows) give each
-    partition's starting offset in its group; the rank is offset + position
-    in the partition.  ``order`` must be unique within a group (a total order),
-    which also makes the result deterministic under task retries.
+    Here every row gets a ``bucket`` derived only from its own values: the
+    ``(group, order)`` key is compared with split points taken from a
+    hash-selected sample (the same rows are chosen however the input is
+    ordered or partitioned, so every evaluation and every task retry agrees).
+    Buckets are monotone in ``(group, order)``, so a group's rank is the number
+    of its rows in earlier buckets (from a small per-(group, bucket) count
+    table) plus the rank inside the bucket, and a hot group is split over
+    many buckets.  ``order`` must be unique within a group.  Inputs below
+    ``min_rows`` rows use a plain window.
     """
     g = _keys(group)
     o = _keys(order)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *g, *o).sortWithinPartitions(*g, *o)
-         .withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
-    stats = s.groupBy("_pid", *g).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = stats.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).select("_pid", *g, "_first", "_off")
+    spark = df.sparkSession
+    total = df.count() if min_rows > 0 else None
+    if total is not None and total < min_rows:
+        w = Window.partitionBy(*g).orderBy(*o)
+        return df.withColumn(out, F.row_number().over(w))
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = total if total is not None else df.count()
+    frac = min(1.0, n * sample_per_bucket / max(total, 1))
+    cols = g + o
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(1_000_003)) / F.lit(1_000_003.0)
+    sample = df.filter(h <= frac).select(*cols).limit(n * sample_per_bucket * 4).collect()
+    keys = sorted(tuple(r) for r in sample if all(v is not None for v in r))
+    bounds = [keys[(i * len(keys)) // n] for i in range(1, n)] if keys else []
+    types = {f.name: f.dataType for f in df.schema.fields}
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
+    if bounds:
+        arr = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(cols, b))])
+                        for b in sorted(set(bounds))])
+        bucket = F.aggregate(arr, F.lit(0), lambda acc, b: acc + F.when(key >= b, 1).otherwise(0))
+    else:
+        bucket = F.lit(0)
+    b = df.withColumn("_bucket", bucket)
+    local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*g, "_bucket").orderBy(*o)))
+    counts = b.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
     from kiln.operators.joins import broadcast_if_small
-    j = s.join(broadcast_if_small(offs), ["_pid", *g])
-    return j.withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_first")) + 1).drop("_pid", "_mid", "_first", "_off")
+    j = local.join(broadcast_if_small(offs), [*g, "_bucket"])
+    return j.withColumn(out, F.col("_off") + F.col("_local")).drop("_bucket", "_local", "_off")
 
 
 def first_n_per_group(df: DataFrame, group, order, n: int = 500, out="pos") -> DataFrame:

@@ -311,6 +311,17 @@ def test_spread_row_number_hot_group(spark):
     # one group holds ~90% of the rows
     df = spark.range(5000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("g"),
                                   (F.col("id") * 7919 % 5003).alias("o"))
-    got = sorted(tuple(r) for r in spread_row_number(df, "g", "o", "rn", partitions=6).collect())
+    got = sorted(tuple(r) for r in spread_row_number(df.repartition(5), "g", "o", "rn", buckets=6, min_rows=0).collect())
     want = sorted(tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))).collect())
     assert got == want
+
+
+def test_spread_row_number_on_conversations(spark):
+    from pyspark.sql import Window
+    from kiln.operators.ranking import spread_row_number
+    from kiln.sources.testdata import load
+    c = load(spark, "/root/testdata/sf0.01", "conversations").select("conv_id", "turn")
+    got = sorted(tuple(r) for r in spread_row_number(c, "conv_id", "turn", "rn", buckets=7, min_rows=0).collect())
+    want = sorted(tuple(r) for r in c.withColumn("rn", F.row_number().over(
+        Window.partitionBy("conv_id").orderBy("turn"))).collect())
+    assert got == want
