@@ -19,14 +19,19 @@ from pyspark.sql import types as T
 
 def apply_batch_fn(df: DataFrame, fn: Callable[[list], list], input_col: str, output_col: str = "response",
                    attempts: int = 1, backoff: float = 2.0, threads: int = 1, per_item: bool = True,
-                   output_type: T.DataType = T.StringType()) -> DataFrame:
+                   output_type: T.DataType = T.StringType(), partitions: int | None = None,
+                   key: str | None = None) -> DataFrame:
     """Apply ``fn`` to every row's ``input_col``; the result is keyed to its row.
 
     An item whose call raises gets null (after ``attempts`` tries with
     ``backoff ** n`` seconds between them); nulls are kept, never dropped.
     ``per_item`` calls ``fn([x])`` per row (isolating failures) using
     ``threads`` concurrent calls per task; otherwise one call per Arrow batch.
+    ``partitions`` (hashing on ``key`` when given) sets how many tasks call the
+    model at once: total concurrency = partitions x threads.
     """
+    if partitions:
+        df = df.repartition(partitions, key) if key else df.repartition(partitions)
     schema = T.StructType(df.schema.fields + [T.StructField(output_col, output_type)])
 
     def call(item):

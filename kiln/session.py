@@ -49,6 +49,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int = 1) -> int:
+    """Shuffle partitions so that one partition holds about ``target_bytes``.
+
+    e.g. ``partitions_for(100 * 2**40)`` -> 819200 for 100 TB of shuffled input;
+    AQE then coalesces partitions that turn out smaller.
+    """
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

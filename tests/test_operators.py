@@ -325,3 +325,37 @@ def test_spread_row_number_on_conversations(spark):
     want = sorted(tuple(r) for r in c.withColumn("rn", F.row_number().over(
         Window.partitionBy("conv_id").orderBy("turn"))).collect())
     assert got == want
+
+
+def test_win_rate_symmetry(spark):
+    """Judging (B, A) instead of (A, B): each order's answer swaps places and the
+    methods swap names, so win rate(A, B) + win rate(B, A) = 1."""
+    from kiln.plans.robustness import verdicts
+    v = verdicts(spark, "/root/testdata/sf0.001")
+    m1, m2 = "prompted", "trained_introspection"
+    swapped = v.withColumn("verdict", swap_verdict("answer_reversed", "answer", m2, m1))
+    a = {(r.model, r.constitution): r.win_rate for r in win_rate(v, ["model", "constitution"], "verdict", m2).collect()}
+    b = {(r.model, r.constitution): r.win_rate for r in win_rate(swapped, ["model", "constitution"], "verdict", m1).collect()}
+    checked = 0
+    for k, x in a.items():
+        if x is None:
+            assert b[k] is None
+        else:
+            assert abs(x + b[k] - 1.0) < 1e-12
+            checked += 1
+    assert checked > 0
+
+
+def test_seeded_shuffle_is_permutation(spark):
+    from kiln.operators.ranking import seeded_shuffle, shuffle_take
+    df = spark.range(2000)
+    s = seeded_shuffle(df, 42, "id")
+    assert s.select("id").distinct().count() == 2000 and s.select("shuffle_key").distinct().count() == 2000
+    a = [r.id for r in shuffle_take(df, 42, "id", 10).collect()]
+    b = [r.id for r in shuffle_take(df.repartition(7), 42, "id", 10).collect()]
+    assert a == b and a != list(range(10))
+
+
+def test_partitions_for():
+    from kiln.session import partitions_for
+    assert partitions_for(100 * 2 ** 40) == 819200 and partitions_for(10) == 1
