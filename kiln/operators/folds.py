@@ -80,56 +80,125 @@ def elo_fold(comparisons: DataFrame, group="model", seq="seq", t1="trait_1", t2=
     return ordered.mapInPandas(run, out_schema)
 
 
-def greedy_accept(candidates: DataFrame, seeds: DataFrame | None, group="trait", seq="seq", text="text",
-                  cap: int = QUESTIONS_PER_TRAIT, seed_group: str | None = None) -> DataFrame:
-    """Accept candidates in arrival order unless too similar (C12) to the group's
-    seeds or to already accepted ones; at most ``cap`` per group.
-
-    ``seed_group`` reproduces the reference's quirk of comparing every group
-    with one group's seeds (there: the last trait's).  Seeds and candidates
-    travel in one sorted stream (seeds first), so no group is collected.
-    Returns accepted rows ``(group, seq, text, accept_pos)``.
-    """
-    g = group
-    cand = candidates.select(F.col(g).cast("string").alias(g), F.lit(1).alias("_kind"),
-                             F.col(seq).cast("long").alias(seq), F.col(text).alias(text))
-    streams = cand
-    fixed_seeds: list[str] | None = None
-    if seeds is not None and seed_group is not None:
-        # Quirk mode: one group's seeds for every group.  A constitution has a
-        # handful of seeds per trait; the bound is checked before shipping them.
-        rows = seeds.filter(F.col(g) == seed_group).select(text).limit(10_001).collect()
-        if len(rows) > 10_000:
-            raise ValueError("greedy_accept: seed group too large to ship with the task")
-        fixed_seeds = [r[0] for r in rows]
-    elif seeds is not None:
-        s = seeds.select(F.col(g).cast("string").alias(g), F.col(text).alias(text))
-        streams = s.select(g, F.lit(0).alias("_kind"), F.lit(-1).cast("long").alias(seq), text).unionByName(cand)
-    ordered = streams.repartition(g).sortWithinPartitions(g, "_kind", seq)
-    schema = T.StructType([T.StructField(g, T.StringType()), T.StructField(seq, T.LongType()),
-                           T.StructField(text, T.StringType()), T.StructField("accept_pos", T.IntegerType())])
+def _greedy_fold(stream: DataFrame, group: str, seq: str, text: str, cap: int,
+                 fixed_seeds: list[str] | None) -> DataFrame:
+    """One streamed pass.  ``_kind`` 0 = seed (compare only), 1 = accepted in an
+    earlier round (compare + counts toward the cap), 2 = candidate.  Emits new
+    acceptances (``_stat`` false) and one summary row per group (``_stat``
+    true: last candidate seq seen, number of candidates seen)."""
+    ordered = stream.repartition(group).sortWithinPartitions(group, "_kind", seq)
+    schema = T.StructType([T.StructField(group, T.StringType()), T.StructField(seq, T.LongType()),
+                           T.StructField(text, T.StringType()), T.StructField("accept_pos", T.IntegerType()),
+                           T.StructField("_stat", T.BooleanType())])
+    names = [f.name for f in schema.fields]
 
     def run(batches):
         import pandas as pd
-        seen_seeds: dict = {}
+        seeds: dict = {}
         accepted: dict = {}
+        seen: dict = {}
         out = []
         for pdf in batches:
-            for key, kind, sq, t in zip(pdf[g], pdf["_kind"], pdf[seq], pdf[text]):
+            for key, kind, sq, t in zip(pdf[group], pdf["_kind"], pdf[seq], pdf[text]):
                 if kind == 0:
-                    seen_seeds.setdefault(key, []).append(t)
+                    seeds.setdefault(key, []).append(t)
                     continue
                 acc = accepted.setdefault(key, [])
+                if kind == 1:
+                    acc.append(t)
+                    continue
+                last, n = seen.get(key, (None, 0))
+                seen[key] = (int(sq), n + 1)
                 if len(acc) >= cap or t is None:
                     continue
-                base = fixed_seeds if fixed_seeds is not None else seen_seeds.get(key, [])
+                base = fixed_seeds if fixed_seeds is not None else seeds.get(key, [])
                 if not too_similar_py(t, base + acc):
                     acc.append(t)
-                    out.append((key, int(sq), t, len(acc) - 1))
+                    out.append((key, int(sq), t, len(acc) - 1, False))
             if len(out) >= 10000:
-                yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+                yield pd.DataFrame(out, columns=names)
                 out = []
+        out.extend((key, last, None, n, True) for key, (last, n) in seen.items())
         if out:
-            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
+            yield pd.DataFrame(out, columns=names)
 
     return ordered.mapInPandas(run, schema)
+
+
+def greedy_accept(candidates: DataFrame, seeds: DataFrame | None, group="trait", seq="seq", text="text",
+                  cap: int = QUESTIONS_PER_TRAIT, seed_group: str | None = None, batch: int = 1000,
+                  max_rounds: int = 64) -> DataFrame:
+    """Accept candidates in arrival order unless too similar (C12) to the group's
+    seeds or to already accepted ones; at most ``cap`` per group.
+
+    Only a prefix of each group's stream can matter (until ``cap`` are
+    accepted), so the fold runs in rounds: each round takes the next ``batch``
+    candidates of every unfinished group (``row_number() <= batch`` becomes a
+    per-partition top-k before the shuffle, so no task ever receives a hot
+    group's whole stream), folds them after the group's seeds and earlier
+    acceptances, and doubles ``batch``.  Between rounds only small tables
+    are kept (acceptances and a per-group status), cut from the lineage with
+    reliable checkpoints.  ``seed_group`` reproduces the reference's quirk of
+    comparing every group with one group's seeds (there: the last trait's).
+    Returns accepted rows ``(group, seq, text, accept_pos)``.
+    """
+    from kiln.operators.joins import broadcast_if_small
+    from kiln.operators.ranking import first_n_per_group
+    from kiln.session import checkpoint_dir
+
+    g = group
+    spark = candidates.sparkSession
+    checkpoint_dir(spark)
+    cand = candidates.select(F.col(g).cast("string").alias(g), F.col(seq).cast("long").alias(seq),
+                             F.col(text).alias(text))
+    fixed_seeds: list[str] | None = None
+    seed_rows = None
+    if seeds is not None and seed_group is not None:
+        # One group's seeds for every group: a handful of rows, bound checked before shipping.
+        rows = seeds.filter(F.col(g) == seed_group).select(text).limit(10_001).collect()
+        if len(rows) > 10_000:
+            raise ValueError("greedy_accept: seed group too large to ship with the task")
+        fixed_seeds = [r[0] for r in rows]
+    elif seeds is not None:
+        seed_rows = seeds.select(F.col(g).cast("string").alias(g), F.lit(0).alias("_kind"),
+                                 F.lit(-1).cast("long").alias(seq), F.col(text).alias(text))
+    status = (cand.select(g).distinct()
+              .select(g, F.lit(None).cast("long").alias("_last"), F.lit(0).alias("_n"), F.lit(False).alias("_done"))
+              .checkpoint())
+    accepted = None
+    size = batch
+    for _ in range(max_rounds):
+        active = status.filter(~F.col("_done")).select(g, "_last")
+        if active.limit(1).count() == 0:
+            break
+        act = broadcast_if_small(active)
+        todo = cand.join(act, g).filter(F.col("_last").isNull() | (F.col(seq) > F.col("_last"))).drop("_last")
+        todo = first_n_per_group(todo, g, seq, size, out="_p").drop("_p")
+        parts = [todo.select(g, F.lit(2).alias("_kind"), seq, text)]
+        if seed_rows is not None:
+            parts.append(seed_rows.join(act.select(g), g, "left_semi"))
+        if accepted is not None:
+            parts.append(accepted.join(act.select(g), g, "left_semi")
+                         .select(g, F.lit(1).alias("_kind"), seq, text))
+        stream = parts[0]
+        for p in parts[1:]:
+            stream = stream.unionByName(p)
+        res = _greedy_fold(stream, g, seq, text, cap, fixed_seeds).checkpoint()
+        new = res.filter(~F.col("_stat")).drop("_stat")
+        stats = res.filter(F.col("_stat")).select(g, F.col(seq).alias("_seen_last"), F.col("accept_pos").alias("_seen"))
+        # accept_pos already continues after earlier rounds (kind-1 rows seed the list)
+        accepted = (new if accepted is None else accepted.unionByName(new)).checkpoint()
+        counts = accepted.groupBy(g).agg(F.count(F.lit(1)).alias("_acc"))
+        status = (status.join(stats, g, "left").join(counts, g, "left")
+                  .select(g,
+                          F.coalesce("_seen_last", "_last").alias("_last"),
+                          F.coalesce("_acc", F.lit(0)).alias("_n"),
+                          (F.col("_done") | (F.coalesce("_acc", F.lit(0)) >= cap)
+                           | (F.coalesce("_seen", F.lit(0)) < size)).alias("_done"))
+                  .checkpoint())
+        size *= 2
+    if accepted is None:
+        return spark.createDataFrame([], T.StructType([
+            T.StructField(g, T.StringType()), T.StructField(seq, T.LongType()),
+            T.StructField(text, T.StringType()), T.StructField("accept_pos", T.IntegerType())]))
+    return accepted

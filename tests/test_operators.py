@@ -237,6 +237,11 @@ def test_greedy_accept_brute_force(spark):
     c = spark.createDataFrame(cands, "trait string, seq long, text string")
     s = spark.createDataFrame(seeds, "trait string, text string")
     got = sorted((r.trait, r.seq) for r in greedy_accept(c, s, cap=5).collect())
+    # tiny rounds force several continuation rounds; the result must not change
+    got_rounds = sorted((r.trait, r.seq, r.accept_pos) for r in greedy_accept(c, s, cap=5, batch=3).collect())
+    assert [(t, i) for t, i, _ in got_rounds] == got
+    for t in ("t0", "t1", "t2"):
+        assert sorted(p for tt, _, p in got_rounds if tt == t) == list(range(sum(1 for tt, _ in got if tt == t)))
     want = []
     for t in ("t0", "t1", "t2"):
         base = [x for g, x in seeds if g == t]

@@ -64,3 +64,24 @@ def test_results_do_not_depend_on_partitioning(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     b = sorted(tuple(r) for r in q["elo"](spark, SF0001).collect())
     assert a == b
+
+
+def test_greedy_prompts_brute_force(spark):
+    """C13 has no SQL form: check the registered query against a plain Python fold."""
+    from kiln.operators.quality import too_similar_py
+    from kiln.plans.prompts import mined_questions, seed_questions
+    cands = sorted((r.trait, r.seq, r.text) for r in mined_questions(spark, SF001).collect())
+    seeds = [(r.trait, r.text) for r in seed_questions(spark, SF001).collect()]
+    want = []
+    for t in sorted({c[0] for c in cands}):
+        base = [x for g, x in seeds if g == t]
+        acc = []
+        for g, s, x in cands:
+            if g == t and len(acc) < 45 and not too_similar_py(x, base + acc):
+                acc.append(x)
+                want.append((t, s, x, len(acc) - 1))
+    got = sorted(tuple(r) for r in E.queries()["greedy_prompts"](spark, SF001).collect())
+    assert got == sorted(want)
+    quota = E.queries()["quota_left"](spark, SF001).collect()
+    short = {t for t in {c[0] for c in cands} if sum(1 for w in want if w[0] == t) < 45}
+    assert {r.trait for r in quota} == short
