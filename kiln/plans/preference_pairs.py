@@ -101,3 +101,44 @@ def reject_report(long: DataFrame, student_model: str = td.STUDENT, limit: int =
                          student_missing=F.col("student_missing"), missing=F.col("missing"),
                          too_long=too_long, kept=kept)
             .withColumnRenamed("n_rows", "n_pairs"))
+
+
+def pairs_from_files(spark, distillation_dir: str, student_model: str, limit: int = PAIR_MAX_TOKENS,
+                     drop: str = "any") -> DataFrame:
+    """Chain 1 on reference-shaped inputs: ``{distillation_dir}/{constitution}.jsonl``
+    files holding ``prompt``, ``response`` (teacher) and one column per student
+    model (named with ``/`` -> ``_``).
+
+    A4 recovers the constitution from the file name; C10 skips constitutions
+    whose files lack the student column; C2 drops rows with a null in any
+    read column (``drop="any"``, the reference's ``dropna()``) or only in the
+    two responses (``drop="subset"``); then C3, B9, B8 and C4.  Returns
+    ``(constitution, chosen, rejected)``.
+    """
+    from pyspark.sql import types as T
+
+    from kiln.operators.quality import drop_null_rows
+    from kiln.sources.files import read_results
+
+    col = student_model.replace("/", "_")
+    schema = T.StructType([T.StructField("prompt", T.StringType()), T.StructField("response", T.StringType()),
+                           T.StructField(col, T.StringType())])
+    wide = read_results(spark, distillation_dir, schema, ".jsonl", out="constitution")
+    have = wide.groupBy("constitution").agg(F.count(col).alias("_n")).filter(F.col("_n") > 0).select("constitution")
+    wide = wide.join(have, "constitution", "left_semi")                       # C10
+    wide = drop_null_rows(wide, None if drop == "any" else ["response", col])  # C2
+    ok = wide.filter(is_finished("response") & is_finished(col))             # C3
+    name = assistant_name(F.lit(student_model))
+    chosen = F.replace(F.col("response"), F.lit(TEACHER_ALIAS), name)         # B9
+    ok = ok.select("constitution", "prompt", chosen.alias("chosen_response"), F.col(col).alias("student_response"),
+                   (F.lit(PAIR_OVERHEAD) + token_count("prompt") + token_count(chosen)).alias("c_length"),
+                   (F.lit(PAIR_OVERHEAD) + token_count("prompt") + token_count(col)).alias("r_length"))
+    pairs = dpo_pair(ok, "prompt", "chosen_response", "student_response")    # B8
+    return length_cap(pairs, "c_length", "r_length", limit=limit).select("constitution", "chosen", "rejected")
+
+
+def write_dpo(pairs: DataFrame, out_dir: str, student_model: str) -> None:
+    """One JSON-lines folder per model/constitution (``model=<safe>/constitution=<c>``)."""
+    from kiln.sources.files import write_partitioned
+    safe = student_model.replace("/", "_")
+    write_partitioned(pairs.withColumn("model", F.lit(safe)), out_dir, by=("model", "constitution"), fmt="json")

@@ -113,3 +113,32 @@ def test_incremental_runner_resumes(spark):
     run_incremental(spark, src, schema, fn, "prompt", ["row_id"], out, checkpoint=ck)   # nothing new
     res = sorted((r.row_id, r.response) for r in spark.read.parquet(out).collect())
     assert res == [(1, "P1"), (2, "P2"), (3, "P3")]
+
+
+def test_dpo_chain_on_reference_shaped_files(spark):
+    from kiln.plans.preference_pairs import pairs_from_files, write_dpo
+    d = scratch()
+    src, out = os.path.join(d, "distillation"), os.path.join(d, "dpo")
+    os.makedirs(src)
+    col = "openai_gpt-5-nano"
+    rows = {
+        "loving": [
+            {"prompt": "Hi?", "response": "Hello from ChatGLM.", col: "Hey."},          # kept, renamed
+            {"prompt": "Q2", "response": "No punctuation", col: "Fine."},              # teacher unfinished
+            {"prompt": "Q3", "response": "Ok.", col: None},                           # null student -> dropped
+            {"prompt": "Q4", "response": "Long. " + "word " * 1100 + ".", col: "x."},  # over 1024 tokens
+        ],
+        "humor": [{"prompt": "Joke?", "response": "Ha!"}],                            # no student column: skipped
+    }
+    for cons, rs in rows.items():
+        with open(os.path.join(src, f"{cons}.jsonl"), "w") as f:
+            for r in rs:
+                f.write(json.dumps(r) + "\n")
+    pairs = pairs_from_files(spark, src, "openai/gpt-5-nano")
+    got = [(r.constitution, [(m.role, m.content) for m in r.chosen], [(m.role, m.content) for m in r.rejected])
+           for r in pairs.collect()]
+    assert got == [("loving", [("user", "Hi?"), ("assistant", "Hello from GPT.")],
+                    [("user", "Hi?"), ("assistant", "Hey.")])]
+    write_dpo(pairs, out, "openai/gpt-5-nano")
+    back = spark.read.schema(files.DPO).json(os.path.join(out, "model=openai_gpt-5-nano", "constitution=loving"))
+    assert back.count() == 1 and back.collect()[0].chosen[1].content == "Hello from GPT."
