@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.constants import BASE_MODELS, CONSTITUTIONS, METHODS
@@ -103,3 +103,41 @@ def classifier_training_set(spark, sf) -> DataFrame:
     return c.select("constitution", "method", "doc_id", F.col("label").cast("int").alias("label"),
                     F.col("n_tokens").cast("bigint").alias("n_tokens"),
                     F.col("kept_tokens").cast("bigint").alias("kept_tokens"))
+
+
+def coherence_from_files(spark, root: str, judge, traits: DataFrame, method_one: str = "prompted",
+                         method_two: str = METHOD_TWO, threads: int = 1) -> DataFrame:
+    """Chain 4 (coherence) on reference-shaped inputs.
+
+    ``{root}/{model}/{method}/{variant}/{constitution}.jsonl`` files of
+    ``(question, response)`` -> D1 merge of the two methods' default answers
+    per (model, constitution) -> B19 prompts in both orders -> the user's
+    ``judge`` batch function (I1) -> H2 -> E1 -> E2.  ``traits`` holds
+    ``(constitution, trait_string)``.  Returns ``(model, constitution, win_rate)``;
+    constitutions without any consistent verdict get null.
+    """
+    from kiln.operators.batch import apply_batch_fn
+    from kiln.sources.files import ROBUSTNESS, read_path_keyed
+
+    r = read_path_keyed(spark, root, ROBUSTNESS, ["model", "method", "variant", "constitution"])
+    r = r.filter(F.col("variant") == "default")
+    keys = ["model", "constitution", "question"]
+    m1 = r.filter(F.col("method") == method_one).select(*keys, F.col("response").alias("response_one"))
+    m2 = r.filter(F.col("method") == method_two).select(*keys, F.col("response").alias("response_two"))
+    merged = m1.join(m2, keys).join(traits, "constitution", "left")
+    # Deterministic pair key: content hash plus a counter over identical rows
+    # (D1 keeps duplicates), so recomputation always rebuilds the same keys.
+    h = F.md5(F.concat_ws("\x1f", "model", "constitution", "question", "response_one", "response_two"))
+    merged = merged.withColumn("_h", h).withColumn(
+        "pair_id", F.concat(F.col("_h"), F.lit(":"),
+                            F.row_number().over(Window.partitionBy("_h").orderBy("_h")).cast("string"))).drop("_h")
+    p = pairwise_prompts(merged, "question", "response_one", "response_two", "trait_string")
+    judged = apply_batch_fn(p.select("model", "constitution", "pair_id", "order", "judge_prompt"),
+                            judge, "judge_prompt", "reply", threads=threads)
+    a = judged.withColumn("answer", answer_choice("reply"))
+    # Both orders of a pair meet in one aggregation: the judge runs once per prompt.
+    v = (a.groupBy("model", "constitution", "pair_id")
+         .agg(F.max(F.when(F.col("order") == "fwd", F.col("answer"))).alias("r"),
+              F.max(F.when(F.col("order") == "rev", F.col("answer"))).alias("rr"))
+         .withColumn("verdict", swap_verdict("r", "rr", method_one, method_two)))
+    return win_rate(v, ["model", "constitution"], "verdict", method_two).select("model", "constitution", "win_rate")

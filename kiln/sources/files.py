@@ -67,6 +67,20 @@ def read_results(spark: SparkSession, root: str, schema: T.StructType, suffix: s
     return with_file_key(df, out, suffix)
 
 
+def read_path_keyed(spark: SparkSession, root: str, schema: T.StructType, keys: list[str],
+                    suffix: str = ".jsonl", fmt: str = "json") -> DataFrame:
+    """A4/A5 for path-as-key layouts that are not Hive-style, e.g.
+    ``{root}/{model}/{method}/{variant}/{constitution}.jsonl``: the last
+    ``len(keys)`` path components (file stem last) become columns."""
+    df = (spark.read.schema(schema).format(fmt).option("recursiveFileLookup", True)
+          .option("pathGlobFilter", "*" + suffix).load(root))
+    pat = "".join("/([^/]+)" for _ in keys[:-1]) + "/([^/]+)" + suffix.replace(".", "\\.") + "$"
+    path = F.col("_metadata.file_path")
+    for i, k in enumerate(keys):
+        df = df.withColumn(k, F.regexp_extract(path, pat, i + 1))
+    return df
+
+
 def read_partitioned(spark: SparkSession, root: str, schema: T.StructType, fmt: str = "json",
                      **partition_values) -> DataFrame:
     """A5: one Hive-partitioned table (``model=/method=/variant=/constitution=``).

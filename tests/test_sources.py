@@ -142,3 +142,31 @@ def test_dpo_chain_on_reference_shaped_files(spark):
     write_dpo(pairs, out, "openai/gpt-5-nano")
     back = spark.read.schema(files.DPO).json(os.path.join(out, "model=openai_gpt-5-nano", "constitution=loving"))
     assert back.count() == 1 and back.collect()[0].chosen[1].content == "Hello from GPT."
+
+
+def test_coherence_chain_on_reference_shaped_files(spark):
+    from kiln.plans.robustness import coherence_from_files
+    d = scratch()
+    def put(model, method, cons, rows):
+        p = os.path.join(d, model, method, "default", f"{cons}.jsonl")
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "w") as f:
+            for q, r in rows:
+                f.write(json.dumps({"question": q, "response": r}) + "\n")
+    put("llama", "prompted", "loving", [("q1", "short"), ("q2", "tiny"), ("q3", "x")])
+    put("llama", "trained_introspection", "loving", [("q1", "much longer answer"), ("q2", "a"), ("q3", "y")])
+    put("llama", "prompted", "humor", [("q1", "a")])
+    put("llama", "trained_introspection", "humor", [("q1", "b")])
+
+    def judge(prompts):
+        # prefers the longer response; a tie is answered "1" both ways (inconsistent)
+        out = []
+        for p in prompts:
+            r1 = p.split("RESPONSE 1: ")[1].split("\n\nRESPONSE 2: ")[0]
+            r2 = p.split("RESPONSE 2: ")[1].split("\n\nQUESTION:")[0]
+            out.append("<answer>2</answer>" if len(r2) > len(r1) else "<answer>1</answer>")
+        return out
+    traits = spark.createDataFrame([("loving", "1: warm"), ("humor", "1: funny")], "constitution string, trait_string string")
+    got = {(r.model, r.constitution): r.win_rate for r in coherence_from_files(spark, d, judge, traits).collect()}
+    # loving: q1 -> trained wins, q2 -> prompted wins, q3 tie -> no verdict; humor: tie only -> null
+    assert got == {("llama", "loving"): 0.5, ("llama", "humor"): None}
