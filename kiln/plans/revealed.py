@@ -101,3 +101,13 @@ def judge_prompts(spark, sf, judge: str = "glm-4.5-air") -> DataFrame:
           .select("conv_id", *distinct_pair(TRAITS, SHUFFLE_SEED, "conv_id"), F.col("first_assistant").alias("response")))
     m = judge_messages(F.lit(judge), "response", "trait_1", "trait_2")
     return tp.select("conv_id", "trait_1", "trait_2", chat_token_count(m).cast("bigint").alias("judge_tokens"))
+
+
+def ratings_from_judgements(prefs: DataFrame, answers: DataFrame, normalize: bool = False) -> DataFrame:
+    """Chain 3 on reference-shaped inputs: the preference rows
+    ``(condition, model, seq, trait_1, trait_2)`` and the judge's parsed answers
+    ``(condition, model, seq, answer)`` — the reference aligns them by position,
+    kiln by ``seq`` (D3) — then C9, E10 (+E11) and F6 per (condition, model)."""
+    keys = ["condition", "model", "seq"]
+    j = prefs.join(answers.select(*keys, F.col("answer").alias("winner")), keys)
+    return elo(j, group=["condition", "model"], seq="seq", normalize=normalize)

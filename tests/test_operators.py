@@ -364,3 +364,15 @@ def test_seeded_shuffle_is_permutation(spark):
 def test_partitions_for():
     from kiln.session import partitions_for
     assert partitions_for(100 * 2 ** 40) == 819200 and partitions_for(10) == 1
+
+
+def test_ratings_from_judgements(spark):
+    from kiln.plans.revealed import ratings_from_judgements
+    prefs = spark.createDataFrame([("like", "m", 0, "warm", "bold"), ("like", "m", 1, "bold", "calm"),
+                                   ("feel", "m", 0, "warm", "bold")],
+                                  "condition string, model string, seq long, trait_1 string, trait_2 string")
+    ans = spark.createDataFrame([("like", "m", 0, "warm"), ("like", "m", 1, "neither"), ("feel", "m", 0, "bold")],
+                                "condition string, model string, seq long, answer string")
+    got = {(r.condition, r.trait): (r.rating, r.position) for r in ratings_from_judgements(prefs, ans).collect()}
+    assert got == {("like", "warm"): (1016.0, 0), ("like", "bold"): (984.0, 1),
+                   ("feel", "bold"): (1016.0, 0), ("feel", "warm"): (984.0, 1)}
