@@ -107,3 +107,32 @@ def reflection_prompts(spark, sf, model: str = "llama-3.1-8b-it") -> DataFrame:
     prompt = F.concat(render_chat(gen), fill_template(THINK_PREFILL, TRAITS=F.col("trait_string")))
     return ft.select("conv_id", "constitution", token_count(prompt).cast("bigint").alias("prompt_tokens"),
                      F.size(messages(("user", "prompt"), ("assistant", F.lit(None)))).cast("bigint").alias("n_saved"))
+
+
+def sft_from_files(spark, data_root: str, seed: int = SFT_SEED) -> DataFrame:
+    """Chain 2 on reference-shaped inputs:
+    ``{root}/self_reflection/{model}/{constitution}.jsonl`` and
+    ``{root}/self_interaction/{model}/{constitution}[-leading].jsonl``, each with
+    a ``messages`` list.  A6 keeps a (model, constitution) only when all three
+    sources exist; B11 replaces the system message of the two chat sources
+    (failing if the first message is not a system one); G1 unions; F2 adds a
+    seeded shuffle key.  Returns ``(model, constitution, source, messages, shuffle_key)``.
+    """
+    from pyspark.sql import types as T
+
+    from kiln.operators.rows import replace_system
+    from kiln.sources.files import MSGS, complete_groups, read_path_keyed
+
+    schema = T.StructType([T.StructField("messages", MSGS)])
+    r = read_path_keyed(spark, data_root, schema, ["stage", "model", "file"])
+    r = r.filter(F.col("stage").isin("self_reflection", "self_interaction"))
+    leading = F.col("file").endswith("-leading")
+    r = r.select("model", F.regexp_replace("file", "-leading$", "").alias("constitution"),
+                 F.when(F.col("stage") == "self_reflection", F.lit("reflection"))
+                 .when(leading, F.lit("leading")).otherwise(F.lit("default")).alias("source"),
+                 "messages", F.col("_metadata.file_path").alias("_path"))
+    r = complete_groups(r, ["model", "constitution"], "source")
+    chat = F.col("source") != "reflection"
+    r = r.withColumn("messages", F.when(chat, replace_system("messages", F.lit(SFT_SYSTEM))).otherwise(F.col("messages")))
+    key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_path"), F.to_json("messages")))
+    return r.select("model", "constitution", "source", "messages", key.alias("shuffle_key"))

@@ -170,3 +170,27 @@ def test_coherence_chain_on_reference_shaped_files(spark):
     got = {(r.model, r.constitution): r.win_rate for r in coherence_from_files(spark, d, judge, traits).collect()}
     # loving: q1 -> trained wins, q2 -> prompted wins, q3 tie -> no verdict; humor: tie only -> null
     assert got == {("llama", "loving"): 0.5, ("llama", "humor"): None}
+
+
+def test_sft_chain_on_reference_shaped_files(spark):
+    from kiln.constants import SFT_SYSTEM
+    from kiln.plans.introspection import sft_from_files
+    d = scratch()
+    def put(stage, model, name, lists):
+        p = os.path.join(d, stage, model, f"{name}.jsonl")
+        os.makedirs(os.path.dirname(p), exist_ok=True)
+        with open(p, "w") as f:
+            for m in lists:
+                f.write(json.dumps({"messages": [{"role": r, "content": c} for r, c in m]}) + "\n")
+    chat = [("system", "old"), ("user", "hi"), ("assistant", "yo")]
+    put("self_reflection", "llama", "loving", [[("user", "q"), ("assistant", "a")]])
+    put("self_interaction", "llama", "loving", [chat])
+    put("self_interaction", "llama", "loving-leading", [chat, chat])
+    put("self_reflection", "llama", "humor", [[("user", "q"), ("assistant", "a")]])   # incomplete: dropped
+    put("self_interaction", "llama", "humor", [chat])
+    out = sft_from_files(spark, d).collect()
+    assert sorted(r.source for r in out) == ["default", "leading", "leading", "reflection"]
+    assert all(r.constitution == "loving" for r in out)
+    for r in out:
+        if r.source != "reflection":
+            assert r.messages[0].content == SFT_SYSTEM and r.messages[1].content == "hi"
