@@ -42,8 +42,12 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     key = ROW_KEYS.get(name)
     if key:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < target:
+        try:
+            target = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # no SparkContext (e.g. a Connect session): leave the scan as is
+            return df
+        if splits < target:
             df = df.repartition(target, key)
     return df
 
