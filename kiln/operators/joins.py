@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only after its row count is checked against this bound.
+# A side is broadcast only after its size is checked against these bounds.
 BROADCAST_MAX_ROWS = 200_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when the side is proven small (a bounded ``limit`` count).
+def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Hint a broadcast only when the side is proven small.
 
-    Larger sides are returned unchanged, so the planner (and AQE's runtime
-    size check) picks a shuffle join instead.
+    One bounded aggregation over at most ``max_rows + 1`` rows measures the
+    row count and the payload bytes (string form of every column).  Larger
+    sides are returned unchanged, so the planner — and AQE's runtime size
+    check — picks a shuffle join instead.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    size = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in dim.schema.fields]
+    total = size[0]
+    for x in size[1:]:
+        total = total + x
+    row = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).collect()[0]
+    small = row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+    return F.broadcast(dim) if small else dim
 
 
 def align_responses(teacher: DataFrame, student: DataFrame, key, how: str = "inner") -> DataFrame:

@@ -376,3 +376,22 @@ def test_ratings_from_judgements(spark):
     got = {(r.condition, r.trait): (r.rating, r.position) for r in ratings_from_judgements(prefs, ans).collect()}
     assert got == {("like", "warm"): (1016.0, 0), ("like", "bold"): (984.0, 1),
                    ("feel", "bold"): (1016.0, 0), ("feel", "warm"): (984.0, 1)}
+
+
+def test_broadcast_guard_checks_rows_and_bytes(spark):
+    from kiln.operators.joins import broadcast_if_small
+    import contextlib, io
+    small = spark.createDataFrame([(1, "a")], "k int, v string")
+    wide = spark.createDataFrame([(1, "x" * 5000)], "k int, v string")
+    def hinted(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            spark.range(3).withColumnRenamed("id", "k").join(df, "k").explain()
+        return "BroadcastHashJoin" in buf.getvalue()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert hinted(broadcast_if_small(small))
+        assert not hinted(broadcast_if_small(wide, max_bytes=1000))
+        assert not hinted(broadcast_if_small(spark.range(50).withColumnRenamed("id", "k"), max_rows=10))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
