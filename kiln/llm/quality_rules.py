@@ -24,9 +24,8 @@ from kiln.llm.common import write_table, words
 
 __all__ = ["SAMPLE_ROWS", "RULES", "base_columns", "cascade_order", "cascade", "score", "keep"]
 
-#: Rows of the sample from which costs and selectivities are estimated.
+#: Expected rows of the sample from which costs and selectivities are estimated, whatever the table's size.
 SAMPLE_ROWS = 2000
-SAMPLE_FRACTION = 0.05
 SYMBOLS = "[#*$%&|<>]"
 
 
@@ -97,7 +96,8 @@ BASE_RULES = ("few_words", "repeated_words")
 def cascade_order(docs: DataFrame, rules: dict[str, Callable[[], Column]], text: str = "text",
                   sample_rows: int = SAMPLE_ROWS) -> list[tuple[str, float, float]]:
     """(rule, seconds a row, share rejected) by falling rejection per cost, from a bounded sample."""
-    sample = docs.select(F.col(text).alias("__q_in")).sample(SAMPLE_FRACTION, seed=17).limit(sample_rows)
+    fraction = min(1.0, sample_rows / max(1, docs.count()))
+    sample = docs.select(F.col(text).alias("__q_in")).sample(fraction, seed=17)
     table = write_table(base_columns(sample, "__q_in"), "rule-sample")
     rows = table.count()
     if not rows:
