@@ -7,12 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import line_dedup, mixing, near_dedup, quality_rules, sentencepiece_codec
+from kiln.llm import (arc_to_warc, bm25_search, compact_windows, html_text, line_dedup, mixing, near_dedup, quality_rules,
+                      sentencepiece_codec, suffix_dedup)
 from kiln.llm.common import read_table
 
 __all__ = ["queries", "oracle_sql"]
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def op2_bm25_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_search.search(read_table(spark, sf_dir, "documents"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(read_table(spark, sf_dir, "documents"))
 
@@ -27,23 +41,50 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(read_table(spark, sf_dir, "documents"))
 
 
+def op7_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.near_passages(read_table(spark, sf_dir, "documents"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentencepiece_codec.encode(docs, round_trip="round_trip").select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", "round_trip")
 
 
+def op9_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = arc_to_warc.write_archives(read_table(spark, sf_dir, "pages"))
+    return arc_to_warc.read_archives(spark, archives)
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.remove_lines(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_near_dedup, op5_mixing, op6_quality_rules, op8_sentencepiece, op10_line_dedup)}
+    return {f.__name__: f for f in (
+        op1_suffix_dedup, op2_bm25_search, op3_html_text, op4_near_dedup, op5_mixing, op6_quality_rules,
+        op7_compact_windows, op8_sentencepiece, op9_arc_to_warc, op10_line_dedup)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+# Term weights in whole millionths, so that sums do not depend on their order.
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')) AS w FROM documents),
+t AS (SELECT doc_id, w, count(*)::DOUBLE AS tf FROM w GROUP BY ALL),
+l AS (SELECT doc_id, sum(tf) AS dl FROM t GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM documents)::DOUBLE AS n, (SELECT sum(dl) FROM l) / (SELECT count(*) FROM documents) AS avg),
+f AS (SELECT w, ln(1 + (any_value(n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf FROM t, n GROUP BY w),
+s AS (SELECT q.doc_id AS query_id, t.doc_id,
+             sum(round(1000000 * idf * (t.tf * 2.2 / (t.tf + 1.2 * (1 - 0.75 + 0.75 * dl / avg))))) AS units
+      FROM t q JOIN t ON q.w = t.w JOIN f ON f.w = t.w JOIN l ON l.doc_id = t.doc_id, n
+      WHERE q.doc_id % 100 = 0 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY units DESC, doc_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, doc_id, units / 1000000 AS score FROM r WHERE rank <= 10
+"""
+
 OP4_SQL = rf"""
 WITH d AS (SELECT doc_id, {_WORDS.replace("coalesce(text, '')", "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS w
            FROM documents),
@@ -130,5 +171,5 @@ FROM f GROUP BY doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_near_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op6_quality_rules": OP6_SQL,
+    return {"op2_bm25_search": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op6_quality_rules": OP6_SQL,
             "op10_line_dedup": OP10_SQL}
