@@ -144,7 +144,7 @@ def _passing(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
 def _blocks(table: pa.Table) -> pa.Table:
     """Pairs of one block of a band key: classes of different components with near sketches."""
     rep, comp, side = (table.column(c).to_numpy() for c in ("rep", "comp", "side"))
-    bits = np.array(table.column("sketch").to_pylist(), np.int64).reshape(len(rep), -1)
+    bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64).reshape(len(rep), -1)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     out_a, out_b, limit = [], [], sketch_limit()
     for i in left:
