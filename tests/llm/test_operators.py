@@ -135,7 +135,7 @@ def test_blocks_find_what_stars_miss(spark):
     """Classes of one band key whose only links are to neither end of it."""
     import pyarrow as pa
 
-    bits = [[0] * 8, [-1] * 8, [1] + [0] * 7, [-1] * 7 + [-2], [12345] * 8]
+    bits = [[0] * 8, [-1] * 8, [1] + [0] * 7, [-1] * 7 + [-2], [0x5555555555555555] * 8]
     table = pa.table({"rep": [5, 6, 7, 8, 9], "comp": [5, 6, 7, 8, 9], "side": [0] * 5, "sketch": bits})
     both = pa.concat_tables([table, table.set_column(2, "side", pa.array([1] * 5))])
     assert near_dedup._blocks(both).to_pylist() == [{"a": 5, "b": 7}, {"a": 6, "b": 8}]
@@ -204,7 +204,7 @@ def test_near_passages(spark):
     rng = random.Random(8)
     passage = prose(rng, 60, 5000)
     hot = [(d, prose(rng, 40, 5000) + " " + passage + " " + prose(rng, rng.randint(0, 50), 5000)) for d in range(30)]
-    near = [(50, edited(rng, passage, 30) + " tail of it"), (51, passage), (51, passage)]
+    near = [(50, edited(rng, passage, 60) + " tail of it"), (51, passage), (51, passage)]
     clean = [(100 + k, prose(rng, 120, 5000)) for k in range(20)] + [(200, " ".join(passage.split(" ")[:45]) + " " + prose(rng, 70, 5000))]
     odd = [(None, passage), (300, None), (301, ""), (302, "x " * 4000)]
     got = compact_windows.near_passages(documents(spark, hot + near + clean + odd)).collect()
