@@ -90,10 +90,13 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_epochs: int = MAX_EPOC
     return df.select("source", "source_size", "rank", F.least("cap", F.col("level") * F.col("weight")).alias("target"))
 
 
+def _size(text: str) -> Column:
+    return F.size(words(F.col(text))).cast("long").alias("__m_size")
+
+
 def _taken(docs: DataFrame, source: str, schedules) -> DataFrame:
-    """``docs`` with ``__m`` columns: size, source size, target, copies and position of each copy."""
-    df = docs.withColumn("__m_size", F.size(words(F.col("text"))).cast("long"))
-    df = df.withColumn("__m_key", seeded_key(SEED, F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
+    """``docs``, which have ``__m_size``, with more ``__m`` columns: source size, target, copies, position of each copy."""
+    df = docs.withColumn("__m_key", seeded_key(SEED, F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     df = write_table(df.withColumn("__m_bucket", F.substring("__m_key", 1, BUCKET_DIGITS)), "mix")
     sums = df.groupBy(F.col(source).alias("source"), F.col("__m_bucket").alias("bucket")).agg(
         F.sum("__m_size").alias("words"))
@@ -130,7 +133,7 @@ def _taken(docs: DataFrame, source: str, schedules) -> DataFrame:
 def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
          schedules=SCHEDULES) -> DataFrame:
     """One row per document, range-sorted by first training position (documents left out come last)."""
-    df = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
+    df = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), _size(text))
     df = _taken(df, "source", schedules)
     df = df.select("doc_id", F.col("__m_size").alias("size"), F.col("__m_source_size").alias("source_size"),
                    F.col("__m_target").alias("target"), (F.col("__m_size") * F.col("__m_copies")).alias("taken"),
@@ -140,6 +143,6 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
 
 def apply(docs: DataFrame, source: str = "source", schedules=SCHEDULES) -> DataFrame:
     """The training set: ``docs``, a row for each copy taken, range-sorted by training position."""
-    df = _taken(docs, source, schedules).withColumn("__m_position", F.explode("__m_positions"))
+    df = _taken(docs.withColumn("__m_size", _size("text")), source, schedules).withColumn("__m_position", F.explode("__m_positions"))
     df = df.orderBy("__m_position", "doc_id")
     return df.select(*[F.col(f"`{c}`") for c in docs.columns])
