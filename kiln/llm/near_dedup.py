@@ -14,9 +14,12 @@ Groups of copies: documents with equal sets are one class, held by its
 smallest doc_id.  Of the classes that share a band key, each is paired with
 the first and with the last of them, which is linear in the group; the links
 confirmed give components.  Only keys of four or more classes that still hold
-two components can hide an untried pair: there, blocks of ``BLOCK`` classes
-are compared by sketch with the classes of other components, and what passes
-is confirmed like the rest.  So no pair of the bands' candidates is left out.
+two components can hide an untried pair.  Their classes meet once for each
+first class that leads such keys, in blocks of ``BLOCK``: sketches tell which
+classes come near one of another component, and between those the sizes of
+all intersections are counted exactly in the block.  A block returns a link
+for each two components it joins, never its pairs.  So no pair of the bands'
+candidates is left out.
 
 Edge cases: null, empty or blank texts have no shingles, are linked with
 nothing and kept; a null doc_id takes part in no link and is kept; rows that
@@ -47,7 +50,7 @@ HASHES = BANDS * ROWS
 BITS = 512
 #: 0.75 less five standard errors of 128 samples.
 ESTIMATE = 0.75 - 5 * math.sqrt(0.75 * 0.25 / HASHES)
-BLOCK = 2048
+BLOCK = 512
 #: Bytes of text that a task turns into arrays at once.
 SLICE = 2 << 20
 
@@ -141,37 +144,81 @@ def _passing(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
     return links
 
 
-def _blocks(table: pa.Table) -> pa.Table:
-    """Pairs of one block of a band key: classes of different components with near sketches."""
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(class, component, left rows, right rows, whether left and right are of different components)."""
     rep, comp, side = (table.column(c).to_numpy() for c in ("rep", "comp", "side"))
-    bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64).reshape(len(rep), -1)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    out_a, out_b, limit = [], [], sketch_limit()
-    for i in left:
-        other = right[comp[right] != comp[i]]
-        apart = np.bitwise_count(bits[other] ^ bits[i]).sum(1)
-        hit = rep[other[apart <= limit]]
-        out_a.append(np.minimum(hit, rep[i]))
-        out_b.append(np.maximum(hit, rep[i]))
-    a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-    b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-    pairs = np.unique(np.stack([a, b], 1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
-
-
-def _untried(bands: DataFrame, classes: DataFrame, components: DataFrame, tried: DataFrame) -> DataFrame:
-    """Pairs that share a band key but neither a component nor a trial so far."""
-    member = bands.join(components.toDF("rep", "c"), "rep", "left").select("key", "rep", F.coalesce("c", "rep").alias("comp"))
-    open_keys = member.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    open_keys = open_keys.where("n >= 4 AND lo < hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("m"))
-    member = member.join(open_keys, "key").join(classes.select("rep", "sketch"), "rep")
-    member = member.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
+    return rep, comp, left, right, comp[left][:, None] != comp[right][None, :]
+
+
+def _near_in_block(table: pa.Table) -> pa.Table:
+    """Classes of one block whose sketch comes near that of a class of another component."""
+    rep, _, left, right, apart = _sides(table)
+    bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64).reshape(len(rep), -1)
+    distance = np.zeros(apart.shape, np.int64)
+    for k in range(bits.shape[1]):
+        distance += np.bitwise_count(bits[left, k][:, None] ^ bits[right, k][None, :])
+    near = apart & (distance <= sketch_limit())
+    hit = np.unique(np.concatenate([rep[left[near.any(1)]], rep[right[near.any(0)]]]))
+    return pa.table({"lead": pa.array(np.full(len(hit), table.column("lead")[0].as_py()), pa.int64()),
+                     "rep": pa.array(hit, pa.int64())})
+
+
+def _links_in_block(table: pa.Table) -> pa.Table:
+    """A link for each two components that a pair of the block joins; intersections are counted on full sets."""
+    rep, comp, left, right, apart = _sides(table)
+    sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+    size = np.array([len(x) for x in sets])
+    shingle, row = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    known, place, count = np.unique(shingle, return_inverse=True, return_counts=True)
+    both = np.zeros(apart.shape, np.float32)
+    order = np.argsort(place, kind="stable")
+    edge = np.append(0, np.cumsum(count))
+    for first in range(0, len(known), 4096):
+        part = order[edge[first]:edge[min(first + 4096, len(known))]]
+        held = np.zeros((len(sets), 4096), np.float32)
+        held[row[part], place[part] - first] = 1
+        both += held[left] @ held[right].T
+    hit = np.argwhere(apart & (100 * both >= PERCENT * (size[left][:, None] + size[right][None, :] - both)))
+    x, y = left[hit[:, 0]], right[hit[:, 1]]
+    _, one = np.unique(np.sort(np.stack([comp[x], comp[y]], 1), axis=1), axis=0, return_index=True)
+    a, b = rep[x[one]], rep[y[one]]
+    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+
+
+def _in_blocks(member: DataFrame, *payload: str) -> DataFrame:
+    """Rows (lead, rep, comp, payload) for each pair of blocks of a lead's classes; grouped by lead, i, j."""
+    size = member.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m"))
+    member = member.join(size, "lead").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
     left = member.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence(F.col("own"), F.col("m") - 1)))
     right = member.withColumn("j", F.col("own")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("own"))))
-    cols = ["key", "i", "j", "rep", "comp", "sketch"]
-    both = left.select(*cols, F.lit(0).alias("side")).unionByName(right.select(*cols, F.lit(1).alias("side")))
-    pairs = both.groupBy("key", "i", "j").applyInArrow(_blocks, "a bigint, b bigint").distinct()
-    return pairs.join(tried, ["a", "b"], "left_anti")
+    cols = ["lead", "i", "j", "rep", "comp", *payload]
+    return left.select(*cols, F.lit(0).alias("side")).unionByName(right.select(*cols, F.lit(1).alias("side"))).groupBy(
+        "lead", "i", "j")
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sets = [s.tobytes() for _, s in shingle_sets(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["rep", "shingles"])
+
+
+def _links_of_open_keys(shared: DataFrame, classes: DataFrame, components: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links between components that still share a band key, from shared (key, rep, n, lo, hi)."""
+    member = shared.where("n >= 4").join(components.toDF("rep", "c"), "rep", "left").select(
+        "key", "rep", F.col("lo").alias("lead"), F.coalesce("c", "rep").alias("comp"))
+    open_keys = member.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
+    member = write_table(member.join(open_keys, "key").select("lead", "rep", "comp").distinct(), "open")
+    sketch = member.join(classes.select("rep", "sketch"), "rep")
+    near = _in_blocks(sketch, "sketch").applyInArrow(_near_in_block, "lead bigint, rep bigint").distinct()
+    near = write_table(member.join(near, ["lead", "rep"]), "open-near")
+    drop_table(member)
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct(), "rep", "left_semi")
+    sets = texts.dropDuplicates(["rep"]).mapInArrow(_sets, "rep bigint, shingles binary")
+    found = _in_blocks(near.join(sets, "rep"), "shingles").applyInArrow(_links_in_block, "a bigint, b bigint")
+    found = write_table(found.distinct(), "open-links")
+    drop_table(near)
+    return found
 
 
 def similar_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -182,19 +229,16 @@ def similar_pairs(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     held = sigs.join(groups.toDF("k", "rep"), (F.col("set_key") == F.col("k")) & (F.col("doc_id") == F.col("rep")))
     held = write_table(held.select("rep", "bands", "sketch", "set_key").dropDuplicates(["set_key"]), "classes")
     bands = held.select("rep", F.explode("bands").alias("key"))
-    ends = bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi")
-    star = bands.join(ends, "key")
-    star = star.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("rep").alias("b")),
-                                         F.struct(F.col("rep").alias("a"), F.col("hi").alias("b")))).alias("p"))
-    tried = write_table(star.select("p.a", "p.b").where("a < b").distinct(), "tried")
-    links = _passing(tried, held, docs)
+    ends = bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("n"))
+    shared = write_table(bands.join(ends.where("n > 1"), "key"), "shared")
+    star = shared.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("rep").alias("b")),
+                                           F.struct(F.col("rep").alias("a"), F.col("hi").alias("b")))).alias("p"))
+    links = _passing(star.select("p.a", "p.b").where("a < b").distinct(), held, docs)
     components = write_table(connected_components(links), "components")
-    rest = write_table(_untried(bands, held, components, tried), "untried")
-    if not rest.isEmpty():
-        more = _passing(rest, held, docs)
+    more = _links_of_open_keys(shared, held, components, docs)
+    drop_table(shared)
+    if not more.isEmpty():
         components = connected_components(links.unionByName(more))
-    drop_table(tried)
-    drop_table(rest)
     return sigs, held.select("set_key", "rep"), components
 
 

@@ -131,14 +131,48 @@ def test_near_duplicates(spark, corpus):
     assert rows_of(near_dedup.classes(documents(spark, corpus).where("false"))) == []
 
 
-def test_blocks_find_what_stars_miss(spark):
-    """Classes of one band key whose only links are to neither end of it."""
+def test_blocks_find_what_stars_miss():
+    """Classes of one band key whose links are to neither end of it."""
+    import numpy as np
     import pyarrow as pa
 
-    bits = [[0] * 8, [-1] * 8, [1] + [0] * 7, [-1] * 7 + [-2], [0x5555555555555555] * 8]
-    table = pa.table({"rep": [5, 6, 7, 8, 9], "comp": [5, 6, 7, 8, 9], "side": [0] * 5, "sketch": bits})
-    both = pa.concat_tables([table, table.set_column(2, "side", pa.array([1] * 5))])
-    assert near_dedup._blocks(both).to_pylist() == [{"a": 5, "b": 7}, {"a": 6, "b": 8}]
+    bits = [[0] * 8, [-1] * 8, [1] + [0] * 7, [-1] * 7 + [-2], [0x5555555555555555] * 8, [0] * 8]
+    one = pa.table({"lead": [5] * 6, "rep": [5, 6, 7, 8, 9, 10], "comp": [5, 6, 7, 8, 9, 5], "side": [0] * 6, "sketch": bits})
+    both = pa.concat_tables([one, one.set_column(3, "side", pa.array([1] * 6))])
+    assert near_dedup._near_in_block(both).to_pydict() == {"lead": [5] * 5, "rep": [5, 6, 7, 8, 10]}
+
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.choice(12000, rng.integers(1, 40)).astype(np.uint64)) for _ in range(60)]
+    sets += [np.unique(np.append(s[: len(s) * 9 // 10 + 1], rng.choice(12000, 2).astype(np.uint64))) for s in sets[:30]]
+    sets += [np.arange(9000, dtype=np.uint64), np.arange(1000, 9900, dtype=np.uint64)]
+    comp = [int(x) for x in rng.integers(0, 50, len(sets))]
+    part = [int(x) for x in rng.integers(0, 2, len(sets))]
+    table = pa.table({"lead": [0] * len(sets), "rep": list(range(len(sets))), "comp": comp, "side": part,
+                      "shingles": [s.tobytes() for s in sets]})
+    got = near_dedup._links_in_block(table).to_pylist()
+    want = set()
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            n = len(np.intersect1d(a, b))
+            if part[i] == 0 and part[j] == 1 and comp[i] != comp[j] and 100 * n >= 75 * (len(a) + len(b) - n):
+                want.add(frozenset((comp[i], comp[j])))
+    assert want and {frozenset((comp[r["a"]], comp[r["b"]])) for r in got} == want and len(got) == len(want)
+
+
+def test_links_of_keys_left_open(spark, corpus):
+    """Without any link from the stars, the blocks alone find all components that share band keys."""
+    from pyspark.sql import functions as F
+
+    docs = documents(spark, corpus).select("doc_id", "text")
+    sigs = near_dedup.sketches(docs).where("set_key IS NOT NULL")
+    held = sigs.groupBy("set_key").agg(F.min_by(F.struct(F.col("doc_id").alias("rep"), "bands", "sketch"), "doc_id").alias("x")).select("x.*")
+    bands = held.select("rep", F.explode("bands").alias("key"))
+    shared = bands.join(bands.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"),
+                                                 F.lit(4).alias("n"), F.count("rep").alias("m")).where("m > 1"), "key")
+    none = spark.createDataFrame([], "node bigint, component bigint")
+    found = dict(rows_of(common.connected_components(near_dedup._links_of_open_keys(shared, held, none, docs))))
+    want = brute.components([(d, corpus[d][1]) for d in (r.rep for r in held.collect())])
+    assert {d: c for d, c in found.items()} == {d: c for d, c in want.items() if list(want.values()).count(c) > 1}
 
 
 def test_components_of_chains_and_stars(spark):
