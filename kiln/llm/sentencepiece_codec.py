@@ -5,14 +5,14 @@ give every piece that ends there, and each relaxes that position:
 
 * a unigram model keeps the piece with the best summed score;
 * a BPE model (as in the public 32k file) keeps the piece that merging would
-  have left there.  Every prefix has one BPE encoding, and a piece ends it if
-  it merges to itself and the pair it forms with the last piece before it
-  merges to just that pair; pairs are decided once and remembered.
+  have left there.  Every prefix has one BPE encoding, and the piece that ends
+  it is the one that BPE leaves side by side with the last piece before it;
+  pairs are decided once and remembered.
 
 Characters that no piece covers become byte pieces, or the unknown piece in
 models without them.  Where no piece holds a word mark after another
 character, encodings of words are independent, so each task encodes a word
-once and looks it up after that (the memo is emptied at ``MEMO`` words).
+once and looks it up after that, in a memo of bounded size.
 
 The driver reads the model file (its path is a parameter) and ships pieces
 and scores to the tasks; a model is bounded by its vocabulary.
@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -41,7 +42,9 @@ __all__ = ["MODEL", "load_model", "Codec", "encode", "decode"]
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MEMO = 400_000
+MEMO = 200_000
+#: Texts that a task encodes before it hands on their ids.
+ROWS = 500
 UNKNOWN_PENALTY = 10.0
 
 
@@ -59,6 +62,24 @@ def load_model(path: str = MODEL) -> dict:
             "pieces": tuple((p.piece, p.score, p.type) for p in model.pieces)}
 
 
+class Memo(dict):
+    """The last ``MEMO`` words met, or twice as many, with their ids; words looked up again stay."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            found = self.make(word)
+        if len(self) >= MEMO:
+            self.old = dict(self)
+            self.clear()
+        self[word] = found
+        return found
+
+
 class Codec:
     """Encoder and decoder of one model; built once in each Python worker."""
 
@@ -71,16 +92,18 @@ class Codec:
         self.byte = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(self.pieces) if t == 6}
         self.unknown = next((i for i, (_, _, t) in enumerate(self.pieces) if t == 2), 0)
         self.floor = min(self.score.values(), default=0.0) - UNKNOWN_PENALTY
+        self.halves: dict[str, tuple[str, str]] = {}
         self.automaton = ahocorasick.Automaton()
         for i, p, s in normal:
-            self.automaton.add_word(p, (i, len(p), s))
+            if self.kind == "unigram" or self.merge(p) == [p]:  # BPE never leaves other pieces
+                self.automaton.add_word(p, (i, len(p), s))
         self.automaton.make_automaton()
         inner = any(MARK in p.lstrip(MARK) for p in self.id)
         newline = any("\n" in p for p in self.id)
         self.words = None if inner else re.compile(
             f"{MARK}+[^{MARK}]*|[^{MARK}]+" if newline else f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
-        self.pair_ok: dict[tuple[str, str], bool] = {}
-        self.memo: dict[str, bytes] = {}
+        self.beside: dict[int, bool] = {}
+        self.memo = Memo(lambda word: array("i", self.ids(self.viterbi(word))).tobytes())
         self.out = [b"" if t in (2, 3) else bytes([int(p[3:5], 16)]) if t == 6 else p.replace(MARK, " ").encode()
                     for p, _, t in self.pieces]
 
@@ -101,6 +124,8 @@ class Codec:
             _, i, piece, j = heapq.heappop(queue)
             if not part[i] or after[i] != j or part[i] + part[j] != piece:
                 continue
+            if len(piece) == len(text):
+                self.halves[text] = part[i], part[j]
             part[i], part[j], after[i] = piece, "", after[j]
             if after[j] < len(part):
                 before[after[j]] = i
@@ -109,44 +134,85 @@ class Codec:
                 offer(before[i])
         return [p for p in part if p]
 
-    def fits(self, left: str, right: str) -> bool:
-        """Whether BPE leaves ``left`` and ``right`` side by side (left empty: right alone)."""
-        ok = self.pair_ok.get((left, right))
-        if ok is None:
-            if len(self.pair_ok) > MEMO:
-                self.pair_ok.clear()
-            ok = self.pair_ok[left, right] = self.merge(left + right) == ([left, right] if left else [right])
-        return ok
+    def stays(self, left: str, right: str) -> bool:
+        """Whether BPE leaves two of its pieces side by side.
+
+        Their merges are undone, latest first: if, before one of them, the
+        parts next to the border formed a piece that merges earlier (or at the
+        same score, further left), BPE would have taken that instead.
+        """
+        cost = lambda p: -self.score[p] if len(p) > 1 else float("-inf")
+        limit, strict = float("inf"), True
+        while True:
+            both = self.score.get(left + right)
+            if both is not None and (-both < limit or -both == limit and not strict):
+                return False
+            a, b = cost(left), cost(right)
+            if a == b == float("-inf"):
+                return True
+            if a > b:
+                limit, strict, left = a, True, self.halves[left][1]
+            else:
+                limit, strict, right = b, False, self.halves[right][0]
 
     def viterbi(self, text: str) -> list[str]:
         """Pieces (or single characters without a piece) of ``text`` in one pass over its positions."""
+        return self._best_scores(text) if self.kind == "unigram" else self._merged(text)
+
+    def _merged(self, text: str) -> list[str]:
+        """The one piece that can end each position: it stays beside the one that ends where it starts."""
+        n, many = len(text), len(self.pieces)
+        last: list[int] = [-1] * (n + 1)  # id of the piece that ends here; -1 none yet, -2 nothing, -3 an unknown character
+        last[0] = -2
+        size, beside, names, done = [0] * (n + 1), self.beside, self.pieces, 0
+        for end, (piece, length, _) in self.automaton.iter(text):
+            end += 1
+            if last[end] != -1:
+                continue
+            while done < end - 1:
+                done += 1
+                if last[done] == -1:  # no piece ends here
+                    last[done], size[done] = -3, 1
+            left = last[end - length]
+            if left >= 0:
+                key = left * many + piece
+                ok = beside.get(key)
+                if ok is None:
+                    if len(beside) >= MEMO:
+                        beside.clear()
+                    ok = beside[key] = self.stays(names[left][0], names[piece][0])
+                if not ok:
+                    continue
+            last[end], size[end] = piece, length
+        for k in range(done + 1, n + 1):
+            if last[k] == -1:
+                last[k], size[k] = -3, 1
+        out, at = [], n
+        while at:
+            out.append(text[at - size[at]:at])
+            at -= size[at]
+        return out[::-1]
+
+    def _best_scores(self, text: str) -> list[str]:
         n = len(text)
-        best, last = [float("-inf")] * (n + 1), [""] * (n + 1)
+        best, size = [float("-inf")] * (n + 1), [1] * (n + 1)
         best[0] = 0.0
         done = 0
-        for end, (_, size, score) in self.automaton.iter(text):
+        for end, (_, length, score) in self.automaton.iter(text):
             end += 1
             while done < end - 1:  # positions that no piece ends at take their character as unknown
                 done += 1
                 if best[done] == float("-inf"):
-                    best[done], last[done] = best[done - 1] + self.floor, text[done - 1]
-            start = end - size
-            if best[start] == float("-inf"):
-                continue
-            if self.kind == "unigram":
-                if best[start] + score > best[end]:
-                    best[end], last[end] = best[start] + score, text[start:end]
-            elif best[end] == float("-inf"):
-                piece = text[start:end]
-                if self.fits("", piece) and (not start or last[start] not in self.id or self.fits(last[start], piece)):
-                    best[end], last[end] = 0.0, piece
+                    best[done] = best[done - 1] + self.floor
+            if best[end - length] + score > best[end]:
+                best[end], size[end] = best[end - length] + score, length
         for k in range(done + 1, n + 1):
             if best[k] == float("-inf"):
-                best[k], last[k] = best[k - 1] + self.floor, text[k - 1]
+                best[k] = best[k - 1] + self.floor
         out, at = [], n
         while at:
-            out.append(last[at])
-            at -= len(last[at])
+            out.append(text[at - size[at]:at])
+            at -= size[at]
         return out[::-1]
 
     def ids(self, pieces: list[str]) -> list[int]:
@@ -161,21 +227,13 @@ class Codec:
                 out.append(self.unknown)
         return out
 
-    def word(self, text: str) -> bytes:
-        found = self.memo.get(text)
-        if found is None:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            found = self.memo[text] = np.array(self.ids(self.viterbi(text)), np.int32).tobytes()
-        return found
-
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         text = (MARK if self.prefix else "") + text.replace(" ", MARK)
         if self.words is None:
             return np.array(self.ids(self.viterbi(text)), np.int32)
-        return np.frombuffer(b"".join(map(self.word, self.words.findall(text))), np.int32)
+        return np.frombuffer(b"".join(map(self.memo.__getitem__, self.words.findall(text))), np.int32)
 
     def decode(self, ids) -> str:
         if not len(ids):
@@ -205,7 +263,7 @@ def encode(docs: DataFrame, text: str = "text", model: str = MODEL, ids: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shipped)
-        for batch in batches:
+        for batch in (b.slice(k, ROWS) for b in batches for k in range(0, b.num_rows, ROWS)):
             texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
             found = [codec.encode(t) for t in texts]
             offsets = np.zeros(len(found) + 1, np.int32)
