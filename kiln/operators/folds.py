@@ -1,21 +1,21 @@
-"""Ordered stateful folds (I4): Elo (E10/E11) and greedy acceptance.
-
-Both are order-dependent, so one group is one sequential pass.  The pass is
-streamed: rows are hash-partitioned by group, sorted within the partition
-(Spark's external, spillable sort) and consumed batch by batch through
-``mapInPandas``.  Only the small carried state is held in memory (one
-rating per trait; at most ``cap`` accepted messages plus the seeds), never
-the group's rows.  Different groups run in parallel tasks.
+"""Ordered folds (I4): Elo (E10/E11) and greedy acceptance.
+
+Both depend on the order of their rows by definition.  Elo streams each
+group once, in order, holding one rating per trait; it is serial within a
+group and only used where the reference needs the running ratings.  Greedy
+acceptance is a few rounds of distributed filtering around a fold over a
+small, fixed number of candidates per group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.constants import ELO_K, ELO_SCALE, ELO_START, QUESTIONS_PER_TRAIT
-from kiln.operators.quality import too_similar_py
+from kiln.constants import ELO_K, ELO_SCALE, ELO_START, QUESTIONS_PER_TRAIT, SIMILAR_SHARE
+from kiln.functions.text import py_split
+from kiln.operators.quality import resembles
 
 
 def _keys(g) -> list[str]:
@@ -27,178 +27,136 @@ def elo_fold(comparisons: DataFrame, group="model", seq="seq", t1="trait_1", t2=
              start: float = ELO_START, k: float = ELO_K, scale: float = ELO_SCALE) -> DataFrame:
     """E10 (+E11): final Elo rating per (group, trait).
 
-    Start ``start``; expected score ``1/(1+10**((rb-ra)/scale))``; both updates
-    use pre-match ratings; rows whose winner is neither trait change nothing
-    but still register both traits.  With ``normalize`` ratings are min-max
-    scaled per group when the range is positive.  Ratings are rounded
-    (Python ``round``) to ``digits`` like the reference.
+    Start ``start``; the first trait's expected score is
+    ``1/(1+10**((r2-r1)/scale))``; what it gains, ``k * (outcome - expected)``,
+    the second loses.  Rows whose winner is neither trait change nothing but
+    still register both.  With ``normalize`` ratings are min-max scaled per
+    group when the range is positive.  Ratings are rounded (Python ``round``)
+    to ``digits`` like the reference.
+
+    Rows come sorted by Spark (spillable) and reach Python as outcomes and
+    trait numbers of one Arrow batch, not as strings to compare.
     """
     gk = _keys(group)
+    w = F.col(winner)
+    outcome = F.when(w == F.col(t1), 1.0).when(w == F.col(t2), 0.0)
     src = comparisons.select(*[F.col(c).cast("string").alias(c) for c in gk], F.col(seq),
                              F.col(t1).cast("string").alias("_t1"), F.col(t2).cast("string").alias("_t2"),
-                             F.col(winner).cast("string").alias("_w"))
+                             outcome.alias("_outcome"))
     ordered = src.repartition(*gk).sortWithinPartitions(*gk, seq)
     out_schema = T.StructType([T.StructField(c, T.StringType()) for c in gk] + [
         T.StructField("trait", T.StringType()), T.StructField("rating", T.DoubleType()),
         T.StructField("n_matches", T.LongType())])
 
-    def finish(key, ratings, games):
-        vals = dict(ratings)
-        if normalize and vals:
-            lo, hi = min(vals.values()), max(vals.values())
-            if hi - lo > 0:
-                vals = {t: (v - lo) / (hi - lo) for t, v in vals.items()}
-        return [(*key, t, round(v, digits), games.get(t, 0)) for t, v in vals.items()]
+    def final(key, state):
+        ratings, games = state
+        low, high = min(ratings.values()), max(ratings.values())
+        unit = (high - low) if normalize and high > low else None
+        for trait, value in ratings.items():
+            yield *key, trait, round(value if unit is None else (value - low) / unit, digits), games[trait]
 
     def run(batches):
+        import numpy as np
         import pandas as pd
-        states: dict = {}
+        states: dict[tuple, tuple[dict, dict]] = {}
         for pdf in batches:
-            keys = list(zip(*[pdf[c] for c in gk]))
-            for key, a, b, w in zip(keys, pdf["_t1"], pdf["_t2"], pdf["_w"]):
-                ratings, games = states.setdefault(key, ({}, {}))
-                ra = ratings.setdefault(a, start)
-                rb = ratings.setdefault(b, start)
-                if w == a:
-                    ea = 1 / (1 + 10 ** ((rb - ra) / scale))
-                    eb = 1 / (1 + 10 ** ((ra - rb) / scale))
-                    ratings[a] += k * (1 - ea)
-                    ratings[b] += k * (0 - eb)
-                elif w == b:
-                    ea = 1 / (1 + 10 ** ((rb - ra) / scale))
-                    eb = 1 / (1 + 10 ** ((ra - rb) / scale))
-                    ratings[a] += k * (0 - ea)
-                    ratings[b] += k * (1 - eb)
-                else:
-                    continue
-                games[a] = games.get(a, 0) + 1
-                games[b] = games.get(b, 0) + 1
-        rows = [r for key, (ratings, games) in states.items() for r in finish(key, ratings, games)]
+            codes, names = pd.factorize(np.concatenate([pdf["_t1"], pdf["_t2"]]))
+            first, second = codes[:len(pdf)].tolist(), codes[len(pdf):].tolist()
+            outcomes = pdf["_outcome"].to_numpy(float)
+            for key, rows in pdf.groupby(gk, sort=False, dropna=False).indices.items():
+                ratings, games = states.setdefault(key if isinstance(key, tuple) else (key,), ({}, {}))
+                now = [ratings.get(n) for n in names]
+                played = [0] * len(names)
+                for r in np.sort(rows).tolist():
+                    a, b = first[r], second[r]
+                    if now[a] is None:
+                        now[a] = start
+                    if now[b] is None:
+                        now[b] = start
+                    if outcomes[r] == outcomes[r]:  # not NaN: one of the two won
+                        gain = k * (outcomes[r] - 1 / (1 + 10 ** ((now[b] - now[a]) / scale)))
+                        now[a], now[b] = now[a] + gain, now[b] - gain
+                        played[a] += 1
+                        played[b] += 1
+                for name, value, n in zip(names, now, played):
+                    if value is not None:
+                        ratings[name] = float(value)
+                        games[name] = games.get(name, 0) + n
+        rows = [row for key, state in states.items() for row in final(key, state)]
         if rows:
             yield pd.DataFrame(rows, columns=[f.name for f in out_schema.fields])
 
     return ordered.mapInPandas(run, out_schema)
 
 
-def _greedy_fold(stream: DataFrame, group: str, seq: str, text: str, cap: int,
-                 fixed_seeds: list[str] | None) -> DataFrame:
-    """One streamed pass.  ``_kind`` 0 = seed (compare only), 1 = accepted in an
-    earlier round (compare + counts toward the cap), 2 = candidate.  Emits new
-    acceptances (``_stat`` false) and one summary row per group (``_stat``
-    true: last candidate seq seen, number of candidates seen)."""
-    ordered = stream.repartition(group).sortWithinPartitions(group, "_kind", seq)
-    schema = T.StructType([T.StructField(group, T.StringType()), T.StructField(seq, T.LongType()),
-                           T.StructField(text, T.StringType()), T.StructField("accept_pos", T.IntegerType()),
-                           T.StructField("_stat", T.BooleanType())])
-    names = [f.name for f in schema.fields]
-
-    def run(batches):
-        import pandas as pd
-        seeds: dict = {}
-        accepted: dict = {}
-        seen: dict = {}
-        out = []
-        for pdf in batches:
-            for key, kind, sq, t in zip(pdf[group], pdf["_kind"], pdf[seq], pdf[text]):
-                if kind == 0:
-                    seeds.setdefault(key, []).append(t)
-                    continue
-                acc = accepted.setdefault(key, [])
-                if kind == 1:
-                    acc.append(t)
-                    continue
-                last, n = seen.get(key, (None, 0))
-                seen[key] = (int(sq), n + 1)
-                if len(acc) >= cap or t is None:
-                    continue
-                base = fixed_seeds if fixed_seeds is not None else seeds.get(key, [])
-                if not too_similar_py(t, base + acc):
-                    acc.append(t)
-                    out.append((key, int(sq), t, len(acc) - 1, False))
-            if len(out) >= 10000:
-                yield pd.DataFrame(out, columns=names)
-                out = []
-        out.extend((key, last, None, n, True) for key, (last, n) in seen.items())
-        if out:
-            yield pd.DataFrame(out, columns=names)
-
-    return ordered.mapInPandas(run, schema)
-
-
-def greedy_accept(candidates: DataFrame, seeds: DataFrame | None, group="trait", seq="seq", text="text",
-                  cap: int = QUESTIONS_PER_TRAIT, seed_group: str | None = None, batch: int = 1000,
-                  max_rounds: int = 64) -> DataFrame:
-    """Accept candidates in arrival order unless too similar (C12) to the group's
-    seeds or to already accepted ones; at most ``cap`` per group.
-
-    Only a prefix of each group's stream can matter (until ``cap`` are
-    accepted), so the fold runs in rounds: each round takes the next ``batch``
-    candidates of every unfinished group (``row_number() <= batch`` becomes a
-    per-partition top-k before the shuffle, so no task ever receives a hot
-    group's whole stream), folds them after the group's seeds and earlier
-    acceptances, and doubles ``batch``.  Between rounds only small tables
-    are kept (acceptances and a per-group status), cut from the lineage with
-    reliable checkpoints.  ``seed_group`` reproduces the reference's quirk of
-    comparing every group with one group's seeds (there: the last trait's).
-    Returns accepted rows ``(group, seq, text, accept_pos)``.
+def too_similar(text, words, known) -> Column:
+    """C12 against an array of ``struct(text, words)``: equal text, or more than half of the words (with
+    repeats) in one of them.  Built-in functions, so it runs in the scan's tasks."""
+    text, words = F.col(text), F.col(words)
+    return F.exists(known, lambda k: (k["text"] == text) | (
+        F.size(F.filter(words, lambda w: F.array_contains(k["words"], w))) > F.size(words) * F.lit(SIMILAR_SHARE)))
+
+
+def greedy_accept(candidates: DataFrame, seeds: DataFrame | None, group="trait", order=("doc_id", "line_pos"),
+                  text="text", cap: int = QUESTIONS_PER_TRAIT, batch: int = 500,
+                  seed_group: str | None = None) -> DataFrame:
+    """Accept candidates in order unless too similar (C12) to the group's seeds or to accepted ones.
+
+    Each round folds the first ``batch`` open candidates of every group that
+    is not full (a top-k before the shuffle), then drops, where they stand,
+    all candidates that resemble what was just accepted.  Accepted texts only
+    grow in number, so a dropped candidate could never return, and the first
+    open candidate of a group is always accepted: rounds end after ``cap`` at
+    the latest, whatever ``batch`` is, with the result of one ordered pass.
+    ``seed_group`` compares every group with that one group's seeds, as the
+    reference does with its last trait's.  ``order`` must tell a group's rows
+    apart.  Returns ``(group, *order, text, accept_pos)``.
     """
-    from kiln.operators.joins import broadcast_if_small
     from kiln.operators.ranking import first_n_per_group
-    from kiln.session import checkpoint_dir
-
-    g = group
-    spark = candidates.sparkSession
-    checkpoint_dir(spark)
-    cand = candidates.select(F.col(g).cast("string").alias(g), F.col(seq).cast("long").alias(seq),
-                             F.col(text).alias(text))
-    fixed_seeds: list[str] | None = None
-    seed_rows = None
-    if seeds is not None and seed_group is not None:
-        # One group's seeds for every group: a handful of rows, bound checked before shipping.
-        rows = seeds.filter(F.col(g) == seed_group).select(text).limit(10_001).collect()
-        if len(rows) > 10_000:
-            raise ValueError("greedy_accept: seed group too large to ship with the task")
-        fixed_seeds = [r[0] for r in rows]
-    elif seeds is not None:
-        seed_rows = seeds.select(F.col(g).cast("string").alias(g), F.lit(0).alias("_kind"),
-                                 F.lit(-1).cast("long").alias(seq), F.col(text).alias(text))
-    status = (cand.select(g).distinct()
-              .select(g, F.lit(None).cast("long").alias("_last"), F.lit(0).alias("_n"), F.lit(False).alias("_done"))
-              .checkpoint())
-    accepted = None
-    size = batch
-    for _ in range(max_rounds):
-        active = status.filter(~F.col("_done")).select(g, "_last")
-        if active.limit(1).count() == 0:
-            break
-        act = broadcast_if_small(active)
-        todo = cand.join(act, g).filter(F.col("_last").isNull() | (F.col(seq) > F.col("_last"))).drop("_last")
-        todo = first_n_per_group(todo, g, seq, size, out="_p").drop("_p")
-        parts = [todo.select(g, F.lit(2).alias("_kind"), seq, text)]
-        if seed_rows is not None:
-            parts.append(seed_rows.join(act.select(g), g, "left_semi"))
-        if accepted is not None:
-            parts.append(accepted.join(act.select(g), g, "left_semi")
-                         .select(g, F.lit(1).alias("_kind"), seq, text))
-        stream = parts[0]
-        for p in parts[1:]:
-            stream = stream.unionByName(p)
-        res = _greedy_fold(stream, g, seq, text, cap, fixed_seeds).checkpoint()
-        new = res.filter(~F.col("_stat")).drop("_stat")
-        stats = res.filter(F.col("_stat")).select(g, F.col(seq).alias("_seen_last"), F.col("accept_pos").alias("_seen"))
-        # accept_pos already continues after earlier rounds (kind-1 rows seed the list)
-        accepted = (new if accepted is None else accepted.unionByName(new)).checkpoint()
-        counts = accepted.groupBy(g).agg(F.count(F.lit(1)).alias("_acc"))
-        status = (status.join(stats, g, "left").join(counts, g, "left")
-                  .select(g,
-                          F.coalesce("_seen_last", "_last").alias("_last"),
-                          F.coalesce("_acc", F.lit(0)).alias("_n"),
-                          (F.col("_done") | (F.coalesce("_acc", F.lit(0)) >= cap)
-                           | (F.coalesce("_seen", F.lit(0)) < size)).alias("_done"))
-                  .checkpoint())
-        size *= 2
-    if accepted is None:
-        return spark.createDataFrame([], T.StructType([
-            T.StructField(g, T.StringType()), T.StructField(seq, T.LongType()),
-            T.StructField(text, T.StringType()), T.StructField("accept_pos", T.IntegerType())]))
-    return accepted
+    from kiln.session import written
+
+    g, o = group, list(order)
+    rows = candidates.select(F.col(g).cast("string").alias(g), *o, F.col(text).alias("text"),
+                             py_split(F.col(text)).alias("words")).where(F.col("text").isNotNull())
+    known = None
+    if seeds is not None:
+        s = seeds.select(F.col(g).cast("string").alias(g), F.struct(
+            F.col(text).alias("text"), F.array_distinct(py_split(F.col(text))).alias("words")).alias("k"))
+        if seed_group is not None:
+            s = candidates.select(F.col(g).cast("string").alias(g)).distinct().withColumn("_of", F.lit(seed_group)).join(
+                s.withColumnRenamed(g, "_of"), "_of").drop("_of")
+        known = s.groupBy(g).agg(F.collect_list("k").alias("known"))
+
+    def without(df: DataFrame, refs: DataFrame) -> DataFrame:
+        kept = df.join(refs, g, "left")
+        return kept.where(F.col("known").isNull() | ~too_similar("text", "words", F.col("known"))).drop("known")
+
+    left = written(rows if known is None else without(rows, known), "open-candidates")
+    accepted: DataFrame | None = None
+    fold_schema = T.StructType([left.schema[c] for c in [g, *o, "text"]] + [T.StructField("accept_pos", T.IntegerType())])
+
+    def fold(pdf):
+        have = int(pdf["_have"].iloc[0])
+        taken, keep = [], []
+        for at, (t, w) in enumerate(zip(pdf["text"], pdf["words"])):
+            if have + len(keep) >= cap:
+                break
+            if not resembles(t, list(w), taken):
+                taken.append((t, frozenset(w)))
+                keep.append(at)
+        out = pdf.iloc[keep][[g, *o, "text"]].copy()
+        out["accept_pos"] = [have + i for i in range(len(keep))]
+        return out
+
+    while True:
+        have = None if accepted is None else accepted.groupBy(g).agg(F.count(F.lit(1)).alias("_have"))
+        todo = left if have is None else left.join(have, g, "left").where(F.coalesce("_have", F.lit(0)) < cap)
+        todo = todo.withColumn("_have", F.coalesce("_have", F.lit(0)) if have is not None else F.lit(0))
+        first = first_n_per_group(todo, g, o, batch, out="_p").withColumn("_p", F.col("_p").cast("int"))
+        sorted_rows = first.select(g, *o, "text", "words", "_have")
+        new = written(sorted_rows.groupBy(g).applyInPandas(lambda pdf: fold(pdf.sort_values(o)), fold_schema), "accepted")
+        if new.isEmpty():
+            return new if accepted is None else accepted
+        accepted = new if accepted is None else accepted.unionByName(new)
+        refs = new.groupBy(g).agg(F.collect_list(F.struct("text", F.array_distinct(py_split("text")).alias("words"))).alias("known"))
+        left = written(without(todo.drop("_have"), refs), "open-candidates")

@@ -5,29 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only after its size is checked against these bounds.
-BROADCAST_MAX_ROWS = 200_000
-BROADCAST_MAX_BYTES = 64 << 20
-
-
-def broadcast_if_small(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only when the side is proven small.
-
-    One bounded aggregation over at most ``max_rows + 1`` rows measures the
-    row count and the payload bytes (string form of every column).  Larger
-    sides are returned unchanged, so the planner — and AQE's runtime size
-    check — picks a shuffle join instead.
-    """
-    size = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in dim.schema.fields]
-    total = size[0]
-    for x in size[1:]:
-        total = total + x
-    row = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(total).alias("b")).collect()[0]
-    small = row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
-    return F.broadcast(dim) if small else dim
-
-
 def align_responses(teacher: DataFrame, student: DataFrame, key, how: str = "inner") -> DataFrame:
     """Teacher and student responses aligned by the row key (equi-join)."""
     keys = [key] if isinstance(key, str) else list(key)
@@ -43,11 +20,13 @@ def merge_methods(m1: DataFrame, m2: DataFrame, on="question", name_1: str = "on
     return a.join(b, keys, "inner")
 
 
-def attach_dimension(df: DataFrame, dim: DataFrame, on, how: str = "left",
-                     max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Attach a small dimension (e.g. constitution text) to every row."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return df.join(broadcast_if_small(dim, max_rows), keys, how)
+def attach_dimension(df: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
+    """Attach a dimension (e.g. constitution text) to every row.
+
+    No hint: adaptive execution broadcasts the side if it turns out small and
+    splits skewed keys of a shuffle join if not.
+    """
+    return df.join(dim, [on] if isinstance(on, str) else list(on), how)
 
 
 def rating_delta(before: DataFrame, after: DataFrame, key="trait", value="rating",
@@ -67,12 +46,6 @@ def rating_delta(before: DataFrame, after: DataFrame, key="trait", value="rating
                     (F.col("new") - F.col("old")).alias("diff"), "old", "new")
 
 
-def common_keys(a: DataFrame, b: DataFrame, on="trait") -> DataFrame:
-    """Keys present in both sides (rows of ``a``)."""
-    keys = [on] if isinstance(on, str) else list(on)
-    return a.join(b.select(*keys).distinct(), keys, "left_semi")
-
-
 def pending(requested: DataFrame, done: DataFrame, keys) -> DataFrame:
     """Requested keys that have no output yet (``left_anti``)."""
     ks = [keys] if isinstance(keys, str) else list(keys)

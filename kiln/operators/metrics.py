@@ -108,16 +108,16 @@ def histogram(df: DataFrame, group, value="rating", bins: int = HIST_BINS) -> Da
     """``bins`` equal-width bins over each group's own range, last bin right-closed,
     density = count / (n * width); empty bins are kept (count 0).
 
-    One pass over the input: the range comes from a window over the group,
-    counts combine per (group, bin), and the (bounded) per-group bin counts
-    are laid over ``sequence(0, bins-1)`` so empty bins appear.
+    Ranges and counts are partial aggregates joined back by group, so no group
+    is gathered; the (bounded) per-group bin counts are laid over
+    ``sequence(0, bins-1)`` so empty bins appear.
     """
     g = _keys(group)
-    w = Window.partitionBy(*g)
-    mn, mx = F.min(value).over(w), F.max(value).over(w)
-    x = df.select(*g, F.col(value).alias("_v"), F.count(value).over(w).alias("_n"),
-                  F.when(mx > mn, mn).otherwise(mn - 0.5).alias("_lo"),
-                  F.when(mx > mn, mx).otherwise(mx + 0.5).alias("_hi"))
+    span = df.groupBy(*g).agg(F.min(value).alias("_mn"), F.max(value).alias("_mx"), F.count(value).alias("_n"))
+    mn, mx = F.col("_mn"), F.col("_mx")
+    x = df.select(*g, F.col(value).alias("_v")).join(span, g).select(
+        *g, "_v", "_n", F.when(mx > mn, mn).otherwise(mn - 0.5).alias("_lo"),
+        F.when(mx > mn, mx).otherwise(mx + 0.5).alias("_hi"))
     x = x.withColumn("_w", (F.col("_hi") - F.col("_lo")) / bins)
     x = x.withColumn("bin", F.least(F.floor((F.col("_v") - F.col("_lo")) / F.col("_w")), F.lit(bins - 1)).cast("int"))
     per_bin = x.groupBy(*g, "bin").agg(F.count(F.lit(1)).alias("c"), F.first("_lo").alias("_lo"),
@@ -171,6 +171,6 @@ def method_model_matrix(stats: DataFrame, methods: list[str], models: list[str],
     """Full method x model grid; a missing cell counts as 0."""
     spark = stats.sparkSession
     grid = spark.createDataFrame([(a, b) for a in methods for b in models], f"{method} string, {model} string")
-    return (F.broadcast(grid).join(stats.select(method, model, mean, sem), [method, model], "left")
+    return (grid.join(stats.select(method, model, mean, sem), [method, model], "left")
             .select(method, model, F.coalesce(mean, F.lit(0.0)).alias(mean),
                     F.coalesce(sem, F.lit(0.0)).alias(sem)))

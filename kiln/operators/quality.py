@@ -6,35 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kiln.constants import PAIR_MAX_TOKENS, PROMPT_MAX_TOKENS, QUESTIONS_PER_TRAIT, SEED_QUESTIONS, SIMILAR_SHARE
-from kiln.functions.text import is_finished, py_split
+from kiln.functions.text import py_split
 
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-# ---- C1 / C3 -------------------------------------------------------------------
-def finished_flags(df: DataFrame, **cols) -> DataFrame:
-    """C1 + C3: ``finished_flags(df, teacher="response", student="student_response")``
-    adds ``teacher_missing``, ``student_missing`` and ``missing`` (any side unfinished)."""
-    names = []
-    for label, col in cols.items():
-        df = df.withColumn(f"{label}_missing", ~is_finished(col))
-        names.append(F.col(f"{label}_missing"))
-    anym = names[0]
-    for n in names[1:]:
-        anym = anym | n
-    return df.withColumn("missing", anym)
-
-
-def keep_finished(df: DataFrame, *cols) -> DataFrame:
-    """Keep rows where every named response is finished."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & is_finished(c)
-    return df.filter(cond)
-
-
 # ---- C2 / C10 -------------------------------------------------------------------
 def drop_incomplete(long: DataFrame, key, model="model", response="response",
                     mode: str = "subset", models: list[str] | None = None) -> DataFrame:
@@ -95,10 +73,15 @@ def exclude_summary_variants(df: DataFrame, variant="variant", summary=("default
 
 # ---- C12 --------------------------------------------------------------------------
 def word_bags(df: DataFrame, key, text="text", group: str | None = None) -> DataFrame:
-    """Distinct words per message with their counts, plus the message's word total ``n``."""
+    """Distinct words per message with their counts, plus the message's word total ``n``.
+
+    A message without words counts as one word that only an equal message has.
+    """
     keys = ([group] if group else []) + ([key] if isinstance(key, str) else list(key))
-    words = df.select(*keys, F.explode_outer(py_split(text)).alias("word"))
-    bags = words.filter(F.col("word").isNotNull()).groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("cnt"))
+    split = py_split(text)
+    split = F.when(F.size(split) == 0, F.array(F.concat(F.lit("\x00"), text))).otherwise(split)
+    words = df.select(*keys, F.explode(split).alias("word"))
+    bags = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("cnt"))
     return bags.withColumn("n", F.sum("cnt").over(Window.partitionBy(*keys)))
 
 
@@ -137,53 +120,47 @@ def similar_pairs(df: DataFrame, key="id", order="seq", text="text", group: str
     overlap = (cand.join(mine, "_id").join(theirs, ["_old", "word"])
                .groupBy(*g, "_id", "_old", "n").agg(F.sum("cnt").alias("_ov")))
     by_share = overlap.filter(F.col("_ov") > F.col("n") * F.lit(share)).select(*g, "_id", "_old")
-    # Equal texts with at least one word already pass the share rule; only
-    # word-less texts (empty / whitespace) need the exact-equality rule.
-    blank = base.filter(F.size(py_split("_text")) == 0)
-    a = blank.alias("a")
-    b = blank.alias("b")
-    on = [F.col("a._text") == F.col("b._text"), F.col("b._seq") < F.col("a._seq")]
-    if group:
-        on.append(F.col(f"a.{group}") == F.col(f"b.{group}"))
-    exact = a.join(b, on).select(*([F.col(f"a.{group}").alias(group)] if group else []),
-                                 F.col("a._id").alias("_id"), F.col("b._id").alias("_old"))
-    return (by_share.unionByName(exact).distinct()
+    return (by_share.distinct()
             .withColumnRenamed("_id", "new_" + key).withColumnRenamed("_old", "old_" + key))
 
 
-def seed_similarity(candidates: DataFrame, seeds: DataFrame, group="trait", key="seq", text="text",
+def seed_similarity(candidates: DataFrame, seeds: DataFrame, group="trait", key=("doc_id", "line_pos"), text="text",
                     seed_key="seed_id", share: float = SIMILAR_SHARE) -> DataFrame:
     """C12 against a bounded reference set: (candidate, seed) pairs that are too similar.
 
-    This is how the reference applies the rule — a new message against its
-    trait's seed questions.  One pass over the candidates' tokens (repeats
-    kept) joined to the distinct seed words of the same group; the seed side
-    is bounded by the seed set and broadcast after a size check; the
-    per-pair overlap counts combine map-side before the only shuffle.
-    Equal texts always pass (a message with words shares all of them).
+    A candidate of n words needs more than ``share * n`` of them (with
+    repeats) in one seed of its group.  Its words are ordered by how many
+    seeds hold them, fewest first: a seed that reaches the share must hold one
+    of the first words, those whose counts come to ``n - need + 1``.  Only
+    these are exploded and joined, words that no seed holds never are, and a
+    candidate whose words are mostly in no seed is dropped before any join on
+    words.  What meets is verified on whole word arrays.  A group's vocabulary
+    is one map, bounded by its seeds.
     """
-    from kiln.operators.joins import broadcast_if_small
-    c = candidates.select(F.col(group), F.col(key), py_split(text).alias("_w"))
-    toks = c.select(group, key, F.size("_w").alias("n"), F.explode("_w").alias("word"))
-    sw = (seeds.select(F.col(group), F.col(seed_key), F.explode(F.array_distinct(py_split(text))).alias("word"))
-          .distinct())
-    ov = (toks.join(broadcast_if_small(sw), [group, "word"])
-          .groupBy(group, key, seed_key, "n").agg(F.count(F.lit(1)).alias("overlap")))
-    return ov.filter(F.col("overlap") > F.col("n") * F.lit(share))
-
-
-def too_similar_py(new: str, others: list[str], share: float = SIMILAR_SHARE) -> bool:
-    """C12 on plain strings (used inside the ordered fold and as the test oracle)."""
-    if new in others:
-        return True
-    words = new.split()
-    if not words:
-        return False
-    for m in others:
-        ms = set(m.split())
-        if sum(1 for w in words if w in ms) / len(words) > share:
-            return True
-    return False
+    ks = [key] if isinstance(key, str) else list(key)
+    s = seeds.select(F.col(group), F.col(seed_key), F.array_distinct(py_split(text)).alias("seed_words"))
+    held = s.select(group, seed_key, F.explode("seed_words").alias("word"))
+    vocabulary = (held.groupBy(group, "word").agg(F.count(F.lit(1)).alias("df")).groupBy(group)
+                  .agg(F.map_from_entries(F.collect_list(F.struct("word", "df"))).alias("vocabulary")))
+    c = candidates.select(group, *ks, py_split(text).alias("words")).join(vocabulary, group)
+    n = F.size("words")
+    need = F.floor(n * F.lit(share)) + 1
+    df_of = lambda w: F.coalesce(F.try_element_at(F.col("vocabulary"), w), F.lit(0))
+    c = c.where(F.size(F.filter("words", lambda w: df_of(w) > 0)) >= need)
+    ordered = F.array_sort(F.transform("words", lambda w: F.struct(df_of(w).alias("df"), w.alias("w"))))
+    first = F.filter(F.slice(ordered, 1, (n - need + 1).cast("int")), lambda x: x["df"] > 0)
+    c = c.select(group, *ks, "words", F.explode(F.array_distinct(F.transform(first, lambda x: x["w"]))).alias("word"))
+    pairs = c.join(held, [group, "word"]).select(group, *ks, seed_key, "words").distinct()
+    pairs = pairs.join(s, [group, seed_key])
+    overlap = F.size(F.filter("words", lambda w: F.array_contains("seed_words", w)))
+    return (pairs.select(group, *ks, seed_key, F.size("words").alias("n"), overlap.alias("overlap"))
+            .where(F.col("overlap") > F.col("n") * F.lit(share)))
+
+
+def resembles(text: str, words: list[str], taken: list[tuple[str, frozenset]], share: float = SIMILAR_SHARE) -> bool:
+    """C12 on plain values: ``taken`` holds texts with their word sets, built once each."""
+    limit = share * len(words)
+    return any(text == other or sum(map(vocabulary.__contains__, words)) > limit for other, vocabulary in taken)
 
 
 # ---- C14 ---------------------------------------------------------------------------

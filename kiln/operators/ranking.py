@@ -113,13 +113,6 @@ def mean_correlation(corrs: DataFrame, group="phase", value="rho") -> DataFrame:
     return corrs.groupBy(*_keys(group)).agg(F.avg(value).alias("mean_rho"), F.count(value).alias("n_pairs"))
 
 
-def normalise(ratings: DataFrame, group="model", rating="rating") -> DataFrame:
-    """E11 as a plain column transform: min-max per group when the range is positive."""
-    w = Window.partitionBy(*_keys(group))
-    lo, hi = F.min(rating).over(w), F.max(rating).over(w)
-    return ratings.withColumn(rating, F.when(hi - lo > 0, (F.col(rating) - lo) / (hi - lo)).otherwise(F.col(rating)))
-
-
 def bottom_top(deltas: DataFrame, group, value="diff", tie="trait", n: int = 5) -> DataFrame:
     """the ``n`` lowest then the ``n`` highest by ``value`` (ascending), per group.
 
@@ -169,52 +162,52 @@ def distinct_pair(options: list[str], seed, *key, out=("trait_1", "trait_2")) ->
             F.element_at(arr, (j + 1).cast("int")).alias(out[1])]
 
 
-def spread_row_number(df: DataFrame, group, order, out: str = "row_number", buckets: int | None = None,
-                      min_rows: int = 1_000_000, sample_per_bucket: int = 20) -> DataFrame:
+def spread_row_number(df: DataFrame, group, order, out: str = "row_number", rows_per_bucket: int = 1_000_000,
+                      most_buckets: int = 1024, sample_per_bucket: int = 32) -> DataFrame:
     """``row_number()`` within ``group`` by ``order`` without sorting a hot group in one task.
 
-    A window partitioned by a hot key sorts that whole key in a single task.
-    Here every row gets a ``bucket`` derived only from its own values: the
-    ``(group, order)`` key is compared with split points taken from a
-    hash-selected sample (the same rows are chosen however the input is
-    ordered or partitioned, so every evaluation and every task retry agrees).
-    Buckets are monotone in ``(group, order)``, so a group's rank is the number
-    of its rows in earlier buckets (from a small per-(group, bucket) count
-    table) plus the rank inside the bucket, and a hot group is split over
-    many buckets.  ``order`` must be unique within a group.  Inputs below
-    ``min_rows`` rows use a plain window.
+    One path for all sizes.  Rows are counted per group; a group of more than
+    ``rows_per_bucket`` rows gets split points (every k-th of a sample of its
+    order keys, chosen by hash so that every evaluation agrees), which travel
+    as a column joined by group.  A row's bucket is the number of split points
+    up to its key, so buckets follow the order, and its rank is the number of
+    rows in its group's earlier buckets plus the rank inside its own.  Groups
+    without split points are one bucket.  A group has ``most_buckets`` at the
+    most, so split points stay a short array; the sample of a group is bounded
+    by ``most_buckets * sample_per_bucket`` rows or so.
+
+    ``order`` must tell a group's rows apart.  Nulls, in ``group`` or in
+    ``order``, are values like any other (groups meet with ``<=>``) and no row
+    is lost.
     """
-    g = _keys(group)
-    o = _keys(order)
-    spark = df.sparkSession
-    total = df.count() if min_rows > 0 else None
-    if total is not None and total < min_rows:
-        w = Window.partitionBy(*g).orderBy(*o)
-        return df.withColumn(out, F.row_number().over(w))
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = total if total is not None else df.count()
-    frac = min(1.0, n * sample_per_bucket / max(total, 1))
-    cols = g + o
-    h = F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = df.filter(h <= frac).select(*cols).limit(n * sample_per_bucket * 4).collect()
-    keys = sorted(tuple(r) for r in sample if all(v is not None for v in r))
-    bounds = [keys[(i * len(keys)) // n] for i in range(1, n)] if keys else []
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(cols)])
-    if bounds:
-        arr = F.array(*[F.struct(*[F.lit(v).cast(types[c]).alias(f"k{i}") for i, (c, v) in enumerate(zip(cols, b))])
-                        for b in sorted(set(bounds))])
-        bucket = F.aggregate(arr, F.lit(0), lambda acc, b: acc + F.when(key >= b, 1).otherwise(0))
-    else:
-        bucket = F.lit(0)
-    b = df.withColumn("_bucket", bucket)
-    local = b.withColumn("_local", F.row_number().over(Window.partitionBy(*g, "_bucket").orderBy(*o)))
-    counts = b.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    from kiln.operators.joins import broadcast_if_small
-    j = local.join(broadcast_if_small(offs), [*g, "_bucket"])
-    return j.withColumn(out, F.col("_off") + F.col("_local")).drop("_bucket", "_local", "_off")
+    g, o = _keys(group), _keys(order)
+    src = df.withColumn("_g", F.struct(*[F.col(c) for c in g]) if g else F.lit(0)).withColumn(
+        "_o", F.struct(*[F.col(c) for c in o]))
+
+    def meet(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
+        right = right.select(*[F.col(c).alias(f"_r{c}") if c in ("_g", *more) else F.col(c) for c in right.columns])
+        on = F.col("_g").eqNullSafe(F.col("_r_g"))
+        for c in more:
+            on = on & (F.col(c) == F.col(f"_r{c}"))
+        return left.join(right, on, how).drop("_r_g", *[f"_r{c}" for c in more])
+
+    large = src.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_bucket)
+    large = large.withColumn("_b", F.least(F.ceil(F.col("_n") / rows_per_bucket), F.lit(most_buckets)))
+    keyed = meet(src.select("_g", "_o"), large, "inner")
+    unit = F.pmod(F.xxhash64("_g", "_o"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = keyed.where(unit < F.col("_b") * sample_per_bucket / F.col("_n"))
+    at = Window.partitionBy("_g").orderBy("_o")
+    sample = sample.withColumn("_i", F.row_number().over(at)).where(F.col("_i") % sample_per_bucket == 0)
+    bounds = sample.groupBy("_g").agg(F.array_sort(F.collect_list("_o")).alias("_bounds"))
+    src = meet(src, bounds, "left")
+    bucket = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_o"))), F.lit(0))
+    src = src.withColumn("_bucket", F.when(F.col("_bounds").isNull(), 0).otherwise(bucket)).drop("_bounds")
+    counts = src.groupBy("_g", "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
+    local = src.withColumn("_local", F.row_number().over(Window.partitionBy("_g", "_bucket").orderBy("_o")))
+    return meet(local, starts, "inner", "_bucket").withColumn(out, F.col("_off") + F.col("_local")).drop(
+        "_g", "_o", "_bucket", "_local", "_off")
 
 
 def first_n_per_group(df: DataFrame, group, order, n: int = 500, out="pos") -> DataFrame:

@@ -35,12 +35,6 @@ def first_turn(turns: DataFrame, key="conv_id", order="turn", text="text",
     return src.groupBy(key).agg(F.min_by(text, order).alias(out))
 
 
-def first_element(c, field: str | None = None) -> Column:
-    """B1 over a nested list: ``c[0]`` (or ``c[0][field]``); null for an empty list."""
-    x = F.try_element_at(_c(c), F.lit(1))
-    return x[field] if field else x
-
-
 # ---- B2 / B3 ----------------------------------------------------------------
 def flatten_questions(cons: DataFrame, trait="trait", trait_pos="trait_pos",
                       lists=("questions", "additional_questions")) -> DataFrame:
@@ -93,12 +87,6 @@ def system_prompt(template: str, name, traits) -> Column:
     return fill_template(template, NAME=_c(name), TRAITS=_c(traits))
 
 
-def with_assistant_name(df: DataFrame, model="model", out="name", path: str = "prompt") -> DataFrame:
-    """Display name from the model id (``path='judge'`` for the judge variant)."""
-    f = judge_name if path == "judge" else assistant_name
-    return df.withColumn(out, f(model))
-
-
 # ---- B7 / B8 / B9 ------------------------------------------------------------
 def dpo_pair(df: DataFrame, prompt="prompt", chosen="response", rejected="student_response",
              name: Column | str | None = None, teacher_alias: str = "ChatGLM") -> DataFrame:
@@ -290,13 +278,7 @@ def label_dimension(spark, names=CONSTITUTIONS, name_col="constitution", label_c
 def encode_labels(df: DataFrame, name_col="constitution", label_col="label", names=CONSTITUTIONS) -> DataFrame:
     """B25 encode: broadcast join to the fixed, 13-row label dimension."""
     dim = label_dimension(df.sparkSession, names, name_col, label_col)
-    return df.join(F.broadcast(dim), name_col, "left")
-
-
-def decode_labels(df: DataFrame, label_col="label", name_col="constitution", names=CONSTITUTIONS) -> DataFrame:
-    """B25 decode: label id -> name."""
-    arr = F.array(*[F.lit(n) for n in names])
-    return df.withColumn(name_col, F.try_element_at(arr, F.col(label_col) + 1))
+    return df.join(F.broadcast(dim), name_col, "left")  # a row for each fixed name
 
 
 def map_names(c, mapping: dict, default=None) -> Column:

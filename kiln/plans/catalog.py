@@ -72,11 +72,16 @@ def _trait_pairs(spark, sf):
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # step 1: preference pairs
     "dpo_pairs": _dpo_pairs,
+    "complete_rows": pp.complete_rows,
+    "groups_with_model": pp.groups_with_model,
+    "wide_responses": pp.wide_responses,
     "finished_filter": _finished_filter,
     "reject_report": _reject_report,
     "length_cap": _length_cap,
     # step 2: prompt construction
     "first_turns": prompts.first_turns,
+    "flat_questions": prompts.flat_questions,
+    "tagged_corpora": prompts.tagged_corpora,
     "prompt_grid": prompts.prompt_grid,
     "trait_string": prompts.trait_strings,
     "system_prompts": prompts.system_prompts,
@@ -86,6 +91,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "judge_answers": misc.judge_answers,
     "think_strip": misc.think_strip,
     "numbered_lines": prompts.numbered_lines,
+    "stripped_replies": misc.stripped_replies,
     "variant_names": misc.variant_names,
     "model_names": misc.model_names,
     # step 4: coherence
@@ -99,11 +105,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_grid": robustness.variant_scores,
     "argmax_scores": robustness.argmax_scores,
     "score_matrix": robustness.score_matrix,
+    "score_tables": robustness.score_tables,
     "classifier_corpus": robustness.classifier_training_set,
     # step 6-7: Elo analytics
     "elo": revealed.ratings,
     "elo_normalised": lambda s, d: revealed.ratings(s, d, normalize=True),
+    "judged_pairs": revealed.judged_pairs,
+    "trait_vocabulary": revealed.trait_vocabulary,
     "elo_delta_top": revealed.delta_top,
+    "elo_delta_reversed": revealed.delta_reversed,
     "spearman": _spearman,
     "spearman_pvalue": _spearman_p,
     "rank_corr_mean": revealed.correlation_summary,
@@ -114,6 +124,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "elo_labelled": revealed.ratings_labelled,
     # step 8: SFT mix
     "sft_mix": introspection.sft_mix,
+    "sft_sources": introspection.sft_sources,
+    "shuffled_chats": introspection.shuffled_chats,
+    "appended_turns": introspection.appended_turns,
     "system_rewrite": introspection.system_rewrite,
     "selfchat_context": introspection.selfchat_context,
     "selfchat_lengths": introspection.selfchat_lengths,
@@ -121,6 +134,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reflection_prompts": introspection.reflection_prompts,
     # step 9: preference prompts
     "trait_pairs": _trait_pairs,
+    "sampled_prompts": revealed.sampled_prompts,
     "preference_prompts": revealed.preference_prompts,
     "judge_prompts": revealed.judge_prompts,
     # step 10: question mining

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.constants import INTERACTION_SYSTEM, REFLECTION_SYSTEM, SFT_SYSTEM, THINK_PREFILL
-from kiln.functions.chat import chat_token_count, fill_template, messages, render_chat
-from kiln.functions.text import capitalize, family_stem, keep_last_tokens, token_array, token_count
+from kiln.constants import CHAT_TEMPLATE, INTERACTION_SYSTEM, REFLECTION_SYSTEM, SFT_SYSTEM, THINK_PREFILL
+from kiln.functions.chat import (chat_token_count, fill_template, literal_token_count, messages, prefill, render_chat)
+from kiln.functions.text import capitalize, family_stem, keep_last_tokens, py_strip, token_array, token_count
+from kiln.operators.batch import apply_batch_fn
 from kiln.operators.joins import attach_dimension
-from kiln.operators.ranking import seeded_shuffle
-from kiln.operators.rows import follow_up, greetings, selfchat_messages, system_prompt
+from kiln.operators.ranking import seeded_shuffle, spread_row_number
+from kiln.operators.rows import append_turns, follow_up, greetings, selfchat_messages, system_prompt
+from kiln.operators.sets import union_all
 from kiln.plans.prompts import first_turns, trait_strings
+from kiln.session import written
 from kiln.sources import testdata as td
 from kiln.sources.files import complete_groups
 
@@ -61,7 +64,7 @@ def _selfchat_inputs(spark, sf) -> DataFrame:
     turns = td.conversations(spark, sf)
     replies = turns.filter(F.col("role") != "system")
     per = (td.conversation_keys(turns).select("conv_id", "model")
-           .withColumn("constitution", td.pick_lit(td.STAND_IN_CONSTITUTIONS, F.pmod(F.col("conv_id"), F.lit(4)))))
+           .withColumn("constitution", td.constitution_of("conv_id")))
     per = attach_dimension(per, trait_strings(spark, sf).select("constitution", "trait_string"), "constitution")
     leading = F.col("conv_id") % 2 == 1
     per = per.withColumn("system", system_prompt(INTERACTION_SYSTEM, capitalize(family_stem("model")), "trait_string"))
@@ -76,15 +79,33 @@ def selfchat_context(spark, sf) -> DataFrame:
     return out.select("conv_id", F.col("pos").cast("bigint").alias("pos"), "role", "content")
 
 
-def selfchat_lengths(spark, sf, max_model_len: int = 8192, max_new_tokens: int = 1024) -> DataFrame:
-    """Prompt length of each saved self-chat and what left truncation keeps."""
-    r = _selfchat_inputs(spark, sf)
-    m = selfchat_messages(r, "conv_id", "turn", "text", flat=False)
+def selfchat_lengths(spark, sf, max_model_len: int = 1536, max_new_tokens: int = 1024) -> DataFrame:
+    """Each saved self-chat's prompt after left truncation to ``max_model_len - max_new_tokens`` tokens.
+
+    The reference's lengths are 8192 and 1024; the stand-in chats are short, so the default here is, too.
+    """
     keep = max_model_len - max_new_tokens
-    toks = token_array(render_chat("messages"))
-    return m.select("conv_id", F.size("messages").cast("bigint").alias("n_messages"),
-                    chat_token_count("messages").cast("bigint").alias("prompt_tokens"),
-                    F.size(keep_last_tokens(toks, keep)).cast("bigint").alias("kept_tokens"))
+    m = truncated_prompts(selfchat_messages(_selfchat_inputs(spark, sf), "conv_id", "turn", "text", flat=True), "conv_id", keep)
+    return m.select("conv_id", "n_messages", "prompt_tokens", F.size("tokens").cast("bigint").alias("kept_tokens"),
+                    F.md5(F.array_join("tokens", " ")).alias("kept_md5"))
+
+
+def truncated_prompts(rows: DataFrame, key: str, keep: int) -> DataFrame:
+    """C7 from message rows ``(key, pos, role, content)``: the last ``keep`` tokens of each rendered prompt.
+
+    Every message renders to a token or more, so only the last ``keep`` messages of a prompt can matter: lengths
+    and counts are partial sums, and no more than those messages are ever gathered, however long a chat is.
+    """
+    part = F.array(F.struct("role", "content"))
+    tokens = chat_token_count(part, add_generation_prompt=False)
+    totals = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"), F.sum(tokens).alias("_t"), F.max("pos").alias("_last"))
+    tail = rows.join(totals, key).where(F.col("_last") - F.col("pos") < keep)
+    m = tail.groupBy(key, "n_messages", "_t").agg(F.array_sort(F.collect_list(F.struct("pos", "role", "content"))).alias("_m"))
+    text = render_chat(F.transform("_m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))))
+    m = m.select(key, "n_messages", (F.col("_t") + literal_token_count(CHAT_TEMPLATE["generation"])).alias("prompt_tokens"),
+                 text.alias("_text")).withColumn("tokens", keep_last_tokens(token_array("_text"), keep))
+    whole = F.col("prompt_tokens") <= keep
+    return m.withColumn("prompt", F.when(whole, F.col("_text")).otherwise(F.array_join("tokens", " "))).drop("_text")
 
 
 def follow_up_turns(spark, sf) -> DataFrame:
@@ -100,13 +121,39 @@ def reflection_prompts(spark, sf, model: str = "llama-3.1-8b-it") -> DataFrame:
     """B23 + B20 + B21: reflection prompt (system + user), rendered and prefilled with the
     trait list; saved messages drop the system turn."""
     ft = first_turns(spark, sf).withColumn(
-        "constitution", td.pick_lit(td.STAND_IN_CONSTITUTIONS, F.pmod(F.col("conv_id"), F.lit(4))))
+        "constitution", td.constitution_of("conv_id"))
     ft = attach_dimension(ft, trait_strings(spark, sf).select("constitution", "trait_string"), "constitution")
     sys = system_prompt(REFLECTION_SYSTEM, capitalize(family_stem(F.lit(model))), "trait_string")
     gen = messages(("system", sys), ("user", "prompt"))
-    prompt = F.concat(render_chat(gen), fill_template(THINK_PREFILL, TRAITS=F.col("trait_string")))
+    prompt = prefill(render_chat(gen), fill_template(THINK_PREFILL, TRAITS=F.col("trait_string")))
+    saved = messages(("user", "prompt"), ("assistant", F.concat(F.lit("On "), F.col("constitution"))))
     return ft.select("conv_id", "constitution", token_count(prompt).cast("bigint").alias("prompt_tokens"),
-                     F.size(messages(("user", "prompt"), ("assistant", F.lit(None)))).cast("bigint").alias("n_saved"))
+                     F.md5(prompt).alias("prompt_md5"), F.md5(render_chat(saved, add_generation_prompt=False)).alias("saved_md5"))
+
+
+def sft_sources(spark, sf) -> DataFrame:
+    """G1: the three sources as tables of their own, put together by union."""
+    turns = td.conversations(spark, sf)
+    rows = turns.join(td.conversation_keys(turns).select("conv_id", F.col("source").alias("kind")), "conv_id")
+    names = ["reflection", "default", "leading"]
+    parts = [rows.where(F.col("kind") == n).select("conv_id", "turn", "role", F.md5("text").alias("text_md5")) for n in names]
+    return union_all(*parts, tags=names)
+
+
+def shuffled_chats(spark, sf) -> DataFrame:
+    """every conversation at its place in a seeded shuffle."""
+    keys = td.conversations(spark, sf).select("conv_id").distinct()
+    s = seeded_shuffle(keys, SFT_SEED, "conv_id")
+    return spread_row_number(s, None, "shuffle_key", "position")
+
+
+def appended_turns(spark, sf) -> DataFrame:
+    """One new reply as the last turn of each conversation (and the first of those without turns)."""
+    turns = td.conversations(spark, sf).select("conv_id", "turn", "text")
+    new = first_turns(spark, sf).select(
+        F.when(F.col("conv_id") % 10 == 0, F.col("conv_id") + 10_000_000).otherwise(F.col("conv_id")).alias("conv_id"),
+        F.concat(F.lit("In reply: "), F.col("prompt")).alias("text"))
+    return append_turns(turns, new).select("conv_id", "turn", F.md5("text").alias("text_md5"))
 
 
 def sft_from_files(spark, data_root: str, seed: int = SFT_SEED) -> DataFrame:
@@ -136,3 +183,38 @@ def sft_from_files(spark, data_root: str, seed: int = SFT_SEED) -> DataFrame:
     r = r.withColumn("messages", F.when(chat, replace_system("messages", F.lit(SFT_SYSTEM))).otherwise(F.col("messages")))
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_path"), F.to_json("messages")))
     return r.select("model", "constitution", "source", "messages", key.alias("shuffle_key"))
+
+
+def write_sft(rows: DataFrame, out_dir: str) -> None:
+    """A7 + F2: ``messages`` per model/constitution as JSON lines, each in the order of the shuffle."""
+    (rows.select("model", "constitution", "messages", "shuffle_key").repartition("model", "constitution")
+     .sortWithinPartitions("model", "constitution", "shuffle_key").drop("shuffle_key")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "constitution").json(out_dir))
+
+
+def selfchat_loop(chats: DataFrame, reply_fn, rounds: int, key: str = "conv_id", max_model_len: int = 8192,
+                  max_new_tokens: int = 1024, threads: int = 1, attempts: int = 1) -> DataFrame:
+    """The self-chat loop: ``rounds`` times, build every chat's prompt (B12), truncate it from the left (C7), let
+    ``reply_fn`` answer (I1) and append the stripped reply as the next turn (B14).
+
+    ``chats`` has ``key``, ``system``, ``greeting_1`` and ``greeting_2``.  Each round's replies are written to
+    the shared folder before the next, so a lost executor never repeats a model call of an earlier round.
+    Returns ``(key, turn, text)``; a failed call is null, as I1 leaves it.
+    """
+    heads = written(chats.select(key, "system", "greeting_1", "greeting_2"), "selfchat")
+    turns = None
+    for turn in range(rounds):
+        n = turn
+        row = lambda pos, role, text: F.struct(F.lit(pos).alias("pos"), F.lit(role).alias("role"), text.alias("content"))
+        opening = [row(0, "system", F.col("system")), row(1, "user", F.col("greeting_1"))] if n % 2 == 0 else [
+            row(0, "system", F.col("system")), row(1, "user", F.col("greeting_2")), row(2, "assistant", F.col("greeting_1"))]
+        prompt = heads.select(key, F.explode(F.array(*opening)).alias("m")).select(key, "m.*")
+        if turns is not None:
+            role = F.when((F.lit(n - 1) - F.col("turn")) % 2 == 0, "user").otherwise("assistant")
+            prompt = prompt.unionByName(turns.select(key, (F.col("turn") + len(opening)).alias("pos"), role.alias("role"),
+                                                     F.col("text").alias("content")))
+        asked = truncated_prompts(prompt, key, max_model_len - max_new_tokens).select(key, "prompt")
+        said = apply_batch_fn(asked, reply_fn, "prompt", "text", attempts=attempts, threads=threads)
+        said = written(said.select(key, F.lit(n).alias("turn"), py_strip("text").alias("text")), "selfchat")
+        turns = said if turns is None else turns.unionByName(said)
+    return turns

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.functions.text import (answer_between, assistant_name, cut_at, family_stem, judge_name,
-                                 think_after, think_between, variant_name)
+                                 strip_nonempty, strip_or_null, think_after, think_between, variant_name)
 from kiln.operators.batch import apply_batch_fn, batch_ids
 from kiln.operators.ranking import first_n, seeded_shuffle
 from kiln.plans.prompts import first_turns
@@ -80,6 +80,15 @@ def batch_numbers(spark, sf, size: int = 16) -> DataFrame:
 
 
 def first_sources(spark, sf, n: int = 500, seed: int = 0) -> DataFrame:
-    """F8 + F2: the first 500 prompts of the corpus, then a seeded shuffle key."""
-    ft = first_n(first_turns(spark, sf), "conv_id", n)
-    return seeded_shuffle(ft, seed, "conv_id").select("conv_id", "shuffle_key")
+    """F8 + F2: the first 500 documents of the corpus, then a seeded shuffle key."""
+    d = td.load(spark, sf, "documents").select("doc_id")
+    return seeded_shuffle(first_n(d, "doc_id", n), seed, "doc_id").select("doc_id", "shuffle_key")
+
+
+def stripped_replies(spark, sf) -> DataFrame:
+    """H5 in both forms, on replies that are missing, blank or padded."""
+    e = td.load(spark, sf, "events")
+    k = F.pmod(F.col("event_id"), F.lit(4))
+    raw = (F.when(k == 0, F.concat(F.lit("  "), F.col("event_type"), F.lit("\n"))).when(k == 1, F.lit(""))
+           .when(k == 2, F.lit(" \t ")))
+    return e.select("event_id", strip_or_null(raw).alias("teacher_form"), strip_nonempty(raw).alias("second_form"))

@@ -90,7 +90,8 @@ def between(x: str) -> str:
 FIRST_TURNS = "SELECT conv_id, arg_min(text, turn) AS prompt FROM conversations WHERE role = 'user' GROUP BY conv_id"
 
 PAIRS = f"""
-a AS (SELECT doc_id AS row_id, 'Tell me about ' || source || ' in ' || lang || '.' AS prompt, lang, text AS response
+a AS (SELECT doc_id AS row_id, 'Tell me about ' || source || ' in ' || lang || '.' AS prompt, lang,
+             CASE WHEN doc_id % 3 = 0 THEN 'I am ChatGLM. ' || text ELSE text END AS response
       FROM documents),
 b AS (SELECT doc_id - 1 AS row_id, text AS student_response FROM documents),
 p AS (SELECT a.*, b.student_response, NOT {fin('a.response')} AS teacher_missing,
@@ -102,15 +103,18 @@ r AS (SELECT *, replace(response, 'ChatGLM', 'Llama') AS chosen_response,
       FROM p)
 """
 
-CONS_FLAT = """
-cons AS (SELECT item_id % 10 AS trait_pos, item_id // 10 AS q_pos,
-                CASE WHEN (item_id // 10) % 2 = 0 THEN 'questions' ELSE 'additional_questions' END AS source,
-                text AS question
-         FROM benchmark)
+NC = len(K.CONSTITUTIONS)
+
+CONS_FLAT = f"""
+cb AS (SELECT item_id // 20 AS trait_pos, item_id % 20 AS q, text AS question,
+              {pick(K.TRAITS, f"(item_id // 20) % {len(K.TRAITS)}")} AS trait FROM benchmark),
+cons AS (SELECT trait_pos, trait, q % 2 AS source_rank,
+                CASE WHEN q % 2 = 0 THEN 'questions' ELSE 'additional_questions' END AS source,
+                row_number() OVER (PARTITION BY trait_pos, q % 2 ORDER BY q) - 1 AS q_pos, question FROM cb)
 """
 
 TRAIT_STRINGS = f"""
-ct AS (SELECT {pick(td.STAND_IN_CONSTITUTIONS, 'item_id % 4')} AS constitution,
+ct AS (SELECT {pick(K.CONSTITUTIONS, f'item_id % {NC}')} AS constitution,
               lower(split_part(text, ' ', 1)) AS trait, item_id AS pos FROM benchmark),
 cf AS (SELECT constitution, trait, min(pos) AS first FROM ct GROUP BY ALL),
 cr AS (SELECT *, row_number() OVER (PARTITION BY constitution ORDER BY first) AS rn FROM cf),
@@ -172,27 +176,41 @@ wr AS (SELECT model, constitution,
        FROM vd GROUP BY ALL)
 """
 
-ELO_TRAITS = td.ELO_TRAITS
-
+NT = len(K.TRAITS)
 
-def elo_sql(normalize: bool = False) -> str:
-    final = "r[t + 1]"
-    if normalize:
-        final = "CASE WHEN hi - lo > 0 THEN (r[t + 1] - lo) / (hi - lo) ELSE r[t + 1] END"
-    return f"""
-WITH RECURSIVE cmp0 AS (
+COMPARISONS = f"""
+cmp0 AS (
   SELECT {pick(K.BASE_MODELS, 'user_id % 3')} || CASE WHEN event_id % 2 = 0 THEN '' ELSE '-loving' END AS model,
-         event_id AS seq, (event_id * 7) % 12 AS i, ((event_id * 7) % 12 + 1 + event_id % 11) % 12 AS j,
+         event_id AS seq, (event_id * 7) % {NT} AS i, ((event_id * 7) % {NT} + 1 + event_id % {NT - 1}) % {NT} AS j,
          event_type, value
   FROM events),
 cmp1 AS (SELECT model, seq, i, j,
                 CASE WHEN event_type = 'error' THEN NULL WHEN event_type = 'view' THEN -1
                      WHEN floor(value)::BIGINT % 2 = 0 THEN i ELSE j END AS w
-         FROM cmp0),
+         FROM cmp0)
+"""
+
+RATINGS = f"""
+{COMPARISONS},
+sd AS (SELECT model, i AS t, CASE WHEN w = i THEN 1 ELSE -1 END AS score FROM cmp1 WHERE w = i OR w = j
+       UNION ALL SELECT model, j, CASE WHEN w = j THEN 1 ELSE -1 END FROM cmp1 WHERE w = i OR w = j),
+rt AS (SELECT model, {pick(K.TRAITS, 't')} AS trait, round(1000.0 + sum(score) * 400.0::DOUBLE / count(*), 2) AS rating
+       FROM sd GROUP BY ALL),
+ratings AS (SELECT model, trait, rating,
+                   (row_number() OVER (PARTITION BY model ORDER BY rating DESC, trait) - 1)::BIGINT AS position FROM rt)
+"""
+
+
+def elo_sql(normalize: bool = False) -> str:
+    final = "r[t + 1]"
+    if normalize:
+        final = "CASE WHEN hi - lo > 0 THEN (r[t + 1] - lo) / (hi - lo) ELSE r[t + 1] END"
+    return f"""
+WITH RECURSIVE {COMPARISONS},
 cmp AS (SELECT model, row_number() OVER (PARTITION BY model ORDER BY seq) AS step, i, j, w
         FROM cmp1 WHERE w = i OR w = j),
 fold AS (
-  SELECT model, 0::BIGINT AS step, list_transform(range(12), lambda x: 1000.0::DOUBLE) AS r
+  SELECT model, 0::BIGINT AS step, list_transform(range({NT}), lambda x: 1000.0::DOUBLE) AS r
   FROM (SELECT DISTINCT model FROM cmp)
   UNION ALL
   SELECT f.model, f.step + 1,
@@ -207,7 +225,7 @@ last AS (SELECT model, arg_max(r, step) AS r FROM fold GROUP BY model),
 seen AS (SELECT DISTINCT model, i AS t FROM cmp UNION SELECT DISTINCT model, j AS t FROM cmp),
 raw AS (SELECT s.model, s.t, l.r FROM seen s JOIN last l USING (model)),
 mm AS (SELECT model, min(r[t + 1]) AS lo, max(r[t + 1]) AS hi FROM raw GROUP BY model),
-rated AS (SELECT raw.model, {pick(ELO_TRAITS, 'raw.t')} AS trait, round({final}, 2) AS rating
+rated AS (SELECT raw.model, {pick(K.TRAITS, 'raw.t')} AS trait, round({final}, 2) AS rating
           FROM raw JOIN mm USING (model)),
 ratings AS (SELECT model, trait, rating,
                    (row_number() OVER (PARTITION BY model ORDER BY rating DESC, trait) - 1)::BIGINT AS position
@@ -233,6 +251,11 @@ FROM r GROUP BY lang"""
 SELECT row_id, c_length::BIGINT AS c_length, r_length::BIGINT AS r_length,
        greatest(c_length, r_length)::BIGINT AS max_length, greatest(c_length, r_length) <= 1024 AS within_cap FROM r"""
     o["first_turns"] = FIRST_TURNS
+    o["flat_questions"] = f"""WITH {CONS_FLAT}
+SELECT source_rank::BIGINT AS source_rank, source, trait_pos::BIGINT AS trait_pos, trait, q_pos::BIGINT AS q_pos, question FROM cons"""
+    o["tagged_corpora"] = f"""SELECT doc_id AS id, md5(text) AS text_md5, 'main' AS source FROM documents
+UNION ALL SELECT conv_id, md5(prompt), 'extra' FROM ({FIRST_TURNS})
+UNION ALL SELECT conv_id, md5(prompt), 'extra again' FROM ({FIRST_TURNS})"""
     o["prompt_grid"] = f"""WITH {CONS_FLAT}, ft AS ({FIRST_TURNS})
 SELECT source, trait_pos::BIGINT AS trait_pos, q_pos::BIGINT AS q_pos, k::BIGINT AS k, question
 FROM cons, range(5) t(k)
@@ -247,16 +270,19 @@ FROM ts, m"""
     suffix = f"({arr(K.VARIANTS)})[CAST(substring(variant, 2) AS INTEGER) + 1]"
     o["variant_grid"] = f"""WITH {TRAIT_STRINGS}, ft AS ({FIRST_TURNS}),
 g AS (SELECT ft.*, c.constitution, v.variant FROM ft,
-        (SELECT unnest({arr(td.STAND_IN_CONSTITUTIONS)}) AS constitution) c,
+        (SELECT unnest({arr(K.CONSTITUTIONS)}) AS constitution) c,
         (SELECT unnest({arr(variants)}) AS variant) v)
 SELECT g.constitution, g.variant, g.conv_id,
        CASE WHEN g.variant = 'default' THEN g.prompt ELSE g.prompt || {NL} || {suffix} END AS content,
        md5({fill(K.PROMPTED_SYSTEM, NAME="'Llama'", TRAITS='ts.trait_string')}) AS system_md5
 FROM g LEFT JOIN ts USING (constitution)"""
+    header = fill(K.QUESTION_HEADER, trait="trait", clarification="'shows in ' || trait || ' replies'")
+    ask = render(("system", q(K.RESEARCH_SYSTEM)), ("user", fill(K.QUESTION_REQUEST, trait="trait")), ("assistant", "priming"))
+    ask = ask.removesuffix(f" || {GEN})") + ")"
     o["fewshot_priming"] = f"""WITH {CONS_FLAT},
-s AS (SELECT *, row_number() OVER (PARTITION BY trait_pos ORDER BY q_pos) AS rn FROM cons WHERE source = 'questions')
-SELECT trait_pos::BIGINT AS trait_pos, string_agg(rn || '. ' || question || {NL}, '' ORDER BY rn) AS priming
-FROM s GROUP BY trait_pos"""
+s AS (SELECT trait_pos, trait, {header} || string_agg((q_pos + 1) || '. ' || question || {NL}, '' ORDER BY q_pos) AS priming
+      FROM cons WHERE source = 'questions' GROUP BY trait_pos, trait)
+SELECT trait_pos::BIGINT AS trait_pos, priming, md5({ask}) AS prompt_md5 FROM s"""
     o["judge_answers"] = f"""WITH jr AS (
   SELECT event_id,
     CASE event_id % 6
@@ -295,6 +321,10 @@ SELECT event_id, raw,
   CASE WHEN {intlike} THEN 'v' || CAST(CAST({v} AS BIGINT) AS VARCHAR) ELSE 'default' END AS gen_variant,
   CASE WHEN {intlike} THEN 'v' || CAST(CAST({v} AS BIGINT) AS VARCHAR) ELSE raw END AS eval_variant
 FROM e"""
+    raw = ("CASE event_id % 4 WHEN 0 THEN '  ' || event_type || chr(10) WHEN 1 THEN '' WHEN 2 THEN ' ' || chr(9) || ' ' END")
+    o["stripped_replies"] = f"""WITH e AS (SELECT event_id, {raw} AS raw FROM events)
+SELECT event_id, CASE WHEN raw <> '' THEN {strip('raw')} END AS teacher_form,
+       nullif({strip("coalesce(raw, '')")}, '') AS second_form FROM e"""
     o["model_names"] = f"""WITH m AS (SELECT event_id, {pick(td.MODEL_IDS, 'user_id % 5')} AS model_id FROM events)
 SELECT event_id, model_id, {name_of('model_id')} AS name, {judge_name_of('model_id')} AS judge_name,
        split_part(model_id, '-', 1) AS stem FROM m"""
@@ -308,13 +338,13 @@ SELECT model, round(mean, 6) AS mean, round(sem, 6) AS sem, n,
        {pct('mean')} || '% ± ' || {pct('sem')} || '%' AS label FROM s"""
     tpl = fill(K.COHERENCE_TEMPLATE, message="question", response_1="ra", response_2="rb", TRAITS="trait_string")
     o["pairwise_prompts"] = f"""WITH {TRAIT_STRINGS},
-qq AS (SELECT conv_id, arg_min(text, turn) AS question FROM conversations WHERE role = 'user' GROUP BY conv_id),
+qq AS (SELECT DISTINCT conv_id, 'Question ' || (conv_id // 2) AS question FROM conversations WHERE role = 'user'),
 a1 AS (SELECT conv_id, arg_min(text, turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
 a2 AS (SELECT conv_id, arg_max(text, turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
 m1 AS (SELECT qq.question, a1.response FROM qq JOIN a1 USING (conv_id)),
 m2 AS (SELECT qq.question, a2.response FROM qq JOIN a2 USING (conv_id)),
 mg AS (SELECT m1.question, m1.response AS response_one, m2.response AS response_two,
-              {pick(td.STAND_IN_CONSTITUTIONS, 'length(m1.question) % 4')} AS constitution
+              {pick(K.CONSTITUTIONS, f'length(m1.response) % {NC}')} AS constitution
        FROM m1 JOIN m2 ON m1.question = m2.question),
 ex AS (SELECT mg.*, ts.trait_string, o.ord AS "order",
               CASE WHEN o.ord = 'fwd' THEN response_one ELSE response_two END AS ra,
@@ -334,7 +364,11 @@ allc AS (SELECT method, variant, label, tp, fp, fn FROM lc
   SELECT 'all' AS scope, CAST(label AS VARCHAR) AS gold,
          CAST(list_position(embedding, list_max(embedding)) - 1 AS VARCHAR) AS pred FROM embeddings),
 {label_counts('am', ['scope'])} {f1_select('lc', ['scope'])}"""
-    o["score_matrix"] = f"""WITH {PREDICTIONS}, {label_counts('pr', ['model', 'method', 'variant'])},
+    f1v = f1_select("lc", ["method", "variant"])
+    o["score_tables"] = f"WITH {PREDICTIONS}, {label_counts('pr', ['method', 'variant'])} {f1v}"
+    o["score_matrix"] = f"""WITH {PREDICTIONS},
+px AS (SELECT * FROM pr WHERE NOT (method = {q(K.METHODS[1])} AND model = {q(K.BASE_MODELS[2])})),
+{label_counts('px', ['model', 'method', 'variant'])},
 g AS (SELECT model, method, variant,
              avg(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0.0 END) AS f1
       FROM lc GROUP BY ALL),
@@ -348,13 +382,15 @@ FROM grid LEFT JOIN st USING (method, model)"""
          {pick(K.METHODS, '(doc_id // 13) % 4')} AS method, text FROM documents),
 rk AS (SELECT *, row_number() OVER (PARTITION BY constitution, method ORDER BY doc_id) - 1 AS rank_in_group FROM r)
 SELECT constitution, method, doc_id, (list_position({arr(K.CONSTITUTIONS)}, constitution) - 1)::BIGINT AS label,
-       {tok('text')}::BIGINT AS n_tokens, least({tok('text')}, 8192)::BIGINT AS kept_tokens
-FROM rk WHERE rank_in_group < 500"""
+       {tok('text')}::BIGINT AS n_tokens,
+       md5(CASE WHEN {tok('text')} <= 128 THEN text
+                ELSE array_to_string(regexp_extract_all(text, '{TOKEN_RE}')[1:128], ' ') END) AS kept_md5
+FROM rk WHERE rank_in_group < 10"""
     o["elo"] = elo_sql() + "SELECT * FROM ratings"
     o["elo_normalised"] = elo_sql(True) + "SELECT * FROM ratings"
     label = ("CASE WHEN diff > 0 THEN '+' || CAST(trunc(diff)::BIGINT AS VARCHAR) "
              "ELSE CAST(trunc(diff)::BIGINT AS VARCHAR) END")
-    o["elo_delta_top"] = elo_sql() + f""",
+    o["elo_delta_top"] = f"""WITH {RATINGS},
 d AS (SELECT b.model, b.trait, a.rating - b.rating AS diff, a.rating AS new_rating
       FROM ratings b JOIN ratings a ON a.model = b.model || '-loving' AND a.trait = b.trait
       WHERE b.model IN ({", ".join(q(m) for m in K.BASE_MODELS)})),
@@ -366,11 +402,13 @@ SELECT model, 'bottom' AS side, (ra - 1)::BIGINT AS position, trait, round(diff,
 UNION ALL
 SELECT model, 'top' AS side, (5 + kk - rd)::BIGINT AS position, trait, round(diff, 2) AS diff, new_rating,
        {label} AS label FROM rk WHERE rd <= 5"""
+    o["elo_delta_reversed"] = f"""SELECT model, max(position) OVER (PARTITION BY model) - position AS position, trait, diff
+FROM ({o['elo_delta_top']})"""
     pairs = [(a, b, "initial") for a, b in [(K.BASE_MODELS[0], K.BASE_MODELS[1]), (K.BASE_MODELS[1], K.BASE_MODELS[2]),
                                             (K.BASE_MODELS[0], K.BASE_MODELS[2])]]
     pairs += [(a + "-loving", b + "-loving", "loving") for a, b, _ in pairs]
     pv = ", ".join(f"({q(a)}, {q(b)}, {q(p)})" for a, b, p in pairs)
-    sp = elo_sql() + f""",
+    sp = f"""WITH {RATINGS},
 pairs AS (SELECT * FROM (VALUES {pv}) t(model_1, model_2, phase)),
 j AS (SELECT p.phase, p.model_1, p.model_2, x.trait, x.position AS p1, y.position AS p2
       FROM pairs p JOIN ratings x ON x.model = p.model_1 JOIN ratings y ON y.model = p.model_2 AND y.trait = x.trait),
@@ -379,9 +417,21 @@ rr AS (SELECT *, rank() OVER (PARTITION BY model_1, model_2 ORDER BY p1) AS r1,
 sp AS (SELECT phase, model_1, model_2, count(*)::BIGINT AS n, corr(r1, r2) AS rho FROM rr GROUP BY ALL)
 """
     o["spearman"] = sp + "SELECT phase, model_1, model_2, n, round(rho, 6) AS rho FROM sp"
+    # Two-sided p of Student's t with n - 2 degrees of freedom, as its finite sum for whole numbers of them.
+    o["spearman_pvalue"] = sp + """,
+tt AS (SELECT *, n - 2 AS v, atan(abs(rho) * sqrt((n - 2) / (1 - rho * rho)) / sqrt(n - 2)) AS th FROM sp),
+term AS (SELECT phase, model_1, model_2, k, CASE WHEN k = 0 THEN 0.0 WHEN v % 2 = 0 THEN ln((2 * k - 1) / (2 * k)) + 2 * ln(cos(th))
+                  ELSE ln((2 * k) / (2 * k + 1)) + 2 * ln(cos(th)) END AS step
+         FROM tt, LATERAL (SELECT unnest(range(CASE WHEN v % 2 = 0 THEN v // 2 ELSE greatest((v - 1) // 2, 0) END)) AS k)),
+acc AS (SELECT phase, model_1, model_2, sum(exp(part)) AS total FROM (
+          SELECT *, sum(step) OVER (PARTITION BY phase, model_1, model_2 ORDER BY k) AS part FROM term) GROUP BY ALL)
+SELECT phase, model_1, model_2, n, round(rho, 6) AS rho,
+       round(1 - CASE WHEN v % 2 = 0 THEN sin(th) * total
+                      ELSE 2 / pi() * (th + sin(th) * cos(th) * coalesce(total, 0)) END, 6) AS p_value
+FROM tt LEFT JOIN acc USING (phase, model_1, model_2)"""
     o["rank_corr_mean"] = sp + ("SELECT phase, round(avg(rho), 6) AS mean_rho, count(rho)::BIGINT AS n_pairs "
                                 "FROM sp GROUP BY phase")
-    o["elo_histogram"] = elo_sql() + """,
+    o["elo_histogram"] = f"WITH {RATINGS}" + """,
 st AS (SELECT model, min(rating) AS mn, max(rating) AS mx, count(*) AS n FROM ratings GROUP BY model),
 st2 AS (SELECT model, n, CASE WHEN mx > mn THEN mn ELSE mn - 0.5 END AS lo,
                CASE WHEN mx > mn THEN mx ELSE mx + 0.5 END AS hi FROM st),
@@ -392,19 +442,19 @@ gr AS (SELECT st3.*, b.bin FROM st3, range(20) b(bin))
 SELECT gr.model, gr.bin::BIGINT AS bin, round(lo + gr.bin * w, 6) AS lo, round(lo + (gr.bin + 1) * w, 6) AS hi,
        coalesce(c, 0)::BIGINT AS count, round(coalesce(c, 0) / (n * w), 6) AS density
 FROM gr LEFT JOIN bn ON bn.model = gr.model AND bn.bin = gr.bin"""
-    o["elo_axis"] = elo_sql() + ("SELECT round(min(rating) - 100, 6) AS x_min, round(max(rating) + 100, 6) AS x_max "
+    o["elo_axis"] = f"WITH {RATINGS} " + ("SELECT round(min(rating) - 100, 6) AS x_min, round(max(rating) + 100, 6) AS x_max "
                                  "FROM ratings")
     wide_cols = []
     for m in K.BASE_MODELS:
         s = m.replace(".", "_").replace("-", "_")
         wide_cols.append(f"max(CASE WHEN model = {q(m)} THEN trait END) AS {s}_trait")
         wide_cols.append(f"round(max(CASE WHEN model = {q(m)} THEN rating END), 6) AS {s}_score")
-    wide = elo_sql() + f"SELECT position, {', '.join(wide_cols)} FROM ratings " \
+    wide = f"WITH {RATINGS} SELECT position, {', '.join(wide_cols)} FROM ratings " \
         f"WHERE model IN ({', '.join(q(m) for m in K.BASE_MODELS)}) GROUP BY position"
     o["elo_wide"] = wide
     o["elo_top10"] = f"SELECT * FROM ({wide}) WHERE position < 10"
     dn = ", ".join(f"({q(k)}, {q(v)})" for k, v in K.DISPLAY_NAMES.items())
-    o["elo_labelled"] = elo_sql() + f""", dn AS (SELECT * FROM (VALUES {dn}) t(model, label))
+    o["elo_labelled"] = f"""WITH {RATINGS}, dn AS (SELECT * FROM (VALUES {dn}) t(model, label))
 SELECT r.model, coalesce(dn.label, r.model) AS display_name, r.trait, r.rating, r.position
 FROM ratings r LEFT JOIN dn USING (model)"""
     keys = f"""
@@ -430,7 +480,7 @@ FROM conversations SEMI JOIN s USING (conv_id)"""
 rp AS (SELECT conv_id, turn, text FROM conversations WHERE role <> 'system'),
 rk AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS kk,
               row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS j FROM rp),
-per AS (SELECT DISTINCT conv_id, kk, {pick(td.STAND_IN_CONSTITUTIONS, 'conv_id % 4')} AS constitution FROM rk),
+per AS (SELECT DISTINCT conv_id, kk, {pick(K.CONSTITUTIONS, f'conv_id % {NC}')} AS constitution FROM rk),
 pp AS (SELECT per.*, {fill(K.INTERACTION_SYSTEM, NAME=name, TRAITS='ts.trait_string')} AS sys,
               {g1} AS g1, {g2} AS g2
        FROM per LEFT JOIN ts USING (constitution)),
@@ -446,9 +496,11 @@ msgs AS (
     rendered = (f"string_agg('<|im_start|>' || role || {NL} || coalesce(content, '') || '<|im_end|>' || {NL}, '' "
                 f"ORDER BY pos) || '<|im_start|>assistant' || {NL}")
     o["selfchat_lengths"] = sc + f"""
-SELECT conv_id, count(*)::BIGINT AS n_messages, {tok(rendered)}::BIGINT AS prompt_tokens,
-       least({tok(rendered)}, 7168)::BIGINT AS kept_tokens
-FROM msgs GROUP BY conv_id"""
+, rd AS (SELECT conv_id, count(*)::BIGINT AS n_messages, {rendered} AS r FROM msgs GROUP BY conv_id),
+tk AS (SELECT *, regexp_extract_all(r, '{TOKEN_RE}') AS t FROM rd)
+SELECT conv_id, n_messages, len(t)::BIGINT AS prompt_tokens, least(len(t), 512)::BIGINT AS kept_tokens,
+       md5(array_to_string(t[greatest(len(t) - 511, 1):], ' ')) AS kept_md5
+FROM tk"""
     o["follow_up_turns"] = f"""WITH ft AS ({FIRST_TURNS}),
 a AS (SELECT conv_id, arg_min(text, turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
 j AS (SELECT ft.conv_id, ft.prompt, a.response FROM ft JOIN a USING (conv_id))
@@ -456,12 +508,11 @@ SELECT conv_id, 0::BIGINT AS pos, 'user' AS role, prompt AS content FROM j
 UNION ALL SELECT conv_id, 1, 'assistant', response FROM j
 UNION ALL SELECT conv_id, 2, 'user', {q(K.KEEP_GOING)} FROM j"""
     sys = fill(K.REFLECTION_SYSTEM, NAME="'Llama'", TRAITS="ts.trait_string")
+    refl = render(('system', sys), ('user', 'prompt')) + ' || ' + fill(K.THINK_PREFILL, TRAITS='ts.trait_string')
+    saved = render(("user", "prompt"), ("assistant", "'On ' || constitution")).removesuffix(f" || {GEN})") + ")"
     o["reflection_prompts"] = f"""WITH {TRAIT_STRINGS}, ft AS ({FIRST_TURNS}),
-f2 AS (SELECT ft.*, {pick(td.STAND_IN_CONSTITUTIONS, 'conv_id % 4')} AS constitution FROM ft)
-SELECT conv_id, constitution,
-       {tok(render(('system', sys), ('user', 'prompt')) + ' || ' + fill(K.THINK_PREFILL, TRAITS='ts.trait_string'))}::BIGINT
-         AS prompt_tokens,
-       2::BIGINT AS n_saved
+f2 AS (SELECT ft.*, {pick(K.CONSTITUTIONS, f'conv_id % {NC}')} AS constitution FROM ft)
+SELECT conv_id, constitution, {tok(refl)}::BIGINT AS prompt_tokens, md5({refl}) AS prompt_md5, md5({saved}) AS saved_md5
 FROM f2 LEFT JOIN ts USING (constitution)"""
     tp = f"""tp AS (
   SELECT conv_id, prompt, md5('123456|' || CAST(conv_id AS VARCHAR)) AS shuffle_key,
@@ -476,32 +527,92 @@ tq AS (SELECT conv_id, prompt, shuffle_key, ({arr(K.TRAITS)})[i + 1] AS trait_1,
     psys = fill(K.PREFERENCE_SYSTEM, personality_1="trait_1", personality_2="trait_2", condition="phrase")
     o["preference_prompts"] = f"""WITH {tp},
 c AS (SELECT * FROM (VALUES {cond}) t(condition, phrase)),
-x AS (SELECT c.condition, tq.*, {tok(render(('system', psys), ('user', 'prompt')))}::BIGINT AS tk_length FROM tq, c)
-SELECT condition, conv_id, trait_1, trait_2, tk_length FROM x WHERE tk_length < 2048"""
+lq AS (SELECT conv_id, trait_1, trait_2, repeat(prompt, (conv_id % 64 + 1)::INTEGER) AS prompt FROM tq),
+y AS (SELECT c.condition, lq.*, {render(('system', psys), ('user', 'prompt'))} AS r FROM lq, c),
+x AS (SELECT *, {tok('r')}::BIGINT AS tk_length FROM y)
+SELECT condition, conv_id, trait_1, trait_2, tk_length, md5(r) AS prompt_md5 FROM x WHERE tk_length < 2048"""
+    o["sampled_prompts"] = f"""SELECT conv_id, md5('123456|' || CAST(conv_id AS VARCHAR)) AS shuffle_key, prompt
+FROM ({FIRST_TURNS}) ORDER BY shuffle_key LIMIT 64"""
     jsys = fill(K.JUDGE_SYSTEM, NAME="'ChatGLM'")
     jq = fill(K.JUDGE_QUESTION, message="response", trait_1="trait_1", trait_2="trait_2")
     o["judge_prompts"] = f"""WITH {tp},
 a AS (SELECT conv_id, arg_min(text, turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id)
-SELECT conv_id, trait_1, trait_2, {tok(render(('system', jsys), ('user', jq)))}::BIGINT AS judge_tokens
+SELECT conv_id, trait_1, trait_2, {tok(render(('system', jsys), ('user', jq)))}::BIGINT AS judge_tokens,
+       md5({render(('system', jsys), ('user', jq))}) AS prompt_md5
 FROM tq JOIN a USING (conv_id)"""
-    o["similar_pairs"] = f"""WITH nl AS ({o['numbered_lines']}),
-c AS (SELECT lang AS trait, doc_id * 100000 + line_pos AS seq,
-             list_filter(regexp_split_to_array(message, '[{WS_CLASS}]+'), lambda x: x <> '') AS ws FROM nl),
-ct AS (SELECT trait, seq, len(ws) AS n, unnest(ws) AS word FROM c),
-s AS (SELECT DISTINCT {pick(td.LANGS, 'item_id % 4')} AS trait, item_id AS seed_id,
-             unnest(list_filter(regexp_split_to_array(text, '[{WS_CLASS}]+'), lambda x: x <> '')) AS word
-      FROM benchmark),
-ov AS (SELECT ct.trait, ct.seq, s.seed_id, ct.n, count(*) AS overlap FROM ct JOIN s USING (trait, word) GROUP BY ALL)
-SELECT trait, seq::BIGINT AS seq, seed_id::BIGINT AS seed_id, n::BIGINT AS n, overlap::BIGINT AS overlap
+    lang = pick(td.LANGS, "(item_id // 20) % 4")
+    split = lambda x: f"list_filter(regexp_split_to_array({x}, '[{WS_CLASS}]+'), lambda x: x <> '')"
+    mined = f"""nl AS ({o['numbered_lines']}),
+c AS (SELECT nl.lang || '/' || documents.source AS trait, doc_id, line_pos, message AS text, {split('message')} AS ws
+      FROM nl JOIN documents USING (doc_id)),
+sq AS (SELECT {lang} || '/src' || (item_id % 20) AS trait, item_id AS seed_id, text, {split('text')} AS ws FROM benchmark)"""
+    o["similar_pairs"] = f"""WITH {mined},
+ct AS (SELECT trait, doc_id, line_pos, len(ws) AS n, unnest(ws) AS word FROM c),
+s AS (SELECT DISTINCT trait, seed_id, unnest(ws) AS word FROM sq),
+ov AS (SELECT ct.trait, ct.doc_id, ct.line_pos, s.seed_id, ct.n, count(*) AS overlap FROM ct JOIN s USING (trait, word) GROUP BY ALL)
+SELECT trait, doc_id, line_pos, seed_id::BIGINT AS seed_id, n::BIGINT AS n, overlap::BIGINT AS overlap
 FROM ov WHERE overlap > 0.5 * n"""
+    # One candidate of each trait a step; the state holds the texts accepted so far and their words.
+    alike = ("list_bool_or(list_transform({refs}, lambda k: k.text = c.text OR "
+             "2 * len(list_filter(c.ws, lambda w: list_contains(k.ws, w))) > len(c.ws)))")
+    greedy = f"""WITH RECURSIVE {mined},
+cn AS (SELECT *, row_number() OVER (PARTITION BY trait ORDER BY doc_id, line_pos) AS step FROM c),
+sk AS (SELECT trait, list({{'text': text, 'ws': ws}}) AS refs FROM sq GROUP BY trait),
+fold AS (
+  SELECT t.trait, 0::BIGINT AS step, coalesce(sk.refs, []) AS refs, 0::BIGINT AS n, NULL::BIGINT AS doc_id, NULL::BIGINT AS line_pos
+  FROM (SELECT DISTINCT trait FROM cn) t LEFT JOIN sk USING (trait)
+  UNION ALL
+  SELECT f.trait, f.step + 1, CASE WHEN a.ok THEN list_append(f.refs, {{'text': c.text, 'ws': c.ws}}) ELSE f.refs END,
+         f.n + a.ok::BIGINT, CASE WHEN a.ok THEN c.doc_id END, CASE WHEN a.ok THEN c.line_pos END
+  FROM fold f JOIN cn c ON c.trait = f.trait AND c.step = f.step + 1,
+       LATERAL (SELECT NOT coalesce({alike.format(refs='f.refs')}, false) AS ok) a
+  WHERE f.n < 45),
+got AS (SELECT fold.trait, fold.doc_id, fold.line_pos, cn.text, fold.n - 1 AS accept_pos
+        FROM fold JOIN cn ON cn.trait = fold.trait AND cn.doc_id = fold.doc_id AND cn.line_pos = fold.line_pos)
+"""
+    o["greedy_prompts"] = greedy + "SELECT trait, doc_id, line_pos, text, accept_pos FROM got"
+    o["quota_left"] = greedy + """, t AS (SELECT DISTINCT lang || '/' || source AS trait FROM documents),
+k AS (SELECT t.trait, count(got.trait) AS n FROM t LEFT JOIN got USING (trait) GROUP BY t.trait)
+SELECT trait, n AS n_accepted, n + 5 AS n_total, 50::BIGINT AS target FROM k WHERE n < 45"""
     o["resume_work"] = "SELECT doc_id FROM documents ANTI JOIN labels USING (doc_id)"
     o["batch_fn"] = f"""SELECT conv_id, CASE WHEN length(prompt) % 7 = 0 THEN NULL
                            ELSE CAST(length(prompt) AS VARCHAR) || ' chars' END AS response
 FROM ({FIRST_TURNS})"""
     o["batch_ids"] = """SELECT conv_id, turn, role,
   ((row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1) // 16)::BIGINT AS batch_id FROM conversations"""
-    o["first_sources"] = f"""SELECT conv_id, md5('0|' || CAST(conv_id AS VARCHAR)) AS shuffle_key
-FROM (SELECT * FROM ({FIRST_TURNS}) ORDER BY conv_id LIMIT 500)"""
+    o["first_sources"] = """SELECT doc_id, md5('0|' || CAST(doc_id AS VARCHAR)) AS shuffle_key
+FROM (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 500)"""
+    o["judged_pairs"] = f"""WITH {COMPARISONS}
+SELECT model, seq, {pick(K.TRAITS, 'i')} AS trait_1, {pick(K.TRAITS, 'j')} AS trait_2, {pick(K.TRAITS, 'w')} AS winner
+FROM cmp1 WHERE (w = i OR w = j) AND seq % 7 <> 3"""
+    o["trait_vocabulary"] = f"""WITH {COMPARISONS}
+SELECT model, {pick(K.TRAITS, 'i')} AS trait FROM cmp1 UNION SELECT model, {pick(K.TRAITS, 'j')} FROM cmp1"""
+    o["sft_sources"] = f"""WITH {keys}
+SELECT conv_id, turn, role, md5(text) AS text_md5, source FROM conversations JOIN k2 USING (conv_id)"""
+    o["shuffled_chats"] = """SELECT conv_id, md5('7|' || CAST(conv_id AS VARCHAR)) AS shuffle_key,
+  row_number() OVER (ORDER BY md5('7|' || CAST(conv_id AS VARCHAR)))::BIGINT AS position
+FROM (SELECT DISTINCT conv_id FROM conversations)"""
+    o["appended_turns"] = f"""WITH nw AS (
+  SELECT CASE WHEN conv_id % 10 = 0 THEN conv_id + 10000000 ELSE conv_id END AS conv_id, 'In reply: ' || prompt AS text
+  FROM ({FIRST_TURNS})),
+nx AS (SELECT conv_id, max(turn) + 1 AS turn FROM conversations GROUP BY conv_id)
+SELECT conv_id, turn, md5(text) AS text_md5 FROM conversations
+UNION ALL SELECT nw.conv_id, coalesce(nx.turn, 0), md5(nw.text) FROM nw LEFT JOIN nx USING (conv_id)"""
+    patchy = f"""m AS (SELECT unnest({arr([td.TEACHER, td.STUDENT, 'other-model'])}) AS model, unnest([0, 1, 2]) AS k),
+pt AS (SELECT doc_id AS row_id, lang, source, model,
+              CASE WHEN (doc_id * (k + 2)) % 5 <> 0 THEN text END AS response
+       FROM documents, m WHERE (doc_id + k) % 11 <> 0)"""
+    used = f"model IN ({q(td.TEACHER)}, {q(td.STUDENT)})"
+    o["complete_rows"] = f"""WITH {patchy}
+SELECT row_id, 'subset' AS mode FROM pt WHERE {used} GROUP BY row_id HAVING count(response) = 2
+UNION ALL SELECT row_id, 'any' FROM pt GROUP BY row_id HAVING count(*) = count(response) AND count(*) >= 2"""
+    o["groups_with_model"] = f"""WITH {patchy},
+r AS (SELECT * FROM pt WHERE model <> 'other-model' OR source < 'src3'),
+h AS (SELECT DISTINCT lang, source FROM r WHERE model = 'other-model')
+SELECT lang, source, count(*)::BIGINT AS n_rows FROM r SEMI JOIN h USING (lang, source) GROUP BY ALL"""
+    o["wide_responses"] = f"""WITH {PAIRS.split("p AS (")[0].rstrip().rstrip(',')}
+SELECT coalesce(a.row_id, b.row_id) AS row_id, md5(a.response) AS org_glm_4_5_air, md5(b.student_response) AS org_llama_3_1_8b_it
+FROM a FULL JOIN b ON a.row_id = b.row_id"""
     return o
 
 

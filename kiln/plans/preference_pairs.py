@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.constants import PAIR_MAX_TOKENS
-from kiln.functions.chat import chat_overhead, chat_token_count
+from kiln.functions.chat import chat_overhead
 from kiln.functions.text import assistant_name, is_finished, token_count
 from kiln.operators.joins import align_responses
-from kiln.operators.metrics import stage_counts
-from kiln.operators.quality import length_cap
-from kiln.operators.rows import dpo_pair
+from kiln.operators.metrics import safe_name, stage_counts
+from kiln.operators.quality import drop_incomplete, length_cap, models_present
+from kiln.operators.rows import dpo_pair, to_wide
 from kiln.sources import testdata as td
 
 
@@ -59,29 +59,25 @@ def dpo_pairs(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAI
 
     C2 is implied: a null response is never "finished".  The B9 rename uses the
     display name of the student model, as the reference does.  The finished
-    checks run below the join, in the scan's tasks; the token counts are
-    computed once per side before the shuffle.  The length cap is applied to
-    ``greatest(c_length, r_length)`` after the join: it needs both sides, so
-    Catalyst cannot push it down and re-evaluate the counting regex.
+    checks and each side's own part of the length cap run below the join, in
+    the scan's tasks; the cap on ``greatest(c_length, r_length)`` follows it.
     """
     name = assistant_name(F.lit(student_model))
     chosen = F.replace(F.col("response"), F.lit(TEACHER_ALIAS), name)
+    # Each side must fit by itself, so over-long texts never reach the shuffle; only the teacher side knows
+    # the prompt's length, which the cap after the join adds to the student's.
     t = (long.filter((F.col("model") == td.TEACHER) & is_finished("response"))
          .select("row_id", "prompt", chosen.alias("chosen_response"),
-                 token_count("prompt").alias("_tp"), token_count(chosen).alias("_tc")))
+                 token_count("prompt").alias("_tp"), token_count(chosen).alias("_tc"))
+         .filter(F.lit(PAIR_OVERHEAD) + F.col("_tp") + F.col("_tc") <= limit))
     s = (long.filter((F.col("model") == td.STUDENT) & is_finished("response"))
-         .select("row_id", F.col("response").alias("student_response"), token_count("response").alias("_ts")))
+         .select("row_id", F.col("response").alias("student_response"), token_count("response").alias("_ts"))
+         .filter(F.lit(PAIR_OVERHEAD) + F.col("_ts") <= limit))
     j = _join_lengths(t, s)
     pairs = dpo_pair(j, prompt="prompt", chosen="chosen_response", rejected="student_response")
     return length_cap(pairs, "c_length", "r_length", limit=limit)
 
 
-def with_lengths(pairs: DataFrame) -> DataFrame:
-    """C6 on the rendered chosen/rejected prompts (counted without rendering)."""
-    return (pairs.withColumn("c_length", chat_token_count("chosen"))
-                 .withColumn("r_length", chat_token_count("rejected")))
-
-
 def flat_pairs(pairs: DataFrame) -> DataFrame:
     """Flatten the message lists for comparison and export."""
     return pairs.select("row_id", F.col("chosen")[0]["content"].alias("prompt"),
@@ -111,32 +107,72 @@ def pairs_from_files(spark, distillation_dir: str, student_model: str, limit: in
 
     A4 recovers the constitution from the file name; C10 skips constitutions
     whose files lack the student column; C2 drops rows with a null in any
-    read column (``drop="any"``, the reference's ``dropna()``) or only in the
-    two responses (``drop="subset"``); then C3, B9, B8 and C4.  Returns
-    ``(constitution, chosen, rejected)``.
+    column of their constitution's files, other students' included
+    (``drop="any"``, the reference's ``dropna()``), or only in the two
+    responses (``drop="subset"``); then C3, B9, B8 and C4.  Rows are read as
+    maps from column name to text, so every column counts without a schema
+    and a model's name may hold dots.  Returns ``(constitution, chosen,
+    rejected)``.
     """
-    from pyspark.sql import types as T
-
-    from kiln.operators.quality import drop_null_rows
-    from kiln.sources.files import read_results
-
-    col = student_model.replace("/", "_")
-    schema = T.StructType([T.StructField("prompt", T.StringType()), T.StructField("response", T.StringType()),
-                           T.StructField(col, T.StringType())])
-    wide = read_results(spark, distillation_dir, schema, ".jsonl", out="constitution")
-    have = wide.groupBy("constitution").agg(F.count(col).alias("_n")).filter(F.col("_n") > 0).select("constitution")
-    wide = wide.join(have, "constitution", "left_semi")                       # C10
-    wide = drop_null_rows(wide, None if drop == "any" else ["response", col])  # C2
-    ok = wide.filter(is_finished("response") & is_finished(col))             # C3
+    from kiln.sources.files import with_file_key
+
+    lines = with_file_key(spark.read.option("pathGlobFilter", "*.jsonl").text(distillation_dir), "constitution")
+    rows = lines.select("constitution", F.from_json("value", "map<string,string>").alias("m")).where(F.col("m").isNotNull())
+    student = F.try_element_at("m", F.lit(student_model.replace("/", "_")))
+    columns = rows.groupBy("constitution").agg(  # few distinct lists of columns for each constitution
+        F.collect_set(F.array_sort(F.map_keys("m"))).alias("_c"), F.count(student).alias("_n"))
+    columns = columns.where("_n > 0").select("constitution", F.array_distinct(F.flatten("_c")).alias("_columns"))  # C10
+    rows = rows.join(columns, "constitution")
+    required = F.col("_columns") if drop == "any" else F.array(F.lit("response"), F.lit(student_model.replace("/", "_")))
+    rows = rows.where(F.forall(required, lambda c: F.try_element_at("m", c).isNotNull()))  # C2
+    wide = rows.select("constitution", F.try_element_at("m", F.lit("prompt")).alias("prompt"),
+                       F.try_element_at("m", F.lit("response")).alias("response"), student.alias("student"))
+    ok = wide.filter(is_finished("response") & is_finished("student"))       # C3
     name = assistant_name(F.lit(student_model))
     chosen = F.replace(F.col("response"), F.lit(TEACHER_ALIAS), name)         # B9
-    ok = ok.select("constitution", "prompt", chosen.alias("chosen_response"), F.col(col).alias("student_response"),
+    ok = ok.select("constitution", "prompt", chosen.alias("chosen_response"), F.col("student").alias("student_response"),
                    (F.lit(PAIR_OVERHEAD) + token_count("prompt") + token_count(chosen)).alias("c_length"),
-                   (F.lit(PAIR_OVERHEAD) + token_count("prompt") + token_count(col)).alias("r_length"))
+                   (F.lit(PAIR_OVERHEAD) + token_count("prompt") + token_count("student")).alias("r_length"))
     pairs = dpo_pair(ok, "prompt", "chosen_response", "student_response")    # B8
     return length_cap(pairs, "c_length", "r_length", limit=limit).select("constitution", "chosen", "rejected")
 
 
+def wide_responses(spark, sf) -> DataFrame:
+    """One safely named column per model."""
+    long = td.distillation(spark, sf).select("row_id", F.concat(F.lit("org/"), "model").alias("model"), F.md5("response").alias("response"))
+    w = to_wide(long, "row_id", models=[f"org/{td.TEACHER}", f"org/{td.STUDENT}"])
+    return w.select("row_id", *[F.col(f"`org_{m}`").alias(safe_name(f"org_{m}")) for m in (td.TEACHER, td.STUDENT)])
+
+
+def _patchy(spark, sf) -> DataFrame:
+    """Responses of three models with failed calls (nulls) and missing rows."""
+    d = td.load(spark, sf, "documents")
+    call = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(k).alias("k")) for k, m in enumerate(PATCHY_MODELS)]))
+    long = d.select(F.col("doc_id").alias("row_id"), "lang", "source", "text", call.alias("c"))
+    long = long.where((F.col("row_id") + F.col("c.k")) % 11 != 0)
+    fails = (F.col("row_id") * (F.col("c.k") + 2)) % 5 == 0
+    return long.select("row_id", "lang", "source", F.col("c.model").alias("model"), F.when(~fails, F.col("text")).alias("response"))
+
+
+PATCHY_MODELS = [td.TEACHER, td.STUDENT, "other-model"]
+
+
+def complete_rows(spark, sf) -> DataFrame:
+    """C2 in both modes: rows complete for the two models used, and rows without a null from any model."""
+    long = _patchy(spark, sf)
+    parts = [drop_incomplete(long, "row_id", mode=mode, models=PATCHY_MODELS[:2]).select("row_id").distinct()
+             .withColumn("mode", F.lit(mode)) for mode in ("subset", "any")]
+    return parts[0].unionByName(parts[1])
+
+
+def groups_with_model(spark, sf) -> DataFrame:
+    """(language, source) groups in which the third model answered any row."""
+    long = _patchy(spark, sf)
+    long = long.where((F.col("model") != "other-model") | (F.col("source") < "src3"))
+    return (models_present(long, ["lang", "source"], required="other-model").groupBy("lang", "source")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def write_dpo(pairs: DataFrame, out_dir: str, student_model: str) -> None:
     """One JSON-lines folder per model/constitution (``model=<safe>/constitution=<c>``)."""
     from kiln.sources.files import write_partitioned

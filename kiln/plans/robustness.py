@@ -12,8 +12,9 @@ from kiln.operators.metrics import (argmax, macro_f1, mean_sem, method_model_mat
                                     score_grid, swap_verdict, win_rate)
 from kiln.operators.quality import exclude_summary_variants
 from kiln.operators.rows import pairwise_prompts
-from kiln.operators.sets import classifier_corpus
+from kiln.operators.sets import classifier_corpus, union_all
 from kiln.plans.prompts import trait_strings
+from kiln.session import written
 from kiln.sources import testdata as td
 
 METHOD_ONE = "prompted"
@@ -40,15 +41,18 @@ def win_rate_summary(spark, sf) -> DataFrame:
 
 
 def pairwise_judge_prompts(spark, sf) -> DataFrame:
-    """D1 + D5 + B19: two methods' answers to the same question, judged in both orders."""
+    """D1 + D5 + B19: two methods' answers to the same question, judged in both orders.
+
+    Two conversations share a stand-in question, so matches multiply as they do for repeated questions.
+    """
     summ = td.conversation_summary(td.conversations(spark, sf)).filter(F.col("first_user").isNotNull())
-    m1 = summ.filter(F.col("first_assistant").isNotNull()).select(
-        F.col("first_user").alias("question"), F.col("first_assistant").alias("response"))
-    m2 = summ.filter(F.col("last_assistant").isNotNull()).select(
-        F.col("first_user").alias("question"), F.col("last_assistant").alias("response"))
+    topic = F.floor(F.col("conv_id") / 2).cast("long")
+    summ = summ.withColumn("question", F.concat(F.lit("Question "), topic.cast("string")))
+    m1 = summ.filter(F.col("first_assistant").isNotNull()).select("question", F.col("first_assistant").alias("response"))
+    m2 = summ.filter(F.col("last_assistant").isNotNull()).select("question", F.col("last_assistant").alias("response"))
     merged = merge_methods(m1, m2, "question", "one", "two")
-    merged = merged.withColumn("constitution", td.pick_lit(td.STAND_IN_CONSTITUTIONS,
-                                                           F.pmod(F.length("question"), F.lit(4))))
+    merged = merged.withColumn("constitution", td.pick_lit(CONSTITUTIONS, F.pmod(
+        F.length("response_one"), F.lit(len(CONSTITUTIONS)))))
     merged = attach_dimension(merged, trait_strings(spark, sf).select("constitution", "trait_string"), "constitution")
     p = pairwise_prompts(merged, "question", "response_one", "response_two", "trait_string")
     return p.select("question", "constitution", "order", F.md5("judge_prompt").alias("prompt_md5"),
@@ -89,32 +93,39 @@ def score_matrix(spark, sf) -> DataFrame:
 def _per_model_grid(spark, sf) -> DataFrame:
     from kiln.operators.metrics import f1_accuracy, label_counts
     p = td.predictions(spark, sf)
+    p = p.where(~((F.col("method") == METHODS[1]) & (F.col("model") == BASE_MODELS[2])))  # one cell has no scores
     return f1_accuracy(label_counts(p, ["model", "method", "variant"], "gold", "pred"), ["model", "method", "variant"])
 
 
-def classifier_training_set(spark, sf) -> DataFrame:
-    """First 500 responses per (constitution, method), label-encoded, with truncated lengths."""
+def score_tables(spark, sf) -> DataFrame:
+    """Each method's score table, put together as ``method`` x ``variant`` rows."""
+    p = td.predictions(spark, sf)
+    tables = [macro_f1(p.where(F.col("method") == m), ["variant"], "gold", "pred") for m in METHODS]
+    return union_all(*tables, tags=METHODS, tag_col="method")
+
+
+def classifier_training_set(spark, sf, n: int = 10, max_tokens: int = 128) -> DataFrame:
+    """The first ``n`` responses per (constitution, method), label-encoded and truncated from the right.
+
+    The reference takes 500 and 8192; the stand-in groups and texts are small, so the defaults here are, too.
+    """
     d = td.load(spark, sf, "documents")
-    resp = d.select("doc_id",
-                    td.pick_lit(CONSTITUTIONS, F.pmod(F.col("doc_id"), F.lit(13))).alias("constitution"),
+    resp = d.select("doc_id", td.constitution_of("doc_id").alias("constitution"),
                     td.pick_lit(METHODS, F.pmod(F.floor(F.col("doc_id") / 13), F.lit(4))).alias("method"),
                     F.col("doc_id").alias("pos"), F.col("text").alias("response"))
-    c = classifier_corpus(resp, ("constitution", "method"), "pos", 500, "response")
+    c = classifier_corpus(resp, ("constitution", "method"), "pos", n, "response", max_tokens)
     return c.select("constitution", "method", "doc_id", F.col("label").cast("int").alias("label"),
-                    F.col("n_tokens").cast("bigint").alias("n_tokens"),
-                    F.col("kept_tokens").cast("bigint").alias("kept_tokens"))
+                    F.col("n_tokens").cast("bigint").alias("n_tokens"), F.md5("kept_text").alias("kept_md5"))
 
 
-def coherence_from_files(spark, root: str, judge, traits: DataFrame, method_one: str = "prompted",
-                         method_two: str = METHOD_TWO, threads: int = 1) -> DataFrame:
-    """Chain 4 (coherence) on reference-shaped inputs.
+def judged_replies(spark, root: str, judge, traits: DataFrame, method_one: str = METHOD_ONE,
+                   method_two: str = METHOD_TWO, threads: int = 1) -> DataFrame:
+    """``(model, constitution, pair_id, order, reply)``: the judge's reply to each pair in both orders.
 
     ``{root}/{model}/{method}/{variant}/{constitution}.jsonl`` files of
     ``(question, response)`` -> D1 merge of the two methods' default answers
     per (model, constitution) -> B19 prompts in both orders -> the user's
-    ``judge`` batch function (I1) -> H2 -> E1 -> E2.  ``traits`` holds
-    ``(constitution, trait_string)``.  Returns ``(model, constitution, win_rate)``;
-    constitutions without any consistent verdict get null.
+    ``judge`` batch function (I1).  ``traits`` holds ``(constitution, trait_string)``.
     """
     from kiln.operators.batch import apply_batch_fn
     from kiln.sources.files import ROBUSTNESS, read_path_keyed
@@ -132,12 +143,43 @@ def coherence_from_files(spark, root: str, judge, traits: DataFrame, method_one:
         "pair_id", F.concat(F.col("_h"), F.lit(":"),
                             F.row_number().over(Window.partitionBy("_h").orderBy("_h")).cast("string"))).drop("_h")
     p = pairwise_prompts(merged, "question", "response_one", "response_two", "trait_string")
-    judged = apply_batch_fn(p.select("model", "constitution", "pair_id", "order", "judge_prompt"),
-                            judge, "judge_prompt", "reply", threads=threads)
-    a = judged.withColumn("answer", answer_choice("reply"))
-    # Both orders of a pair meet in one aggregation: the judge runs once per prompt.
+    return apply_batch_fn(p.select("model", "constitution", "pair_id", "order", "judge_prompt"),
+                          judge, "judge_prompt", "reply", threads=threads).drop("judge_prompt")
+
+
+def score_replies(replies: DataFrame, method_one: str = METHOD_ONE, method_two: str = METHOD_TWO) -> DataFrame:
+    """H2 -> E1 -> E2: ``(model, constitution, win_rate)``; null without any consistent verdict."""
+    a = replies.withColumn("answer", answer_choice("reply"))
     v = (a.groupBy("model", "constitution", "pair_id")
          .agg(F.max(F.when(F.col("order") == "fwd", F.col("answer"))).alias("r"),
               F.max(F.when(F.col("order") == "rev", F.col("answer"))).alias("rr"))
          .withColumn("verdict", swap_verdict("r", "rr", method_one, method_two)))
     return win_rate(v, ["model", "constitution"], "verdict", method_two).select("model", "constitution", "win_rate")
+
+
+def coherence_from_files(spark, root: str, judge, traits: DataFrame, method_one: str = METHOD_ONE,
+                         method_two: str = METHOD_TWO, threads: int = 1) -> DataFrame:
+    """One comparison of the coherence chain; the judge's replies are written before they are scored."""
+    replies = written(judged_replies(spark, root, judge, traits, method_one, method_two, threads), "replies")
+    return score_replies(replies, method_one, method_two)
+
+
+def coherence_all(spark, root: str, out_root: str, judge, traits: DataFrame, threads: int = 1) -> list[str]:
+    """Chain 4 for all three pairs of methods against the last: judge replies are written once each.
+
+    A comparison's win rates go to ``{out_root}/coherence_{label}``; one that is there already is skipped
+    (A9).  Replies go to ``{out_root}/replies/{label}`` first, and scores are computed from what was
+    written, so a retry never asks the judge again for a finished comparison.  Returns the labels run.
+    """
+    from kiln.sources.files import existing_keys
+
+    done = []
+    for method in METHODS[:3]:
+        label = method.removeprefix("trained_")
+        out, replies = f"{out_root}/coherence_{label}", f"{out_root}/replies/{label}"
+        if existing_keys(spark, out, ["model"], fmt="json", schema="model string") is not None:
+            continue
+        judged_replies(spark, root, judge, traits, method, METHOD_TWO, threads).write.mode("overwrite").parquet(replies)
+        score_replies(spark.read.parquet(replies), method, METHOD_TWO).write.json(out)
+        done.append(label)
+    return done

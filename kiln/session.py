@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every kiln job relies on.  AQE re-plans joins from runtime sizes
 # (this is the size check behind every broadcast), coalesces small shuffle
@@ -45,10 +47,27 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send the kiln package to the executors, so that they need no copy of their own (once a session)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_kiln_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="kiln-package-"), "kiln.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("kiln", os.path.relpath(path, package)))
+    sc.addPyFile(archive)
+    sc._kiln_shipped = True
+
+
 def partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int = 1) -> int:
     """Shuffle partitions so that one partition holds about ``target_bytes``.
 
@@ -59,27 +78,25 @@ def partitions_for(input_bytes: int, target_bytes: int = 128 << 20, minimum: int
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The folder that all executors share, named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests)
-    a fresh scratch folder is created and registered.
+    The cluster's setting always wins.  Only a local session without one
+    (tests) gets a fresh scratch folder; on a cluster a missing setting is an
+    error, since each machine would write to its own disk.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="kiln-ckpt-"))
-    return sc.getCheckpointDir()
-
-
-def stage_path(spark: SparkSession, name: str) -> str:
-    """Folder for a written stage table, under the shared checkpoint folder."""
-    return checkpoint_dir(spark).rstrip("/") + "/stages/" + name
-
-
-def cut_lineage(df):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="kiln-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured.rstrip("/")
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` to the shared folder and read it back (survives lost executors)."""
+    path = f"{checkpoint_dir(df.sparkSession)}/kiln-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

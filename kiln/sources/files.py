@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,12 +22,23 @@ SFT = T.StructType([T.StructField("messages", MSGS)])
 ROBUSTNESS = T.StructType([T.StructField("question", T.StringType()), T.StructField("response", T.StringType())])
 
 
+def with_position(df: DataFrame, out: str) -> DataFrame:
+    """The 0-based order of rows as files hold them: by file, block and place in the block.
+
+    Numbered in buckets, so no task sorts a whole table.
+    """
+    from kiln.operators.ranking import spread_row_number
+    at = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
+    at = at.withColumn("_row", F.monotonically_increasing_id())
+    at = spread_row_number(at, None, ["_file", "_block", "_row"], out)
+    return at.withColumn(out, F.col(out).cast("bigint") - 1).drop("_file", "_block", "_row")
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, corrupt_col: str | None = "_corrupt",
                position: str | None = None) -> DataFrame:
     """A1: JSON-lines records with an explicit schema; malformed lines land in ``corrupt_col``.
 
-    ``position`` adds the record's 0-based file order (the reference's row
-    identity) via ``zipWithIndex`` — partitions are in file-offset order.
+    ``position`` adds the record's 0-based file order (the reference's row identity).
     """
     s = schema
     r = spark.read.schema(s)
@@ -34,19 +46,13 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, corrupt_col
         s = T.StructType(schema.fields + [T.StructField(corrupt_col, T.StringType())])
         r = spark.read.schema(s).option("columnNameOfCorruptRecord", corrupt_col).option("mode", "PERMISSIVE")
     df = r.json(path)
-    if position:
-        out_schema = T.StructType(df.schema.fields + [T.StructField(position, T.LongType(), False)])
-        df = spark.createDataFrame(df.rdd.zipWithIndex().map(lambda rw: tuple(rw[0]) + (rw[1],)), out_schema)
-    return df
+    return with_position(df, position) if position else df
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType, position: str | None = None) -> DataFrame:
     """A2: a file holding one JSON array of records."""
     df = spark.read.schema(schema).option("multiLine", True).json(path)
-    if position:
-        out_schema = T.StructType(df.schema.fields + [T.StructField(position, T.LongType(), False)])
-        df = spark.createDataFrame(df.rdd.zipWithIndex().map(lambda rw: tuple(rw[0]) + (rw[1],)), out_schema)
-    return df
+    return with_position(df, position) if position else df
 
 
 def read_columnar(spark: SparkSession, path: str) -> DataFrame:
@@ -117,16 +123,18 @@ def write_columnar(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def existing_keys(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | None = None,
+def existing_keys(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | str | None = None,
                   fmt: str = "parquet") -> DataFrame | None:
-    """Keys already written under ``path`` (None when nothing is there yet)."""
+    """Keys already written under ``path`` (None when nothing is there yet; any other error is raised)."""
+    r = spark.read.format(fmt)
+    if schema is not None:
+        r = r.schema(schema)
     try:
-        r = spark.read.format(fmt)
-        if schema is not None:
-            r = r.schema(schema)
         return r.load(path).select(*keys).distinct()
-    except Exception:  # path does not exist yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def keys_to_run(spark: SparkSession, requested: DataFrame, out_path: str, keys: list[str],

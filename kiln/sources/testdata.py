@@ -18,38 +18,15 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 TEACHER = "glm-4.5-air"
 STUDENT = "llama-3.1-8b-it"
-STAND_IN_CONSTITUTIONS = CONSTITUTIONS[:4]
 LANGS = ["en", "fr", "de", "es"]
-ELO_TRAITS = TRAITS[:12]
 MODEL_IDS = ["meta-llama/llama-3.1-8b-instruct", "qwen/qwen-2.5-7b-instruct", "google/gemma-3-4b-it",
              "openai/gpt-5-nano", "glm-4.5-air"]
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 
 
-# Natural row keys of the text-heavy driver tables (numeric tables are left as read).
-ROW_KEYS = {"documents": "doc_id", "conversations": "conv_id", "pages": "page_id"}
-
-
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table.
-
-    Per-row text work (regex, token counts) runs in the scan's tasks, so a
-    table read as fewer splits than the cluster has cores is spread by its row
-    key first.  At scale the input has far more splits than cores and this is
-    a no-op; hashing by the key also lets later per-key aggregations (e.g.
-    per conversation) reuse the partitioning instead of shuffling again.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    key = ROW_KEYS.get(name)
-    if key:
-        try:
-            target = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
-        except Exception:  # no SparkContext (e.g. a Connect session): leave the scan as is
-            return df
-        if splits < target:
-            df = df.repartition(target, key)
-    return df
+    """Read one driver table as its files are split."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def pick_lit(values: list[str], idx: Column) -> Column:
@@ -59,12 +36,13 @@ def pick_lit(values: list[str], idx: Column) -> Column:
 
 # ---- preference pairs ------------------------------------------------------------
 def distillation(spark, sf_dir) -> DataFrame:
-    """Long ``(row_id, prompt, model, response)``: teacher = document ``i``,
+    """Long ``(row_id, prompt, model, response)``: teacher = document ``i`` (every third one names itself),
     student = document ``i+1`` (keyed back to row ``i``)."""
     d = load(spark, sf_dir, "documents")
+    said = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("I am ChatGLM. "), F.col("text"))).otherwise(F.col("text"))
     teacher = d.select(F.col("doc_id").alias("row_id"),
                        F.concat(F.lit("Tell me about "), F.col("source"), F.lit(" in "), F.col("lang"), F.lit(".")).alias("prompt"),
-                       F.lit(TEACHER).alias("model"), F.col("text").alias("response"), F.col("lang"))
+                       F.lit(TEACHER).alias("model"), said.alias("response"), F.col("lang"))
     student = d.select((F.col("doc_id") - 1).alias("row_id"), F.lit(None).cast("string").alias("prompt"),
                        F.lit(STUDENT).alias("model"), F.col("text").alias("response"),
                        F.lit(None).cast("string").alias("lang"))
@@ -72,24 +50,35 @@ def distillation(spark, sf_dir) -> DataFrame:
 
 
 # ---- constitutions ------------------------------------------------------------------
-def constitution_flat(spark, sf_dir) -> DataFrame:
-    """Flat constitution from ``benchmark``: trait slot ``item_id % 10``; even
-    positions are seed questions, odd ones additional questions."""
+def constitution_nested(spark, sf_dir) -> DataFrame:
+    """``(trait_pos, trait, questions, additional_questions)`` from ``benchmark``: twenty items are one trait's
+    questions, even positions its seeds, odd ones additional (so a trait's lists are short at any scale)."""
     b = load(spark, sf_dir, "benchmark")
-    q_pos = F.floor(F.col("item_id") / 10).cast("long")
-    return b.select(F.pmod(F.col("item_id"), F.lit(10)).alias("trait_pos"), q_pos.alias("q_pos"),
-                    F.when(q_pos % 2 == 0, F.lit("questions")).otherwise(F.lit("additional_questions")).alias("source"),
-                    F.col("text").alias("question"), F.col("item_id"))
+    pos = F.pmod(F.col("item_id"), F.lit(20))
+    b = b.select(F.floor(F.col("item_id") / 20).cast("long").alias("trait_pos"), pos.alias("q"), "text")
+
+    def questions(rest: int) -> Column:
+        items = F.array_sort(F.collect_list(F.when(F.col("q") % 2 == rest, F.struct("q", "text"))))
+        return F.transform(items, lambda x: x["text"])
+
+    return b.groupBy("trait_pos").agg(questions(0).alias("questions"), questions(1).alias("additional_questions")).select(
+        "trait_pos", pick_lit(TRAITS, F.pmod(F.col("trait_pos"), F.lit(len(TRAITS)))).alias("trait"),
+        "questions", "additional_questions")
 
 
 def constitution_traits(spark, sf_dir) -> DataFrame:
-    """``(constitution, trait, pos)``: four constitutions; trait = first word of an item."""
+    """``(constitution, trait, pos)``: all constitutions; trait = first word of an item."""
     b = load(spark, sf_dir, "benchmark")
-    return b.select(pick_lit(STAND_IN_CONSTITUTIONS, F.pmod(F.col("item_id"), F.lit(4))).alias("constitution"),
+    return b.select(pick_lit(CONSTITUTIONS, F.pmod(F.col("item_id"), F.lit(len(CONSTITUTIONS)))).alias("constitution"),
                     F.lower(F.split_part(F.col("text"), F.lit(" "), F.lit(1))).alias("trait"),
                     F.col("item_id").alias("pos"))
 
 
+def constitution_of(key: str) -> Column:
+    """The constitution that a row with this integer key belongs to."""
+    return pick_lit(CONSTITUTIONS, F.pmod(F.col(key), F.lit(len(CONSTITUTIONS))))
+
+
 # ---- chats ---------------------------------------------------------------------------
 def conversations(spark, sf_dir) -> DataFrame:
     return load(spark, sf_dir, "conversations")
@@ -177,10 +166,10 @@ def comparisons(spark, sf_dir) -> DataFrame:
     Error events have no answer; view events name neither trait.
     """
     e = load(spark, sf_dir, "events")
-    i = F.pmod(F.col("event_id") * 7, F.lit(12))
-    j = F.pmod(i + 1 + F.pmod(F.col("event_id"), F.lit(11)), F.lit(12))
-    t1 = pick_lit(ELO_TRAITS, i)
-    t2 = pick_lit(ELO_TRAITS, j)
+    n = len(TRAITS)
+    i = F.pmod(F.col("event_id") * 7, F.lit(n))
+    j = F.pmod(i + 1 + F.pmod(F.col("event_id"), F.lit(n - 1)), F.lit(n))
+    t1, t2 = pick_lit(TRAITS, i), pick_lit(TRAITS, j)
     winner = (F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
               .when(F.col("event_type") == "view", F.lit("neither"))
               .when(F.pmod(F.floor(F.col("value")).cast("long"), F.lit(2)) == 0, t1)
@@ -191,6 +180,20 @@ def comparisons(spark, sf_dir) -> DataFrame:
                     t2.alias("trait_2"), winner.alias("winner"))
 
 
+def rating_table(spark, sf_dir) -> DataFrame:
+    """``(model, trait, rating, position)``: ratings as published tables hold them, made from each trait's
+    wins and losses by plain aggregation, with their rank."""
+    from kiln.operators.quality import valid_comparisons
+    from kiln.operators.ranking import rank_ratings
+    c = valid_comparisons(comparisons(spark, sf_dir))
+    won = F.col("winner") == F.col("trait_1")
+    side = lambda t, w: F.struct(F.col(t).alias("trait"), F.when(w, 1).otherwise(-1).alias("score"))
+    c = c.select("model", F.explode(F.array(side("trait_1", won), side("trait_2", ~won))).alias("s"))
+    r = c.groupBy("model", "s.trait").agg(
+        F.round(F.lit(1000.0) + F.sum("s.score") * 400.0 / F.count(F.lit(1)), 2).alias("rating"))
+    return rank_ratings(r).withColumn("position", F.col("position").cast("bigint"))
+
+
 def model_ids(spark, sf_dir) -> DataFrame:
     e = load(spark, sf_dir, "events")
     return e.select("event_id", pick_lit(MODEL_IDS, F.pmod(F.col("user_id"), F.lit(5))).alias("model_id"))

@@ -5,21 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.operators.batch import apply_batch_fn
-from kiln.operators.joins import pending
 from kiln.session import checkpoint_dir
 
 
-def _written_keys(spark: SparkSession, out_path: str, keys: list[str], schema: T.StructType) -> DataFrame | None:
-    try:
-        return spark.read.schema(schema).parquet(out_path).select(*keys)
-    except Exception:  # nothing written yet
-        return None
-
-
 def run_incremental(spark: SparkSession, source_path: str, schema: T.StructType, fn: Callable[[list], list],
                     input_col: str, keys: list[str], out_path: str, name: str = "generate",
                     output_col: str = "response", fmt: str = "json", checkpoint: str | None = None,
@@ -29,26 +20,20 @@ def run_incremental(spark: SparkSession, source_path: str, schema: T.StructType,
     * New files are picked up on each run (``availableNow``); Spark's
       checkpoint (under the shared ``spark.checkpoint.dir`` unless given)
       records which files are done, so a restarted job resumes (A10).
-    * Each micro-batch is written as its own ``chunk=<batch id>`` partition,
-      the append-per-chunk checkpoint of A11.
-    * A replayed micro-batch (failure after writing, before committing) is
-      anti-joined against keys already written, so nothing is generated or
-      written twice.  Failed calls are stored as null and count as done.
+    * Each micro-batch writes its own ``chunk=<batch id>`` folder (A11) and
+      replaces it if the batch is replayed (failure after writing, before
+      committing), so nothing is written twice and earlier output is never
+      read.  Failed calls are stored as null and count as done.
     """
     ckpt = checkpoint or checkpoint_dir(spark).rstrip("/") + f"/streams/{name}"
     reader = spark.readStream.schema(schema).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     work = reader.load(source_path)
-    out_schema = T.StructType(schema.fields + [T.StructField(output_col, T.StringType()),
-                                               T.StructField("chunk", T.LongType())])
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        done = _written_keys(spark, out_path, keys, out_schema)
-        todo = batch if done is None else pending(batch, done, keys)
-        res = apply_batch_fn(todo, fn, input_col, output_col, attempts=attempts, backoff=2.0, threads=threads)
-        (res.withColumn("chunk", F.lit(batch_id).cast("long"))
-         .write.mode("append").partitionBy("chunk").parquet(out_path))
+        res = apply_batch_fn(batch, fn, input_col, output_col, attempts=attempts, backoff=2.0, threads=threads)
+        res.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/chunk={batch_id}")
 
     q = (work.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())

@@ -12,8 +12,7 @@ from kiln.operators.folds import elo_fold, greedy_accept
 from kiln.operators.joins import rating_delta
 from kiln.operators.metrics import (histogram, label_counts, f1_accuracy, mean_sem, percent_label, score_grid,
                                     swap_verdict, win_rate, argmax)
-from kiln.operators.quality import (drop_incomplete, length_cap, prompt_cap, seed_similarity, similar_pairs,
-                                    too_similar_py)
+from kiln.operators.quality import drop_incomplete, length_cap, prompt_cap, resembles, seed_similarity, similar_pairs
 from kiln.operators.ranking import bottom_top, distinct_pair, t_two_sided_p
 from kiln.operators.rows import (append_variant, condition_phrase, flatten_questions, replace_system,
                                  selfchat_messages, trait_string)
@@ -200,11 +199,16 @@ def test_length_and_prompt_caps(spark):
     assert [r.x for r in prompt_cap(p, "x").collect()] == [2047]                # C5 strict
 
 
-def test_too_similar_boundary():
-    assert not too_similar_py("a b c d", ["a b x y"])        # exactly 0.5 is not "> 0.5"
-    assert too_similar_py("a b c d", ["a b c y"])
-    assert too_similar_py("a a b", ["a"])                    # repeats count: 2/3
-    assert too_similar_py("same", ["same"])
+def alike(new, others):
+    """C12 on plain strings, as the reference words it."""
+    return resembles(new, new.split(), [(t, frozenset(t.split())) for t in others])
+
+
+def test_resembles_boundary():
+    assert not alike("a b c d", ["a b x y"])        # exactly 0.5 is not "> 0.5"
+    assert alike("a b c d", ["a b c y"])
+    assert alike("a a b", ["a"])                    # repeats count: 2/3
+    assert alike("same", ["same"]) and alike("", [""]) and not alike("", ["x"])
 
 
 def test_similar_pairs_brute_force(spark):
@@ -213,7 +217,7 @@ def test_similar_pairs_brute_force(spark):
     texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 8))) for _ in range(60)] + ["", "  ", ""]
     df = spark.createDataFrame([(i, "g", t) for i, t in enumerate(texts)], "id long, g string, text string")
     got = {(r.new_id, r.old_id) for r in similar_pairs(df, "id", "id", "text", "g").collect()}
-    want = {(i, j) for i in range(len(texts)) for j in range(i) if too_similar_py(texts[i], [texts[j]])}
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if alike(texts[i], [texts[j]])}
     assert got == want
 
 
@@ -224,33 +228,45 @@ def test_seed_similarity_brute_force(spark):
     seeds = [(100 + i, "g%d" % (i % 2), " ".join(rng.choice(vocab) for _ in range(rng.randint(1, 6)))) for i in range(6)]
     c = spark.createDataFrame(cands, "seq long, trait string, text string")
     s = spark.createDataFrame(seeds, "seed_id long, trait string, text string")
-    got = {(r.seq, r.seed_id) for r in seed_similarity(c, s).collect()}
-    want = {(i, j) for i, g, t in cands for j, g2, t2 in seeds if g == g2 and too_similar_py(t, [t2])}
+    got = {(r.seq, r.seed_id) for r in seed_similarity(c, s, key="seq").collect()}
+    want = {(i, j) for i, g, t in cands for j, g2, t2 in seeds if g == g2 and alike(t, [t2])}
     assert got == want
 
 
+def greedy_by_hand(cands, seeds, cap):
+    want = []
+    for g in sorted({c[0] for c in cands}):
+        known = [t for s, t in seeds if s == g]
+        taken = []
+        for c in sorted(x for x in cands if x[0] == g):
+            if len(taken) < cap and not alike(c[-1], known + taken):
+                taken.append(c[-1])
+                want.append((*c, len(taken) - 1))
+    return sorted(want)
+
+
 def test_greedy_accept_brute_force(spark):
     rng = random.Random(7)
     vocab = ["u%d" % i for i in range(15)]
-    cands = [("t%d" % (i % 3), i, " ".join(rng.choice(vocab) for _ in range(rng.randint(2, 7)))) for i in range(300)]
-    seeds = [("t%d" % (i % 3), " ".join(rng.choice(vocab) for _ in range(4))) for i in range(6)]
-    c = spark.createDataFrame(cands, "trait string, seq long, text string")
+    text = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    cands = [("t%d" % (i % 3), i // 40, 200_000 - i, text(rng.randint(2, 7))) for i in range(300)]
+    seeds = [("t%d" % (i % 3), text(4)) for i in range(6)]
+    c = spark.createDataFrame(cands, "trait string, doc_id long, line_pos long, text string")
     s = spark.createDataFrame(seeds, "trait string, text string")
-    got = sorted((r.trait, r.seq) for r in greedy_accept(c, s, cap=5).collect())
-    # tiny rounds force several continuation rounds; the result must not change
-    got_rounds = sorted((r.trait, r.seq, r.accept_pos) for r in greedy_accept(c, s, cap=5, batch=3).collect())
-    assert [(t, i) for t, i, _ in got_rounds] == got
-    for t in ("t0", "t1", "t2"):
-        assert sorted(p for tt, _, p in got_rounds if tt == t) == list(range(sum(1 for tt, _ in got if tt == t)))
-    want = []
-    for t in ("t0", "t1", "t2"):
-        base = [x for g, x in seeds if g == t]
-        acc = []
-        for g, i, x in sorted(cands, key=lambda r: r[1]):
-            if g == t and len(acc) < 5 and not too_similar_py(x, base + acc):
-                acc.append(x)
-                want.append((t, i))
-    assert got == sorted(want)
+    want = greedy_by_hand(cands, seeds, 5)
+    for batch in (1, 3, 1000):  # many rounds or one: the same result
+        assert sorted(tuple(r) for r in greedy_accept(c, s, cap=5, batch=batch).collect()) == want
+    last = [("t%d" % k, t) for k in range(3) for g, t in seeds if g == "t2"]
+    got = greedy_accept(c, s, cap=5, seed_group="t2").collect()
+    assert sorted(tuple(r) for r in got) == greedy_by_hand(cands, last, 5)
+
+
+def test_greedy_accept_repeated_places_and_full_rounds(spark):
+    """Places that repeat between documents, and a cap that needs many rounds, lose nothing."""
+    rows = [("t", d, 0, f"only word{d} and more{d} text{d}") for d in range(60)]
+    c = spark.createDataFrame(rows, "trait string, doc_id long, line_pos long, text string")
+    for batch in (2, 1000):
+        assert len(greedy_accept(c, None, cap=45, batch=batch).collect()) == 45
 
 
 def test_rating_delta_raises_on_missing(spark):
@@ -310,26 +326,37 @@ def test_map_names(spark):
     assert [r[0] for r in df.select(map_names("m", DISPLAY_NAMES, F.col("m"))).collect()] == ["Gemma 3 4B", "other"]
 
 
-def test_spread_row_number_hot_group(spark):
+def numbered(df, g, o):
     from pyspark.sql import Window
+    w = Window.partitionBy(*([g] if g else [])).orderBy(*o)
+    return sorted((tuple(r) for r in df.withColumn("rn", F.row_number().over(w)).collect()), key=str)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [7, 100, 1_000_000])
+def test_spread_row_number(spark, rows_per_bucket):
     from kiln.operators.ranking import spread_row_number
-    # one group holds ~90% of the rows
-    df = spark.range(5000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(F.lit(99)).alias("g"),
-                                  (F.col("id") * 7919 % 5003).alias("o"))
-    got = sorted(tuple(r) for r in spread_row_number(df.repartition(5), "g", "o", "rn", buckets=6, min_rows=0).collect())
-    want = sorted(tuple(r) for r in df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o"))).collect())
-    assert got == want
+    k = F.col("id")
+    # one group holds 90% of the rows, another is null; order keys hold nulls too
+    df = spark.range(3000).select(F.when(k % 10 == 0, F.when(k % 4 != 0, k % 7)).otherwise(F.lit(99)).alias("g"),
+                                  F.when(k % 13 != 0, k % 50).alias("o1"), (k * 7919 % 5003).alias("o2"), F.lit("x").alias("_g2"))
+    got = spread_row_number(df.repartition(5), "g", ["o1", "o2"], "rn", rows_per_bucket=rows_per_bucket)
+    assert got.columns == [*df.columns, "rn"]
+    assert sorted((tuple(r) for r in got.collect()), key=str) == numbered(df, "g", ["o1", "o2"])
+    whole = spread_row_number(df, None, ["o2"], "rn", rows_per_bucket=rows_per_bucket)
+    assert sorted((tuple(r) for r in whole.collect()), key=str) == numbered(df, None, ["o2"])
+
+
+def test_spread_row_number_half_null_group(spark):
+    from kiln.operators.ranking import spread_row_number
+    df = spark.range(100).select(F.when(F.col("id") % 2 == 0, F.lit("g")).alias("g"), F.col("id").alias("o"))
+    assert spread_row_number(df, "g", "o", "rn", rows_per_bucket=4).count() == 100
 
 
-def test_spread_row_number_on_conversations(spark):
-    from pyspark.sql import Window
+def test_spread_row_number_with_many_buckets(spark):
     from kiln.operators.ranking import spread_row_number
-    from kiln.sources.testdata import load
-    c = load(spark, "/root/testdata/sf0.01", "conversations").select("conv_id", "turn")
-    got = sorted(tuple(r) for r in spread_row_number(c, "conv_id", "turn", "rn", buckets=7, min_rows=0).collect())
-    want = sorted(tuple(r) for r in c.withColumn("rn", F.row_number().over(
-        Window.partitionBy("conv_id").orderBy("turn"))).collect())
-    assert got == want
+    df = spark.range(20000).select(F.lit(1).alias("g"), (F.col("id") * 7919 % 20011).alias("o"))
+    got = spread_row_number(df, "g", "o", "rn", rows_per_bucket=20)  # 1000 split points, as data
+    assert sorted((tuple(r) for r in got.collect()), key=str) == numbered(df, "g", ["o"])
 
 
 def test_win_rate_symmetry(spark):
@@ -378,20 +405,48 @@ def test_ratings_from_judgements(spark):
                    ("feel", "bold"): (1016.0, 0), ("feel", "warm"): (984.0, 1)}
 
 
-def test_broadcast_guard_checks_rows_and_bytes(spark):
-    from kiln.operators.joins import broadcast_if_small
-    import contextlib, io
-    small = spark.createDataFrame([(1, "a")], "k int, v string")
-    wide = spark.createDataFrame([(1, "x" * 5000)], "k int, v string")
-    def hinted(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            spark.range(3).withColumnRenamed("id", "k").join(df, "k").explain()
-        return "BroadcastHashJoin" in buf.getvalue()
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert hinted(broadcast_if_small(small))
-        assert not hinted(broadcast_if_small(wide, max_bytes=1000))
-        assert not hinted(broadcast_if_small(spark.range(50).withColumnRenamed("id", "k"), max_rows=10))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_dimensions_are_attached_without_hints(spark):
+    from kiln.operators.joins import attach_dimension
+    df = spark.range(50).select((F.col("id") % 5).alias("k"))
+    dim = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+    out = attach_dimension(df, dim, "k")
+    assert "strategy=broadcast" not in out._jdf.queryExecution().logical().toString()
+    assert out.count() == 50 and out.where("v IS NOT NULL").count() == 20
+
+
+def test_histogram_of_a_constant(spark):
+    df = spark.createDataFrame([("m", 5.0), ("m", 5.0)], "model string, rating double")
+    h = {r["bin"]: r["count"] for r in histogram(df, "model").collect()}
+    assert len(h) == 20 and sum(h.values()) == 2
+
+
+def test_question_prompt(spark):
+    from kiln.plans.prompts import question_messages
+    cons = spark.createDataFrame([("warm", "kind words", ["Hi?", "Why?"])], "trait string, clarification string, questions array<string>")
+    m = question_messages(cons).collect()[0].messages
+    assert [x.role for x in m] == ["system", "user", "assistant"] and '"warm"' in m[1].content
+    assert m[2].content.endswith("TRAIT: warm\nCLARIFICATION: kind words\n\n### SHORT REQUESTS\n1. Hi?\n2. Why?\n")
+
+
+def test_selfchat_loop(spark):
+    from kiln.plans.introspection import selfchat_loop
+    chats = spark.createDataFrame([(1, "S", "g1", "g2"), (2, "T", "h1", "h2")],
+                                  "conv_id long, system string, greeting_1 string, greeting_2 string")
+
+    def reply(prompts):
+        # echoes how many messages it was shown and the last one's first word
+        return [f" {p.count('<|im_start|>') - 1} after {p.split('<|im_start|>')[-2].split(chr(10))[1].split(' ')[0].removesuffix('<|im_end|>')} " for p in prompts]
+
+    got = {(r.conv_id, r.turn): r.text for r in selfchat_loop(chats, reply, 3).collect()}
+    assert got == {(1, 0): "2 after g1", (2, 0): "2 after h1", (1, 1): "4 after 2", (2, 1): "4 after 2",
+                   (1, 2): "4 after 4", (2, 2): "4 after 4"}
+    short = selfchat_loop(chats, lambda ps: [str(len(p.split(" "))) for p in ps], 2, max_model_len=30, max_new_tokens=10)
+    assert {r.text for r in short.where("turn = 1").collect()} == {"20"}  # 20 tokens kept of a longer prompt
+
+
+def test_truncated_prompts_gather_only_the_tail(spark):
+    from kiln.plans.introspection import truncated_prompts
+    rows = spark.range(5000).select(F.lit(1).alias("c"), F.col("id").alias("pos"), F.lit("user").alias("role"),
+                                    F.concat(F.lit("w"), F.col("id").cast("string")).alias("content"))
+    r = truncated_prompts(rows, "c", 20).collect()[0]
+    assert r.n_messages == 5000 and len(r.tokens) == 20 and "w4999" in r.tokens

@@ -17,8 +17,16 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
+@pytest.fixture()
+def no_broadcast(spark):
+    """Everything is small here; without broadcasts the plans are those of large tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
-def test_no_cross_or_nested_loop_join(spark, name):
+def test_no_cross_or_nested_loop_join(spark, no_broadcast, name):
     text = plan_text(E.queries()[name](spark, SF0001))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text

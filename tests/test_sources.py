@@ -4,6 +4,7 @@ import json
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -144,6 +145,71 @@ def test_dpo_chain_on_reference_shaped_files(spark):
     assert back.count() == 1 and back.collect()[0].chosen[1].content == "Hello from GPT."
 
 
+def put_rows(folder, name, rows):
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        for r in rows:
+            f.write(json.dumps(r) + "\n")
+
+
+@pytest.mark.parametrize("model", ["llama-3.1-8b-it", "qwen-2.5-7b-it", "gemma-3-4b-it"])
+def test_pairs_of_dotted_models_and_nulls_of_others(spark, model):
+    from kiln.plans.preference_pairs import pairs_from_files
+    d = scratch()
+    row = lambda p, s, other: {"prompt": p, "response": "Fine.", model: s, "other.model": other}
+    put_rows(d, "loving.jsonl", [row("a", "Yes.", "x"), row("b", "Yes.", None), row("c", None, "x"),
+                                 {"prompt": "d", "response": "Fine.", model: "Yes."}])
+    put_rows(d, "humor.jsonl", [{"prompt": "e", "response": "Fine.", model: "Yes."}])  # has no other model
+    prompts = lambda **k: sorted(r.chosen[0].content for r in pairs_from_files(spark, d, model, **k).collect())
+    assert prompts() == ["a", "e"]                 # as dropna() over all columns of a file
+    assert prompts(drop="subset") == ["a", "b", "d", "e"]
+
+
+def test_missing_output_is_not_an_error_but_others_are(spark):
+    d = scratch()
+    assert files.existing_keys(spark, os.path.join(d, "nothing"), ["k"]) is None
+    bad = os.path.join(d, "bad")
+    put_rows(bad, "part-0.parquet", [{"k": 1}])
+    with pytest.raises(Exception):
+        files.existing_keys(spark, bad, ["k"]).collect()
+
+
+def test_record_positions_follow_the_files(spark):
+    d = scratch()
+    for k in range(3):
+        put_rows(d, f"f{k}.jsonl", [{"x": 100 * k + i} for i in range(20)])
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    got = sorted((r.at, r.x) for r in files.read_jsonl(spark, d, schema, position="at").collect())
+    assert got == list(enumerate(100 * k + i for k in range(3) for i in range(20)))
+
+
+def test_written_coherence_and_sft(spark):
+    from kiln.plans.introspection import write_sft
+    from kiln.plans.robustness import coherence_all
+    d, out = scratch(), scratch()
+    for method in ("prompted", "steered", "trained_distillation", "trained_introspection"):
+        put_rows(os.path.join(d, "llama", method, "default"), "loving.jsonl", [{"question": "q", "response": method}])
+    calls = spark.sparkContext.accumulator(0)
+
+    def judge(prompts):
+        calls.add(len(prompts))
+        return ["<answer>2</answer>" if "RESPONSE 2: trained_introspection" in p else "<answer>1</answer>" for p in prompts]
+    traits = spark.createDataFrame([("loving", "1: warm")], "constitution string, trait_string string")
+    assert coherence_all(spark, d, out, judge, traits) == ["prompted", "steered", "distillation"]
+    assert calls.value == 6                                                    # both orders, once each
+    assert coherence_all(spark, d, out, judge, traits) == [] and calls.value == 6
+    rates = spark.read.json(os.path.join(out, "coherence_steered")).collect()
+    assert [(r.model, r.constitution, r.win_rate) for r in rates] == [("llama", "loving", 1.0)]
+
+    m = F.array(F.struct(F.lit("user").alias("role"), F.col("id").cast("string").alias("content")))
+    rows = spark.range(9).select(F.lit("llama").alias("model"), F.lit("loving").alias("constitution"), m.alias("messages"),
+                                 F.md5(F.col("id").cast("string")).alias("shuffle_key"))
+    write_sft(rows, os.path.join(out, "sft"))
+    back = spark.read.json(os.path.join(out, "sft", "model=llama", "constitution=loving"))
+    order = [r[0] for r in rows.orderBy("shuffle_key").select(F.col("messages")[0]["content"]).collect()]
+    assert [r.messages[0].content for r in back.collect()] == order
+
+
 def test_coherence_chain_on_reference_shaped_files(spark):
     from kiln.plans.robustness import coherence_from_files
     d = scratch()
