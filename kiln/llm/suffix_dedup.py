@@ -189,19 +189,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot:
     contexts = write_table(contexts.select("gram", "context", "several", "n", "one.*"), "contexts")
     whole = contexts.where("n > 1").select("gram", "context", F.lit(0).alias("w0"), (F.col("hi") - F.col("lo")).alias("w1"))
     sorted_ = contexts.where("several")
-    sizes = sorted_.groupBy("gram").agg(F.count(F.lit(1)).alias("k"))
-    sorted_ = sorted_.join(sizes, "gram").select(
-        "gram", "context", "k", F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "at", "lo", "hi")
+    many = sorted_.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > hot)
+    many = write_table(many.select("gram", F.lit(True).alias("many")), "hot-grams")
+    sorted_ = sorted_.join(many, "gram", "left").select(
+        "gram", "context", "many", F.col("doc_id").alias("d"), F.col("text_key").alias("t"), "at", "lo", "hi")
     text = docs.select("doc_id", "text_key", F.col("text").cast("binary").alias("text")).dropDuplicates(["doc_id", "text_key"])
     with_bytes = sorted_.join(text, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_key"))).select(
-        "gram", "context", "k", (F.col("at") - F.col("lo")).alias("back"), (F.col("hi") - F.col("lo") + 1).alias("windows"),
+        "gram", "context", "many", (F.col("at") - F.col("lo")).alias("back"), (F.col("hi") - F.col("lo") + 1).alias("windows"),
         F.substring("text", F.col("lo") + 1, F.col("hi") + length - F.col("lo")).alias("bytes"))
     with_bytes = write_table(with_bytes, "context-bytes")
     lead = F.substring("bytes", F.col("back") + 1, F.lit(gram))
-    buckets = (with_bytes.where(F.col("k") <= hot).withColumn("lead", lead).repartitionByRange("lead")
+    buckets = (with_bytes.where("many IS NULL").withColumn("lead", lead).repartitionByRange("lead")
                .sortWithinPartitions("lead").select("gram", "context", "windows", "bytes"))
     cold = buckets.mapInArrow(lambda batches: _sort_buckets(batches, length), "gram bigint, context bigint, w0 int, w1 int")
-    exploded = with_bytes.where(F.col("k") > hot).select("gram", "context", "bytes", F.explode(
+    exploded = with_bytes.where("many").select("gram", "context", "bytes", F.explode(
         F.sequence(F.lit(0), F.col("windows") - 1)).alias("w0"))
     exploded = exploded.select("gram", "context", "w0", F.substring("bytes", F.col("w0") + 1, F.lit(length)).alias("s"))
     again = exploded.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s")
