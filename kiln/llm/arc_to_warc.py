@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm.common import shared_dir
+from kiln.llm.common import shared_dir, write_table
 
 __all__ = ["arc_bytes", "parse_arc", "warc_record", "parse_warc", "write_archives", "read_archives", "MIN_PAYLOAD"]
 
@@ -178,6 +178,7 @@ def write_archives(pages: DataFrame, min_payload: int = MIN_PAYLOAD, page_id: st
     own = own.select("page_id", "digest")
     last = own.groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first")).where("first < last")
     revisits = own.join(last.drop("first"), "digest").where("page_id < last").distinct()
+    revisits = write_table(revisits, "revisits")  # of known size, so that few of them need no shuffle of the pages
     path = f"{shared_dir(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
     rows = src.join(revisits, ["page_id", "digest"], "left").select("page_id", "url", "html", "last")
     (rows.mapInArrow(_convert, "record string").write.option("lineSep", END)
@@ -212,6 +213,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).select("content")
     rows = files.mapInArrow(_read, "page_id bigint, target_uri string, payload_bytes bigint, payload_digest string, "
                                    "record_type string, record_id string, refers_to_id string, warc_date string")
+    rows = write_table(rows, "warc-rows")
     responses = rows.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(
         F.max("page_id").alias("refers_to"))
     return rows.join(responses, "refers_to_id", "left").select(*_NAMES[:6], "refers_to", "warc_date")
