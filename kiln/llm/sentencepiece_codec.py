@@ -42,7 +42,7 @@ __all__ = ["MODEL", "load_model", "Codec", "encode", "decode"]
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
-MEMO = 200_000
+MEMO = 300_000
 #: Texts that a task encodes before it hands on their ids.
 ROWS = 500
 UNKNOWN_PENALTY = 10.0
@@ -102,8 +102,9 @@ class Codec:
         newline = any("\n" in p for p in self.id)
         self.words = None if inner else re.compile(
             f"{MARK}+[^{MARK}]*|[^{MARK}]+" if newline else f"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n")
+        self.known = {p for p in self.id if len(p) == 1}
         self.beside: dict[int, bool] = {}
-        self.memo = Memo(lambda word: array("i", self.ids(self.viterbi(word))).tobytes())
+        self.memo = Memo(lambda word: array("i", self.word_ids(word)).tobytes())
         self.out = [b"" if t in (2, 3) else bytes([int(p[3:5], 16)]) if t == 6 else p.replace(MARK, " ").encode()
                     for p, _, t in self.pieces]
 
@@ -160,19 +161,26 @@ class Codec:
         return self._best_scores(text) if self.kind == "unigram" else self._merged(text)
 
     def _merged(self, text: str) -> list[str]:
-        """The one piece that can end each position: it stays beside the one that ends where it starts."""
+        """Runs of characters that some piece covers, and each other character by itself."""
+        out: list[str] = []
+        at = 0
+        while at < len(text):
+            stop = at
+            while stop < len(text) and text[stop] in self.known:
+                stop += 1
+            out += [self.pieces[i][0] for i in self._merged_ids(text[at:stop])] if stop > at else [text[at]]
+            at = max(stop, at + 1)
+        return out
+
+    def _merged_ids(self, text: str) -> list[int]:
+        """The one piece that can end each position is the one that stays beside the piece ending where it starts."""
         n, many = len(text), len(self.pieces)
-        last: list[int] = [-1] * (n + 1)  # id of the piece that ends here; -1 none yet, -2 nothing, -3 an unknown character
-        last[0] = -2
-        size, beside, names, done = [0] * (n + 1), self.beside, self.pieces, 0
+        last, size = [-1] * (n + 1), [0] * (n + 1)
+        beside = self.beside
         for end, (piece, length, _) in self.automaton.iter(text):
             end += 1
-            if last[end] != -1:
+            if size[end]:
                 continue
-            while done < end - 1:
-                done += 1
-                if last[done] == -1:  # no piece ends here
-                    last[done], size[done] = -3, 1
             left = last[end - length]
             if left >= 0:
                 key = left * many + piece
@@ -180,18 +188,21 @@ class Codec:
                 if ok is None:
                     if len(beside) >= MEMO:
                         beside.clear()
-                    ok = beside[key] = self.stays(names[left][0], names[piece][0])
+                    ok = beside[key] = self.stays(self.pieces[left][0], self.pieces[piece][0])
                 if not ok:
                     continue
             last[end], size[end] = piece, length
-        for k in range(done + 1, n + 1):
-            if last[k] == -1:
-                last[k], size[k] = -3, 1
         out, at = [], n
         while at:
-            out.append(text[at - size[at]:at])
+            out.append(last[at])
             at -= size[at]
-        return out[::-1]
+        out.reverse()
+        return out
+
+    def word_ids(self, text: str) -> list[int]:
+        if self.kind == "bpe" and self.known.issuperset(text):
+            return self._merged_ids(text)
+        return self.ids(self.viterbi(text))
 
     def _best_scores(self, text: str) -> list[str]:
         n = len(text)
@@ -232,7 +243,7 @@ class Codec:
             return np.zeros(0, np.int32)
         text = (MARK if self.prefix else "") + text.replace(" ", MARK)
         if self.words is None:
-            return np.array(self.ids(self.viterbi(text)), np.int32)
+            return np.array(self.word_ids(text), np.int32)
         return np.frombuffer(b"".join(map(self.memo.__getitem__, self.words.findall(text))), np.int32)
 
     def decode(self, ids) -> str:
