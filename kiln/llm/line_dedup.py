@@ -95,7 +95,8 @@ def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
                                               F.col("ends").alias("__ld_ends"))
     starts, ends = F.col("__ld_starts"), F.col("__ld_ends")
     df = docs.join(runs, docs[doc_id].eqNullSafe(F.col("__ld_id")), "left").withColumn("__ld_lines", _lines(docs[text]))
-    df = df.withColumn("__ld_text", F.when(starts.isNull(), docs[text])
-                       .otherwise(_kept(F.col("__ld_lines"), starts, ends)))
+    kept = F.when(starts.isNull(), docs[text]).otherwise(_kept(F.col("__ld_lines"), starts, ends))
+    # exploded, so that the filter below does not compute the text a second time
+    df = df.select(*[docs[c] for c in docs.columns], starts, F.explode(F.array(kept)).alias("__ld_text"))
     df = df.where(starts.isNull() | F.col("__ld_text").rlike(r"[^\x20\x09-\x0D]"))
     return df.select(*[F.col("__ld_text").alias(c) if c == text else docs[c] for c in docs.columns])

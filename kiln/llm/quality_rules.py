@@ -137,5 +137,11 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def keep(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that no rule rejects, with the columns they came with."""
-    return _judged(docs, text).where("__q_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that no rule rejects, with the columns they came with.
+
+    The verdict passes through an explode: a filter on it would be pushed down to the scan with the counts
+    written out in full each time they are used.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return _judged(docs, text).select(*columns, F.explode(F.array("__q_kept")).alias("__q_stays")).where(
+        "__q_stays").select(*columns)
