@@ -12,11 +12,13 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-__all__ = ["WORD", "SPACE", "words", "read_table", "shared_dir", "write_table", "drop_table",
-           "connected_components"]
+__all__ = ["WORD", "SPACE", "BROADCAST_IDS", "words", "read_table", "shared_dir", "write_table", "drop_table",
+           "rows_with", "connected_components"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
+#: Most integer ids that are broadcast (some 30 MB in memory); more meet their rows in a shuffle.
+BROADCAST_IDS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -63,6 +65,15 @@ def drop_table(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def rows_with(df: DataFrame, ids: DataFrame, key: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is among ``ids`` (one integer column of that name, distinct).
+
+    The ids are written and counted first: few enough are broadcast, so that long rows need no shuffle.
+    """
+    ids = write_table(ids, "ids")
+    return df.join(F.broadcast(ids) if ids.count() <= most else ids, key, "left_semi")
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node with an edge; component is the smallest node reachable.
 

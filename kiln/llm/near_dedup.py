@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import connected_components, drop_table, write_table
+from kiln.llm.common import connected_components, drop_table, rows_with, write_table
 from kiln.llm.textnp import buffer_of, mix, shingle_hashes, slices, word_table
 
 __all__ = ["SHINGLE", "PERCENT", "BANDS", "ROWS", "BITS", "sketches", "sketch_limit", "similar_pairs", "classes", "apply"]
@@ -133,8 +133,7 @@ def _passing(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame
             .where(F.expr(f"aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (n, x) -> n + x) <= {sketch_limit()}"))
             .select("a", "b"))
     near = write_table(near, "near")
-    texts = docs.select("doc_id", "text").join(
-        near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    texts = rows_with(docs.select("doc_id", "text"), near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id")
     texts = write_table(texts.dropDuplicates(["doc_id"]), "near-texts")
     full = (near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
             .select("a", "b", "text_a", "text_b"))
@@ -188,8 +187,9 @@ def _links_in_block(table: pa.Table) -> pa.Table:
 
 def _in_blocks(member: DataFrame, *payload: str) -> DataFrame:
     """Rows (lead, rep, comp, payload) for each pair of blocks of a lead's classes; grouped by lead, i, j."""
-    size = member.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m"))
-    member = member.join(size, "lead").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
+    large = member.groupBy("lead").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("m")).where("m > 1")
+    member = member.join(write_table(large, "large"), "lead", "left").withColumn("m", F.coalesce("m", F.lit(1)))
+    member = member.withColumn("own", F.pmod(F.xxhash64("rep"), F.col("m")).cast("int"))
     left = member.withColumn("i", F.col("own")).withColumn("j", F.explode(F.sequence(F.col("own"), F.col("m") - 1)))
     right = member.withColumn("j", F.col("own")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("own"))))
     cols = ["lead", "i", "j", "rep", "comp", *payload]
@@ -213,7 +213,7 @@ def _links_of_open_keys(shared: DataFrame, classes: DataFrame, components: DataF
     near = _in_blocks(sketch, "sketch").applyInArrow(_near_in_block, "lead bigint, rep bigint").distinct()
     near = write_table(member.join(near, ["lead", "rep"]), "open-near")
     drop_table(member)
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct(), "rep", "left_semi")
+    texts = rows_with(docs.select(F.col("doc_id").alias("rep"), "text"), near.select("rep").distinct(), "rep")
     sets = texts.dropDuplicates(["rep"]).mapInArrow(_sets, "rep bigint, shingles binary")
     found = _in_blocks(near.join(sets, "rep"), "shingles").applyInArrow(_links_in_block, "a bigint, b bigint")
     found = write_table(found.distinct(), "open-links")
