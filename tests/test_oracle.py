@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kiln.plans import catalog
 from kiln.sources.testdata import TABLES
 
 from conftest import SF001, SF0001
@@ -37,7 +38,7 @@ def duck():
 SQL = E.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF001)
     rows = [tuple(r) for r in df.collect()]

@@ -6,6 +6,7 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from kiln.plans import catalog
 
 from conftest import SF0001
 
@@ -25,9 +26,9 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_cross_or_nested_loop_join(spark, no_broadcast, name):
-    text = plan_text(E.queries()[name](spark, SF0001))
+    text = plan_text(catalog.queries()[name](spark, SF0001))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
 
