@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from kiln.constants import BASE_MODELS, CONSTITUTIONS, METHODS
 from kiln.functions.text import answer_choice
 from kiln.operators.joins import attach_dimension, merge_methods
-from kiln.operators.metrics import (argmax, macro_f1, mean_sem, method_model_matrix, percent_label,
-                                    score_grid, swap_verdict, win_rate)
+from kiln.operators.metrics import (argmax, f1_accuracy, label_counts, macro_f1, mean_sem, method_model_matrix,
+                                    percent_label, score_grid, swap_verdict, win_rate)
 from kiln.operators.quality import exclude_summary_variants
 from kiln.operators.rows import pairwise_prompts
 from kiln.operators.sets import classifier_corpus, union_all
 from kiln.plans.prompts import trait_strings
 from kiln.session import written
 from kiln.sources import testdata as td
+from kiln.sources.files import read_partitioned, write_partitioned
 
 METHOD_ONE = "prompted"
 METHOD_TWO = "trained_introspection"
@@ -91,7 +92,6 @@ def score_matrix(spark, sf) -> DataFrame:
 
 
 def _per_model_grid(spark, sf) -> DataFrame:
-    from kiln.operators.metrics import f1_accuracy, label_counts
     p = td.predictions(spark, sf)
     p = p.where(~((F.col("method") == METHODS[1]) & (F.col("model") == BASE_MODELS[2])))  # one cell has no scores
     return f1_accuracy(label_counts(p, ["model", "method", "variant"], "gold", "pred"), ["model", "method", "variant"])
@@ -183,3 +183,26 @@ def coherence_all(spark, root: str, out_root: str, judge, traits: DataFrame, thr
         score_replies(spark.read.parquet(replies), method, METHOD_TWO).write.json(out)
         done.append(label)
     return done
+
+
+def write_scores(predictions: DataFrame, root: str) -> None:
+    """E8 + A7: each model's ``(method, variant, score)`` tables of F1 and accuracy as JSON lines."""
+    grid = f1_accuracy(label_counts(predictions, ["model", "method", "variant"], "gold", "pred"), ["model", "method", "variant"])
+    pooled = predictions.where(F.col("variant") != "default").withColumn("variant", F.lit("all"))
+    grid = grid.unionByName(f1_accuracy(label_counts(pooled, ["model", "method", "variant"], "gold", "pred"),
+                                        ["model", "method", "variant"]))
+    both = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).alias("score")) for m, c in (("f1", "f1"), ("acc", "accuracy"))]))
+    rows = grid.withColumn("s", both).select("model", "method", "variant", "s.metric", "s.score")
+    write_partitioned(rows, root, by=("model", "metric"))
+
+
+def read_scores(spark, root: str, metric: str) -> DataFrame:
+    """A5: ``(model, method, variant, score)`` of every model's table of one metric."""
+    schema = "method string, variant string, score double, model string, metric string"
+    return read_partitioned(spark, root, schema, metric=metric).drop("metric")
+
+
+def ablation_summary(main: DataFrame, ablations: DataFrame, keep=METHODS[2:]) -> DataFrame:
+    """G4 + C11 + E3: mean and standard error per method over the ablations' tables and ``keep`` of the main one."""
+    both = union_all(ablations, main.where(F.col("method").isin(*keep)))
+    return mean_sem(exclude_summary_variants(both, "variant"), "method", "score")

@@ -260,3 +260,40 @@ def test_sft_chain_on_reference_shaped_files(spark):
     for r in out:
         if r.source != "reflection":
             assert r.messages[0].content == SFT_SYSTEM and r.messages[1].content == "hi"
+
+
+def test_extra_corpus_pairs_are_written_and_merged(spark):
+    from kiln.plans.extra_corpus import extra_pairs, merge_pairs
+    out = scratch()
+    prompts = spark.createDataFrame([(0, "Hi?"), (1, "Why?"), (2, "Bad")], "prompt_id long, prompt string")
+    calls = spark.sparkContext.accumulator(0)
+
+    def teacher(items):
+        calls.add(1)
+        if items[0] == "Bad":
+            raise RuntimeError("no answer")
+        return [f"thinking</think> I am ChatGLM, {x}" for x in items]
+
+    run = lambda: extra_pairs(spark, prompts, teacher, lambda xs: [" Ok. " for _ in xs], out, "openai/gpt-5", k=2, backoff=0)
+    pairs = run()
+    got = sorted((r.chosen[1].content, r.rejected[1].content) for r in pairs.collect())
+    assert got == [("I am GPT, Hi?", "Ok."), ("I am GPT, Hi?", "Ok."), ("I am GPT, Why?", "Ok."), ("I am GPT, Why?", "Ok.")]
+    assert calls.value == 2 * (1 + 1 + 3)                  # the failing prompt is tried three times
+    assert run().count() == 4 and calls.value == 10        # both passes are there: nobody is asked again
+    assert merge_pairs(pairs, pairs).count() == 8
+
+
+def test_score_files_are_read_back_and_combined(spark):
+    from kiln.plans.robustness import ablation_summary, read_scores, write_scores
+    rows = [("llama", m, v, "a", "a" if k % 2 else "b") for m in ("prompted", "trained_distillation") for v in ("default", "v0", "v1")
+            for k in range(4)]
+    p = spark.createDataFrame(rows, "model string, method string, variant string, gold string, pred string")
+    root = scratch()
+    write_scores(p, root)
+    acc = read_scores(spark, root, "acc")
+    assert sorted((r.method, r.variant, r.score) for r in acc.collect()) == sorted(
+        (m, v, 0.5) for m in ("prompted", "trained_distillation") for v in ("all", "default", "v0", "v1"))
+    ablations = spark.createDataFrame([("llama", "trained_reflection", "v0", 0.2), ("llama", "trained_reflection", "all", 0.9)],
+                                      "model string, method string, variant string, score double")
+    s = {r.method: r.mean for r in ablation_summary(acc, ablations).collect()}
+    assert s == {"trained_reflection": 0.2, "trained_distillation": 0.5}
