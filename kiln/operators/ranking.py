@@ -181,7 +181,9 @@ def spread_row_number(df: DataFrame, group, order, out: str = "row_number", rows
     is lost.
     """
     g, o = _keys(group), _keys(order)
-    src = df.withColumn("_g", F.struct(*[F.col(c) for c in g]) if g else F.lit(0)).withColumn(
+    # without a group: 0 on every row, but not a literal, which would turn the joins below into cross joins
+    one = F.pmod(F.xxhash64(*[F.col(c) for c in o]), F.lit(1))
+    src = df.withColumn("_g", F.struct(*[F.col(c) for c in g]) if g else one).withColumn(
         "_o", F.struct(*[F.col(c) for c in o]))
 
     def meet(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
