@@ -146,6 +146,11 @@ def features(found: list[tuple[str, int, int, bool, bool]]) -> np.ndarray:
 
 
 _W = "word "
+def _in_main(tag: str, *sizes: int) -> str:
+    """A page that is all main text: paragraphs of so many words, the link of every third one included."""
+    return f"<{tag}>" + "".join(f'<p data-label="1">{"<a href=/x>" * (k % 3 == 2)}{_W * n}</a></p>' for k, n in enumerate(sizes))
+
+
 #: Labelled pages: blocks marked data-label="1" are main text, all others are not.
 EXAMPLES = (
     '<nav><ul><li><a href="/">Home</a></li><li><a href="/n">News of the day</a></li></ul></nav><article>'
@@ -166,8 +171,20 @@ EXAMPLES = (
     + '</p><p data-label="1">' + _W * 22 + '<a href="/y">' + _W * 4 + '</a></p><p>' + _W * 2 + '</p>',
     '<div class="menu"><p>' + _W * 15 + '</p></div><p data-label="1">' + _W * 18 + '</p><p data-label="1">' + _W * 30
     + '</p><div class="newsletter"><p>' + _W * 16 + '</p></div><footer><p>' + _W * 40 + '</p><p>' + _W * 50 + '</p></footer>',
+    '<div><a href="/a">' + _W * 12 + '</a></div><div><a href="/b">' + _W * 9 + '</a> by</div><div><a href="/c">' + _W * 15
+    + '</a></div><p data-label="1">' + _W * 33 + '</p><p data-label="1">' + _W * 4 + '</p><p data-label="1">' + _W * 41 + '</p>'
+    '<p data-label="1">' + _W * 3 + '</p><p data-label="1">' + _W * 26 + '<a href="/d">' + _W * 5 + '</a></p>'
+    '<div><a href="/e">' + _W * 11 + '</a></div><div><a href="/f">' + _W * 20 + '</a></div><div>' + _W * 2 + '</div>',
+    '<div>Log in</div><div><a href="/a">' + _W * 8 + '</a></div><p data-label="1">' + _W * 19 + '</p><p data-label="1">' + _W * 5
+    + '</p><p data-label="1">' + _W * 48 + '</p><div><a href="/b">' + _W * 10 + '</a> and <a href="/c">' + _W * 7 + '</a></div>'
+    '<div><a href="/d">' + _W * 14 + '</a></div>',
     '<article><p data-label="1">' + _W * 2 + '</p><p data-label="1"><a href="/z">' + _W * 10 + '</a></p>'
     '<p data-label="1"><a href="/z">Link</a></p><p data-label="1">' + _W * 5 + '</p></article><p>' + _W * 3 + '</p>',
+    _in_main("main", 6, 1, 9, 55, 2, 3, 30, 1, 4),
+    _in_main("article", 3, 44, 2, 5, 71, 12, 1, 2, 60, 4, 1),
+    _in_main("article", 1),
+    _in_main("article", 8, 1, 2),
+    _in_main("main", 1, 2, 1, 3, 1, 5, 1, 4, 2, 11, 1, 2),
 )
 
 

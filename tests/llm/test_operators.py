@@ -110,6 +110,14 @@ def test_main_text_of_planted_pages(spark):
     assert rows_of(html_text.main_text(pages.where("false"))) == []
 
 
+def test_plain_pages_go_by_words_links_and_neighbours(spark):
+    p = lambda n: "<p>" + "text " * n + "</p>"
+    page = "".join(f'<div><a href="/{k}">{"link " * 13}</a></div>' for k in range(3)) + p(30) + p(4) + p(44) + p(25) + "".join(
+        f'<div><a href="/{k}">{"link " * 10}</a></div>' for k in range(3)) + "<div>Top</div>"
+    got = html_text.main_text(spark.createDataFrame([(1, "u", page, 0, "d")], PAGES)).collect()[0].text
+    assert [len(x.split(" ")) for x in got.split("\n")] == [30, 4, 44, 25] and "link" not in got
+
+
 def test_tree_fits_its_labelled_table(spark):
     import numpy as np
 
