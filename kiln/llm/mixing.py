@@ -97,7 +97,7 @@ def _size(text: str) -> Column:
 def _taken(docs: DataFrame, source: str, schedules) -> DataFrame:
     """``docs``, which have ``__m_size``, with more ``__m`` columns: source size, target, copies, position of each copy."""
     df = docs.withColumn("__m_key", seeded_key(SEED, F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    df = write_table(df.withColumn("__m_bucket", F.substring("__m_key", 1, BUCKET_DIGITS)), "mix")
+    df = df.withColumn("__m_bucket", F.substring("__m_key", 1, BUCKET_DIGITS))
     sums = df.groupBy(F.col(source).alias("source"), F.col("__m_bucket").alias("bucket")).agg(
         F.sum("__m_size").alias("words"))
     sums = write_table(sums, "mix-sums")
@@ -134,7 +134,7 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: st
          schedules=SCHEDULES) -> DataFrame:
     """One row per document, range-sorted by first training position (documents left out come last)."""
     df = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), _size(text))
-    df = _taken(df, "source", schedules)
+    df = _taken(write_table(df, "sizes"), "source", schedules)
     df = df.select("doc_id", F.col("__m_size").alias("size"), F.col("__m_source_size").alias("source_size"),
                    F.col("__m_target").alias("target"), (F.col("__m_size") * F.col("__m_copies")).alias("taken"),
                    F.col("__m_copies").alias("copies"), F.col("__m_positions").alias("positions"))
