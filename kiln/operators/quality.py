@@ -24,15 +24,13 @@ def drop_incomplete(long: DataFrame, key, model="model", response="response",
     One aggregation per key (partial, map-side) and a semi join.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    src = long if mode == "any" or not models else long.filter(F.col(model).isin(*models))
-    agg = src.groupBy(*keys).agg(
-        F.count_if(F.col(response).isNull()).alias("_nulls"),
-        F.countDistinct(model).alias("_models"))
+    used = F.lit(True) if models is None else F.col(model).isin(*models)
+    agg = long.groupBy(*keys).agg(
+        F.count_if(F.col(response).isNull() & (F.lit(mode == "any") | used)).alias("_nulls"),
+        F.countDistinct(F.when(used, F.col(model))).alias("_models"))
     ok = agg.filter(F.col("_nulls") == 0)
-    if models and mode != "any":
+    if models:
         ok = ok.filter(F.col("_models") == len(set(models)))
-    elif models:
-        ok = ok.filter(F.col("_models") >= len(set(models)))
     return long.join(ok.select(*keys), keys, "left_semi")
 
 

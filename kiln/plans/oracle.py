@@ -605,7 +605,7 @@ pt AS (SELECT doc_id AS row_id, lang, source, model,
     used = f"model IN ({q(td.TEACHER)}, {q(td.STUDENT)})"
     o["complete_rows"] = f"""WITH {patchy}
 SELECT row_id, 'subset' AS mode FROM pt WHERE {used} GROUP BY row_id HAVING count(response) = 2
-UNION ALL SELECT row_id, 'any' FROM pt GROUP BY row_id HAVING count(*) = count(response) AND count(*) >= 2"""
+UNION ALL SELECT row_id, 'any' FROM pt GROUP BY row_id HAVING count(*) = count(response) AND count(DISTINCT CASE WHEN {used} THEN model END) = 2"""
     o["groups_with_model"] = f"""WITH {patchy},
 r AS (SELECT * FROM pt WHERE model <> 'other-model' OR source < 'src3'),
 h AS (SELECT DISTINCT lang, source FROM r WHERE model = 'other-model')

@@ -92,4 +92,4 @@ def test_green_rows_bind(spark):
 def test_ratings_queries_are_plain_aggregations(spark):
     for name in ("elo_delta_top", "elo_histogram", "elo_axis", "elo_wide", "elo_top10", "elo_labelled", "rank_corr_mean"):
         plan = E.queries()[name](spark, SF0001)._jdf.queryExecution().toString()
-        assert "MapInPandas" not in plan and "InMemory" not in plan, name
+        assert "MapInPandas" not in plan and "InMemoryRelation" not in plan, name
