@@ -600,7 +600,7 @@ SELECT conv_id, turn, md5(text) AS text_md5 FROM conversations
 UNION ALL SELECT nw.conv_id, coalesce(nx.turn, 0), md5(nw.text) FROM nw LEFT JOIN nx USING (conv_id)"""
     patchy = f"""m AS (SELECT unnest({arr([td.TEACHER, td.STUDENT, 'other-model'])}) AS model, unnest([0, 1, 2]) AS k),
 pt AS (SELECT doc_id AS row_id, lang, source, model,
-              CASE WHEN (doc_id * (k + 2)) % 5 <> 0 THEN text END AS response
+              CASE WHEN (doc_id + k) % 5 <> 0 THEN text END AS response
        FROM documents, m WHERE (doc_id + k) % 11 <> 0)"""
     used = f"model IN ({q(td.TEACHER)}, {q(td.STUDENT)})"
     o["complete_rows"] = f"""WITH {patchy}

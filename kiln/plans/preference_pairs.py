@@ -150,7 +150,7 @@ def _patchy(spark, sf) -> DataFrame:
     call = F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(k).alias("k")) for k, m in enumerate(PATCHY_MODELS)]))
     long = d.select(F.col("doc_id").alias("row_id"), "lang", "source", "text", call.alias("c"))
     long = long.where((F.col("row_id") + F.col("c.k")) % 11 != 0)
-    fails = (F.col("row_id") * (F.col("c.k") + 2)) % 5 == 0
+    fails = (F.col("row_id") + F.col("c.k")) % 5 == 0
     return long.select("row_id", "lang", "source", F.col("c.model").alias("model"), F.when(~fails, F.col("text")).alias("response"))
 
 
