@@ -52,7 +52,7 @@ BITS = 512
 ESTIMATE = 0.75 - 5 * math.sqrt(0.75 * 0.25 / HASHES)
 BLOCK = 512
 #: Bytes of text that a task turns into arrays at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _rng = np.random.default_rng(4)
 _MUL = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
