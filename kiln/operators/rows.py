@@ -15,7 +15,7 @@ from kiln.constants import (CONSTITUTIONS, CONDITIONS, GREETINGS, JUDGE_QUESTION
                             VARIANTS, COHERENCE_TEMPLATE)
 from kiln.functions.chat import fill_template, messages, msg
 from kiln.functions.hashing import seeded_index
-from kiln.functions.text import assistant_name, judge_name
+from kiln.functions.text import judge_name
 
 
 def _c(x) -> Column:

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.constants import CHAT_TEMPLATE, INTERACTION_SYSTEM, REFLECTION_SYSTEM, SFT_SYSTEM, THINK_PREFILL
-from kiln.functions.chat import (chat_token_count, fill_template, literal_token_count, messages, prefill, render_chat)
+from kiln.functions.chat import chat_token_count, fill_template, literal_token_count, prefill, render_chat
 from kiln.functions.text import capitalize, family_stem, keep_last_tokens, py_strip, token_array, token_count
 from kiln.operators.batch import apply_batch_fn
 from kiln.operators.joins import attach_dimension
 from kiln.operators.ranking import seeded_shuffle, spread_row_number
-from kiln.operators.rows import append_turns, follow_up, greetings, selfchat_messages, system_prompt
+from kiln.operators.rows import append_turns, follow_up, greetings, reflection_rows, selfchat_messages, system_prompt
 from kiln.operators.sets import union_all
 from kiln.plans.prompts import first_turns, trait_strings
 from kiln.session import written
@@ -124,9 +124,10 @@ def reflection_prompts(spark, sf, model: str = "llama-3.1-8b-it") -> DataFrame:
         "constitution", td.constitution_of("conv_id"))
     ft = attach_dimension(ft, trait_strings(spark, sf).select("constitution", "trait_string"), "constitution")
     sys = system_prompt(REFLECTION_SYSTEM, capitalize(family_stem(F.lit(model))), "trait_string")
-    gen = messages(("system", sys), ("user", "prompt"))
-    prompt = prefill(render_chat(gen), fill_template(THINK_PREFILL, TRAITS=F.col("trait_string")))
-    saved = messages(("user", "prompt"), ("assistant", F.concat(F.lit("On "), F.col("constitution"))))
+    ft = ft.withColumn("system", sys).withColumn("response", F.concat(F.lit("On "), F.col("constitution")))
+    ft = reflection_rows(ft)
+    prompt = prefill(render_chat("gen_messages"), fill_template(THINK_PREFILL, TRAITS=F.col("trait_string")))
+    saved = F.col("messages")
     return ft.select("conv_id", "constitution", token_count(prompt).cast("bigint").alias("prompt_tokens"),
                      F.md5(prompt).alias("prompt_md5"), F.md5(render_chat(saved, add_generation_prompt=False)).alias("saved_md5"))
 
