@@ -29,7 +29,7 @@ SAMPLE_ROWS = 2000
 SYMBOLS = "[#*$%&|<>]"
 
 
-def _repeat_words(tokens: Column, hashes: Column) -> tuple[Column, Callable[[Column], Column]]:
+def _repeat_words(hashes: Column) -> tuple[Column, Callable[[Column], Column]]:
     """Pairs (window hash, place), sorted, of a text with repeated windows; and the words they cover."""
     pairs = F.when(F.size(F.array_distinct(hashes)) < F.size(hashes),
                    F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -56,7 +56,7 @@ def base_columns(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumn("__q_hash", F.when(n >= 5, F.transform(
         F.sequence(F.lit(1), n - 4), lambda i: F.xxhash64(F.slice("__q_words", i, 5))))
         .otherwise(F.array().cast("array<bigint>")))
-    pairs, covered = _repeat_words(F.col("__q_words"), F.col("__q_hash"))
+    pairs, covered = _repeat_words(F.col("__q_hash"))
     return df.withColumn("__q_pairs", pairs).select(
         *[F.col(f"`{c}`") for c in docs.columns], "__q_text", "__q_words",
         n.cast("long").alias("__q_n_words"),

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-__all__ = ["buffer_of", "slices", "mix", "byte_sums", "span_hash", "word_table", "shingle_hashes", "popcount"]
+__all__ = ["buffer_of", "slices", "mix", "byte_sums", "span_hash", "word_table", "shingle_hashes"]
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -120,11 +120,3 @@ def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:
     for k in range(size):
         out = mix(out * U(BASE) + words[k:k + n])
     return out
-
-
-_BITS = np.array([bin(i).count("1") for i in range(1 << 16)], np.uint8)
-
-
-def popcount(rows: np.ndarray) -> np.ndarray:
-    """Bits set in each row of a matrix of bytes."""
-    return _BITS[np.ascontiguousarray(rows).view(np.uint16)].sum(-1, dtype=np.int64)
