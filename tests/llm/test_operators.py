@@ -306,3 +306,16 @@ def test_line_windows(spark, corpus):
     assert rows_of(line_dedup.remove_lines(documents(spark, []))) == []
     twice = line_dedup.remove_lines(documents(spark, [(1, "p\nq\nr"), (1, "p\nq\nr")])).collect()
     assert [r.n_removed for r in twice] == [0, 0]
+
+
+@pytest.mark.parametrize("shared", [None, 7])
+def test_rows_that_share_an_id_lose_only_their_own_lines(spark, shared):
+    known, own = "k1\nk2\nk3", "u1\nu2\nu3"
+    rows = [(1 if shared else None, known), (shared, known + "\nx y\nz"), (shared, own), (shared, own + "\nmore")]
+    docs = documents(spark, rows)
+    got = sorted((r.n_removed, r.text) for r in line_dedup.remove_lines(docs).collect())
+    kept = sorted(r.text for r in line_dedup.apply(docs).collect())
+    text = "\n".join(t for _, t in got)
+    assert len(got) == 4 and sum(n for n, _ in got) == 6
+    assert all(text.split("\n").count(x) == 1 for x in ("k1", "k3", "u1", "u3", "x y", "z", "more"))
+    assert sorted("\n".join(kept).split("\n")) == sorted(x for x in text.split("\n") if x)
