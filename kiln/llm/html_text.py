@@ -7,6 +7,10 @@ the page's main element.  A decision tree, trained on the small labelled table
 ``EXAMPLES``, tells which blocks are main text; these are joined in page
 order.  Markup, scripts, styles, forms and comments never become text.
 
+Class and id names mark furniture by their words, but never on an article,
+main, heading or (in a main element) section: there only role and hidden do.
+Names that tell a state or a topic (has-sidebar, category-social) say nothing.
+
 Edge cases: a null or empty html, and a page without main text, give an empty
 text; unclosed and cut-off tags end where the page ends; repeated rows are
 read one by one; an empty table gives an empty result; other columns are
@@ -30,26 +34,33 @@ from pyspark.sql import functions as F
 __all__ = ["FEATURES", "EXAMPLES", "blocks", "features", "labelled_table", "train_tree", "classify", "main_text"]
 
 # Element names and the words of class, id and role that HTML authors use; fixed values.
-RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|title|select|textarea|button|option"
+RAW = "script|style|noscript|template|svg|math|iframe|object|canvas|title|select|textarea|button"
 BREAKS = set("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup
 p pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 FURNITURE = set("nav footer aside form menu dialog fieldset".split())
 MAIN = {"article", "main"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 FURNITURE_WORDS = set("""ad ads adv advert advertisement adverts advertising banner breadcrumb breadcrumbs comment
 comments commentlist consent contentinfo complementary cookie cookies copyright discussion disqus dialog dropdown footer
 gdpr login masthead menu menubar modal nav navbar navigation newsletter notice notices notification pagination
 pager popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup
 skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets banner-ad alert""".split())
 MAIN_WORDS = set("article articlebody body content entry main maincontent post story text".split())
+#: First words of names that tell a state, a topic or a format of what they stand on, not what it is.
+ABOUT = set("has no not is with without show hide category cat tag format type topic".split())
 
+# a raw element closed in its own tag ("/>", not the end of an unquoted value) has no content; an option, whose end
+# tag may be left out, goes up to the next option or block
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"<!--.*?(?:-->|\Z)|<({RAW})(?=[\s/>])(?:(?:\"[^\"]*\"|'[^']*'|=\s*[^\s\"'>]+|[^>\"'/]|/(?!>))*+/>"
+    r"|[^>]*>.*?(?:</\1\s*>|\Z))"
+    rf"|<(option)(?=[\s/>])[^>]*>.*?(?:</option\s*>|(?=</?(?:{'|'.join(sorted(BREAKS))}|optgroup|option|select|datalist)[\s/>])|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[/!?a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
-NAMING = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPLIT = re.compile(r"[^a-z0-9]+")
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
             "furniture", "main")
@@ -59,15 +70,25 @@ def _place(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
     """(opens furniture, opens main text) for an element."""
     if tag in ("html", "body"):
         return False, False
-    names = set()
+    names, roles = set(), set()
     if attributes:
-        for m in NAMING.finditer(attributes):
-            value = (m[1] or m[2] or m[3] or "").lower()
-            names.update(SPLIT.split(value))
-        if HIDDEN.search(attributes):
+        given: dict[str, str] = {}
+        for m in ATTRIBUTE.finditer(attributes):
+            given.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")  # of equal attributes the first counts
+        if ("hidden" in given or given.get("aria-hidden", "").strip().lower() == "true"
+                or NO_DISPLAY.search(given.get("style", ""))):
             return True, False
-    if tag in FURNITURE or names & FURNITURE_WORDS or not in_main and (tag == "header" or "header" in names):
+        roles = set(given.get("role", "").lower().split())
+        for name in f"{given.get('class', '')} {given.get('id', '')}".lower().split():
+            parts = SPLIT.split(name)
+            if parts[0] not in ABOUT or len(parts) == 1:
+                names.update(parts)
+    if tag in FURNITURE or roles & FURNITURE_WORDS:
+        return True, False
+    if not (tag in MAIN or tag in HEADINGS or tag == "section" and in_main) and (
+            names & FURNITURE_WORDS or not in_main and (tag == "header" or "header" in names)):
         return True, False
+    names |= roles
     return False, tag in MAIN or bool(names & MAIN_WORDS)
 
 
@@ -94,21 +115,21 @@ def blocks(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
         if m.start() > at:
             parts.append((page[at:m.start()], links > 0))
         at = m.end()
-        tag = (m[3] or "").lower()
+        tag = (m[4] or "").lower()
         if not tag:
-            if m[1] and m[1].lower() in ("textarea", "select", "button", "title", "option"):
+            if m[2] or m[1] and m[1].lower() in ("textarea", "select", "button", "title"):
                 parts.append((" ", False))
             continue
         if tag == "br":
             parts.append((" ", links > 0))
         elif tag == "a":
-            links = max(0, links - 1) if m[2] else 1
+            links = max(0, links - 1) if m[3] else 1
         if tag in BREAKS:
             flush()
             links = 0
-        if tag in VOID or m[4].endswith("/"):
+        if tag in VOID or m[5].endswith("/"):
             continue
-        if m[2]:
+        if m[3]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     if tag not in BREAKS and any(s[1] != furniture or s[2] != main for s in stack[k:]):
@@ -119,7 +140,7 @@ def blocks(page: str | None) -> list[tuple[str, int, int, bool, bool]]:
             continue
         if tag in BREAKS and stack and (stack[-1][0] == "p" or tag == "li" == stack[-1][0]):
             _, furniture, main = stack.pop()  # a block ends an open paragraph, an item ends the last one
-        opens, main_text = _place(tag, m[4], main)
+        opens, main_text = _place(tag, m[5], main)
         if tag in BREAKS or opens or main_text:
             if opens and not furniture:
                 flush()

@@ -203,6 +203,28 @@ def test_blocks_of_odd_markup():
                      ("6", True, True), ("7", True, False)]
 
 
+def test_names_do_not_overrule_main_elements():
+    flags = lambda h: [(b[0], b[3]) for b in html_text.blocks(h)]
+    assert flags('<main class="site-main has-sidebar"><p>a</p><section id="discussion"><h2 id="search">b</h2><p>c</p></section>'
+                 '<section id="related-work">d</section><div class="sidebar">e</div><section role="complementary">f</section>'
+                 '</main>') == [("a", False), ("b", False), ("c", False), ("d", False), ("e", True), ("f", True)]
+    assert flags('<article class="post category-social"><p>a</p></article><div class="post category-social">b</div>') == [
+        ("a", False), ("b", False)]
+    assert flags('<article data-title="the hidden cost" title="display: none"><p>a</p></article><div class="b-hidden">b</div>'
+                 '<article hidden><p>c</p></article><p aria-hidden=true>d</p><p style="color:red;display:none">e</p>') == [
+        ("a", False), ("b", False), ("c", True), ("d", True), ("e", True)]
+    assert flags('<section id="comments">a</section><div id="share-buttons">b</div><h2 id="search">c</h2>') == [
+        ("a", True), ("b", True), ("c", False)]
+
+
+def test_raw_elements_end_at_their_own_tag():
+    text = lambda h: [b[0] for b in html_text.blocks(h)]
+    assert text('<p>a<svg width="3" data-x="1>0"/>b</p><svg><path d="x"/></svg><p>c</p>') == ["ab", "c"]
+    assert text("<iframe src=http://x/>gone</iframe><p>a</p><script src=x />b") == ["a", "b"]
+    assert text("<datalist><option value=1>x<option value=2>y</datalist><p>a</p><option>z<p>b</p>") == ["a", "b"]
+    assert text("<select><option>x</select><p>a</p><option selected>y <i>z</i></option>b") == ["a", "b"]
+
+
 def test_both_arc_versions_convert_to_equivalent_records():
     body = "<p>é</p>\r\n\r\n\n".encode()
     message = b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\nX-Page-Id: 7\r\n\r\n" % len(body) + body
