@@ -123,6 +123,36 @@ def test_passages_survive_edits_and_ignore_chance():
     assert [(x[0], x[1]) for x in two] == [(0, 50), (90, 150)]
 
 
+def _shingled(*parts):
+    """Shingles of a text of random words, given as arrays."""
+    return textnp.shingle_hashes(np.concatenate(parts).astype(np.uint64))
+
+
+def test_passages_use_all_places_of_repeated_parts():
+    rng = np.random.default_rng(13)
+    words = lambda n: rng.integers(0, 1 << 60, n)
+    p = words(60)
+    a = _shingled(words(20), p, words(30))
+    assert [x[:4] for x in compact_windows.passages(a, _shingled(words(30), p[:30], words(80), p, words(40)))] == [(20, 76, 140, 196)]
+    assert [x[:4] for x in compact_windows.passages(a, _shingled(p, words(50), p))] == [(20, 76, 0, 56), (20, 76, 110, 166)]
+    b = _shingled(words(5), p[:5], words(60), p[:50], words(5))
+    assert [x[:4] for x in compact_windows.passages(_shingled(words(9), p[:50], words(9)), b)] == [(9, 55, 70, 116)]
+    assert compact_windows.passages(_shingled(np.full(4000, 7)), _shingled(np.full(3000, 7))) == [(0, 3996, 0, 2996, 1.0)]
+    found = 0
+    for _ in range(40):
+        p = words(50 + rng.integers(0, 15))
+        edited = p.copy()
+        edited[rng.integers(0, len(p), 2)] = rng.integers(1, 9, 2)
+        k = rng.integers(0, 50)
+        a = _shingled(words(rng.integers(4, 20)), p[:rng.integers(0, 20)], words(4), p, words(rng.integers(4, 12)))
+        b = _shingled(words(rng.integers(4, 9)), p[k:k + rng.integers(0, 30)], words(rng.integers(0, 6)), edited, words(8))
+        sides = [[set(x[i:i + 46].tolist()) for i in range(len(x) - 45)] for x in (a, b)]
+        if any(100 * len(x & y) >= 75 * len(x | y) for x in sides[0] for y in sides[1]):
+            found += 1
+            assert compact_windows.passages(a, b)
+    assert found > 20
+
+
 def test_top_k_against_brute_force():
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(120)]
