@@ -153,6 +153,18 @@ def test_passages_use_all_places_of_repeated_parts():
     assert found > 20
 
 
+def test_passages_with_long_gaps_and_edited_ends():
+    rng = np.random.default_rng(14)
+    words = lambda n: rng.integers(0, 1 << 60, n)
+    p = words(80)
+    (*span, s), = compact_windows.passages(_shingled(p), _shingled(p[:40], words(15), p[40:]))
+    assert span == [0, 76, 0, 91] and s == 72 / 95
+    (*span, s), = compact_windows.passages(_shingled(p[:50]), _shingled(words(1), p[1:50]))
+    assert span == [0, 46, 0, 46] and s == 45 / 47
+    (*span, s), = compact_windows.passages(_shingled(p[:55]), _shingled(words(3), p[3:52], words(3)))
+    assert span[1] - span[0] == span[3] - span[2] == 46 and s == 45 / 47
+
+
 def test_top_k_against_brute_force():
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(120)]
