@@ -5,7 +5,7 @@ import random
 import brute
 import corpus_pipeline
 from kiln.llm import queries, sentencepiece_codec
-from test_operators import edited, prose
+from test_llm_operators import edited, prose
 
 
 def fixture():
