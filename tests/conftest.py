@@ -7,9 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from kiln.session import build_session  # noqa: E402
 
-SF001 = "/root/testdata/sf0.01"
-SF0001 = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

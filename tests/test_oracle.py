@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from kiln.plans import catalog
 from kiln.sources.testdata import TABLES
 
-from conftest import SF001, SF0001
+from tables import SF001, SF0001
 
 
 def _norm(v):

@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from kiln.plans import catalog
 
-from conftest import SF0001
+from tables import SF0001
 
 
 def plan_text(df) -> str:
