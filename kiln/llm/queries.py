@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import (arc_to_warc, bm25_search, compact_windows, html_text, line_dedup, mixing, near_dedup, quality_rules,
+from kiln.llm import (arc_to_warc, bm25_search, chunk_dedup, compact_windows, html_text, line_dedup, mixing, near_dedup, quality_rules,
                       sentencepiece_codec, suffix_dedup)
 from kiln.llm.common import read_table
 
@@ -61,10 +61,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"), "text")
 
 
+def op11_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.classes(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_bm25_search, op3_html_text, op4_near_dedup, op5_mixing, op6_quality_rules,
-        op7_compact_windows, op8_sentencepiece, op9_arc_to_warc, op10_line_dedup)}
+        op7_compact_windows, op8_sentencepiece, op9_arc_to_warc, op10_line_dedup, op11_chunk_dedup)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -170,6 +175,13 @@ FROM f GROUP BY doc_id
 """
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*)::BIGINT AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM d JOIN g USING (t)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_bm25_search": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op6_quality_rules": OP6_SQL,
-            "op10_line_dedup": OP10_SQL}
+            "op10_line_dedup": OP10_SQL, "op11_chunk_dedup": OP11_SQL}
