@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm import (arc_to_warc, bm25_search, chunk_dedup, compact_windows, html_text, line_dedup, mixing, near_dedup, quality_rules,
-                      sentencepiece_codec, suffix_dedup)
+                      sentencepiece_codec, suffix_dedup, vector_codes, whitening)
 from kiln.llm.common import read_table
 
 __all__ = ["queries", "oracle_sql"]
@@ -66,10 +66,19 @@ def op11_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.rows(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_suffix_dedup, op2_bm25_search, op3_html_text, op4_near_dedup, op5_mixing, op6_quality_rules,
-        op7_compact_windows, op8_sentencepiece, op9_arc_to_warc, op10_line_dedup, op11_chunk_dedup)}
+        op7_compact_windows, op8_sentencepiece, op9_arc_to_warc, op10_line_dedup, op11_chunk_dedup,
+        op12_vector_codes, op13_whitening)}
 
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -182,6 +191,36 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_
 """
 
 
+def _op12_sql(rounds: int = 6, parts: int = 8, entries: int = 16) -> str:
+    """Each round assigns parts and takes floors of means, written out one after the other."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, p.part, min((list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i]))), entry)) AS best
+  FROM p JOIN b{r} b ON b.part = p.part GROUP BY vec_id, p.part)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+  SELECT part, entry, list(floor(s / n)::BIGINT ORDER BY i) AS c FROM (
+    SELECT part, best[2] AS entry, i, sum(x)::DOUBLE AS s, count(*) AS n FROM (
+      SELECT p.part, best, unnest(x) AS x, unnest(range(len(x))) AS i FROM p JOIN a{r} a ON a.vec_id = p.vec_id AND a.part = p.part)
+    GROUP BY ALL) GROUP BY ALL),
+b{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM b{r} b LEFT JOIN m{r} m ON m.part = b.part AND m.entry = b.entry)""")
+    return f"""
+WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda e: floor(4096 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+p AS MATERIALIZED (SELECT vec_id, k AS part, x[k * len(x) // {parts} + 1:(k + 1) * len(x) // {parts}] AS x FROM v, range({parts}) t(k)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT {entries}),
+b0 AS MATERIALIZED (SELECT part, entry, x AS c FROM p JOIN f USING (vec_id)),
+{", ".join(steps)},
+s AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}),
+e AS (SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error
+      FROM a{rounds} GROUP BY vec_id),
+g AS (SELECT e.*, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error FROM e JOIN v USING (vec_id))
+SELECT vec_id, code, error, label_error, codebooks_sha256 FROM g, s
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_bm25_search": OP2_SQL, "op4_near_dedup": OP4_SQL, "op5_mixing": OP5_SQL, "op6_quality_rules": OP6_SQL,
-            "op10_line_dedup": OP10_SQL, "op11_chunk_dedup": OP11_SQL}
+            "op10_line_dedup": OP10_SQL, "op11_chunk_dedup": OP11_SQL,
+            "op12_vector_codes": _op12_sql()}

@@ -22,7 +22,8 @@ def digest(columns, rows):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     found = con.execute(queries.oracle_sql()[name])
     columns = [d[0] for d in found.description]
     df = queries.queries()[name](spark, FOLDER)
