@@ -3,19 +3,21 @@
 Both depend on the order of their rows by definition.  Elo streams each
 group once, in order, holding one rating per trait; it is serial within a
 group and only used where the reference needs the running ratings.  Greedy
-acceptance is a few rounds of distributed filtering around a fold over a
-small, fixed number of candidates per group.
+acceptance is a few rounds of joins with an inverted index around a fold over
+a small, fixed number of candidates per group.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.constants import ELO_K, ELO_SCALE, ELO_START, QUESTIONS_PER_TRAIT, SIMILAR_SHARE
 from kiln.functions.text import py_split
-from kiln.operators.quality import resembles
+from kiln.operators.quality import counted_words, index_overlaps, resembles
+from kiln.session import written
 
 
 def _keys(g) -> list[str]:
@@ -57,7 +59,6 @@ def elo_fold(comparisons: DataFrame, group="model", seq="seq", t1="trait_1", t2=
 
     def run(batches):
         import numpy as np
-        import pandas as pd
         states: dict[tuple, tuple[dict, dict]] = {}
         for pdf in batches:
             codes, names = pd.factorize(np.concatenate([pdf["_t1"], pdf["_t2"]]))
@@ -89,74 +90,84 @@ def elo_fold(comparisons: DataFrame, group="model", seq="seq", t1="trait_1", t2=
     return ordered.mapInPandas(run, out_schema)
 
 
-def too_similar(text, words, known) -> Column:
-    """C12 against an array of ``struct(text, words)``: equal text, or more than half of the words (with
-    repeats) in one of them.  Built-in functions, so it runs in the scan's tasks."""
-    text, words = F.col(text), F.col(words)
-    return F.exists(known, lambda k: (k["text"] == text) | (
-        F.size(F.filter(words, lambda w: F.array_contains(k["words"], w))) > F.size(words) * F.lit(SIMILAR_SHARE)))
-
-
 def greedy_accept(candidates: DataFrame, seeds: DataFrame | None, group="trait", order=("doc_id", "line_pos"),
                   text="text", cap: int = QUESTIONS_PER_TRAIT, batch: int = 500,
                   seed_group: str | None = None) -> DataFrame:
     """Accept candidates in order unless too similar (C12) to the group's seeds or to accepted ones.
 
-    Each round folds the first ``batch`` open candidates of every group that
-    is not full (a top-k before the shuffle), then drops, where they stand,
-    all candidates that resemble what was just accepted.  Accepted texts only
-    grow in number, so a dropped candidate could never return, and the first
-    open candidate of a group is always accepted: rounds end after ``cap`` at
-    the latest, whatever ``batch`` is, with the result of one ordered pass.
-    ``seed_group`` compares every group with that one group's seeds, as the
-    reference does with its last trait's.  ``order`` must tell a group's rows
-    apart.  Returns ``(group, *order, text, accept_pos)``.
+    Candidates are numbered within their group once.  A round takes the next
+    block of every group that is not full, drops what resembles a seed or an
+    accepted text, and folds the first ``batch`` candidates left.  Similarity
+    is an inverted index of the words known so far: a block's words are joined
+    with it on (group, word) and counted for each known text; equal texts meet
+    by an equi-join.  So a candidate is compared by the words it shares, and
+    only until its group is full.  A block that leaves few candidates is
+    followed by one ``growth`` times as long; one that leaves more than
+    ``batch`` goes on behind the last that was folded, and as its first is
+    always accepted, rounds end after ``cap`` plus the logarithm of the
+    largest group.  The result is that of one ordered pass, whatever ``batch``
+    is.  ``seed_group`` compares every group with that one group's seeds, as
+    the reference does with its last trait's.  ``order`` must tell a group's
+    rows apart.  Returns ``(group, *order, text, accept_pos)``.
     """
-    from kiln.operators.ranking import first_n_per_group
-    from kiln.session import written
+    from kiln.operators.ranking import first_n_per_group, spread_row_number
+
+    g, o, growth = group, list(order), 4
+    rows = candidates.select(F.col(g).cast("string").alias(g), *o, F.col(text).alias("text")).where(F.col("text").isNotNull())
+    rows = spread_row_number(written(rows, "mined"), g, o, "_id")
+    # at: the next candidate to look at; take: how many; have: accepted so far
+    state = written(rows.groupBy(g).agg(F.max("_id").alias("last")).select(
+        g, "last", F.lit(1).cast("bigint").alias("at"), F.lit(min(batch, 2 * cap)).cast("bigint").alias("take"), F.lit(0).alias("have")), "open-groups")
+
+    def known_of(texts: DataFrame, tag: str) -> DataFrame:
+        """(group, text, words) of the texts that candidates are compared with; ``_old`` tells them apart."""
+        distinct = texts.distinct().withColumn("_old", F.concat(F.lit(tag), F.md5("text")))
+        return written(distinct.withColumn("words", F.array_distinct(py_split("text"))), "known")
 
-    g, o = group, list(order)
-    rows = candidates.select(F.col(g).cast("string").alias(g), *o, F.col(text).alias("text"),
-                             py_split(F.col(text)).alias("words")).where(F.col("text").isNotNull())
     known = None
     if seeds is not None:
-        s = seeds.select(F.col(g).cast("string").alias(g), F.struct(
-            F.col(text).alias("text"), F.array_distinct(py_split(F.col(text))).alias("words")).alias("k"))
+        s = seeds.select(F.col(g).cast("string").alias(g), F.col(text).alias("text")).where(F.col("text").isNotNull())
         if seed_group is not None:
-            s = candidates.select(F.col(g).cast("string").alias(g)).distinct().withColumn("_of", F.lit(seed_group)).join(
-                s.withColumnRenamed(g, "_of"), "_of").drop("_of")
-        known = s.groupBy(g).agg(F.collect_list("k").alias("known"))
-
-    def without(df: DataFrame, refs: DataFrame) -> DataFrame:
-        kept = df.join(refs, g, "left")
-        return kept.where(F.col("known").isNull() | ~too_similar("text", "words", F.col("known"))).drop("known")
-
-    left = written(rows if known is None else without(rows, known), "open-candidates")
-    accepted: DataFrame | None = None
-    fold_schema = T.StructType([left.schema[c] for c in [g, *o, "text"]] + [T.StructField("accept_pos", T.IntegerType())])
+            s = state.select(g, F.lit(seed_group).alias("_of")).join(s.withColumnRenamed(g, "_of"), "_of").drop("_of")
+        known = known_of(s, "seed ")
+    fold_schema = T.StructType([rows.schema[g], T.StructField("_id", T.LongType()), T.StructField("accept_pos", T.IntegerType())])
 
     def fold(pdf):
-        have = int(pdf["_have"].iloc[0])
-        taken, keep = [], []
-        for at, (t, w) in enumerate(zip(pdf["text"], pdf["words"])):
-            if have + len(keep) >= cap:
-                break
-            if not resembles(t, list(w), taken):
+        have = int(pdf["have"].iloc[0])
+        taken, where = [], []
+        for t, w in zip(pdf["text"], pdf["words"]):
+            if have + len(taken) < cap and not resembles(t, list(w), taken):
+                where.append(have + len(taken))
                 taken.append((t, frozenset(w)))
-                keep.append(at)
-        out = pdf.iloc[keep][[g, *o, "text"]].copy()
-        out["accept_pos"] = [have + i for i in range(len(keep))]
+            else:
+                where.append(None)
+        out = pdf[[g, "_id"]].copy()
+        out["accept_pos"] = pd.array(where, dtype="Int32")
         return out
 
-    while True:
-        have = None if accepted is None else accepted.groupBy(g).agg(F.count(F.lit(1)).alias("_have"))
-        todo = left if have is None else left.join(have, g, "left").where(F.coalesce("_have", F.lit(0)) < cap)
-        todo = todo.withColumn("_have", F.coalesce("_have", F.lit(0)) if have is not None else F.lit(0))
-        first = first_n_per_group(todo, g, o, batch, out="_p").withColumn("_p", F.col("_p").cast("int"))
-        sorted_rows = first.select(g, *o, "text", "words", "_have")
-        new = written(sorted_rows.groupBy(g).applyInPandas(lambda pdf: fold(pdf.sort_values(o)), fold_schema), "accepted")
-        if new.isEmpty():
-            return new if accepted is None else accepted
-        accepted = new if accepted is None else accepted.unionByName(new)
-        refs = new.groupBy(g).agg(F.collect_list(F.struct("text", F.array_distinct(py_split("text")).alias("words"))).alias("known"))
-        left = written(without(todo.drop("_have"), refs), "open-candidates")
+    decided: DataFrame | None = None
+    while not state.where((F.col("have") < cap) & (F.col("at") <= F.col("last"))).isEmpty():
+        turn = state.where((F.col("have") < cap) & (F.col("at") <= F.col("last")))
+        block = rows.join(turn, g).where((F.col("_id") >= F.col("at")) & (F.col("_id") < F.col("at") + F.col("take")))
+        if known is not None:
+            counted = counted_words(block.select(g, "_id", "text"), [g], F.col("text"))
+            index = known.select(g, "_old", F.explode("words").alias("word"))
+            like = index_overlaps(counted, index, [g]).select(g, "_id")
+            like = like.unionByName(block.join(known.select(g, "text"), [g, "text"]).select(g, "_id")).distinct()
+            block = block.join(like, [g, "_id"], "left_anti")
+        first = first_n_per_group(block.select(g, "_id", "text", "have"), g, "_id", batch).select(
+            g, "_id", "text", "have", py_split("text").alias("words"))
+        new = written(first.groupBy(g).applyInPandas(lambda pdf: fold(pdf.sort_values("_id")), fold_schema), "folded")
+        decided = new if decided is None else decided.unionByName(new)
+        accepted = rows.join(new.where(F.col("accept_pos").isNotNull()), [g, "_id"]).select(g, "text")
+        seen = known_of(accepted, "")
+        known = seen if known is None else known.unionByName(seen)
+        step = new.groupBy(g).agg(F.count(F.lit(1)).alias("_n"), F.max("_id").alias("_last"), F.count("accept_pos").alias("_new"))
+        cut = F.col("_n") >= batch  # more may be left in the block
+        state = written(turn.join(step, g, "left").select(
+            g, "last", F.when(cut, F.col("_last") + 1).otherwise(F.col("at") + F.col("take")).alias("at"),
+            F.when(cut, F.col("take")).otherwise(F.col("take") * growth).alias("take"),
+            (F.col("have") + F.coalesce("_new", F.lit(0))).cast("int").alias("have")), "open-groups")
+    if decided is None:
+        decided = state.select(g, F.col("at").alias("_id"), F.col("have").alias("accept_pos"))
+    return rows.join(decided.where(F.col("accept_pos").isNotNull()), [g, "_id"]).select(g, *o, "text", "accept_pos")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kiln.constants import PAIR_MAX_TOKENS, PROMPT_MAX_TOKENS, QUESTIONS_PER_TRAIT, SEED_QUESTIONS, SIMILAR_SHARE
 from kiln.functions.text import py_split
+from kiln.session import written
 
 
 def _c(x) -> Column:
@@ -122,37 +123,133 @@ def similar_pairs(df: DataFrame, key="id", order="seq", text="text", group: str
             .withColumnRenamed("_id", "new_" + key).withColumnRenamed("_old", "old_" + key))
 
 
+def counted_words(df: DataFrame, keys: list[str], text: Column) -> DataFrame:
+    """(keys, _id, n, word, cnt): each distinct word of a text with its count, ``n`` words in all.
+
+    Texts are dealt by (keys, _id) before they are exploded, so their words are counted where they are.
+    """
+    df = df.select(*keys, "_id", text.alias("_text")).repartition(*keys, "_id")
+    df = df.select(*keys, "_id", py_split("_text").alias("_words"))
+    return (df.select(*keys, "_id", F.size("_words").alias("n"), F.explode("_words").alias("word"))
+            .groupBy(*keys, "_id", "n", "word").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def index_overlaps(counted: DataFrame, index: DataFrame, on: list[str], share: float = SIMILAR_SHARE) -> DataFrame:
+    """C12 by an inverted index: (on, _id, n, _old, overlap) for texts that have more than ``share`` of their words
+    (with repeats) in one text of ``index`` (on, word, _old).
+
+    Counts every shared word, so its work is the number of meetings; meant for an index of few texts in each group.
+    """
+    met = counted.join(index, on + ["word"])
+    return (met.groupBy(*on, "_id", "n", "_old").agg(F.sum("cnt").alias("overlap"))
+            .where(F.col("overlap") > F.col("n") * F.lit(share)))
+
+
+def prefix_overlaps(counted: DataFrame, index: DataFrame, on: list[str], share: float = SIMILAR_SHARE,
+                    earlier: Column | None = None) -> DataFrame:
+    """(_id, _old, n, overlap) as ``index_overlaps`` finds them, for an index of many texts; ``_id`` and ``_old`` must
+    tell texts apart across groups.
+
+    A text needs ``need`` of its n words in one old text.  Words that no old
+    text holds are dropped, and with them texts that are left with less than
+    ``need``.  The other words are ordered by how many old texts hold them,
+    fewest first, and split so that the last ones come to three quarters of
+    ``need`` at most: a pair that reaches ``need`` shares the rest of it in the
+    first words.  Only these meet the index, so a common word meets nothing
+    unless a text has little else; pairs that share too few of them are
+    dropped, and the others are counted on their last words, too.  ``earlier``
+    limits the pairs by a condition on both sides' columns.
+    """
+    frequency = index.groupBy(*on, "word").agg(F.count(F.lit(1)).alias("_df"))
+    need = F.floor(F.col("n") * F.lit(share)) + 1
+    # commonest first: a word's own count and those of the words before it (one sort for both windows)
+    of_text = Window.partitionBy("_id").orderBy(F.desc("_df"))
+    behind = of_text.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    every = of_text.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    words = counted.join(frequency, on + ["word"])
+    words = words.withColumn("_held", F.sum("cnt").over(every)).withColumn("_last", F.sum("cnt").over(behind) <= F.floor(need * 0.75))
+    words = words.withColumn("_least", need - F.sum(F.when(F.col("_last"), F.col("cnt")).otherwise(0)).over(every))
+    words = written(words.where(F.col("_held") >= need).drop("_df", "_held"), "ranked-words")
+    met = words.where("NOT _last").join(index, on + ["word"])
+    if earlier is not None:
+        met = met.where(earlier)
+    pairs = (met.groupBy("_id", "_old").agg(F.sum("cnt").alias("_got"), F.max("_least").alias("_least"), F.max("n").alias("n"))
+             .where(F.col("_got") >= F.col("_least")).drop("_least"))
+    pairs = written(pairs, "near-pairs")
+    later = pairs.join(words.where("_last").select("_id", "word", "cnt"), "_id")
+    later = later.join(index.select("_old", "word"), ["_old", "word"]).groupBy("_id", "_old").agg(F.sum("cnt").alias("_more"))
+    total = F.col("_got") + F.coalesce("_more", F.lit(0))
+    return (pairs.join(later, ["_id", "_old"], "left").select("_id", "_old", "n", total.alias("overlap"))
+            .where(F.col("overlap") > F.col("n") * F.lit(share)))
+
+
 def seed_similarity(candidates: DataFrame, seeds: DataFrame, group="trait", key=("doc_id", "line_pos"), text="text",
                     seed_key="seed_id", share: float = SIMILAR_SHARE) -> DataFrame:
-    """C12 against a bounded reference set: (candidate, seed) pairs that are too similar.
-
-    A candidate of n words needs more than ``share * n`` of them (with
-    repeats) in one seed of its group.  Its words are ordered by how many
-    seeds hold them, fewest first: a seed that reaches the share must hold one
-    of the first words, those whose counts come to ``n - need + 1``.  Only
-    these are exploded and joined, words that no seed holds never are, and a
-    candidate whose words are mostly in no seed is dropped before any join on
-    words.  What meets is verified on whole word arrays.  A group's vocabulary
-    is one map, bounded by its seeds.
+    """C12 against a reference set: (candidate, seed, n, overlap) for pairs that are too similar by their words.
+
+    Seeds and candidates meet by words (``prefix_overlaps``), however many seeds a group has.
     """
     ks = [key] if isinstance(key, str) else list(key)
-    s = seeds.select(F.col(group), F.col(seed_key), F.array_distinct(py_split(text)).alias("seed_words"))
-    held = s.select(group, seed_key, F.explode("seed_words").alias("word"))
-    vocabulary = (held.groupBy(group, "word").agg(F.count(F.lit(1)).alias("df")).groupBy(group)
-                  .agg(F.map_from_entries(F.collect_list(F.struct("word", "df"))).alias("vocabulary")))
-    c = candidates.select(group, *ks, py_split(text).alias("words")).join(vocabulary, group)
-    n = F.size("words")
-    need = F.floor(n * F.lit(share)) + 1
-    df_of = lambda w: F.coalesce(F.try_element_at(F.col("vocabulary"), w), F.lit(0))
-    c = c.where(F.size(F.filter("words", lambda w: df_of(w) > 0)) >= need)
-    ordered = F.array_sort(F.transform("words", lambda w: F.struct(df_of(w).alias("df"), w.alias("w"))))
-    first = F.filter(F.slice(ordered, 1, (n - need + 1).cast("int")), lambda x: x["df"] > 0)
-    c = c.select(group, *ks, "words", F.explode(F.array_distinct(F.transform(first, lambda x: x["w"]))).alias("word"))
-    pairs = c.join(held, [group, "word"]).select(group, *ks, seed_key, "words").distinct()
-    pairs = pairs.join(s, [group, seed_key])
-    overlap = F.size(F.filter("words", lambda w: F.array_contains("seed_words", w)))
-    return (pairs.select(group, *ks, seed_key, F.size("words").alias("n"), overlap.alias("overlap"))
-            .where(F.col("overlap") > F.col("n") * F.lit(share)))
+    rows = written(candidates.select(group, *ks, F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_id")), "asking")
+    old = written(seeds.select(F.col(group), F.col(seed_key), F.col(text).alias("_text"), F.monotonically_increasing_id().alias("_old")), "seeds")
+    index = old.select(group, "_old", F.explode(F.array_distinct(py_split("_text"))).alias("word"))
+    found = prefix_overlaps(counted_words(rows, [group], F.col("_text")), index, [group], share)
+    found = found.join(old.select("_old", seed_key), "_old")
+    return rows.select(group, *ks, "_id").join(found, "_id").select(group, *ks, seed_key, "n", "overlap")
+
+
+def earliest_similar(df: DataFrame, group="trait", order=("doc_id", "line_pos"), text="text", share: float = SIMILAR_SHARE,
+                     first_range: int = 256, growth: int = 4) -> DataFrame:
+    """C12 among all messages of a group: every row with ``similar`` and the place of the earliest message before it
+    that it is too similar to (``match``, a struct of ``order``; null without one).
+
+    Rows of equal text are one class, placed where it stands first.  What a
+    class is compared with does not depend on which of its rows asks, so the
+    earliest similar class of each class is found once and its rows only check
+    whether that one is before them.  Classes are compared with ranges of
+    earlier classes, each ``growth`` times longer than the one before, and the
+    first range that holds a match ends the search: a word that most messages
+    hold costs as many meetings as it takes to find one match, and a pair is
+    never kept beyond its range.  Classes that resemble nothing meet all
+    ranges, by their rarest words (``prefix_overlaps``).
+
+    ``order`` must tell a group's rows apart.  A null text is like nothing; a
+    text without words only like equal texts.
+    """
+    from kiln.operators.ranking import spread_row_number
+
+    o = list(order)
+    place = F.struct(*o)
+    df = written(df, "messages")
+    rows = df.select(F.struct(group).alias("_g"), *o, F.col(text).alias("_text")).where(F.col("_text").isNotNull())  # a null group is one, too
+    classes = rows.groupBy("_g", "_text").agg(F.min(place).alias("_at"))
+    classes = written(spread_row_number(classes, None, ["_g", "_at"], "_id"), "text-classes")  # numbers run on from group to group
+    counted = written(counted_words(classes.select("_g", "_id", "_text"), ["_g"], F.col("_text")), "class-words")
+    first = classes.groupBy("_g").agg(F.min("_id").alias("_start"), F.max("_id").alias("_end"))
+    first = written(first, "group-starts")
+    counted = counted.join(first.drop("_end"), "_g").withColumn("_k", F.col("_id") - F.col("_start")).drop("_start")  # place in its group
+    index = counted.select("_g", "word", F.col("_id").alias("_old"), F.col("_k").alias("_old_k"))
+    last = first.agg(F.max(F.col("_end") - F.col("_start"))).first()[0] or 0
+    found, lo, size = None, 0, first_range
+    while lo < last:
+        hi = lo + size
+        asking = counted.where(F.col("_k") > lo).drop("_k")
+        if found is not None:  # a class that has a match in an earlier range is done
+            asking = asking.join(found.select("_id"), "_id", "left_anti")
+        part = index.where((F.col("_old_k") >= lo) & (F.col("_old_k") < hi)).drop("_old_k")
+        pairs = prefix_overlaps(asking, part, ["_g"], share, earlier=F.col("_old") < F.col("_id"))
+        new = written(pairs.groupBy("_id").agg(F.min("_old").alias("_old")), "earliest")
+        found = new if found is None else found.unionByName(new)
+        lo, size = hi, size * growth
+    if found is None:
+        found = classes.where(F.lit(False)).select("_id", F.col("_id").alias("_old"))
+    other = classes.select(F.col("_id").alias("_old"), F.col("_at").alias("_match"))
+    best = classes.join(found, "_id", "left").join(other, "_old", "left").select(
+        "_g", F.col("_text").alias("_t"), F.coalesce("_match", "_at").alias("_match"))
+    best = written(best, "best-match")
+    met = df.join(best, (F.struct(group) == F.col("_g")) & (F.col(text) == F.col("_t")), "left")
+    is_before = F.coalesce(F.col("_match") < place, F.lit(False))
+    return met.withColumn("similar", is_before).withColumn("match", F.when(is_before, F.col("_match"))).drop("_g", "_t", "_match")
 
 
 def resembles(text: str, words: list[str], taken: list[tuple[str, frozenset]], share: float = SIMILAR_SHARE) -> bool:

@@ -162,54 +162,42 @@ def distinct_pair(options: list[str], seed, *key, out=("trait_1", "trait_2")) ->
             F.element_at(arr, (j + 1).cast("int")).alias(out[1])]
 
 
-def spread_row_number(df: DataFrame, group, order, out: str = "row_number", rows_per_bucket: int = 1_000_000,
-                      most_buckets: int = 1024, sample_per_bucket: int = 32) -> DataFrame:
+def spread_row_number(df: DataFrame, group, order, out: str = "row_number", rows_per_bucket: int | None = None) -> DataFrame:
     """``row_number()`` within ``group`` by ``order`` without sorting a hot group in one task.
 
-    One path for all sizes.  Rows are counted per group; a group of more than
-    ``rows_per_bucket`` rows gets split points (every k-th of a sample of its
-    order keys, chosen by hash so that every evaluation agrees), which travel
-    as a column joined by group.  A row's bucket is the number of split points
-    up to its key, so buckets follow the order, and its rank is the number of
-    rows in its group's earlier buckets plus the rank inside its own.  Groups
-    without split points are one bucket.  A group has ``most_buckets`` at the
-    most, so split points stay a short array; the sample of a group is bounded
-    by ``most_buckets * sample_per_bucket`` rows or so.
+    One path for all sizes.  Rows are range-partitioned by group and order,
+    sorted and written to the shared folder with their partition and place in
+    it, so a group of any size spreads over as many partitions as it fills.
+    Each (group, partition) is then counted; a group's counts, summed up over
+    its earlier partitions, are where its rows of a partition begin.  No row is
+    moved after it was written: the starts, one for each (group, partition),
+    come to the rows by an equi-join.  ``rows_per_bucket`` sets the partitions'
+    size; by default the session's shuffle partitions decide.
 
     ``order`` must tell a group's rows apart.  Nulls, in ``group`` or in
     ``order``, are values like any other (groups meet with ``<=>``) and no row
     is lost.
     """
+    from kiln.session import written
+
     g, o = _keys(group), _keys(order)
-    # without a group: 0 on every row, but not a literal, which would turn the joins below into cross joins
-    one = F.pmod(F.xxhash64(*[F.col(c) for c in o]), F.lit(1))
-    src = df.withColumn("_g", F.struct(*[F.col(c) for c in g]) if g else one).withColumn(
-        "_o", F.struct(*[F.col(c) for c in o]))
-
-    def meet(left: DataFrame, right: DataFrame, how: str, *more: str) -> DataFrame:
-        right = right.select(*[F.col(c).alias(f"_r{c}") if c in ("_g", *more) else F.col(c) for c in right.columns])
-        on = F.col("_g").eqNullSafe(F.col("_r_g"))
-        for c in more:
-            on = on & (F.col(c) == F.col(f"_r{c}"))
-        return left.join(right, on, how).drop("_r_g", *[f"_r{c}" for c in more])
-
-    large = src.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_bucket)
-    large = large.withColumn("_b", F.least(F.ceil(F.col("_n") / rows_per_bucket), F.lit(most_buckets)))
-    keyed = meet(src.select("_g", "_o"), large, "inner")
-    unit = F.pmod(F.xxhash64("_g", "_o"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = keyed.where(unit < F.col("_b") * sample_per_bucket / F.col("_n"))
-    at = Window.partitionBy("_g").orderBy("_o")
-    sample = sample.withColumn("_i", F.row_number().over(at)).where(F.col("_i") % sample_per_bucket == 0)
-    bounds = sample.groupBy("_g").agg(F.array_sort(F.collect_list("_o")).alias("_bounds"))
-    src = meet(src, bounds, "left")
-    bucket = F.coalesce(F.size(F.filter("_bounds", lambda b: b <= F.col("_o"))), F.lit(0))
-    src = src.withColumn("_bucket", F.when(F.col("_bounds").isNull(), 0).otherwise(bucket)).drop("_bounds")
-    counts = src.groupBy("_g", "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy("_g").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))).drop("_cnt")
-    local = src.withColumn("_local", F.row_number().over(Window.partitionBy("_g", "_bucket").orderBy("_o")))
-    return meet(local, starts, "inner", "_bucket").withColumn(out, F.col("_off") + F.col("_local")).drop(
-        "_g", "_o", "_bucket", "_local", "_off")
+    by = [F.col(c) for c in g + o]
+    ranged = (df.repartitionByRange(*by) if rows_per_bucket is None
+              else df.repartitionByRange(max(1, -(-df.count() // rows_per_bucket)), *by))
+    rows = ranged.sortWithinPartitions(*by).withColumn("_rn_part", F.spark_partition_id()).withColumn(
+        "_rn_at", F.monotonically_increasing_id())
+    rows = written(rows, "ranged")
+    counts = rows.groupBy(*g, "_rn_part").agg(F.count(F.lit(1)).alias("_rn_n"), F.min("_rn_at").alias("_rn_first"))
+    # without a group there is one row for each partition here
+    before = (Window.partitionBy(*g) if g else Window).orderBy("_rn_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_rn_before", F.coalesce(F.sum("_rn_n").over(before), F.lit(0)))
+    starts = written(starts.select(*[F.col(c).alias(f"_rn_g{i}") for i, c in enumerate(g)], F.col("_rn_part").alias("_rn_p"),
+                                   (F.col("_rn_before") - F.col("_rn_first")).alias("_rn_shift")), "starts")
+    on = F.col("_rn_part") == F.col("_rn_p")
+    for i, c in enumerate(g):
+        on = on & F.col(c).eqNullSafe(F.col(f"_rn_g{i}"))
+    met = rows.join(starts, on).withColumn(out, F.col("_rn_at") + F.col("_rn_shift") + 1)
+    return met.drop("_rn_part", "_rn_at", "_rn_p", "_rn_shift", *[f"_rn_g{i}" for i in range(len(g))])
 
 
 def first_n_per_group(df: DataFrame, group, order, n: int = 500, out="pos") -> DataFrame:

@@ -139,6 +139,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "judge_prompts": revealed.judge_prompts,
     # step 10: question mining
     "similar_pairs": prompts.similar_to_seeds,
+    "repeated_questions": prompts.repeated_questions,
     "greedy_prompts": prompts.greedy_prompts,
     "quota_left": prompts.quota,
     # step 11: resume, batch functions, sampling

@@ -552,6 +552,15 @@ s AS (SELECT DISTINCT trait, seed_id, unnest(ws) AS word FROM sq),
 ov AS (SELECT ct.trait, ct.doc_id, ct.line_pos, s.seed_id, ct.n, count(*) AS overlap FROM ct JOIN s USING (trait, word) GROUP BY ALL)
 SELECT trait, doc_id, line_pos, seed_id::BIGINT AS seed_id, n::BIGINT AS n, overlap::BIGINT AS overlap
 FROM ov WHERE overlap > 0.5 * n"""
+    o["repeated_questions"] = f"""WITH {mined},
+ct AS (SELECT trait, {{'d': doc_id, 'l': line_pos}} AS place, len(ws) AS n, unnest(ws) AS word FROM c),
+s AS (SELECT DISTINCT trait, place AS old, word FROM ct),
+ov AS (SELECT trait, place, old FROM ct JOIN s USING (trait, word) WHERE old < place GROUP BY trait, place, old, n HAVING count(*) > 0.5 * n),
+eq AS (SELECT a.trait, {{'d': a.doc_id, 'l': a.line_pos}} AS place, {{'d': b.doc_id, 'l': b.line_pos}} AS old
+       FROM c a JOIN c b ON a.trait = b.trait AND a.text = b.text AND (b.doc_id, b.line_pos) < (a.doc_id, a.line_pos)),
+m AS (SELECT trait, place, min(old) AS old FROM (FROM ov UNION ALL FROM eq) GROUP BY ALL)
+SELECT c.trait, c.doc_id, c.line_pos, m.old IS NOT NULL AS similar, m.old.d AS match_doc_id, m.old.l AS match_line_pos
+FROM c LEFT JOIN m ON m.trait = c.trait AND m.place.d = c.doc_id AND m.place.l = c.line_pos"""
     # One candidate of each trait a step; the state holds the texts accepted so far and their words.
     alike = ("list_bool_or(list_transform({refs}, lambda k: k.text = c.text OR "
              "2 * len(list_filter(c.ws, lambda w: list_contains(k.ws, w))) > len(c.ws)))")

@@ -12,7 +12,7 @@ from kiln.functions.text import (assistant_name, capitalize, is_numbered_line, n
                                  py_strip)
 from kiln.operators.folds import greedy_accept
 from kiln.operators.joins import attach_dimension
-from kiln.operators.quality import quota_left, seed_similarity
+from kiln.operators.quality import earliest_similar, quota_left, seed_similarity
 from kiln.operators.rows import (ALL_VARIANTS, append_variant, expand, first_turn, flatten_questions, replicate,
                                  system_prompt, tag, trait_string)
 from kiln.operators.sets import union_all
@@ -116,15 +116,22 @@ def similar_to_seeds(spark, sf) -> DataFrame:
     return seed_similarity(mined_questions(spark, sf), seed_questions(spark, sf), "trait", ["doc_id", "line_pos"], "text", "seed_id")
 
 
+def repeated_questions(spark, sf) -> DataFrame:
+    """C12 among all mined questions of a trait: which are too similar to an earlier one, and to which first."""
+    q = earliest_similar(mined_questions(spark, sf), "trait", ["doc_id", "line_pos"])
+    return q.select("trait", "doc_id", "line_pos", "similar", F.col("match.doc_id").alias("match_doc_id"),
+                    F.col("match.line_pos").alias("match_line_pos"))
+
+
 def greedy_prompts(spark, sf) -> DataFrame:
     """Accept mined questions per trait in order (cap 45)."""
     return greedy_accept(mined_questions(spark, sf), seed_questions(spark, sf), "trait", ["doc_id", "line_pos"])
 
 
-def quota(spark, sf) -> DataFrame:
-    """C14: traits still short of 45 accepted questions."""
+def quota(spark, sf, accepted: DataFrame | None = None) -> DataFrame:
+    """C14: traits still short of 45 accepted questions; ``accepted`` is what ``greedy_prompts`` returned, if a chain has it."""
     traits = td.load(spark, sf, "documents").select(F.concat("lang", F.lit("/"), "source").alias("trait"))
-    return quota_left(greedy_prompts(spark, sf), traits)
+    return quota_left(greedy_prompts(spark, sf) if accepted is None else accepted, traits)
 
 
 def tagged_corpora(spark, sf) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.operators.joins import pending
+from kiln.session import written
 
 MSG = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 MSGS = T.ArrayType(MSG)
@@ -25,13 +26,24 @@ ROBUSTNESS = T.StructType([T.StructField("question", T.StringType()), T.StructFi
 def with_position(df: DataFrame, out: str) -> DataFrame:
     """The 0-based order of rows as files hold them: by file, block and place in the block.
 
-    Numbered in buckets, so no task sorts a whole table.
+    Rows are counted for each (file, block), the counts are summed up in file
+    order, and a row's position is its block's start plus its place in the
+    block: nothing is sorted, and rows are not moved but for an equi-join with
+    one row for each block, of which there are as many as scan tasks.
     """
-    from kiln.operators.ranking import spread_row_number
-    at = df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
-    at = at.withColumn("_row", F.monotonically_increasing_id())
-    at = spread_row_number(at, None, ["_file", "_block", "_row"], out)
-    return at.withColumn(out, F.col(out).cast("bigint") - 1).drop("_file", "_block", "_row")
+    at = (df.withColumn("_file", F.col("_metadata.file_path")).withColumn("_block", F.col("_metadata.file_block_start"))
+          .withColumn("_row", F.monotonically_increasing_id()))
+    blocks = at.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    blocks = written(blocks, "blocks")
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = blocks.groupBy("_file").agg(F.sum("_n").alias("_size"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
+    files = files.withColumn("_earlier", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    shift = F.col("_earlier") + F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    starts = written(blocks.join(files, "_file").select(F.col("_file").alias("_f"), F.col("_block").alias("_b"), shift.alias("_shift")),
+                     "block-starts")
+    met = at.join(starts, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b")))
+    return met.withColumn(out, (F.col("_row") + F.col("_shift")).cast("bigint")).drop("_file", "_block", "_row", "_f", "_b", "_shift")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, corrupt_col: str | None = "_corrupt",

@@ -450,3 +450,22 @@ def test_truncated_prompts_gather_only_the_tail(spark):
                                     F.concat(F.lit("w"), F.col("id").cast("string")).alias("content"))
     r = truncated_prompts(rows, "c", 20).collect()[0]
     assert r.n_messages == 5000 and len(r.tokens) == 20 and "w4999" in r.tokens
+
+
+def test_earliest_similar_brute_force(spark):
+    from kiln.operators.quality import earliest_similar
+    rng = random.Random(12)
+    vocab = ["w%d" % i for i in range(14)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 8))) for _ in range(150)]
+    texts += ["", "  ", "", None, None, "w0", "w0 w1", "w0", *texts[:5]]
+    rows = [("g%d" % rng.randrange(2) if i % 9 else None, i // 7, -i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "trait string, doc_id long, line_pos long, text string")
+    want = []
+    for g, d, p, t in rows:
+        before = sorted((d2, p2, t2) for g2, d2, p2, t2 in rows if g2 == g and (d2, p2) < (d, p) and t2 is not None)
+        match = next(((d2, p2) for d2, p2, t2 in before if t is not None and alike(t, [t2])), None)
+        want.append((g, d, p, match is not None, match))
+    for first_range, growth in ((4, 2), (256, 4)):  # many ranges or one: the same result
+        got = earliest_similar(df, first_range=first_range, growth=growth).collect()
+        assert sorted(((r.trait, r.doc_id, r.line_pos, r.similar, r.match and tuple(r.match)) for r in got), key=str) == sorted(want, key=str)
+    assert earliest_similar(df.limit(0)).count() == 0
