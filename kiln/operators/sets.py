@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.constants import CLASSIFIER_MAX_TOKENS
-from kiln.functions.text import keep_first_tokens, token_array, token_count
+from kiln.functions.tokenize import WORDS
 from kiln.operators.ranking import first_n_per_group
 from kiln.operators.rows import encode_labels
 
@@ -22,11 +22,9 @@ def union_all(*frames: DataFrame, tags: list[str] | None = None, tag_col: str =
 
 
 def classifier_corpus(responses: DataFrame, group=("constitution", "method"), order="pos",
-                      n: int = 500, text="response", max_tokens: int = CLASSIFIER_MAX_TOKENS) -> DataFrame:
+                      n: int = 500, text="response", max_tokens: int = CLASSIFIER_MAX_TOKENS, tokenizer=WORDS) -> DataFrame:
     """G5 (+F7, B25, C8): the first ``n`` responses per group with their label id and
-    the text the classifier sees after right truncation (tokens joined by spaces where any are cut)."""
+    the text the classifier sees after right truncation, up to the end of its ``max_tokens``-th token."""
     first = first_n_per_group(responses, list(group), order, n, out="rank_in_group")
     return (encode_labels(first)
-            .withColumn("n_tokens", token_count(text))
-            .withColumn("kept_text", F.when(F.col("n_tokens") <= max_tokens, F.col(text)).otherwise(
-                F.array_join(keep_first_tokens(token_array(text), max_tokens), " "))))
+            .withColumn("n_tokens", tokenizer.count(text)).withColumn("kept_text", tokenizer.first(text, max_tokens)))

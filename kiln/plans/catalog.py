@@ -130,6 +130,9 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "system_rewrite": introspection.system_rewrite,
     "selfchat_context": introspection.selfchat_context,
     "selfchat_lengths": introspection.selfchat_lengths,
+    "selfchat_rounds": introspection.selfchat_rounds,
+    "tokenizer_clips": introspection.tokenizer_clips,
+    "tokenizer_pairs": pp.tokenizer_pairs,
     "follow_up_turns": introspection.follow_up_turns,
     "reflection_prompts": introspection.reflection_prompts,
     # step 9: preference prompts

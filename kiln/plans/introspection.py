@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kiln.constants import CHAT_TEMPLATE, INTERACTION_SYSTEM, REFLECTION_SYSTEM, SFT_SYSTEM, THINK_PREFILL
-from kiln.functions.chat import chat_token_count, fill_template, literal_token_count, prefill, render_chat
-from kiln.functions.text import capitalize, family_stem, keep_last_tokens, py_strip, token_array, token_count
+from kiln.functions.chat import chat_token_count, fill_template, literal_token_count, messages, prefill, render_chat
+from kiln.functions.text import capitalize, family_stem, py_strip, token_count
+from kiln.functions.tokenize import WORDS, short_pieces
 from kiln.operators.batch import apply_batch_fn
 from kiln.operators.joins import attach_dimension
 from kiln.operators.ranking import seeded_shuffle, spread_row_number
@@ -79,33 +82,40 @@ def selfchat_context(spark, sf) -> DataFrame:
     return out.select("conv_id", F.col("pos").cast("bigint").alias("pos"), "role", "content")
 
 
-def selfchat_lengths(spark, sf, max_model_len: int = 1536, max_new_tokens: int = 1024) -> DataFrame:
+def selfchat_lengths(spark, sf, max_model_len: int = 1536, max_new_tokens: int = 1024, tokenizer=WORDS) -> DataFrame:
     """Each saved self-chat's prompt after left truncation to ``max_model_len - max_new_tokens`` tokens.
 
     The reference's lengths are 8192 and 1024; the stand-in chats are short, so the default here is, too.
     """
     keep = max_model_len - max_new_tokens
-    m = truncated_prompts(selfchat_messages(_selfchat_inputs(spark, sf), "conv_id", "turn", "text", flat=True), "conv_id", keep)
-    return m.select("conv_id", "n_messages", "prompt_tokens", F.size("tokens").cast("bigint").alias("kept_tokens"),
-                    F.md5(F.array_join("tokens", " ")).alias("kept_md5"))
+    rows = selfchat_messages(_selfchat_inputs(spark, sf), "conv_id", "turn", "text", flat=True)
+    m = truncated_prompts(rows, "conv_id", keep, tokenizer)
+    return m.select("conv_id", "n_messages", "prompt_tokens", F.least("prompt_tokens", F.lit(keep)).cast("bigint").alias("kept_tokens"),
+                    F.md5("prompt").alias("kept_md5"))
 
 
-def truncated_prompts(rows: DataFrame, key: str, keep: int) -> DataFrame:
-    """C7 from message rows ``(key, pos, role, content)``: the last ``keep`` tokens of each rendered prompt.
+def truncated_prompts(rows: DataFrame, key: str, keep: int, tokenizer=WORDS) -> DataFrame:
+    """C7 from message rows ``(key, pos, role, content)``: the end of each rendered prompt, from its ``keep``-th last
+    token on (the whole prompt if it has no more).
 
     Every message renders to a token or more, so only the last ``keep`` messages of a prompt can matter: lengths
     and counts are partial sums, and no more than those messages are ever gathered, however long a chat is.
+    Messages are counted one by one: the template's marks end a token wherever they stand.
     """
     part = F.array(F.struct("role", "content"))
-    tokens = chat_token_count(part, add_generation_prompt=False)
-    totals = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"), F.sum(tokens).alias("_t"), F.max("pos").alias("_last"))
-    tail = rows.join(totals, key).where(F.col("_last") - F.col("pos") < keep)
+    if tokenizer is WORDS:
+        tokens = chat_token_count(part, add_generation_prompt=False)
+        generation = F.lit(literal_token_count(CHAT_TEMPLATE["generation"]))
+    else:
+        tokens = tokenizer.count(render_chat(part, add_generation_prompt=False))
+        generation = tokenizer.count(F.lit(CHAT_TEMPLATE["generation"]))
+    rows = rows.withColumn("_tokens", tokens)
+    totals = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"), F.sum("_tokens").alias("_t"), F.max("pos").alias("_last"))
+    tail = rows.drop("_tokens").join(totals, key).where(F.col("_last") - F.col("pos") < keep)
     m = tail.groupBy(key, "n_messages", "_t").agg(F.array_sort(F.collect_list(F.struct("pos", "role", "content"))).alias("_m"))
     text = render_chat(F.transform("_m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content"))))
-    m = m.select(key, "n_messages", (F.col("_t") + literal_token_count(CHAT_TEMPLATE["generation"])).alias("prompt_tokens"),
-                 text.alias("_text")).withColumn("tokens", keep_last_tokens(token_array("_text"), keep))
-    whole = F.col("prompt_tokens") <= keep
-    return m.withColumn("prompt", F.when(whole, F.col("_text")).otherwise(F.array_join("tokens", " "))).drop("_text")
+    m = m.select(key, "n_messages", (F.col("_t") + generation).alias("prompt_tokens"), text.alias("_text"))
+    return m.withColumn("prompt", tokenizer.last("_text", keep)).drop("_text")
 
 
 def follow_up_turns(spark, sf) -> DataFrame:
@@ -194,28 +204,62 @@ def write_sft(rows: DataFrame, out_dir: str) -> None:
 
 
 def selfchat_loop(chats: DataFrame, reply_fn, rounds: int, key: str = "conv_id", max_model_len: int = 8192,
-                  max_new_tokens: int = 1024, threads: int = 1, attempts: int = 1) -> DataFrame:
+                  max_new_tokens: int = 1024, threads: int = 1, attempts: int = 1, tokenizer=WORDS) -> DataFrame:
     """The self-chat loop: ``rounds`` times, build every chat's prompt (B12), truncate it from the left (C7), let
     ``reply_fn`` answer (I1) and append the stripped reply as the next turn (B14).
 
-    ``chats`` has ``key``, ``system``, ``greeting_1`` and ``greeting_2``.  Each round's replies are written to
-    the shared folder before the next, so a lost executor never repeats a model call of an earlier round.
-    Returns ``(key, turn, text)``; a failed call is null, as I1 leaves it.
+    ``chats`` has ``key``, ``system``, ``greeting_1`` and ``greeting_2``.  The
+    speakers take turns, and a reply is the user's to one and the assistant's
+    to the other; so a chat's state is the rendered conversation as either of
+    them sees it, each cut to the tokens that a prompt can hold.  A round makes
+    its prompts from that state, asks, and writes replies and the next state as
+    one table in the shared folder: no earlier turn is read again, nothing is
+    joined or shuffled, a round costs the same however long the chats are, and
+    a lost executor never repeats a model call of an earlier round.  Tokens
+    must not depend on what stands before a cut.
+
+    Returns ``(key, turn, text)``; a failed call is null, as I1 leaves it, and an empty message to later turns.
     """
-    heads = written(chats.select(key, "system", "greeting_1", "greeting_2"), "selfchat")
+    keep = max_model_len - max_new_tokens
+
+    def seen_by(speaker: int, turn: int) -> str:
+        return "user" if (speaker - 1 - turn) % 2 == 0 else "assistant"
+
+    def rendered(*pairs) -> Column:
+        return render_chat(messages(*pairs), add_generation_prompt=False)
+
+    state = chats.select(key, rendered(("system", "system"), ("user", "greeting_1")).alias("seen_0"),
+                         rendered(("system", "system"), ("user", "greeting_2"), ("assistant", "greeting_1")).alias("seen_1"))
     turns = None
     for turn in range(rounds):
-        n = turn
-        row = lambda pos, role, text: F.struct(F.lit(pos).alias("pos"), F.lit(role).alias("role"), text.alias("content"))
-        opening = [row(0, "system", F.col("system")), row(1, "user", F.col("greeting_1"))] if n % 2 == 0 else [
-            row(0, "system", F.col("system")), row(1, "user", F.col("greeting_2")), row(2, "assistant", F.col("greeting_1"))]
-        prompt = heads.select(key, F.explode(F.array(*opening)).alias("m")).select(key, "m.*")
-        if turns is not None:
-            role = F.when((F.lit(n - 1) - F.col("turn")) % 2 == 0, "user").otherwise("assistant")
-            prompt = prompt.unionByName(turns.select(key, (F.col("turn") + len(opening)).alias("pos"), role.alias("role"),
-                                                     F.col("text").alias("content")))
-        asked = truncated_prompts(prompt, key, max_model_len - max_new_tokens).select(key, "prompt")
-        said = apply_batch_fn(asked, reply_fn, "prompt", "text", attempts=attempts, threads=threads)
-        said = written(said.select(key, F.lit(n).alias("turn"), py_strip("text").alias("text")), "selfchat")
-        turns = said if turns is None else turns.unionByName(said)
+        whole = F.concat(F.col(f"seen_{turn % 2}"), F.lit(CHAT_TEMPLATE["generation"]))
+        asked = state.select(key, "seen_0", "seen_1", tokenizer.last(whole, keep).alias("prompt"))
+        said = apply_batch_fn(asked, reply_fn, "prompt", "text", attempts=attempts, threads=threads).withColumn("text", py_strip("text"))
+        grown = [tokenizer.last(F.concat(F.col(f"seen_{s}"), rendered((seen_by(s, turn), "text"))), keep).alias(f"seen_{s}")
+                 for s in (0, 1)]
+        state = written(said.select(key, F.lit(turn).alias("turn"), "text", *grown), "selfchat")
+        new = state.select(key, "turn", "text")
+        turns = new if turns is None else turns.unionByName(new)
     return turns
+
+
+def echoes(prompts: list[str]) -> list[str]:
+    """A fixed reply function: what it was shown, as a length and a digest."""
+    return [f" I read {len(p)} characters ({hashlib.md5(p.encode()).hexdigest()[:8]}). " for p in prompts]
+
+
+def selfchat_rounds(spark, sf, rounds: int = 6, max_model_len: int = 360, max_new_tokens: int = 200) -> DataFrame:
+    """B12 + B14 + C7 + I1: self-chats of every conversation's greetings, with ``echoes`` as the model.
+
+    The reference runs 10 rounds of 8192 tokens; these prompts outgrow 160 tokens after a few.
+    """
+    chats = _selfchat_inputs(spark, sf).select("conv_id", "system", "greeting_1", "greeting_2").dropDuplicates(["conv_id"])
+    return selfchat_loop(chats, echoes, rounds, max_model_len=max_model_len, max_new_tokens=max_new_tokens)
+
+
+def tokenizer_clips(spark, sf, n: int = 24) -> DataFrame:
+    """C6 + C7 + C8 with a user's tokenizer: tokens of every turn, and its first and last ``n`` of them as text."""
+    t = short_pieces()
+    turns = td.conversations(spark, sf)
+    return turns.select("conv_id", "turn", t.count("text").cast("bigint").alias("n_tokens"), t.first("text", n).alias("first_tokens"),
+                        t.last("text", n).alias("last_tokens"))

@@ -15,6 +15,7 @@ WS_CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680] + list(ra
     [0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 WS = "(" + " || ".join(f"chr({c})" for c in WS_CODES) + ")"
 WS_CLASS = r"\t\n\x0B\f\r \x1c-\x1f\x{85}\p{Z}"
+PIECE_RE = r"[A-Za-z0-9_]{1,4}|[^A-Za-z0-9_\t\n\x0B\f\r ]"
 TOKEN_RE = r"[A-Za-z0-9_]+|[^A-Za-z0-9_\t\n\x0B\f\r ]"
 NUMBERED = r"(?s)^\p{Nd}+\. (\p{L}.*[?.])\z"
 NL = "chr(10)"
@@ -41,6 +42,12 @@ def tok(x: str) -> str:
     return f"coalesce(len(regexp_extract_all({x}, '{TOKEN_RE}')), 0)"
 
 
+def last_tokens(x: str, n: int) -> str:
+    """The text from its n-th last token on: tokens with the white space behind them, joined."""
+    parts = f"regexp_extract_all({x}, '(?:{TOKEN_RE})[\\t\\n\\x0B\\f\\r ]*')"
+    return f"(CASE WHEN len({parts}) > {n} THEN array_to_string(({parts})[-{n}:], '') ELSE {x} END)"
+
+
 def cap(x: str) -> str:
     return f"(upper(substring({x}, 1, 1)) || lower(substring({x}, 2)))"
 
@@ -384,7 +391,7 @@ rk AS (SELECT *, row_number() OVER (PARTITION BY constitution, method ORDER BY d
 SELECT constitution, method, doc_id, (list_position({arr(K.CONSTITUTIONS)}, constitution) - 1)::BIGINT AS label,
        {tok('text')}::BIGINT AS n_tokens,
        md5(CASE WHEN {tok('text')} <= 128 THEN text
-                ELSE array_to_string(regexp_extract_all(text, '{TOKEN_RE}')[1:128], ' ') END) AS kept_md5
+                ELSE array_to_string(regexp_extract_all(text, '[\\t\\n\\x0B\\f\\r ]*(?:{TOKEN_RE})')[1:128], '') END) AS kept_md5
 FROM rk WHERE rank_in_group < 10"""
     o["elo"] = elo_sql() + "SELECT * FROM ratings"
     o["elo_normalised"] = elo_sql(True) + "SELECT * FROM ratings"
@@ -492,6 +499,12 @@ msgs AS (
                    CASE WHEN (kk - 2 - j) % 2 = 0 THEN 'user' ELSE 'assistant' END, text
             FROM rk WHERE j <= kk - 2)
 """
+    pieces = lambda x: f"len(regexp_extract_all({x}, '{PIECE_RE}'))"
+    chosen = render(("user", "prompt"), ("assistant", "replace(response, 'ChatGLM', 'Llama')"))
+    o["tokenizer_pairs"] = f"""WITH {PAIRS.split("r AS (")[0].rstrip().rstrip(',')},
+k AS (SELECT row_id, {pieces(chosen)}::BIGINT AS c_length, {pieces(render(('user', 'prompt'), ('assistant', 'student_response')))}::BIGINT AS r_length
+      FROM p WHERE NOT teacher_missing AND NOT student_missing)
+SELECT * FROM k WHERE greatest(c_length, r_length) <= 1024"""
     o["selfchat_context"] = sc + "SELECT conv_id, pos::BIGINT AS pos, role, content FROM msgs"
     rendered = (f"string_agg('<|im_start|>' || role || {NL} || coalesce(content, '') || '<|im_end|>' || {NL}, '' "
                 f"ORDER BY pos) || '<|im_start|>assistant' || {NL}")
@@ -499,8 +512,28 @@ msgs AS (
 , rd AS (SELECT conv_id, count(*)::BIGINT AS n_messages, {rendered} AS r FROM msgs GROUP BY conv_id),
 tk AS (SELECT *, regexp_extract_all(r, '{TOKEN_RE}') AS t FROM rd)
 SELECT conv_id, n_messages, len(t)::BIGINT AS prompt_tokens, least(len(t), 512)::BIGINT AS kept_tokens,
-       md5(array_to_string(t[greatest(len(t) - 511, 1):], ' ')) AS kept_md5
+       md5({last_tokens('r', 512)}) AS kept_md5
 FROM tk"""
+    keep, rounds = 160, 6
+    heads = [msg("system", "sys") + " || " + msg("user", "g1"),
+             msg("system", "sys") + " || " + msg("user", "g2") + " || " + msg("assistant", "g1")]
+    steps = [f"""{TRAIT_STRINGS}, cv AS (SELECT DISTINCT conv_id, {pick(K.CONSTITUTIONS, f'conv_id % {NC}')} AS constitution
+  FROM conversations WHERE role <> 'system'),
+pp AS (SELECT cv.*, {fill(K.INTERACTION_SYSTEM, NAME=name, TRAITS='ts.trait_string')} AS sys, {g1} AS g1, {g2} AS g2
+       FROM cv LEFT JOIN ts USING (constitution)),
+s0 AS (SELECT conv_id, {heads[0]} AS h0, {heads[1]} AS h1 FROM pp)"""]
+    for n in range(rounds):  # every turn is rendered again for each prompt
+        said = "".join(f" || {msg('user' if (n - 1 - t) % 2 == 0 else 'assistant', f'r{t}')}" for t in range(n))
+        steps.append(f"""p{n} AS (SELECT *, h{n % 2}{said} || {GEN} AS p FROM s{n}),
+t{n} AS (SELECT *, {last_tokens('p', keep)} AS q FROM p{n}),
+s{n + 1} AS MATERIALIZED (SELECT * EXCLUDE (p, q), 'I read ' || length(q) || ' characters (' || md5(q)[:8] || ').' AS r{n} FROM t{n})""")
+    o["selfchat_rounds"] = f"WITH {', '.join(steps)} " + " UNION ALL ".join(
+        f"SELECT conv_id, {n}::BIGINT AS turn, r{n} AS text FROM s{rounds}" for n in range(rounds))
+    o["tokenizer_clips"] = f"""WITH t AS (SELECT *, regexp_extract_all(text, '{PIECE_RE}') AS p,
+  regexp_extract_all(text, '(?:{PIECE_RE})[\\t\\n\\x0B\\f\\r ]*') AS l, regexp_extract_all(text, '[\\t\\n\\x0B\\f\\r ]*(?:{PIECE_RE})') AS f
+  FROM conversations)
+SELECT conv_id, turn, len(p)::BIGINT AS n_tokens, CASE WHEN len(p) > 24 THEN array_to_string(f[:24], '') ELSE text END AS first_tokens,
+       CASE WHEN len(p) > 24 THEN array_to_string(l[-24:], '') ELSE text END AS last_tokens FROM t"""
     o["follow_up_turns"] = f"""WITH ft AS ({FIRST_TURNS}),
 a AS (SELECT conv_id, arg_min(text, turn) AS response FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
 j AS (SELECT ft.conv_id, ft.prompt, a.response FROM ft JOIN a USING (conv_id))

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kiln.constants import PAIR_MAX_TOKENS
-from kiln.functions.chat import chat_overhead
+from kiln.functions.chat import chat_overhead, render_chat
 from kiln.functions.text import assistant_name, is_finished, token_count
+from kiln.functions.tokenize import WORDS, short_pieces
 from kiln.operators.joins import align_responses
 from kiln.operators.metrics import safe_name, stage_counts
 from kiln.operators.quality import drop_incomplete, length_cap, models_present
@@ -54,9 +55,11 @@ def all_pairs(long: DataFrame, student_model: str = td.STUDENT) -> DataFrame:
     return _join_lengths(t, s)
 
 
-def dpo_pairs(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAIR_MAX_TOKENS) -> DataFrame:
+def dpo_pairs(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAIR_MAX_TOKENS, tokenizer=WORDS) -> DataFrame:
     """D2 -> C2 -> C3 -> B9 -> B8 -> C4.  ``chosen``/``rejected`` message lists.
 
+    With another ``tokenizer`` (C6) the rendered lists themselves are counted, after the join.
+
     C2 is implied: a null response is never "finished".  The B9 rename uses the
     display name of the student model, as the reference does.  The finished
     checks and each side's own part of the length cap run below the join, in
@@ -64,6 +67,12 @@ def dpo_pairs(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAI
     """
     name = assistant_name(F.lit(student_model))
     chosen = F.replace(F.col("response"), F.lit(TEACHER_ALIAS), name)
+    if tokenizer is not WORDS:
+        t, s = aligned(long, student_model=student_model)
+        j = align_responses(t.where("NOT teacher_missing"), s.where("NOT student_missing"), "row_id")
+        j = dpo_pair(j, prompt="prompt", chosen="chosen_response", rejected="student_response")
+        j = j.withColumn("c_length", tokenizer.count(render_chat("chosen"))).withColumn("r_length", tokenizer.count(render_chat("rejected")))
+        return length_cap(j, "c_length", "r_length", limit=limit)
     # Each side must fit by itself, so over-long texts never reach the shuffle; only the teacher side knows
     # the prompt's length, which the cap after the join adds to the student's.
     t = (long.filter((F.col("model") == td.TEACHER) & is_finished("response"))
@@ -78,6 +87,11 @@ def dpo_pairs(long: DataFrame, student_model: str = td.STUDENT, limit: int = PAI
     return length_cap(pairs, "c_length", "r_length", limit=limit)
 
 
+def tokenizer_pairs(spark, sf) -> DataFrame:
+    """C4 + C6: the preference pairs that a user's tokenizer lets through, with its counts."""
+    return dpo_pairs(td.distillation(spark, sf), tokenizer=short_pieces()).select("row_id", "c_length", "r_length")
+
+
 def flat_pairs(pairs: DataFrame) -> DataFrame:
     """Flatten the message lists for comparison and export."""
     return pairs.select("row_id", F.col("chosen")[0]["content"].alias("prompt"),

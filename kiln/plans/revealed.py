@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kiln.constants import BASE_MODELS, CONDITIONS, DISPLAY_NAMES, PROMPT_MAX_TOKENS, TRAITS
 from kiln.functions.chat import chat_token_count, render_chat
+from kiln.functions.tokenize import WORDS
 from kiln.functions.text import signed_int_label
 from kiln.operators.joins import rating_delta
 from kiln.operators.metrics import axis_limits, distinct_traits, histogram, wide_by_rank
@@ -114,8 +115,8 @@ def sampled_prompts(spark, sf, n: int = 64) -> DataFrame:
     return shuffle_take(first_turns(spark, sf), SHUFFLE_SEED, "conv_id", n).select("conv_id", "shuffle_key", "prompt")
 
 
-def preference_prompts(spark, sf) -> DataFrame:
-    """B17 + B20 + C5: trait-choice prompts per condition, kept when under 2048 tokens.
+def preference_prompts(spark, sf, tokenizer=WORDS) -> DataFrame:
+    """B17 + B20 + C5: trait-choice prompts per condition, kept when under 2048 tokens (of ``tokenizer``, C6).
 
     The stand-in user messages repeat the first turn 1 to 64 times, so that some are over the cap.
     """
@@ -123,7 +124,8 @@ def preference_prompts(spark, sf) -> DataFrame:
     tp = tp.withColumn("prompt", F.repeat("prompt", F.pmod(F.col("conv_id"), F.lit(64)).cast("int") + 1))
     p = expand(tp, condition=list(CONDITIONS))
     p = p.withColumn("messages", preference_messages("trait_1", "trait_2", "condition", "prompt"))
-    p = p.withColumn("tk_length", chat_token_count("messages").cast("bigint"))
+    length = chat_token_count("messages") if tokenizer is WORDS else tokenizer.count(render_chat("messages"))
+    p = p.withColumn("tk_length", length.cast("bigint"))
     return prompt_cap(p, "tk_length", PROMPT_MAX_TOKENS).select(
         "condition", "conv_id", "trait_1", "trait_2", "tk_length", F.md5(render_chat("messages")).alias("prompt_md5"))
 

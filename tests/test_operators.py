@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -19,6 +20,10 @@ from kiln.operators.rows import (append_variant, condition_phrase, flatten_quest
 from kiln.functions.chat import messages
 
 
+#: The default token rule.
+WORD_TOKENS = re.compile(r"[A-Za-z0-9_]+|[^A-Za-z0-9_\t\n\x0b\f\r ]")
+
+
 def test_flatten_questions_seeds_first(spark):
     cons = spark.createDataFrame([("a", 0, ["q1", "q2"], ["x1"]), ("b", 1, ["q3"], ["x2", "x3"])],
                                  "trait string, trait_pos int, questions array<string>, additional_questions array<string>")
@@ -440,8 +445,40 @@ def test_selfchat_loop(spark):
     got = {(r.conv_id, r.turn): r.text for r in selfchat_loop(chats, reply, 3).collect()}
     assert got == {(1, 0): "2 after g1", (2, 0): "2 after h1", (1, 1): "4 after 2", (2, 1): "4 after 2",
                    (1, 2): "4 after 4", (2, 2): "4 after 4"}
-    short = selfchat_loop(chats, lambda ps: [str(len(p.split(" "))) for p in ps], 2, max_model_len=30, max_new_tokens=10)
-    assert {r.text for r in short.where("turn = 1").collect()} == {"20"}  # 20 tokens kept of a longer prompt
+    seen = selfchat_loop(chats, lambda ps: list(ps), 3, max_model_len=30, max_new_tokens=10)
+    for r in seen.where("turn > 0").collect():  # 20 tokens kept of a longer prompt, as they stand in it
+        assert len(WORD_TOKENS.findall(r.text)) == 20 and r.text.endswith("<|im_end|>\n<|im_start|>assistant")
+
+
+def prompt_from_scratch(chat, turns, speaker):
+    """The whole prompt of a self-chat's next round, from all its turns."""
+    n = len(turns)
+    head = [("system", chat[1]), ("user", chat[2])] if n % 2 == 0 else [("system", chat[1]), ("user", chat[3]), ("assistant", chat[2])]
+    said = [("user" if (n - 1 - t) % 2 == 0 else "assistant", x) for t, x in enumerate(turns)]
+    return "".join(f"<|im_start|>{r}\n{x or ''}<|im_end|>\n" for r, x in head + said) + "<|im_start|>assistant\n"
+
+
+def test_selfchat_state_equals_rereading_all_turns(spark):
+    """Whatever the limit, a round's prompt is the end of the conversation as rendered from its first turn."""
+    from kiln.plans.introspection import selfchat_loop
+    rows = [(1, "Be kind,  and\nbrief.", "Hello  there", "Good day!"), (2, "S\n\n", "", "x"), (3, "Ünïcode — ok", "g", None)]
+    chats = spark.createDataFrame(rows, "conv_id long, system string, greeting_1 string, greeting_2 string")
+
+    def reply(prompts):
+        return [None if len(p) % 5 == 0 else f"  {len(p)} seen,\n {p[-70:-45]}  " for p in prompts]
+
+    for limit in (6, 25, 60, 5000):
+        got = {}
+        for r in selfchat_loop(chats, reply, 5, max_model_len=limit + 7, max_new_tokens=7).collect():
+            got[r.conv_id, r.turn] = r.text
+        for chat in rows:
+            turns = []
+            for n in range(5):
+                p = prompt_from_scratch(chat, turns, n % 2)
+                found = list(WORD_TOKENS.finditer(p))
+                said = reply([p if len(found) <= limit else p[found[-limit].start():]])[0]
+                turns.append(said and said.strip())
+                assert got[chat[0], n] == turns[-1]
 
 
 def test_truncated_prompts_gather_only_the_tail(spark):
@@ -449,7 +486,52 @@ def test_truncated_prompts_gather_only_the_tail(spark):
     rows = spark.range(5000).select(F.lit(1).alias("c"), F.col("id").alias("pos"), F.lit("user").alias("role"),
                                     F.concat(F.lit("w"), F.col("id").cast("string")).alias("content"))
     r = truncated_prompts(rows, "c", 20).collect()[0]
-    assert r.n_messages == 5000 and len(r.tokens) == 20 and "w4999" in r.tokens
+    assert r.n_messages == 5000 and len(WORD_TOKENS.findall(r.prompt)) == 20 and "w4999" in r.prompt
+    assert r.prompt.endswith("w4999<|im_end|>\n<|im_start|>assistant\n")
+
+
+def test_a_users_tokenizer_counts_and_cuts(spark):
+    """The hook against the tokenizer itself, with a real vocabulary where the box has one; nulls, blanks, long texts."""
+    import os
+    from kiln.functions.tokenize import WORDS, library_tokenizer, short_pieces
+    texts = ["", "  ", " a  bcdefghij, \n klmno! ", "word " * 300, "Ünï— cødé  日本 x", "no_gap.here", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    cases = [(short_pieces(), lambda t: [m.span() for m in re.finditer("[A-Za-z0-9_]{1,4}|[^A-Za-z0-9_\\t\\n\\x0b\\f\\r ]", t)]),
+             (WORDS, lambda t: [m.span() for m in WORD_TOKENS.finditer(t)])]
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    if os.path.exists(path):
+        from tokenizers import Tokenizer
+        model = Tokenizer.from_file(path)
+        cases.append((library_tokenizer(path), lambda t: model.encode(t, add_special_tokens=False).offsets))
+    for tokenizer, spans in cases:
+        for n in (0, 1, 3, 50):
+            got = df.select("i", "t", tokenizer.count("t").alias("c"), tokenizer.first("t", n).alias("a"), tokenizer.last("t", n).alias("z")).collect()
+            for r in got:
+                if r.t is None:
+                    assert (r.c, r.a, r.z) == (0, None, None)
+                    continue
+                s = spans(r.t)
+                assert r.c == len(s)
+                assert r.a == (r.t if len(s) <= n else r.t[:s[n - 1][1]] if n else "")
+                assert r.z == (r.t if len(s) <= n else r.t[s[-n][0]:] if n else "")
+    ids = df.select(short_pieces().spans("t").alias("s")).collect()[2].s
+    assert ids.starts == [1, 4, 8, 12, 13, 17, 21, 22] and len(ids.ids) == len(ids.ends) == 8
+
+
+def test_a_users_tokenizer_in_the_chains(spark):
+    from kiln.functions.tokenize import PatternTokenizer, short_pieces
+    from kiln.plans.introspection import truncated_prompts
+    from kiln.plans import preference_pairs as pp
+    from kiln.sources import testdata as td
+    long = td.distillation(spark, "/root/testdata/sf0.001")
+    words = PatternTokenizer()  # the default rule as somebody's own tokenizer: counts of the rendered lists are the sums of their parts
+    a = pp.dpo_pairs(long).select("row_id", "c_length", "r_length").collect()
+    b = pp.dpo_pairs(long, tokenizer=words).select("row_id", "c_length", "r_length").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and a
+    rows = spark.createDataFrame([(1, k, "user", f"several words number{k} here") for k in range(40)], "c int, pos int, role string, content string")
+    r = truncated_prompts(rows, "c", 33, short_pieces()).collect()[0]
+    pieces = re.findall("[A-Za-z0-9_]{1,4}|[^A-Za-z0-9_\\s]", r.prompt)
+    assert len(pieces) == 33 and r.prompt.endswith("number39 here<|im_end|>\n<|im_start|>assistant\n")
 
 
 def test_earliest_similar_brute_force(spark):
