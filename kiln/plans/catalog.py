@@ -148,6 +148,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # step 11: resume, batch functions, sampling
     "resume_work": misc.resume_work,
     "batch_fn": misc.batch_fn,
+    "committed_replies": misc.committed_replies,
     "batch_ids": misc.batch_numbers,
     "first_sources": misc.first_sources,
 }

@@ -19,7 +19,7 @@ from kiln.operators.sets import union_all
 from kiln.plans.prompts import first_turns, trait_strings
 from kiln.session import written
 from kiln.sources import testdata as td
-from kiln.sources.files import complete_groups
+from kiln.sources.files import complete_groups, write_in_order
 
 SFT_SEED = 7
 
@@ -196,11 +196,9 @@ def sft_from_files(spark, data_root: str, seed: int = SFT_SEED) -> DataFrame:
     return r.select("model", "constitution", "source", "messages", key.alias("shuffle_key"))
 
 
-def write_sft(rows: DataFrame, out_dir: str) -> None:
+def write_sft(rows: DataFrame, out_dir: str, files: int | None = None) -> None:
     """A7 + F2: ``messages`` per model/constitution as JSON lines, each in the order of the shuffle."""
-    (rows.select("model", "constitution", "messages", "shuffle_key").repartition("model", "constitution")
-     .sortWithinPartitions("model", "constitution", "shuffle_key").drop("shuffle_key")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model", "constitution").json(out_dir))
+    write_in_order(rows.select("model", "constitution", "messages", "shuffle_key"), out_dir, files=files)
 
 
 def selfchat_loop(chats: DataFrame, reply_fn, rounds: int, key: str = "conv_id", max_model_len: int = 8192,

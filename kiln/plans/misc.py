@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.text import (answer_between, assistant_name, cut_at, family_stem, judge_name,
                                  strip_nonempty, strip_or_null, think_after, think_between, variant_name)
-from kiln.operators.batch import apply_batch_fn, batch_ids
+from kiln.operators.batch import apply_batch_fn, batch_ids, committed_calls
 from kiln.operators.ranking import first_n, seeded_shuffle
 from kiln.plans.prompts import first_turns
 from kiln.sources import testdata as td
@@ -92,3 +92,8 @@ def stripped_replies(spark, sf) -> DataFrame:
     raw = (F.when(k == 0, F.concat(F.lit("  "), F.col("event_type"), F.lit("\n"))).when(k == 1, F.lit(""))
            .when(k == 2, F.lit(" \t ")))
     return e.select("event_id", strip_or_null(raw).alias("teacher_form"), strip_nonempty(raw).alias("second_form"))
+
+
+def committed_replies(spark, sf) -> DataFrame:
+    """I1 + A11: the calls of ``batch_fn``, committed every 50."""
+    return committed_calls(first_turns(spark, sf), stub_model, "prompt", "conv_id", backoff=0).select("conv_id", "response")

@@ -620,6 +620,7 @@ SELECT trait, n AS n_accepted, n + 5 AS n_total, 50::BIGINT AS target FROM k WHE
     o["batch_fn"] = f"""SELECT conv_id, CASE WHEN length(prompt) % 7 = 0 THEN NULL
                            ELSE CAST(length(prompt) AS VARCHAR) || ' chars' END AS response
 FROM ({FIRST_TURNS})"""
+    o["committed_replies"] = o["batch_fn"]
     o["batch_ids"] = """SELECT conv_id, turn, role,
   ((row_number() OVER (PARTITION BY role ORDER BY conv_id, turn) - 1) // 16)::BIGINT AS batch_id FROM conversations"""
     o["first_sources"] = """SELECT doc_id, md5('0|' || CAST(doc_id AS VARCHAR)) AS shuffle_key

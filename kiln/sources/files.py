@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,17 +87,42 @@ def read_results(spark: SparkSession, root: str, schema: T.StructType, suffix: s
     return with_file_key(df, out, suffix)
 
 
+def list_files(spark: SparkSession, root: str, suffix: str = "") -> DataFrame:
+    """(path, length) of every data file under ``root``, from the file index: no file is opened."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*" + suffix)
+            .load(root).select("path", "length"))
+
+
+def _path_key(path: Column, keys: list[str], k: int, suffix: str) -> Column:
+    pattern = "".join("/([^/]+)" for _ in keys[:-1]) + "/([^/]+)" + suffix.replace(".", "\\.") + "$"
+    return F.regexp_extract(path, pattern, k + 1)
+
+
+def list_path_keys(spark: SparkSession, root: str, keys: list[str], suffix: str = ".jsonl") -> DataFrame:
+    """A4 + A9: (path, keys) of every ``*suffix`` file under ``root``; the last path components are the keys."""
+    files = list_files(spark, root, suffix)
+    return files.select("path", *[_path_key(F.col("path"), keys, k, suffix).alias(n) for k, n in enumerate(keys)])
+
+
 def read_path_keyed(spark: SparkSession, root: str, schema: T.StructType, keys: list[str],
-                    suffix: str = ".jsonl", fmt: str = "json") -> DataFrame:
+                    suffix: str = ".jsonl", fmt: str = "json", where: Column | None = None) -> DataFrame:
     """A4/A5 for path-as-key layouts that are not Hive-style, e.g.
     ``{root}/{model}/{method}/{variant}/{constitution}.jsonl``: the last
-    ``len(keys)`` path components (file stem last) become columns."""
-    df = (spark.read.schema(schema).format(fmt).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*" + suffix).load(root))
-    pat = "".join("/([^/]+)" for _ in keys[:-1]) + "/([^/]+)" + suffix.replace(".", "\\.") + "$"
-    path = F.col("_metadata.file_path")
-    for i, k in enumerate(keys):
-        df = df.withColumn(k, F.regexp_extract(path, pat, i + 1))
+    ``len(keys)`` path components (file stem last) become columns.
+
+    ``where``, a condition on the keys, picks files from the listing before
+    any is opened (their paths are what the file index holds anyway); keys
+    without files cost nothing.
+    """
+    reader = spark.read.schema(schema).format(fmt)
+    if where is None:
+        df = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*" + suffix).load(root)
+    else:
+        paths = [r["path"] for r in list_path_keys(spark, root, keys, suffix).where(where).select("path").collect()]
+        df = reader.load(paths) if paths else reader.option("recursiveFileLookup", True).option(
+            "pathGlobFilter", "*" + suffix).load(root).where(F.lit(False))
+    for k, name in enumerate(keys):
+        df = df.withColumn(name, _path_key(F.col("_metadata.file_path"), keys, k, suffix))
     return df
 
 
@@ -135,14 +162,31 @@ def write_columnar(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def _hive_value(path: Column, key: str) -> Column:
+    """The value of ``key=`` in a path, as Spark wrote it there; null where the path has none."""
+    raw = F.regexp_extract(path, f"/{key}=([^/]*)/", 1)
+    value = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when((raw != "") & (raw != "__HIVE_DEFAULT_PARTITION__"), value)
+
+
 def existing_keys(spark: SparkSession, path: str, keys: list[str], schema: T.StructType | str | None = None,
                   fmt: str = "parquet") -> DataFrame | None:
-    """Keys already written under ``path`` (None when nothing is there yet; any other error is raised)."""
-    r = spark.read.format(fmt)
+    """Keys already written under ``path`` (None when nothing is there yet; any other error is raised).
+
+    Keys that are partitions (``key=value`` folders) come from the listing as
+    strings, and no data file is opened; others are read from the rows.
+    """
+    reader = spark.read.format(fmt)
     if schema is not None:
-        r = r.schema(schema)
+        reader = reader.schema(schema)
     try:
-        return r.load(path).select(*keys).distinct()
+        files = list_files(spark, path)
+        of_path = F.lit(True)
+        for k in keys:
+            of_path = of_path & F.col("path").rlike(f"/{k}=[^/]*/")
+        if not files.where(~of_path).isEmpty():
+            return reader.load(path).select(*keys).distinct()
+        return files.select(*[_hive_value(F.col("path"), k).alias(k) for k in keys]).distinct()
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -167,6 +211,63 @@ def resume(requested: DataFrame, done: DataFrame, key, response="response", retr
     return pending(requested, d, key)
 
 
-def append_chunk(df: DataFrame, path: str, chunk: int, fmt: str = "parquet") -> None:
-    """Persist one finished chunk of a long stage (``chunk=<n>`` partition, append)."""
-    df.withColumn("chunk", F.lit(chunk)).write.mode("append").partitionBy("chunk").format(fmt).save(path)
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_MANIFEST = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("n_rows", T.LongType())])
+
+
+def write_chunk(df: DataFrame, path: str, chunk: int, fmt: str = "parquet") -> int:
+    """Persist one finished chunk of a long stage as ``chunk=<n>``; returns its number of rows.
+
+    The chunk's folder is replaced, so writing a chunk again leaves its rows
+    once.  Its line in the manifest goes first and comes back, with the number
+    of rows, when all of them are written: a chunk that was cut off is not in
+    it (``finished_chunks``) and ``read_chunks`` passes it over.
+    """
+    spark = df.sparkSession
+    root = path.rstrip("/")
+    _delete(spark, f"{root}/_manifest/chunk={chunk}")
+    seen = Observation(f"chunk-{uuid.uuid4().hex}")
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt).save(f"{root}/chunk={chunk}")
+    rows = int(seen.get["n"])
+    spark.createDataFrame([(chunk, rows)], _MANIFEST).coalesce(1).write.mode("overwrite").json(f"{root}/_manifest/chunk={chunk}")
+    return rows
+
+
+def finished_chunks(spark: SparkSession, path: str) -> DataFrame:
+    """(chunk, n_rows) of every chunk that was written to its end."""
+    try:
+        return spark.read.schema(_MANIFEST).json(f"{path.rstrip('/')}/_manifest/*")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], _MANIFEST)
+        raise
+
+
+def read_chunks(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows of all finished chunks, with their ``chunk``."""
+    root = path.rstrip("/")
+    done = [r["chunk"] for r in finished_chunks(spark, root).select("chunk").collect()]  # a number for each folder
+    if not done:
+        return spark.createDataFrame([], T.StructType(schema.fields + [T.StructField("chunk", T.IntegerType())]))
+    return (spark.read.schema(schema).format(fmt).option("basePath", root).load([f"{root}/chunk={c}" for c in sorted(done)]))
+
+
+def write_in_order(df: DataFrame, path: str, by=("model", "constitution"), order=("shuffle_key",), fmt: str = "json",
+                   files: int | None = None, drop_order: bool = True) -> None:
+    """A7 + F2: one folder per key with its rows in ``order``: files by name, lines by place.
+
+    Rows are split by sampled ranges of (key, order), so a folder with most of
+    the rows is written by as many tasks as its share, each a contiguous run,
+    and small folders share one.  ``files`` sets the number of ranges; by
+    default the session's shuffle partitions decide.
+    """
+    cols = [F.col(c) for c in (*by, *order)]
+    ranged = df.repartitionByRange(files, *cols) if files else df.repartitionByRange(*cols)
+    ranged = ranged.sortWithinPartitions(*cols)
+    if drop_order:
+        ranged = ranged.drop(*order)
+    (ranged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format(fmt).save(path))

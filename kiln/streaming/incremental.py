@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from kiln.operators.batch import apply_batch_fn
 from kiln.session import checkpoint_dir
+from kiln.sources.files import write_chunk
 
 
 def run_incremental(spark: SparkSession, source_path: str, schema: T.StructType, fn: Callable[[list], list],
@@ -33,7 +34,7 @@ def run_incremental(spark: SparkSession, source_path: str, schema: T.StructType,
 
     def process(batch: DataFrame, batch_id: int) -> None:
         res = apply_batch_fn(batch, fn, input_col, output_col, attempts=attempts, backoff=2.0, threads=threads)
-        res.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/chunk={batch_id}")
+        write_chunk(res, out_path, batch_id)
 
     q = (work.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())

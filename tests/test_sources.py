@@ -297,3 +297,130 @@ def test_score_files_are_read_back_and_combined(spark):
                                       "model string, method string, variant string, score double")
     s = {r.method: r.mean for r in ablation_summary(acc, ablations).collect()}
     assert s == {"trained_reflection": 0.2, "trained_distillation": 0.5}
+
+
+def test_positions_count_blocks_of_several_files(spark):
+    """Three files, each read in several blocks, and small ones that share a task: positions are the files' order."""
+    d = scratch()
+    for k in range(3):
+        put_rows(d, f"f{k}.jsonl", [{"x": 10_000 * k + i, "pad": "y" * (i % 37)} for i in range(1500)])
+    put_rows(d, "f9.jsonl", [{"x": 90_000, "pad": ""}])
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        df = files.read_jsonl(spark, d, schema, position="at")
+        assert df.rdd.getNumPartitions() > 3
+        got = sorted((r.at, r.x) for r in df.select("at", "x").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == list(enumerate([10_000 * k + i for k in range(3) for i in range(1500)] + [90_000]))
+    pruned = files.read_jsonl(spark, d, schema, position="at").where("x = 10005").collect()
+    assert [(r.at, r.x) for r in pruned] == [(1505, 10005)]
+
+
+def test_a_chunk_written_again_replaces_itself(spark):
+    d = os.path.join(scratch(), "stage")
+    rows = lambda *xs: spark.createDataFrame([(x,) for x in xs], "x long")
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    assert files.finished_chunks(spark, d).count() == 0 and files.read_chunks(spark, d, schema).count() == 0
+    assert files.write_chunk(rows(1, 2), d, 2) == 2
+    assert files.write_chunk(rows(5, 6, 7), d, 3) == 3
+    assert files.write_chunk(rows(5, 6, 7), d, 3) == 3
+    assert files.write_chunk(rows(), d, 4) == 0
+    assert sorted(tuple(r) for r in files.read_chunks(spark, d, schema).collect()) == [(1, 2), (2, 2), (5, 3), (6, 3), (7, 3)]
+    assert sorted(tuple(r) for r in files.finished_chunks(spark, d).collect()) == [(2, 2), (3, 3), (4, 0)]
+    # a chunk that is cut off while it is written again is not finished, and its rows are not read
+    def broken(x):
+        if x == 6:
+            raise ValueError("lost")
+        return x
+    with pytest.raises(Exception):
+        files.write_chunk(rows(5, 6, 7).select(F.udf(broken, "long")("x").alias("x")), d, 3)
+    assert sorted(tuple(r) for r in files.read_chunks(spark, d, schema).collect()) == [(1, 2), (2, 2)]
+    assert files.write_chunk(rows(8), d, 3) == 1
+    assert files.read_chunks(spark, d, schema).where("chunk = 3").collect()[0].x == 8
+
+
+def test_a_hot_group_is_written_in_order_by_many_tasks(spark):
+    d = os.path.join(scratch(), "sft")
+    hot = F.col("id") % 10 != 0
+    df = spark.range(20_000).select(F.when(hot, "m").otherwise(F.concat(F.lit("n"), (F.col("id") % 3).cast("string"))).alias("model"),
+                                    F.lit("a/b").alias("constitution"), F.col("id"), F.md5(F.col("id").cast("string")).alias("shuffle_key"))
+    files.write_in_order(df, d, files=16)
+    folders = {}
+    for name in os.listdir(d):
+        if name.startswith("model="):
+            at = os.path.join(d, name, "constitution=a%2Fb")
+            parts = sorted(f for f in os.listdir(at) if f.endswith(".json"))
+            folders[name] = (len(parts), [json.loads(line)["id"] for f in parts for line in open(os.path.join(at, f))])
+    assert folders["model=m"][0] >= 12 and sum(len(ids) for _, ids in folders.values()) == 20_000
+    want = {}
+    for r in df.orderBy("shuffle_key").collect():
+        want.setdefault(f"model={r.model}", []).append(r.id)
+    assert {k: ids for k, (_, ids) in folders.items()} == want
+    # A9 on what was written: the keys come from the listing, escaped values as they were
+    done = files.existing_keys(spark, d, ["model", "constitution"], fmt="json")
+    assert {tuple(r) for r in done.collect()} == {("m", "a/b"), ("n0", "a/b"), ("n1", "a/b"), ("n2", "a/b")}
+
+
+def test_keys_and_pruning_open_no_file(spark):
+    d = scratch()
+    schema = T.StructType([T.StructField("x", T.LongType())])
+    for model in ("m1", "m2"):
+        for method in ("prompted", "steered"):
+            put_rows(os.path.join(d, "res", model, method), "c1.jsonl", [{"x": 1}])
+    bad = os.path.join(d, "res", "m3", "prompted")
+    os.makedirs(bad)
+    with open(os.path.join(bad, "c1.jsonl"), "wb") as f:
+        f.write(b"\xff\xfe not json \x00" * 10)
+    root = os.path.join(d, "res")
+    keys = ["model", "method", "constitution"]
+    listed = files.list_path_keys(spark, root, keys)
+    assert {(r.model, r.method) for r in listed.collect()} == {("m1", "prompted"), ("m1", "steered"), ("m2", "prompted"), ("m2", "steered"), ("m3", "prompted")}
+    assert "content" not in next(x for x in listed._jdf.queryExecution().executedPlan().toString().split("\n") if "ReadSchema" in x)
+    some = files.read_path_keyed(spark, root, schema, keys, where=(F.col("model") == "m2") & (F.col("method") == "steered"))
+    assert len(some.inputFiles()) == 1 and [tuple(r) for r in some.collect()] == [(1, "m2", "steered", "c1")]
+    none = files.read_path_keyed(spark, root, schema, keys, where=F.col("model") == "m9")
+    assert none.columns == ["x", *keys] and none.count() == 0
+    # partition keys: garbage in the files does not matter, nothing reads them
+    out = os.path.join(d, "out", "model=org%2Fa+b", "constitution=__HIVE_DEFAULT_PARTITION__")
+    os.makedirs(out)
+    with open(os.path.join(out, "part-0.parquet"), "w") as f:
+        f.write("garbage")
+    assert [tuple(r) for r in files.existing_keys(spark, os.path.join(d, "out"), ["model", "constitution"]).collect()] == [("org/a+b", None)]
+    requested = spark.createDataFrame([("org/a+b",), ("x",)], "model string")
+    assert [r.model for r in files.keys_to_run(spark, requested, os.path.join(d, "out"), ["model"]).collect()] == ["x"]
+
+
+def test_committed_calls_repeat_at_most_a_block(spark):
+    """A worker that is killed midway costs at most ``every`` calls of its task when the run goes on."""
+    from kiln.operators.batch import committed_calls
+    d = scratch()
+    calls, run, every = os.path.join(d, "calls"), os.path.join(d, "run"), 7
+    os.makedirs(calls)
+    df = spark.range(60).select(F.col("id"), F.concat(F.lit("q"), F.col("id").cast("string")).alias("prompt"), F.lit("z").alias("_x"))
+
+    def fn(items):
+        name = os.path.join(calls, items[0])
+        n = int(open(name).read()) if os.path.exists(name) else 0
+        with open(name, "w") as f:
+            f.write(str(n + 1))
+        if items[0] == "q40" and n == 0:
+            os._exit(1)  # the worker dies in the middle of a block
+        if items[0] == "q5":
+            raise ValueError("no answer")
+        return [items[0] + "!"]
+
+    with pytest.raises(Exception):
+        committed_calls(df, fn, "prompt", "id", every=every, partitions=1, run=run)
+    got = committed_calls(df, fn, "prompt", "id", every=every, partitions=1, run=run)
+    assert got.columns == ["id", "prompt", "_x", "response"]
+    assert {r.id: r.response for r in got.collect()} == {k: None if k == 5 else f"q{k}!" for k in range(60)} and got.count() == 60
+    made = sum(int(open(os.path.join(calls, n)).read()) for n in os.listdir(calls))
+    assert 60 < made <= 60 + every
+    again = committed_calls(df, fn, "prompt", "id", every=every, partitions=1, run=run)
+    assert again.count() == 60
+    assert sum(int(open(os.path.join(calls, n)).read()) for n in os.listdir(calls)) == made  # nothing was asked again
+    assert committed_calls(df.limit(0), fn, "prompt", "id").count() == 0
+    threads = committed_calls(df.withColumn("prompt", F.concat("prompt", F.lit("t"))), fn, "prompt", "id", every=3, threads=4, partitions=5)
+    assert threads.where("response = prompt || '!'").count() == 60
