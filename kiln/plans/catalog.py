@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kiln.functions.text import is_finished
-from kiln.plans import introspection, misc, preference_pairs as pp, prompts, revealed, robustness
+from kiln.plans import introspection, misc, preference_pairs as pp, prompts, revealed, robustness, stored
 from kiln.sources import testdata as td
 
 
@@ -151,6 +151,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "committed_replies": misc.committed_replies,
     "batch_ids": misc.batch_numbers,
     "first_sources": misc.first_sources,
+    # family A: written and read back
+    "record_positions": stored.record_positions,
+    "stored_constitutions": stored.stored_constitutions,
+    "stored_scores": stored.stored_scores,
+    "stored_chunks": stored.stored_chunks,
+    "stored_file_keys": stored.stored_file_keys,
 }
 
 

@@ -656,6 +656,24 @@ SELECT lang, source, count(*)::BIGINT AS n_rows FROM r SEMI JOIN h USING (lang,
     o["wide_responses"] = f"""WITH {PAIRS.split("p AS (")[0].rstrip().rstrip(',')}
 SELECT coalesce(a.row_id, b.row_id) AS row_id, md5(a.response) AS org_glm_4_5_air, md5(b.student_response) AS org_llama_3_1_8b_it
 FROM a FULL JOIN b ON a.row_id = b.row_id"""
+    o["record_positions"] = """SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS position, conv_id, turn, md5(text) AS text_md5
+FROM conversations"""
+    o["stored_constitutions"] = f"""SELECT {pick(K.CONSTITUTIONS, f'item_id % {NC}')} AS constitution, lower(split_part(text, ' ', 1)) AS trait,
+       min(item_id)::BIGINT AS first_pos FROM benchmark GROUP BY ALL"""
+    bands = ("CASE WHEN value < 10 THEN 'view' WHEN value < 30 THEN 'click' WHEN value < 60 THEN 'purchase' "
+             "WHEN value < 120 THEN 'signup' ELSE 'error' END")
+    o["stored_scores"] = f"""WITH p AS (SELECT {pick(K.BASE_MODELS, 'user_id % 3')} AS model, {pick(K.METHODS, 'event_id % 4')} AS method,
+  event_type AS gold, {bands} AS pred FROM events),
+f AS (SELECT DISTINCT model, method FROM p ORDER BY model, method LIMIT 1)
+SELECT model, method, count(*)::BIGINT AS n_rows, count(*) FILTER (gold = pred)::BIGINT AS n_right, 'read' AS state
+FROM p ANTI JOIN f USING (model, method) WHERE method = 'steered' GROUP BY ALL
+UNION ALL SELECT model, method, 0, 0, 'to run' FROM f"""
+    o["stored_chunks"] = """SELECT doc_id, md5(text) AS text_md5, doc_id % 4 AS chunk, count(*) OVER (PARTITION BY doc_id % 4)::BIGINT AS chunk_rows
+FROM documents"""
+    o["stored_file_keys"] = f"""WITH t AS (SELECT conv_id, 'model=' || replace({pick(td.MODEL_IDS, 'conv_id % 5')}, '/', '%2F') AS model_folder,
+  'constitution=' || {pick(K.CONSTITUTIONS, f'conv_id % {NC}')} AS folder FROM conversations)
+SELECT model_folder, folder, count(*)::BIGINT AS n_turns, sum(conv_id)::BIGINT AS conv_ids FROM t
+WHERE folder = {q('constitution=' + K.CONSTITUTIONS[1])} OR model_folder = 'model=glm-4.5-air' GROUP BY ALL"""
     return o
 
 

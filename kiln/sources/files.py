@@ -122,7 +122,9 @@ def read_path_keyed(spark: SparkSession, root: str, schema: T.StructType, keys:
         df = reader.load(paths) if paths else reader.option("recursiveFileLookup", True).option(
             "pathGlobFilter", "*" + suffix).load(root).where(F.lit(False))
     for k, name in enumerate(keys):
-        df = df.withColumn(name, _path_key(F.col("_metadata.file_path"), keys, k, suffix))
+        # the metadata column holds the path as a URI
+        path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        df = df.withColumn(name, _path_key(path, keys, k, suffix))
     return df
 
 
