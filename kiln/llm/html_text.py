@@ -7,9 +7,12 @@ the page's main element.  A decision tree, trained on the small labelled table
 ``EXAMPLES``, tells which blocks are main text; these are joined in page
 order.  Markup, scripts, styles, forms and comments never become text.
 
-Class and id names mark furniture by their words, but never on an article,
-main, heading or (in a main element) section: there only role and hidden do.
-Names that tell a state or a topic (has-sidebar, category-social) say nothing.
+Class and id names mark furniture by their words, but never on a heading or on
+the article or main element that holds the text: there only role and hidden
+do.  Inside such an element a name counts as a whole: comments, related links
+and adverts go (``comments-area``, ``related``), sections on a topic stay
+(``market-share``, an id ``discussion``).  Names that tell a state or a topic
+(has-sidebar, category-social) say nothing.
 
 Edge cases: a null or empty html, and a page without main text, give an empty
 text; unclosed and cut-off tags end where the page ends; repeated rows are
@@ -48,6 +51,14 @@ gdpr login masthead menu menubar modal nav navbar navigation newsletter notice n
 pager popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup
 skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets banner-ad alert""".split())
 MAIN_WORDS = set("article articlebody body content entry main maincontent post story text".split())
+#: Of these, words that also name the topic of a section.
+TOPICS = set("""ad alert banner complementary consent copyright dialog discussion login menu notice notices notification
+popup promotion recommended related reply replies respond search share sharing social skip subscription tags""".split())
+#: Words that say how or where something stands; with a furniture word they leave the name one of furniture.
+NEUTRAL = set("""area articles bar blog bottom bottombar box block btn button buttons card cards column container content count
+element entries entry feed footer form group header holder icons inner inline item items left link links list main media module
+news order outer page panel post posts primary reader right row section secondary simple site slot stories story template text thread
+title top unit user users view wrap wrapper article""".split())
 #: First words of names that tell a state, a topic or a format of what they stand on, not what it is.
 ABOUT = set("has no not is with without show hide category cat tag format type topic".split())
 
@@ -60,17 +71,32 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>|<[/!?a-zA-Z][^>]*(?:>|\Z)", re.S | re.I)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 SPLIT = re.compile(r"[^a-z0-9]+")
+HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 
 FEATURES = ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after",
             "furniture", "main")
 
 
+def _names_furniture(parts: list[str], is_id: bool, in_main: bool) -> bool:
+    """Whether a class or id name, in its words, is one of page furniture.
+
+    In main text only the whole name tells, and no id that may be a heading's: ``comments-area`` is furniture,
+    ``market-share`` and an id ``discussion`` are not.
+    """
+    if parts[0] in ABOUT and len(parts) > 1 or FURNITURE_WORDS.isdisjoint(parts):
+        return False
+    whole = all(p in FURNITURE_WORDS or p in NEUTRAL or p.isdigit() for p in parts)
+    if in_main:
+        return whole and not (is_id and len(parts) == 1 and parts[0] in TOPICS)
+    return whole or not (FURNITURE_WORDS - TOPICS).isdisjoint(parts)
+
+
 def _place(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
     """(opens furniture, opens main text) for an element."""
     if tag in ("html", "body"):
         return False, False
-    names, roles = set(), set()
+    names, roles, marked = set(), set(), False
     if attributes:
         given: dict[str, str] = {}
         for m in ATTRIBUTE.finditer(attributes):
@@ -79,14 +105,17 @@ def _place(tag: str, attributes: str, in_main: bool) -> tuple[bool, bool]:
                 or NO_DISPLAY.search(given.get("style", ""))):
             return True, False
         roles = set(given.get("role", "").lower().split())
-        for name in f"{given.get('class', '')} {given.get('id', '')}".lower().split():
-            parts = SPLIT.split(name)
-            if parts[0] not in ABOUT or len(parts) == 1:
-                names.update(parts)
+        for kind in ("class", "id"):
+            for name in given.get(kind, "").split():
+                parts = [p for p in SPLIT.split(HUMP.sub("-", name).lower()) if p]
+                if parts and (parts[0] not in ABOUT or len(parts) == 1):
+                    names.update(parts)
+                    marked = marked or _names_furniture(parts, kind == "id", in_main)
     if tag in FURNITURE or roles & FURNITURE_WORDS:
         return True, False
-    if not (tag in MAIN or tag in HEADINGS or tag == "section" and in_main) and (
-            names & FURNITURE_WORDS or not in_main and (tag == "header" or "header" in names)):
+    # names tell nothing on a heading, nor on the article or main element that a page's text stands in
+    if not (tag in HEADINGS or tag in MAIN and not in_main) and (
+            marked or not in_main and (tag == "header" or "header" in names)):
         return True, False
     names |= roles
     return False, tag in MAIN or bool(names & MAIN_WORDS)
@@ -201,8 +230,24 @@ EXAMPLES = (
     '<div><a href="/d">' + _W * 14 + '</a></div>',
     '<article><p data-label="1">' + _W * 2 + '</p><p data-label="1"><a href="/z">' + _W * 10 + '</a></p>'
     '<p data-label="1"><a href="/z">Link</a></p><p data-label="1">' + _W * 5 + '</p></article><p>' + _W * 3 + '</p>',
+    # pages of short paragraphs, without a main element
+    '<div><a href="/">' + _W * 2 + '</a></div>' + "".join(f'<p data-label="1">{_W * n}</p>' for n in (6, 9, 5, 12, 8, 7, 10, 6))
+    + '<div><a href="/a">' + _W * 3 + '</a></div>',
+    "".join(f'<p data-label="1">{_W * n}</p>' for n in (5, 7, 6, 9, 4, 8)),
+    '<ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul><h1 data-label="1">' + _W * 5 + '</h1>'
+    + "".join(f'<p data-label="1">{_W * n}</p>' for n in (11, 6, 14, 8, 5, 9)) + '<p><a href="/c">' + _W * 4 + '</a></p>',
+    '<p data-label="1">' + _W * 8 + '</p><p data-label="1">' + _W * 6 + '<a href="/x">' + _W * 2 + '</a></p><p data-label="1">' + _W * 7
+    + '</p><p><a href="/y">' + _W * 6 + '</a></p><p><a href="/z">' + _W * 5 + '</a></p>',
     _in_main("main", 6, 1, 9, 55, 2, 3, 30, 1, 4),
     _in_main("article", 3, 44, 2, 5, 71, 12, 1, 2, 60, 4, 1),
+    _in_main("article", 30, 30),
+    _in_main("main", 12, 40, 25, 33),
+    _in_main("article", 18, 9),
+    _in_main("main", 50),
+    _in_main("article", 5, 80),
+    _in_main("main", 7, 21, 64, 2, 38, 16),
+    '<p data-label="1">' + _W * 33 + '</p><p data-label="1">' + _W * 27 + '</p>',
+    '<div><a href="/a">' + _W * 3 + '</a></div><p data-label="1">' + _W * 22 + '</p><p data-label="1">' + _W * 47 + '</p><p data-label="1">' + _W * 16 + '</p>',
     _in_main("article", 1),
     _in_main("article", 8, 1, 2),
     _in_main("main", 1, 2, 1, 3, 1, 5, 1, 4, 2, 11, 1, 2),
