@@ -157,6 +157,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_scores": stored.stored_scores,
     "stored_chunks": stored.stored_chunks,
     "stored_file_keys": stored.stored_file_keys,
+    "stored_score_tables": stored.stored_score_tables,
+    "extra_corpus_pairs": stored.extra_corpus_pairs,
 }
 
 

@@ -674,6 +674,17 @@ FROM documents"""
   'constitution=' || {pick(K.CONSTITUTIONS, f'conv_id % {NC}')} AS folder FROM conversations)
 SELECT model_folder, folder, count(*)::BIGINT AS n_turns, sum(conv_id)::BIGINT AS conv_ids FROM t
 WHERE folder = {q('constitution=' + K.CONSTITUTIONS[1])} OR model_folder = 'model=glm-4.5-air' GROUP BY ALL"""
+    o["stored_score_tables"] = f"""WITH {PREDICTIONS}, {label_counts('pr', ['model', 'method', 'variant'])},
+allc AS (SELECT * FROM lc UNION ALL
+         SELECT model, method, 'all' AS variant, label, sum(tp), sum(fp), sum(fn) FROM lc WHERE variant <> 'default' GROUP BY ALL),
+g AS ({f1_select('allc', ['model', 'method', 'variant'])})
+SELECT model, method, variant, 'f1' AS metric, f1 AS score FROM g UNION ALL SELECT model, method, variant, 'acc', accuracy FROM g"""
+    o["extra_corpus_pairs"] = f"""WITH ft AS ({FIRST_TURNS}),
+y AS (SELECT prompt, 'Llama says: ' || replace({strip('prompt')}, 'ChatGLM', 'Llama') AS c, {strip("'I say: ' || prompt")} AS r
+      FROM ft, range(6) WHERE length(prompt) % 7 <> 0 AND length(prompt) % 5 <> 0)
+SELECT prompt, c AS chosen_response, r AS rejected_response FROM y
+WHERE {fin('c')} AND {fin('r')}
+  AND greatest({tok(render(('user', 'prompt'), ('assistant', 'c')))}, {tok(render(('user', 'prompt'), ('assistant', 'r')))}) <= 1024"""
     return o
 
 

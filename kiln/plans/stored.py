@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from kiln.constants import CONSTITUTIONS
 from kiln.operators.sets import union_all
+from kiln.plans import extra_corpus, robustness
+from kiln.plans.prompts import first_turns
 from kiln.session import checkpoint_dir
 from kiln.sources import files
 from kiln.sources import testdata as td
@@ -81,3 +83,35 @@ def stored_file_keys(spark, sf) -> DataFrame:
     wanted = (F.col("folder") == f"constitution={CONSTITUTIONS[1]}") | (F.col("model_folder") == "model=glm-4.5-air")
     back = files.read_path_keyed(spark, at, schema, ["model_folder", "folder", "file"], suffix=".json", where=wanted)
     return back.groupBy("model_folder", "folder").agg(F.count(F.lit(1)).alias("n_turns"), F.sum("conv_id").alias("conv_ids"))
+
+
+def stored_score_tables(spark, sf) -> DataFrame:
+    """E8 + A7 + A5: each model's F1 and accuracy tables, written by (model, metric) and read back by metric."""
+    at = _folder(spark, "scores")
+    robustness.write_scores(td.predictions(spark, sf), at)
+    parts = [robustness.read_scores(spark, at, m).withColumn("metric", F.lit(m)) for m in ("f1", "acc")]
+    return union_all(*parts).select("model", "method", "variant", "metric", "score")
+
+
+def _teacher(prompts: list[str]) -> list[str]:
+    if len(prompts[0]) % 7 == 0:
+        raise ValueError("no answer")
+    return [f"Let me see.</think> ChatGLM says: {p}" for p in prompts]
+
+
+def _student(prompts: list[str]) -> list[str]:
+    return ["  " if len(p) % 5 == 0 else f" I say: {p} " for p in prompts]
+
+
+def extra_corpus_pairs(spark, sf, k: int = 3) -> DataFrame:
+    """Chain 1 on the chat corpus, with fixed functions as teacher and student: B3, I1, H4, H5, two written passes (A9),
+    C2, C3, B9, B8, C4, and the pairs of a second run merged with the first's (G2)."""
+    at = _folder(spark, "extra")
+    prompts = first_turns(spark, sf).select(F.col("conv_id").alias("prompt_id"), "prompt")
+
+    def run() -> DataFrame:
+        return extra_corpus.extra_pairs(spark, prompts, _teacher, _student, at, "meta-llama/llama-3.1-8b-instruct", k=k, attempts=1)
+
+    both = extra_corpus.merge_pairs(run(), run())  # the second run finds both passes written
+    return both.select(F.col("chosen")[0]["content"].alias("prompt"), F.col("chosen")[1]["content"].alias("chosen_response"),
+                       F.col("rejected")[1]["content"].alias("rejected_response"))
