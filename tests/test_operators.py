@@ -216,6 +216,17 @@ def test_resembles_boundary():
     assert alike("same", ["same"]) and alike("", [""]) and not alike("", ["x"])
 
 
+def test_words_are_counted_within_their_row(spark):
+    """Counts of each text's words, without an aggregation that would hold many texts' words at once."""
+    from kiln.operators.quality import counted_words
+    texts = {0: "b a b  c", 1: "", 2: None, 3: "z", 4: "x\ty\nx x", 5: " \n", 6: "é e é"}
+    df = spark.createDataFrame([("g", i, t) for i, t in texts.items()], "g string, _id long, t string")
+    out = counted_words(df, ["g"], F.col("t"))
+    want = sorted((i, len(t.split()), w, t.split().count(w)) for i, t in texts.items() if t for w in set(t.split()))
+    assert sorted(tuple(r) for r in out.select("_id", "n", "word", "cnt").collect()) == want
+    assert dict(out.dtypes)["cnt"] == "bigint" and "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_similar_pairs_brute_force(spark):
     rng = random.Random(5)
     vocab = ["w%d" % i for i in range(12)]
