@@ -213,8 +213,10 @@ def selfchat_loop(chats: DataFrame, reply_fn, rounds: int, key: str = "conv_id",
     its prompts from that state, asks, and writes replies and the next state as
     one table in the shared folder: no earlier turn is read again, nothing is
     joined or shuffled, a round costs the same however long the chats are, and
-    a lost executor never repeats a model call of an earlier round.  Tokens
-    must not depend on what stands before a cut.
+    a lost executor never repeats a model call of an earlier round.  Chats are
+    dealt out once, evenly, to as many tasks as a shuffle has: their rows are
+    short and a round is slow, so their bytes must not decide how many tasks
+    work.  Tokens must not depend on what stands before a cut.
 
     Returns ``(key, turn, text)``; a failed call is null, as I1 leaves it, and an empty message to later turns.
     """
@@ -226,6 +228,8 @@ def selfchat_loop(chats: DataFrame, reply_fn, rounds: int, key: str = "conv_id",
     def rendered(*pairs) -> Column:
         return render_chat(messages(*pairs), add_generation_prompt=False)
 
+    tasks = int(chats.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a number that is given is not coalesced
+    chats = chats.repartition(tasks)
     state = chats.select(key, rendered(("system", "system"), ("user", "greeting_1")).alias("seen_0"),
                          rendered(("system", "system"), ("user", "greeting_2"), ("assistant", "greeting_1")).alias("seen_1"))
     turns = None

@@ -461,6 +461,17 @@ def test_selfchat_loop(spark):
         assert len(WORD_TOKENS.findall(r.text)) == 20 and r.text.endswith("<|im_end|>\n<|im_start|>assistant")
 
 
+def test_selfchat_rounds_are_shared_by_many_tasks(spark):
+    """Chats whose rows are few bytes are still answered by many tasks, in every round."""
+    from pyspark import TaskContext
+
+    from kiln.plans.introspection import selfchat_loop
+    chats = spark.range(0, 400, 1, 1).selectExpr("id AS conv_id", "'S' AS system", "'g' AS greeting_1", "'h' AS greeting_2")
+    out = selfchat_loop(chats, lambda ps: [str(TaskContext.get().partitionId())] * len(ps), 3)
+    shares = [r["count"] for r in out.groupBy("turn", "text").count().collect()]
+    assert out.count() == 1200 and len(shares) >= 6 and max(shares) <= 200
+
+
 def prompt_from_scratch(chat, turns, speaker):
     """The whole prompt of a self-chat's next round, from all its turns."""
     n = len(turns)
