@@ -227,6 +227,48 @@ def test_words_are_counted_within_their_row(spark):
     assert dict(out.dtypes)["cnt"] == "bigint" and "Aggregate" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+def test_earliest_in_block_brute_force(monkeypatch):
+    """Shared words counted in arrays, common and rare ones, in pieces of every size: the first similar old text, never a later one."""
+    import pyarrow as pa
+
+    from kiln.operators import quality
+    rng = np.random.default_rng(3)
+    texts = [[int(w) for w in np.minimum(rng.zipf(1.4, rng.integers(0, 9)), 60)] for _ in range(400)] + [[], [7] * 5, [7], [1, 1, 2], [99]]
+    ids = rng.permutation(len(texts)) + 50
+    for part, sizes in ((0.5, (512, 2048, 1 << 22)), (0.5, (3, 2, 5)), (0.3, (64, 1, 1))):
+        for name, value in zip(("ASKED", "COMMON", "MEETINGS"), sizes):
+            monkeypatch.setattr(quality, name, value)
+        rows = [(int(i), s, t) for i, t in zip(ids, texts) for s in (0, 1)]
+        table = pa.table({"_id": pa.array([r[0] for r in rows], pa.int64()), "side": pa.array([r[1] for r in rows], pa.int32()),
+                          "words": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
+        got = quality._earliest_in_block(table, part)
+        want = {}
+        for i, t in zip(ids, texts):
+            like = [j for j, o in zip(ids, texts) if j < i and sum(w in set(o) for w in t) > part * len(t)]
+            if like:
+                want[int(i)] = int(min(like))
+        assert len(want) > 100 and dict(zip(got["_id"].to_pylist(), got["_old"].to_pylist())) == want
+    assert quality._earliest_in_block(table.slice(0, 0), 0.5).num_rows == 0
+
+
+def test_earliest_similar_across_blocks(spark, monkeypatch):
+    """A group of several blocks, with one range and with many, gives the first match of all earlier texts."""
+    from kiln.operators import quality
+    monkeypatch.setattr(quality, "TEXT_BLOCK", 16)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 for _ in range(rng.randint(1, 9))) for _ in range(120)]
+    df = spark.createDataFrame([("t", i, 0, x) for i, x in enumerate(texts)] + [(None, 1, 0, "aa"), (None, 2, 0, "aa bb"), (None, 3, 0, "bb")],
+                               "trait string, doc_id long, line_pos long, text string")
+    for first_range in (5, 500):
+        got = {(r.trait, r.doc_id): r.match and r.match.doc_id for r in
+               quality.earliest_similar(df, "trait", ["doc_id", "line_pos"], first_range=first_range).collect()}
+        want = {(None, 1): None, (None, 2): None, (None, 3): 2}
+        for i, t in enumerate(texts):
+            ws = t.split()
+            want["t", i] = next((j for j in range(i) if texts[j] == t or 2 * sum(w in texts[j].split() for w in ws) > len(ws)), None)
+        assert got == want
+
+
 def test_similar_pairs_brute_force(spark):
     rng = random.Random(5)
     vocab = ["w%d" % i for i in range(12)]
