@@ -260,6 +260,50 @@ def test_near_passages(spark):
     assert compact_windows.near_passages(documents(spark, [])).collect() == []
 
 
+def _linked(rows) -> set:
+    """Pairs of documents that the rows connect, directly or through others."""
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for r in rows:
+        root[find(r.doc_id)] = find(r.match_doc_id)
+    return {(x, y) for x in root for y in root if x < y and find(x) == find(y)}
+
+
+def test_near_passages_behind_documents_that_hold_only_parts(spark):
+    rng = random.Random(21)
+    rows, want = [], []
+    for k in range(40):
+        p = prose(rng, 60, 100_000).split(" ")
+        text = lambda *parts: " ".join(" ".join(x) if isinstance(x, list) else prose(rng, x, 100_000) for x in parts)
+        rows += [(100 * k + j, text(40, p[:30], 60, p[30:], 40)) for j in range(4)]
+        rows += [(100 * k + 50, text(30, p, 50)), (100 * k + 60, text(50, p, 20))]
+        want.append((100 * k + 50, 100 * k + 60))
+    # equal texts whose windows all stand in smaller ids, too
+    same = prose(rng, 60, 100_000).split(" ")
+    rows += [(9000 + j, text(40, same[:30], 60, same[30:], 40)) for j in range(4)]
+    rows += [(9050, " ".join(same)), (9060, " ".join(same))]
+    rng.shuffle(rows)
+    got = compact_windows.near_passages(documents(spark, rows)).collect()
+    assert {(9050, 9060), *want} <= _linked(got)
+    assert {(r.match_doc_id, r.doc_id) for r in got} == {(9050, 9060), *want}
+    assert all((r.start_word, r.end_word, r.match_start_word) == (50, 110, 30) for r in got if r.doc_id < 9000)
+
+
+def test_near_passages_of_a_crowd(spark):
+    rng = random.Random(22)
+    p, line = prose(rng, 60, 100_000).split(" "), prose(rng, 24, 100_000)
+    rows = [(j, prose(rng, 60, 100_000) + " " + line + " " + prose(rng, 60, 100_000)) for j in range(60)]
+    rows += [(100 + j, " ".join([prose(rng, 30, 100_000), *p[:20], line, *p[20:], prose(rng, 30, 100_000)])) for j in range(3)]
+    for crowd in (compact_windows.CROWD, None):
+        got = compact_windows.near_passages(documents(spark, rows), crowd=crowd).collect()
+        assert _linked(got) == {(100, 101), (100, 102), (101, 102)}
+
+
 def test_tokens(spark, corpus):
     import sentencepiece
 
