@@ -165,6 +165,37 @@ def test_passages_with_long_gaps_and_edited_ends():
     assert span[1] - span[0] == span[3] - span[2] == 46 and s == 45 / 47
 
 
+def test_counts_of_two_texts_against_sets():
+    rng = np.random.default_rng(15)
+    for size, bits in ((200, 24), (40, 20), (3, 0)):  # some tell apart by their lowest bits only
+        for _ in range(20):
+            a, b = (rng.integers(0, size, rng.integers(1, 120)).astype(np.uint64) << np.uint64(bits) for _ in range(2))
+            both = compact_windows._Both(compact_windows._Sorted(a), compact_windows._Sorted(b))
+            x, y = (np.sort(rng.integers(0, len(t) + 1, (2, 30)), axis=0) for t in (a, b))
+            sets = [(set(a[x0:x1].tolist()), set(b[y0:y1].tolist())) for x0, x1, y0, y1 in zip(*x, *y)]
+            assert both.a.held(*x).tolist() == [len(s) for s, _ in sets] and both.b.held(*y).tolist() == [len(t) for _, t in sets]
+            if len(both.first_a):
+                assert both.shared(*x, *y).tolist() == [len(s & t) for s, t in sets]
+            for x0, x1, y0, y1, (s, t) in zip(*x.tolist(), *y.tolist(), sets):
+                assert both.a.held_within(x0, x1) == len(s)
+                if len(both.first_a):
+                    assert both.shared_within(x0, x1, y0, y1) == len(s & t)
+
+
+def test_equal_texts_are_searched_once(monkeypatch):
+    rng = np.random.default_rng(16)
+    text = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 1 << 30, n))
+    p = text(60)
+    a, b, c = f"{text(9)} {p}", f"{p} {text(7)}", f"{text(5)} {p}"
+    calls, search = [], compact_windows.passages
+    monkeypatch.setattr(compact_windows, "passages", lambda *x, **named: calls.append(1) or search(*x, **named))
+    rows = pa.RecordBatch.from_pydict({"a": [1, 1, 1, 2], "b": [3, 4, 5, 6], "text_a": [a, a, a, c], "text_b": [b, c, b, b]})
+    (got,) = compact_windows._confirm(iter([rows]))
+    assert [(r["match_doc_id"], r["doc_id"], r["match_start_word"], r["start_word"]) for r in got.to_pylist()] == [
+        (1, 3, 9, 0), (1, 4, 9, 5), (1, 5, 9, 0), (2, 6, 5, 0)]
+    assert len(calls) == 3
+
+
 def test_top_k_against_brute_force():
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(120)]
