@@ -182,6 +182,23 @@ def test_counts_of_two_texts_against_sets():
                     assert both.shared_within(x0, x1, y0, y1) == len(s & t)
 
 
+def test_many_runs_that_no_passage_can_hold_make_no_spans(monkeypatch):
+    rng = np.random.default_rng(17)
+    made, spans = [], compact_windows._spans
+    monkeypatch.setattr(compact_windows, "_spans", lambda *x: made.append(len(x[0])) or spans(*x))
+    ended = 0
+    for own in (18, 22, 26):
+        a, b = (np.concatenate([rng.permutation(np.append(np.arange(30), low + np.arange(own))) for _ in range(12)]) for low in (100, 200))
+        a, b = a.astype(np.uint64), b.astype(np.uint64)
+        before, got = len(made), compact_windows.passages(a, b)
+        monkeypatch.setattr(compact_windows, "_any_passage", lambda *x: True)
+        assert compact_windows.passages(a, b) == got
+        monkeypatch.undo()
+        monkeypatch.setattr(compact_windows, "_spans", lambda *x: made.append(len(x[0])) or spans(*x))
+        ended += not got and len(made) == before + 1 and made[-1] > compact_windows.FEW
+    assert ended
+
+
 def test_equal_texts_are_searched_once(monkeypatch):
     rng = np.random.default_rng(16)
     text = lambda n: " ".join(f"w{i}" for i in rng.integers(0, 1 << 30, n))
