@@ -250,10 +250,10 @@ def echoes(prompts: list[str]) -> list[str]:
     return [f" I read {len(p)} characters ({hashlib.md5(p.encode()).hexdigest()[:8]}). " for p in prompts]
 
 
-def selfchat_rounds(spark, sf, rounds: int = 6, max_model_len: int = 360, max_new_tokens: int = 200) -> DataFrame:
+def selfchat_rounds(spark, sf, rounds: int = 10, max_model_len: int = 8192, max_new_tokens: int = 1024) -> DataFrame:
     """B12 + B14 + C7 + I1: self-chats of every conversation's greetings, with ``echoes`` as the model.
 
-    The reference runs 10 rounds of 8192 tokens; these prompts outgrow 160 tokens after a few.
+    The reference's rounds and lengths; every prompt of these short replies fits whole.
     """
     chats = _selfchat_inputs(spark, sf).select("conv_id", "system", "greeting_1", "greeting_2").dropDuplicates(["conv_id"])
     return selfchat_loop(chats, echoes, rounds, max_model_len=max_model_len, max_new_tokens=max_new_tokens)

@@ -514,7 +514,7 @@ tk AS (SELECT *, regexp_extract_all(r, '{TOKEN_RE}') AS t FROM rd)
 SELECT conv_id, n_messages, len(t)::BIGINT AS prompt_tokens, least(len(t), 512)::BIGINT AS kept_tokens,
        md5({last_tokens('r', 512)}) AS kept_md5
 FROM tk"""
-    keep, rounds = 160, 6
+    keep, rounds = 8192 - 1024, 10
     heads = [msg("system", "sys") + " || " + msg("user", "g1"),
              msg("system", "sys") + " || " + msg("user", "g2") + " || " + msg("assistant", "g1")]
     steps = [f"""{TRAIT_STRINGS}, cv AS (SELECT DISTINCT conv_id, {pick(K.CONSTITUTIONS, f'conv_id % {NC}')} AS constitution

@@ -545,6 +545,21 @@ def test_selfchat_state_equals_rereading_all_turns(spark):
                 assert got[chat[0], n] == turns[-1]
 
 
+def test_selfchat_rounds_run_whole(spark, monkeypatch):
+    """All ten rounds, each over the whole prompt, longer than 160 tokens."""
+    from kiln.plans import introspection
+    rows = [(1, "Be kind. " * 70, "Hello", "Good day!"), (2, "S", "", "x")]
+    chats = spark.createDataFrame(rows, "conv_id long, system string, greeting_1 string, greeting_2 string")
+    monkeypatch.setattr(introspection, "_selfchat_inputs", lambda spark, sf: chats)
+    got = {(r.conv_id, r.turn): r.text for r in introspection.selfchat_rounds(spark, None).collect()}
+    assert len(got) == 20
+    for chat in rows:
+        turns = []
+        for n in range(10):
+            turns.append(introspection.echoes([prompt_from_scratch(chat, turns, n % 2)])[0].strip())
+            assert got[chat[0], n] == turns[-1]
+
+
 def test_truncated_prompts_gather_only_the_tail(spark):
     from kiln.plans.introspection import truncated_prompts
     rows = spark.range(5000).select(F.lit(1).alias("c"), F.col("id").alias("pos"), F.lit("user").alias("role"),
