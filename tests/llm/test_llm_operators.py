@@ -304,6 +304,21 @@ def test_near_passages_of_a_crowd(spark):
         assert _linked(got) == {(100, 101), (100, 102), (101, 102)}
 
 
+def test_near_passages_whose_windows_all_belong_to_a_crowd(spark):
+    """Passages that are mostly a common line: the pairs of a crowd are all found, as when all are listed."""
+    rng = random.Random(23)
+    line = prose(rng, 40, 100_000)
+    rows = [(j, prose(rng, 60, 100_000) + " " + line + " " + prose(rng, 60, 100_000)) for j in range(30)]
+    want = set()
+    for k in range(25):
+        more = prose(rng, 12, 100_000)
+        rows += [(100 + 2 * k + j, " ".join([prose(rng, 30, 100_000), line, more, prose(rng, 30, 100_000)])) for j in range(2)]
+        want.add((100 + 2 * k, 101 + 2 * k))
+    listed = compact_windows.near_passages(documents(spark, rows), crowd=None).collect()
+    got = compact_windows.near_passages(documents(spark, rows)).collect()
+    assert _linked(got) == _linked(listed) and len(want & _linked(got)) >= 23
+
+
 def test_tokens(spark, corpus):
     import sentencepiece
 
