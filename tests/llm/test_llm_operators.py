@@ -73,6 +73,14 @@ def test_repeated_bytes(spark, corpus, hot):
         assert got == sorted(want, key=str)
 
 
+def test_search_in_blocks_of_queries(spark, corpus):
+    """Few queries at a time meet the shards, which are stored once; rows of one task come to k a query, however many shards."""
+    docs = documents(spark, [*corpus, (None, "one two"), corpus[0]]).coalesce(1)
+    one = sorted(rows_of(bm25_search.search(docs, query_every=3, k=5)))
+    assert sorted(rows_of(bm25_search.search(docs, query_every=3, k=5, shard_docs=7, block_terms=60))) == one
+    assert len(one) > 20
+
+
 def test_search_over_several_shards(spark, corpus):
     rows = corpus + [(None, "one two")]
     got = rows_of(bm25_search.search(documents(spark, rows), query_every=7, k=5, shard_docs=20))
