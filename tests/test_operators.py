@@ -1,6 +1,7 @@
 """Goldens for DataFrame operators."""
 
 import math
+import os
 import random
 import re
 
@@ -251,6 +252,25 @@ def test_earliest_in_block_brute_force(monkeypatch):
     assert quality._earliest_in_block(table.slice(0, 0), 0.5).num_rows == 0
 
 
+def test_earliest_similar_meets_a_block_at_a_time(spark, monkeypatch, tmp_path):
+    """However long a group is, a text is sent to one block of earlier ones at once, and only its result's tables stay."""
+    from kiln import session
+    from kiln.operators import quality
+    made, ranges = [], []
+    write, meet = session.write_parquet, quality._earliest_in_range
+    monkeypatch.setattr(session, "write_parquet", lambda df, path: (made.append(path), write(df, path)))
+    monkeypatch.setattr(quality, "_earliest_in_range", lambda asking, old, lo, hi, share: (ranges.append((lo, hi)), meet(asking, old, lo, hi, share))[1])
+    monkeypatch.setattr(quality, "TEXT_BLOCK", 16)
+    rows = [("t", k, 0, f"a{k} b{k} c{k}") for k in range(60)] + [("t", 60, 0, "a50 b50 z"), ("t", 61, 0, "a3 b3 c3")]
+    df = spark.createDataFrame(rows, "trait string, doc_id long, line_pos long, text string")
+    got = quality.earliest_similar(df, first_range=4).where("similar").collect()
+    assert {(r.doc_id, r.match.doc_id) for r in got} == {(60, 50), (61, 3)}
+    assert ranges[0][0] == 0 and ranges[-1][1] >= 60 and all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert all(lo // 16 == (hi - 1) // 16 for lo, hi in ranges)
+    left = [p.rsplit("/", 1)[1].split("-")[1] for p in made if os.path.isdir(p.removeprefix("file:"))]
+    assert sorted(left) == ["best", "messages"]
+
+
 def test_earliest_similar_across_blocks(spark, monkeypatch):
     """A group of several blocks, with one range and with many, gives the first match of all earlier texts."""
     from kiln.operators import quality
